@@ -20,7 +20,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """
     out = df.coalesce(1) if single_file else df
     (out.write.mode("overwrite").option("header", "true").option("escape", '"')
-     .option("emptyValue", "").csv(path))
+     .option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def write_split_clips(clips: DataFrame, path: str, split_col: str = "split") -> DataFrame:
