@@ -1,4 +1,4 @@
-"""Path columns: join, base name, parent folder, corpus folder, duration."""
+"""Path columns: join, base name, parent folder; clip duration."""
 
 from __future__ import annotations
 
@@ -25,11 +25,6 @@ def parent_name(path: Column) -> Column:
     return F.coalesce(F.try_element_at(F.split(path, "/"), F.lit(-2)), F.lit(""))
 
 
-def folder_below(path: Column, root_name: str) -> Column:
-    """The path component right after ``/<root_name>/`` (the corpus of a clip)."""
-    return F.split(F.substring_index(path, f"/{root_name}/", -1), "/")[0]
-
-
 def duration_seconds(num_frames: Column, sample_rate: Column) -> Column:
     """Frames over rate as double; NULL (not an error) for rate 0."""
     return F.try_divide(num_frames.cast("double"), sample_rate.cast("double"))

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +21,9 @@ from clipframe.functions import kernels as K
 from clipframe.sources.wav import WavError, decode_samples
 
 FULL_SCALE_FLOAT = 2.0 ** 31
-# Result batches are cut at about this many samples (4 bytes each).
-MAX_OUT_SAMPLES = 1 << 24
+# Samples are worked on in parts of about this many input bytes, whatever the
+# size of the Arrow batch, so a worker's memory does not depend on settings.
+PART_BYTES = 16 << 20
 
 
 class ClipBatch:
@@ -240,33 +242,39 @@ def _float_lists(clips: list[np.ndarray], valid: list[bool], kind: pa.DataType)
     return _list_array(values, offsets, kind, valid)
 
 
-def _output(batch: ClipBatch, name: str, part: range) -> pa.Array:
-    valid = [batch.error[i] is None for i in part]
+def _output(batch: ClipBatch, name: str) -> pa.Array:
+    valid = [error is None for error in batch.error]
+    everyone = range(len(batch))
     if name == "samples":
-        return _float_lists([batch.clip(i) for i in part], valid, pa.float32())
+        clips = [batch.clip(i) for i in everyone]
+        return _float_lists(clips, valid, pa.float32())
     if name == "pcm":
         empty = np.empty(0, np.int32)
-        return _float_lists([_to_int(batch, i) if ok else empty for i, ok in zip(part, valid)],
+        return _float_lists([_to_int(batch, i) if valid[i] else empty for i in everyone],
                             valid, pa.int32())
     if name == "channels":
-        rows = [list(batch.clip(i).reshape(-1, batch.channels[i]).T) if ok else None
-                for i, ok in zip(part, valid)]
+        rows = [list(batch.clip(i).reshape(-1, batch.channels[i]).T) if valid[i] else None
+                for i in everyone]
         return pa.array(rows, pa.list_(pa.list_(pa.float32())))
     if name == "features":
         empty = np.empty(0)
-        return _float_lists([batch.features[i] if ok else empty for i, ok in zip(part, valid)],
+        return _float_lists([batch.features[i] if valid[i] else empty for i in everyone],
                             valid, pa.float64())
-    if name == "num_frames":
-        frames = np.diff(batch.offsets) // batch.channels
-        if batch.offsets[-1] == 0:
-            frames = [0 if p is None else len(p) // c for p, c in zip(batch.pcm, batch.channels)]
-        return pa.array([int(frames[i]) if ok else None for i, ok in zip(part, valid)], pa.int64())
-    if name == "dbfs":
-        return pa.array([batch.dbfs[i] if ok else None for i, ok in zip(part, valid)], pa.float64())
     if name == "error":
-        return pa.array([batch.error[i] for i in part], pa.string())
-    source = {"sample_rate": batch.rate, "num_channels": batch.channels}[name]
-    return pa.array([int(source[i]) if ok else None for i, ok in zip(part, valid)], pa.int32())
+        return pa.array(batch.error, pa.string())
+    if name == "num_frames":
+        if batch.offsets[-1]:
+            values = np.diff(batch.offsets) // batch.channels
+        else:
+            values = [0 if p is None else len(p) // c for p, c in zip(batch.pcm, batch.channels)]
+        kind = pa.int64()
+    elif name == "dbfs":
+        values, kind = batch.dbfs, pa.float64()
+    else:
+        values = {"sample_rate": batch.rate, "num_channels": batch.channels}[name]
+        kind = pa.int32()
+    number = float if name == "dbfs" else int
+    return pa.array([number(values[i]) if valid[i] else None for i in everyone], kind)
 
 
 OUTPUT_TYPES = {
@@ -282,15 +290,21 @@ OUTPUT_TYPES = {
 }
 
 
-def _cuts(sizes: np.ndarray) -> Iterator[range]:
+def _parts(table: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``PART_BYTES`` in ``column``."""
+    array = table.column(table.schema.get_field_index(column))
+    if pa.types.is_binary(array.type) or pa.types.is_large_binary(array.type):
+        sizes = pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False)
+    else:
+        sizes = 4 * pc.list_value_length(array).fill_null(0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, size in enumerate(sizes):
-        if total and total + size > MAX_OUT_SAMPLES:
-            yield range(start, i)
+        if i > start and total + size > PART_BYTES:
+            yield table.slice(start, i - start)
             start, total = i, 0
         total += int(size)
     if start < len(sizes):
-        yield range(start, len(sizes))
+        yield table.slice(start)
 
 
 def run_steps(df: DataFrame, steps: Sequence[Step], keep: Sequence[str],
@@ -310,21 +324,14 @@ def run_steps(df: DataFrame, steps: Sequence[Step], keep: Sequence[str],
         schema.add(name, T.DataType.fromDDL(OUTPUT_TYPES[name]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
-            if table.num_rows == 0:
-                continue
-            batch = ClipBatch(table)
-            for step in steps:
-                step(batch)
-            kept = [table.column(table.schema.get_field_index(c)) for c in keep]
-            sizes = np.diff(batch.offsets)
-            if "pcm" in outputs:
-                sizes = np.array([0 if p is None else len(p) for p in batch.pcm])
-            for part in _cuts(sizes):
+        for whole in batches:
+            for table in _parts(whole, inputs[0]):
+                batch = ClipBatch(table)
+                for step in steps:
+                    step(batch)
+                kept = [table.column(table.schema.get_field_index(c)) for c in keep]
                 yield pa.RecordBatch.from_arrays(
-                    [c.slice(part.start, len(part)) for c in kept]
-                    + [_output(batch, name, part) for name in outputs],
-                    names=[*keep, *outputs])
+                    kept + [_output(batch, name) for name in outputs], names=[*keep, *outputs])
 
     return narrow.mapInArrow(run, schema)
 

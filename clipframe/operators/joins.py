@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.functions import labels as L
@@ -33,11 +33,16 @@ def join_annotations(clips: DataFrame, turns: DataFrame, keys: Sequence[str],
         F.col("emotion_raw"), F.col(path_col), "annotated emotion", mode))
 
 
+def is_usable(emotion: Column, duration: Column,
+              bad_labels: Sequence[str] = (L.IEMOCAP_UNDECIDED,),
+              max_seconds: float = L.MAX_SECONDS) -> Column:
+    """A decided emotion and at most ``max_seconds`` (inclusive)."""
+    return ~emotion.isin(*bad_labels) & (duration <= max_seconds)
+
+
 def usable_clips(clips: DataFrame, emotion: str = "emotion_raw", duration: str = "duration_s",
-                 bad_labels: Sequence[str] = (L.IEMOCAP_UNDECIDED,),
-                 max_seconds: float = L.MAX_SECONDS) -> DataFrame:
-    """Keep clips with a decided emotion and at most ``max_seconds`` (inclusive)."""
-    return clips.filter(~F.col(emotion).isin(*bad_labels) & (F.col(duration) <= max_seconds))
+                 **limits) -> DataFrame:
+    return clips.filter(is_usable(F.col(emotion), F.col(duration), **limits))
 
 
 def pair_predictions(pred: DataFrame, truth: DataFrame, key: str = "wav_file",

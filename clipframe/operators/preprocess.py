@@ -52,15 +52,19 @@ class ClipSpec:
 def clip_lengths(clips: DataFrame, spec: ClipSpec, keep: Sequence[str]) -> DataFrame:
     """``keep, num_samples, error``: length of each clip at the target rate.
 
-    Read from the headers. Only with gain normalisation are samples decoded,
-    since a silent clip is known by its samples alone.
+    Read from the headers; an ingested clip table has them as columns, and then
+    no audio is read. Only with gain normalisation are samples decoded, since a
+    silent clip is known by its samples alone.
     """
     if spec.apply_dbfs_norm:
         steps = [C.decode_pcm(), C.gain_to(spec.target_dbfs, spec.on_silence)]
         sized = C.run_steps(clips, steps, keep, ["num_frames", "sample_rate", "error"])
     else:
         known = ["load_error"] if "load_error" in clips.columns else []
-        sized = scan_headers(clips, [*keep, *known]).withColumn("error", F.coalesce(
+        headers = ["num_frames", "sample_rate", "error"]
+        sized = (clips.select(*keep, *known, *headers) if set(headers) <= set(clips.columns)
+                 else scan_headers(clips, [*keep, *known]))
+        sized = sized.withColumn("error", F.coalesce(
             *known, "error", F.when(F.col("num_frames") == 0, "no samples")))
     length = F.expr(f"(num_frames * {spec.sample_rate} + sample_rate - 1) div sample_rate")
     return sized.select(*keep, F.when(F.col("error").isNull(), length).cast("int")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipframe.session import lookup_join
+from clipframe.session import lookup_join, side_table
 
 # Quantile sketch: rank error n / ACCURACY; the bracket around the median is
 # five times as wide on either side.
@@ -20,25 +20,15 @@ def _global_key(keys: Sequence[str]) -> list[Column]:
     return [F.col(k) for k in keys] or [F.lit(0).alias("__all")]
 
 
-def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (),
-                 name: str = "median") -> DataFrame:
-    """``(keys, median)``, exact, averaging the two middle values.
-
-    A sketch gives a bracket holding the middle; a second pass counts the rows
-    below it and groups those inside by value. So a task sorts about a thousandth
-    of the distinct values, and a value repeated any number of times is one row.
-    """
-    data = df.select(*_global_key(keys), F.col(value).alias("__v")).filter(
-        F.col("__v").isNotNull())
-    names = list(keys) or ["__all"]
-    bracket = data.groupBy(*names).agg(
-        F.count("__v").alias("__n"),
-        F.percentile_approx("__v", [0.5 - BRACKET, 0.5 + BRACKET], ACCURACY).alias("__b"))
-    return _median_in_bracket(data, bracket, names, name).drop("__all")
-
-
 def _median_in_bracket(data: DataFrame, bracket: DataFrame, names: list[str],
                        name: str) -> DataFrame:
+    """``(names, median)`` of column ``__v``, exact, averaging the two middle values.
+
+    ``bracket`` has the row count ``__n`` of each group and an interval ``__b``
+    from a sketch that holds the middle. Rows below it are counted, those inside
+    grouped by value. So a task sorts about a thousandth of the distinct values,
+    and a value repeated any number of times is one row.
+    """
     low, high = F.col("__b")[0], F.col("__b")[1]
     near = lookup_join(data, bracket, names, "inner").filter(F.col("__v") <= high)
     # NULL stands for everything below the bracket
@@ -79,11 +69,12 @@ def duration_stats(df: DataFrame, duration: str = "duration_s", keys: Sequence[s
     else:
         summary = df.agg(*measures).withColumn("__all", F.lit(0))
     if exact:
+        summary, _ = side_table(summary)  # few groups: the data is read twice, not three times
         data = df.select(*_global_key(keys), v.alias("__v")).filter(F.col("__v").isNotNull())
         bracket = summary.filter(F.col("n") > 0).select(
             *names, F.col("n").alias("__n"), F.array(F.col("__q")[0], F.col("__q")[2]).alias("__b"))
         medians = _median_in_bracket(data, bracket, names, "median_s")
-        summary = lookup_join(summary, medians, names)
+        summary = summary.join(medians, names, "left")
     else:
         summary = summary.withColumn("median_s", F.col("__q")[1])
     return summary.select(*keys, "n", "min_s", "max_s", "mean_s", "median_s", "std_s",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -44,24 +44,27 @@ def metadata_tables(paths: DataFrame, seed: int = 42, dev_share: float = 0.2,
 
 
 def build_metadata(spark: SparkSession, base_dir: str, train_out: str, dev_out: str,
-                   clips_out: str | None = None, mode: str = "strict",
+                   clips_out: str | None = None, rejects_out: str | None = None,
+                   mode: str = "strict",
                    corpora: Sequence[str] = tuple(L.CORPUS_RULES)) -> DataFrame:
     """Scan the corpora below ``<base>/train`` and write the train and dev CSVs.
 
     Returns row counts per corpus, checked against the scan. ``clips_out`` also
-    stores the dev clips with their bytes.
+    stores the dev clips with their bytes; ``rejects_out`` the names without a
+    label (quarantine mode).
     """
     paths = scan.scan_corpora(spark, base_dir, corpora)
     table = scan.materialise(metadata_tables(paths, mode=mode), "metadata")
     counts = stats.assert_counts(stats.corpus_counts(paths), table)
+    labelled = F.col("label").isNotNull()
     for side, out in (("train", train_out), ("dev", dev_out)):
-        part = table.filter((F.col("split") == side) & F.col("label").isNotNull())
+        part = table.filter((F.col("split") == side) & labelled)
         sinks.write_csv(part.select("wav_file", "label"), out)
+    if rejects_out:
+        sinks.write_csv(table.filter(~labelled).select("corpus", "wav_file"), rejects_out)
     if clips_out:
-        dev = table.filter(F.col("split") == "dev").select("wav_file", "split")
-        root = f"{base_dir.rstrip('/')}/train/{SPLIT_CORPUS}"
-        clips = scan.scan_clips(spark, root).withColumnRenamed("path", "wav_file")
-        sinks.write_split_clips(clips.join(dev.hint("shuffle_hash"), "wav_file"), clips_out)
+        dev = table.filter(F.col("split") == "dev").select("wav_file", "label", "split")
+        sinks.write_split_clips(scan.load_clips(dev, "wav_file", clips_per_task=1024), clips_out)
     return counts
 
 
@@ -70,16 +73,26 @@ def label_annotated(clips: DataFrame, turns: DataFrame, mode: str = "strict",
     """``(wav_file, gender, emotion, label)`` of annotated dialog clips.
 
     ``clips``: ``(wav_file, duration_s)``; ``turns``: ``(session, dialog, turn,
-    emotion_raw)``, one row per turn.
+    emotion_raw)``, one row per turn. In quarantine mode a clip that cannot be
+    judged stays, with NULL label and its ``error``.
     """
     path = F.col("wav_file")
     keyed = clips.select(
         "wav_file", "duration_s", L.iemocap_session(path, mode).alias("session"),
         L.iemocap_dialog(path).alias("dialog"), L.iemocap_turn(path).alias("turn"))
     joined = joins.join_annotations(keyed, turns, ["session", "dialog", "turn"], mode)
-    kept = joins.usable_clips(joined, max_seconds=max_seconds)
-    return kept.select("wav_file", L.iemocap_fields(path, F.col("emotion_raw"), mode)
-                       .alias("__f")).select("wav_file", "__f.*")
+    fields = L.iemocap_fields(path, F.col("emotion_raw"), mode).alias("__f")
+    if mode == "strict":
+        kept = joins.usable_clips(joined, max_seconds=max_seconds)
+        return kept.select("wav_file", fields).select("wav_file", "__f.*")
+    error = (F.when(F.col("session").isNull(), "no session number in clip name")
+             .when(F.col("emotion_raw").isNull(), "no annotated emotion")
+             .when(F.col("duration_s").isNull(), "no duration"))
+    usable = joins.is_usable(F.col("emotion_raw"), F.col("duration_s"), max_seconds=max_seconds)
+    kept = joined.withColumn("error", error).filter(F.col("error").isNotNull() | usable)
+    return kept.select("wav_file", fields, "error").select(
+        "wav_file", *[F.when(F.col("error").isNull(), F.col(f"__f.{name}")).alias(name)
+                      for name in ("gender", "emotion", "label")], "error")
 
 
 def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict") -> DataFrame:
@@ -177,7 +190,3 @@ def score(pred: DataFrame, truth: DataFrame, how: str = "strict") -> DataFrame:
     """Macro-F1 of a prediction table against a truth table, matched by ``wav_file``."""
     return scoring.macro_f1(joins.pair_predictions(pred, truth, how=how))
 
-
-def label_tables(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """Union of per-corpus frames, checked to keep every row."""
-    return stats.union_all(parts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipframe.functions.paths import folder_below
 from clipframe.session import new_folder
 
 # Largest file the binary source can hold in one row (a JVM byte array).
@@ -52,10 +52,17 @@ def scan_paths(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
 
 def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
                  train_dir: str = "train", path_col: str = "wav_file") -> DataFrame:
-    """One scan of ``<base>/<train>/<corpus>/**`` -> ``(corpus, wav_file)``."""
-    roots = [f"{base_dir.rstrip('/')}/{train_dir}/{name}" for name in corpora]
-    paths = scan_paths(spark, roots, path_col=path_col)
-    return paths.select(folder_below(F.col(path_col), train_dir).alias("corpus"), path_col)
+    """One scan of ``<base>/<train>/<corpus>/**`` -> ``(corpus, wav_file)``.
+
+    The paths begin with ``base_dir`` as given; the corpus is the folder right
+    below ``<base>/<train>/``.
+    """
+    given = f"{base_dir.rstrip('/')}/{train_dir}/"
+    full = given if "://" in given or given.startswith("file:") else os.path.abspath(given) + "/"
+    paths = scan_paths(spark, [given + name for name in corpora], path_col="__path")
+    below = F.substring_index("__path", full, -1)
+    return paths.select(F.split(below, "/")[0].alias("corpus"),
+                        F.concat(F.lit(given), below).alias(path_col))
 
 
 def load_clips(df: DataFrame, path_col: str = "input_values",

@@ -1,0 +1,118 @@
+import math
+import os
+
+import numpy as np
+import pytest
+from conftest import tone, wav
+
+from clipframe.operators import signal
+from clipframe.operators.clips import split_rejects
+from clipframe.sources import scan
+from clipframe.sources.wav import WavError, decode_samples, parse_header, scan_headers
+
+HEADERS = {
+    "mono16": (4_000, 16_000, 1, 16), "stereo8k": (1_200, 8_000, 2, 16),
+    "mono22k": (11_025, 22_050, 1, 16), "bits8": (900, 16_000, 1, 8),
+    "bits24": (900, 16_000, 1, 24), "bits32": (900, 16_000, 1, 32),
+    "list_chunk": (4_000, 16_000, 1, 16), "extensible": (4_000, 16_000, 1, 16),
+    "float32": (3, 16_000, 1, 32), "float64": (2, 16_000, 1, 64),
+    "silence": (500, 16_000, 1, 16), "one_sample": (1, 16_000, 1, 16),
+    "no_samples": (0, 16_000, 1, 16), "truncated": (500, 16_000, 1, 16),
+    "three_channels": (300, 16_000, 3, 16),
+}
+BROKEN = {"junk": "not a RIFF/WAVE file", "empty": "not a RIFF/WAVE file",
+          "cut_header": "bad fmt chunk"}
+
+
+@pytest.fixture(scope="module")
+def clips(spark, wav_cases):
+    rows = [(name, bytearray(data)) for name, data in wav_cases.items()]
+    return spark.createDataFrame([*rows, ("null", None)], "path string, content binary")
+
+
+def test_headers(clips):
+    rows = {r.path: r for r in scan_headers(clips).collect()}
+    for name, expected in HEADERS.items():
+        r = rows[name]
+        assert (r.num_frames, r.sample_rate, r.num_channels, r.bits) == expected, name
+        assert r.error is None
+    for name, reason in {**BROKEN, "null": "no content"}.items():
+        assert rows[name].error == reason and rows[name].num_frames is None
+
+
+def test_header_of_unsupported_codec():
+    data = bytearray(wav([1, 2, 3]))
+    data[20] = 6
+    with pytest.raises(WavError, match="unsupported codec 6"):
+        parse_header(bytes(data))
+
+
+def test_decode_keeps_samples(wav_cases):
+    values, *_ = decode_samples(wav([-32768, 0, 32767]))
+    assert values.tolist() == [-32768, 0, 32767]
+    values, *_ = decode_samples(wav([-(2**23), -1, 2**23 - 1], bits=24))
+    assert values.tolist() == [-(2**23), -1, 2**23 - 1]
+    values, *_ = decode_samples(wav([-128, 0, 127], bits=8))
+    assert values.tolist() == [-128, 0, 127]
+    assert len(decode_samples(wav_cases["truncated"])[0]) == 500
+
+
+def test_decode_clips_and_quarantine(clips, wav_cases):
+    good, rejected = split_rejects(signal.decode_clips(clips))
+    reasons = {r.path: r.error for r in rejected.collect()}
+    assert reasons == {**BROKEN, "no_samples": "no samples", "null": "no content"}
+    rows = {r.path: r for r in good.collect()}
+    assert set(rows) == set(HEADERS) - {"no_samples"}
+    for name, r in rows.items():
+        samples, _, channels, bits = decode_samples(wav_cases[name])
+        scale = 1.0 if samples.dtype.kind == "f" else 2.0 ** (bits - 1)
+        expected = (samples / scale).astype(np.float32).reshape(-1, channels).T
+        assert r.num_channels == channels and r.num_frames == expected.shape[1]
+        np.testing.assert_array_equal(np.array(r.channels, np.float32), expected, err_msg=name)
+
+
+def test_loudness(spark):
+    rows = [("full", wav([32767] * 100)), ("silent", wav([0] * 100)),
+            ("half", wav([64, -64] * 50, bits=8)), ("small", wav([1, 0, 0, 0]))]
+    df = spark.createDataFrame([(n, bytearray(d)) for n, d in rows], "path string, content binary")
+    got = {r.path: r.dbfs for r in signal.clip_loudness(df).collect()}
+    assert got["full"] == pytest.approx(-0.000265, abs=1e-6)
+    assert got["silent"] == -math.inf
+    assert got["half"] == pytest.approx(20 * math.log10(0.5))
+    assert got["small"] == -math.inf  # the rms is truncated to an integer
+
+
+def test_scan_rules(spark, tmp_path, wav_cases):
+    data = wav_cases["one_sample"]
+    names = ["a.wav", "deep/er/b.wav", "sp ace %41/c d%20.wav", "UPPER.WAV", ".hidden/x.wav",
+             "_under.wav", "note.txt"]
+    for name in names:
+        target = tmp_path / name
+        target.parent.mkdir(parents=True, exist_ok=True)
+        target.write_bytes(data)
+    (tmp_path / "big.wav").write_bytes(wav(tone(100)))
+    found = scan.scan_paths(spark, str(tmp_path)).collect()
+    ends = sorted(os.path.relpath(r.wav_file.removeprefix("file:"), tmp_path) for r in found)
+    assert ends == sorted(["a.wav", "deep/er/b.wav", "sp ace %41/c d%20.wav", "big.wav"])
+    small = scan.scan_clips(spark, str(tmp_path), max_bytes=1_000)
+    assert small.count() == 3
+    assert [r.error for r in scan.oversized(spark, str(tmp_path), max_bytes=1_000).collect()] == [
+        "file too large"]
+    loaded = scan.load_clips(scan.scan_paths(spark, str(tmp_path)), "wav_file", clips_per_task=2)
+    assert {(bytes(r.content) == data, r.load_error) for r in loaded.collect()
+            if not r.wav_file.endswith("big.wav")} == {(True, None)}
+
+
+def test_missing_file_keeps_its_row(spark, tmp_path):
+    df = spark.createDataFrame([(str(tmp_path / "none.wav"),)], "input_values string")
+    rows = signal.clip_loudness(scan.load_clips(df), keep=["input_values"]).collect()
+    assert rows[0].error == "cannot read file: FileNotFoundError"
+
+
+def test_ingest(spark, tmp_path, wav_cases):
+    for name in ("mono16", "stereo8k", "list_chunk", "junk"):
+        (tmp_path / f"{name}.wav").write_bytes(wav_cases[name])
+    table = scan.ingest(spark, str(tmp_path), str(tmp_path / "clips.parquet"))
+    got = {os.path.basename(r.path): (r.num_frames, r.error) for r in table.collect()}
+    assert got == {"mono16.wav": (4_000, None), "stereo8k.wav": (1_200, None),
+                   "list_chunk.wav": (4_000, None), "junk.wav": (None, "not a RIFF/WAVE file")}
