@@ -16,24 +16,20 @@ ACCURACY = 10_000
 BRACKET = 5 / ACCURACY
 
 
-def _global_key(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in keys] or [F.lit(0).alias("__all")]
-
-
-def _median_in_bracket(data: DataFrame, bracket: DataFrame, names: list[str],
-                       name: str) -> DataFrame:
+def _median_near(near: DataFrame, names: Sequence[str], name: str) -> DataFrame:
     """``(names, median)`` of column ``__v``, exact, averaging the two middle values.
 
-    ``bracket`` has the row count ``__n`` of each group and an interval ``__b``
+    Each row carries the row count ``__n`` of its group and an interval ``__b``
     from a sketch that holds the middle. Rows below it are counted, those inside
     grouped by value. So a task sorts about a thousandth of the distinct values,
     and a value repeated any number of times is one row.
     """
     low, high = F.col("__b")[0], F.col("__b")[1]
-    near = lookup_join(data, bracket, names, "inner").filter(F.col("__v") <= high)
-    # NULL stands for everything below the bracket
-    inside = near.groupBy(*names, "__n", F.when(F.col("__v") >= low, F.col("__v")).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c"))
+    # NULL stands for everything below the interval
+    inside = (
+        near.filter(F.col("__v") <= high)
+        .groupBy(*names, "__n", F.when(F.col("__v") >= low, F.col("__v")).alias("__v"))
+        .agg(F.count(F.lit(1)).alias("__c")))
     running = F.sum("__c").over(Window.partitionBy(*names).orderBy(F.col("__v").asc_nulls_first()))
     ranked = inside.withColumn("__upto", running)
 
@@ -54,31 +50,33 @@ def duration_stats(df: DataFrame, duration: str = "duration_s", keys: Sequence[s
     """Per group: ``n, min_s, max_s, mean_s, median_s, std_s, total_minutes``.
 
     ``std_s`` is the population deviation. Empty input gives one row with
-    ``n = 0`` and NULLs. ``exact=False`` takes the median from the sketch.
+    ``n = 0`` and NULLs. The data is read twice: once for everything but the
+    median, once around the middle. ``exact=False`` takes the median from the
+    sketch of the first pass.
     """
     v = F.col(duration)
-    measures = [
+    shown = ["n", "min_s", "max_s", "mean_s", "median_s", "std_s", "total_minutes"]
+    summary = df.groupBy(*keys).agg(
         F.count(v).alias("n"), F.min(v).alias("min_s"), F.max(v).alias("max_s"),
         F.avg(v).alias("mean_s"), F.stddev_pop(v).alias("std_s"),
         (F.sum(v) / 60).alias("total_minutes"),
-        F.percentile_approx(v, [0.5 - BRACKET, 0.5, 0.5 + BRACKET], ACCURACY).alias("__q"),
-    ]
-    names = list(keys) or ["__all"]
+        F.percentile_approx(v, [0.5 - BRACKET, 0.5, 0.5 + BRACKET], ACCURACY).alias("__q"))
+    if not exact:
+        return summary.withColumn("median_s", F.col("__q")[1]).select(*keys, *shown)
+    data = df.select(*keys, v.alias("__v")).filter(v.isNotNull())
+    bracket = F.array(F.col("__q")[0], F.col("__q")[2])
     if keys:
-        summary = df.groupBy(*keys).agg(*measures)
-    else:
-        summary = df.agg(*measures).withColumn("__all", F.lit(0))
-    if exact:
-        summary, _ = side_table(summary)  # few groups: the data is read twice, not three times
-        data = df.select(*_global_key(keys), v.alias("__v")).filter(F.col("__v").isNotNull())
-        bracket = summary.filter(F.col("n") > 0).select(
-            *names, F.col("n").alias("__n"), F.array(F.col("__q")[0], F.col("__q")[2]).alias("__b"))
-        medians = _median_in_bracket(data, bracket, names, "median_s")
-        summary = summary.join(medians, names, "left")
-    else:
-        summary = summary.withColumn("median_s", F.col("__q")[1])
-    return summary.select(*keys, "n", "min_s", "max_s", "mean_s", "median_s", "std_s",
-                          "total_minutes")
+        summary, _ = side_table(summary)
+        brackets = summary.select(*keys, F.col("n").alias("__n"), bracket.alias("__b"))
+        medians = _median_near(lookup_join(data, brackets, list(keys), "inner"), keys, "median_s")
+        return summary.join(medians, list(keys), "left").select(*keys, *shown)
+    row = summary.first()
+    if row["n"] == 0:
+        return summary.withColumn("median_s", F.lit(None).cast("double")).select(*shown)
+    near = data.withColumns({"__n": F.lit(row["n"]),
+                             "__b": F.array(F.lit(row["__q"][0]), F.lit(row["__q"][2]))})
+    known = {c: F.lit(row[c]) for c in shown if c != "median_s"}
+    return _median_near(near, [], "median_s").withColumns(known).select(*shown)
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
