@@ -229,17 +229,13 @@ def features() -> Step:
 
 # --- running a chain -----------------------------------------------------
 
-def _list_array(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType,
-                valid: list[bool]) -> pa.Array:
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.array(values, kind),
-        mask=pa.array([not v for v in valid], pa.bool_()))
-
-
-def _float_lists(clips: list[np.ndarray], valid: list[bool], kind: pa.DataType) -> pa.Array:
+def _float_lists(clips: list[np.ndarray], valid: list[bool] | None,
+                 kind: pa.DataType) -> pa.Array:
     offsets = K.lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
     values = np.concatenate(clips) if clips else np.empty(0)
-    return _list_array(values, offsets, kind, valid)
+    mask = None if valid is None else pa.array([not v for v in valid], pa.bool_())
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.array(values, kind), mask=mask)
 
 
 def _output(batch: ClipBatch, name: str) -> pa.Array:
@@ -253,9 +249,13 @@ def _output(batch: ClipBatch, name: str) -> pa.Array:
         return _float_lists([_to_int(batch, i) if valid[i] else empty for i in everyone],
                             valid, pa.int32())
     if name == "channels":
-        rows = [list(batch.clip(i).reshape(-1, batch.channels[i]).T) if valid[i] else None
+        rows = [batch.clip(i).reshape(-1, batch.channels[i]).T if valid[i] else []
                 for i in everyone]
-        return pa.array(rows, pa.list_(pa.list_(pa.float32())))
+        inner = _float_lists([channel for row in rows for channel in row], None, pa.float32())
+        counts = np.array([len(row) for row in rows], np.int64)
+        return pa.ListArray.from_arrays(
+            pa.array(K.lengths_to_offsets(counts), pa.int32()), inner,
+            mask=pa.array([not v for v in valid], pa.bool_()))
     if name == "features":
         empty = np.empty(0)
         return _float_lists([batch.features[i] if valid[i] else empty for i in everyone],

@@ -12,6 +12,7 @@ from clipframe.operators import clips as C
 from clipframe.operators.augment import DEFAULT_AUGMENTATIONS, compose
 from clipframe.operators.batching import assign_batches, pad_columns, pad_target
 from clipframe.operators.encode import encode_labels
+from clipframe.sources.scan import materialise
 from clipframe.sources.wav import scan_headers
 
 
@@ -71,16 +72,25 @@ def clip_lengths(clips: DataFrame, spec: ClipSpec, keep: Sequence[str]) -> DataF
                         .alias("num_samples"), "error")
 
 
+def require_unique(df: DataFrame, key: str) -> None:
+    """Raise when a key occurs twice (keys only, combined on the map side)."""
+    twice = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"{key} is not unique: {twice[0][0]!r} occurs {twice[0][1]} times")
+
+
 def plan_batches(clips: DataFrame, spec: ClipSpec, key: str = "path",
                  dictionary: DataFrame | None = None, label: str = "label",
                  keep: Sequence[str] = ()) -> DataFrame:
     """Narrow table ``(key, keep, batch_id, pos, pad_to, label_id, plan_error)``.
 
     Batches are cut over all rows in key order, before any row is rejected; the
-    pad target counts the rows that succeed.
+    pad target counts the rows that succeed. The lengths are written to the shared
+    folder first, so the audio is looked at once however often they are used.
     """
     columns = [key, *keep, *([label] if dictionary is not None else [])]
-    sized = clip_lengths(clips, spec, columns)
+    sized = materialise(clip_lengths(clips, spec, columns), "lengths")
+    require_unique(sized, key)
     if dictionary is not None:
         sized = encode_labels(sized, dictionary, label)
         sized = sized.withColumn("error", F.coalesce("error", "label_error")).drop("label_error")
@@ -92,13 +102,6 @@ def plan_batches(clips: DataFrame, spec: ClipSpec, key: str = "path",
                           F.col("error").alias("plan_error"))
 
 
-def require_unique(df: DataFrame, key: str) -> None:
-    """Raise when a key occurs twice (keys only, combined on the map side)."""
-    twice = df.groupBy(key).count().filter(F.col("count") > 1).limit(1).collect()
-    if twice:
-        raise ValueError(f"{key} is not unique: {twice[0][0]!r} occurs {twice[0][1]} times")
-
-
 def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
                dictionary: DataFrame | None = None, label: str = "label",
                split_col: str | None = None, augment: bool = False) -> DataFrame:
@@ -113,7 +116,6 @@ def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
     The audio is shuffled once, as stored bytes, to meet its plan row. The plan
     side is hashed, so the audio is not sorted.
     """
-    require_unique(clips, key)
     extra = [split_col] if split_col else []
     plan = plan_batches(clips, spec, key, dictionary, label, extra)
     audio = clips.select(key, "content")

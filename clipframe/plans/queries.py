@@ -18,7 +18,7 @@ from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.operators.split import stratified_split
 from clipframe.plans import jobs
 from clipframe.plans import standins as S
-from clipframe.session import new_folder
+from clipframe.session import new_folder, spread
 from clipframe.sources import scan, sinks, tables
 from clipframe.sources.wav import scan_headers
 
@@ -68,13 +68,13 @@ def label_ravdess(spark, sf_dir):
 
 @query
 def annotation_turns(spark, sf_dir):
-    lines = S.dialog_lines(S.table(spark, sf_dir, "events"))
+    lines = S.dialog_lines(spread(S.table(spark, sf_dir, "events"), "event_id"))
     return tables.annotation_turns(lines, ["session", "dialog"], ["line_no"])
 
 
 @query
 def label_iemocap(spark, sf_dir):
-    events = S.table(spark, sf_dir, "events")
+    events = spread(S.table(spark, sf_dir, "events"), "event_id")
     turns = tables.annotation_turns(S.dialog_lines(events), ["session", "dialog"], ["line_no"])
     return jobs.label_annotated(S.dialog_clips(events), turns)
 
@@ -145,11 +145,11 @@ def stratified_split_by_lang(spark, sf_dir):
 
 @query
 def stratified_split_scale(spark, sf_dir):
-    """Many rows per class: finer buckets keep the sorted part small."""
+    """Many rows per class."""
     lines = S.table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("clip"),
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias("label"))
-    return stratified_split(lines, "label", "clip", digits=4)
+    return stratified_split(lines, "label", "clip")
 
 
 @query
@@ -339,8 +339,8 @@ def augment_compose(spark, sf_dir):
 @query
 def pitch_shift(spark, sf_dir):
     spec = {"name": "pitch_shift", "min_semitones": -3, "max_semitones": 3, "p": 1.0}
-    waves = signal.augment_waves(S.table(spark, sf_dir, "embeddings"), "embedding", 16_000,
-                                 [spec], "vec_id")
+    waves = signal.augment_waves(spread(S.table(spark, sf_dir, "embeddings"), "vec_id"), "embedding",
+                                 16_000, [spec], "vec_id")
     return waves.select("vec_id", F.size("samples").alias("n"))
 
 
@@ -520,8 +520,8 @@ def fit_predict(spark, sf_dir):
     wavs = S.document_wavs(spark, sf_dir)
     dictionary = encode.label_dictionary(wavs, "lang")
     table = features.clip_features(wavs, ClipSpec(), ["doc_id", "lang"])
-    coded = encode.encode_labels(split_rejects(table)[0], dictionary, "lang")
-    stored = scan.materialise(stratified_split(coded, "lang", "doc_id"), "features")
+    good, _ = split_rejects(scan.materialise(table, "features"))
+    stored = stratified_split(encode.encode_labels(good, dictionary, "lang"), "lang", "doc_id")
     sides = {s: stored.filter(F.col("split") == s) for s in ("train", "dev")}
     best, _ = model.select_model(sides["train"], sides["dev"], reg_params=(0.01, 0.1), max_iter=20)
     folder = new_folder(spark, "model")

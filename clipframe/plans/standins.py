@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipframe.session import spread
 from clipframe.sources.wav import wav_bytes
 
 # Emotion codes by event_id % 7 and event types that stand for emotions.
@@ -122,7 +123,8 @@ def document_wavs(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = {k: F.struct(*[F.lit(x).cast("int").alias(n) for n, x in zip("rcb", v)])
             for k, v in {**FORMAT_BY_LANG, "": OTHER_FORMAT}.items()}
     other = spec.pop("")
-    documents = table(spark, sf_dir, "documents").withColumn("f", _choose("lang", spec, other))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    documents = documents.withColumn("f", _choose("lang", spec, other))
     return documents.select("doc_id", "lang", wav_bytes(
         F.col("text").cast("binary"), F.col("f.r"), F.col("f.c"), F.col("f.b")).alias("content"))
 

@@ -57,6 +57,17 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash the rows of a small input over all cores.
+
+    A small table may be one file with one row group, hence one task, which is
+    slow when each row is a clip to decode. An input with at least as many
+    partitions as cores is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def side_table(df: DataFrame, max_rows: int = MAX_SIDE_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(df, fits)`` where ``fits`` says that ``df`` has at most ``max_rows`` rows.
 

@@ -29,12 +29,10 @@ def rows_to_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     return spark.createDataFrame(list(rows), schema)
 
 
-def parse_annotation(line: Column) -> Column:
-    """``struct(turn, emotion_raw)`` of an annotation line; NULL for other lines."""
-    turn = F.regexp_extract(line, ANNOTATION_PATTERN, 1)
-    emotion = F.regexp_extract(line, ANNOTATION_PATTERN, 2)
-    return F.when(line.rlike(ANNOTATION_PATTERN),
-                  F.struct(turn.alias("turn"), emotion.alias("emotion_raw")))
+def parse_annotation(line: Column) -> tuple[Column, Column]:
+    """``(turn, emotion_raw)`` of an annotation line; empty strings for other lines."""
+    return (F.regexp_extract(line, ANNOTATION_PATTERN, 1),
+            F.regexp_extract(line, ANNOTATION_PATTERN, 2))
 
 
 def annotation_turns(lines: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -42,14 +40,14 @@ def annotation_turns(lines: DataFrame, keys: Sequence[str], order: Sequence[str]
     """One row per (keys, turn); a turn listed twice takes its last line.
 
     ``max_by`` combines on the map side, so a much-repeated turn costs one row
-    per task.
+    per task. A plain substring test spares most other lines the pattern.
     """
-    parsed = lines.withColumn("__parsed", parse_annotation(F.col(line_col)))
-    parsed = parsed.filter(F.col("__parsed").isNotNull()).select(
-        *keys, F.col("__parsed.turn").alias("turn"),
-        F.col("__parsed.emotion_raw").alias("emotion_raw"), *order)
+    line = F.col(line_col)
+    turn, emotion = parse_annotation(line)
+    parsed = lines.filter(line.contains("]\t")).select(
+        *keys, turn.alias("turn"), emotion.alias("emotion_raw"), *order)
     position = F.struct(*[F.col(c) for c in order])
-    return parsed.groupBy(*keys, "turn").agg(
+    return parsed.filter(F.col("turn") != "").groupBy(*keys, "turn").agg(
         F.max_by("emotion_raw", position).alias("emotion_raw"))
 
 

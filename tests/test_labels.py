@@ -91,9 +91,9 @@ def turns(spark):
 
 def test_annotation_lines(spark):
     rows = spark.createDataFrame([(line,) for line in LINES], "value string")
-    out = rows.select(parse_annotation(F.col("value")).alias("p")).collect()
-    assert [None if r.p is None else tuple(r.p) for r in out] == [
-        ("Ses01F_impro01_F000", "neu"), ("Ses01F_impro01_F001", "xxx"), None, None,
+    out = rows.select(*parse_annotation(F.col("value"))).collect()
+    assert [tuple(r) for r in out] == [
+        ("Ses01F_impro01_F000", "neu"), ("Ses01F_impro01_F001", "xxx"), ("", ""), ("", ""),
         ("Ses01F_impro01_F002", "neu"), ("Ses01F_impro01_F002", "ang")]
 
 

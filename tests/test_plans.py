@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipframe.operators import scoring, signal, stats
+from clipframe.operators.features import clip_features
+from clipframe.operators.preprocess import ClipSpec
 from clipframe.plans import jobs
 from clipframe.plans import standins as S
 from clipframe.plans.queries import REGISTRY
+from clipframe.session import spread
 from clipframe.sources import scan
 
 SF = "/root/testdata/sf0.001"
@@ -49,8 +52,18 @@ def test_split_does_not_move_the_data(spark):
 
 @needs_tables
 def test_signal_chain_is_one_python_pass(spark):
-    plan = plan_of(REGISTRY["clip_dbfs"](spark, SF))
-    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+    clips = spark.range(0, 100, 1, 8).select("id", F.lit(bytearray(b"RIFF")).alias("content"))
+    spec = ClipSpec(apply_dbfs_norm=True)
+    for df in (signal.clip_loudness(clips, ["id"]), clip_features(clips, spec, ["id"])):
+        plan = plan_of(df)
+        assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+@needs_tables
+def test_only_small_inputs_are_spread(spark):
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
+    assert "Exchange" in plan_of(spread(few, "id"))
+    assert "Exchange" not in plan_of(spread(many, "id"))
 
 
 @needs_tables
