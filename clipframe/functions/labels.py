@@ -1,13 +1,13 @@
 """Class labels from clip file names, one rule set per corpus.
 
-Each ``*_fields`` function returns a struct ``(gender, emotion, label)``.
-A name that does not follow its rule raises in ``strict`` mode and gives NULL
-fields in ``quarantine`` mode.
+Each corpus rule returns two columns, ``gender`` and ``emotion``; the label is
+composed of them in a second step. A name that does not follow its rule raises
+in ``strict`` mode and gives NULL in ``quarantine`` mode.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.functions.paths import base_name, parent_name
@@ -42,16 +42,9 @@ def binary_emotion(code: Column, neutral_code: str) -> Column:
 
 
 def compose_label(emotion: Column, gender: Column) -> Column:
-    return F.when(emotion == NEUTRAL, F.lit(NEUTRAL)).otherwise(
-        F.concat(emotion, F.lit("-"), gender))
-
-
-def _fields(gender: Column, emotion: Column) -> Column:
-    return F.struct(
-        gender.alias("gender"),
-        emotion.alias("emotion"),
-        F.when(gender.isNotNull(), compose_label(emotion, gender)).alias("label"),
-    )
+    """``neutral`` or ``<emotion>-<gender>``; NULL when a part is missing."""
+    return F.when(gender.isNotNull(), F.when(emotion == NEUTRAL, emotion).otherwise(
+        F.concat(emotion, F.lit("-"), gender)))
 
 
 def suffix_label(path: Column) -> Column:
@@ -59,28 +52,28 @@ def suffix_label(path: Column) -> Column:
     return F.substring_index(F.replace(path, F.lit(".wav"), F.lit("")), "_", -1)
 
 
-def baved_fields(path: Column, mode: str = "strict") -> Column:
+def baved_fields(path: Column, mode: str = "strict") -> tuple[Column, Column]:
     parts = F.split(base_name(path), "-")
     raw = required(F.get(parts, 1), path, "gender", mode)
     code = required(F.get(parts, 4), path, "emotion level", mode)
     gender = F.when(raw == "m", MALE).when(raw == "f", FEMALE).otherwise(raw)
-    return _fields(gender, binary_emotion(code, BAVED_NEUTRAL))
+    return gender, binary_emotion(code, BAVED_NEUTRAL)
 
 
-def emovo_fields(path: Column, mode: str = "strict") -> Column:
+def emovo_fields(path: Column, mode: str = "strict") -> tuple[Column, Column]:
     parts = F.split(base_name(path), "-")
     raw = required(F.get(parts, 1), path, "gender", mode)
     gender = F.when(raw.startswith("m"), MALE).when(raw.startswith("f"), FEMALE).otherwise(raw)
-    return _fields(gender, binary_emotion(F.get(parts, 0), EMOVO_NEUTRAL))
+    return gender, binary_emotion(F.get(parts, 0), EMOVO_NEUTRAL)
 
 
-def ravdess_fields(path: Column, mode: str = "strict") -> Column:
+def ravdess_fields(path: Column, mode: str = "strict") -> tuple[Column, Column]:
     parts = F.split(base_name(path), "-")
     number = F.split(F.element_at(parts, -1), r"\.")[0].try_cast("int")
     actor = required(number, path, "actor number", mode)
     code = required(F.get(parts, 2), path, "emotion code", mode)
     gender = F.when(actor % 2 == 0, FEMALE).when(actor.isNotNull(), MALE)
-    return _fields(gender, binary_emotion(code, RAVDESS_NEUTRAL))
+    return gender, binary_emotion(code, RAVDESS_NEUTRAL)
 
 
 def iemocap_turn(path: Column) -> Column:
@@ -98,20 +91,22 @@ def iemocap_dialog(path: Column) -> Column:
     return parent_name(path)
 
 
-def iemocap_fields(path: Column, emotion_raw: Column, mode: str = "strict") -> Column:
+def iemocap_fields(path: Column, emotion_raw: Column,
+                   mode: str = "strict") -> tuple[Column, Column]:
     last = F.element_at(F.split(iemocap_turn(path), "_"), -1)
     raw = required(F.nullif(F.substring(last, 1, 1), F.lit("")), path, "gender letter", mode)
     gender = F.when(raw == "F", FEMALE).when(raw == "M", MALE).otherwise(raw)
-    return _fields(gender, binary_emotion(emotion_raw, IEMOCAP_NEUTRAL))
-
-
-# Corpus folder name -> label rule; the split corpus only has a label.
-CORPUS_RULES = {
-    "CORAA_SER": lambda path, mode="strict": F.struct(
-        F.lit(None).cast("string").alias("gender"),
-        F.lit(None).cast("string").alias("emotion"),
-        suffix_label(path).alias("label")),
-    "BAVED": baved_fields,
-    "EMOVO": emovo_fields,
-    "RAVDESS": ravdess_fields,
-}
+    return gender, binary_emotion(emotion_raw, IEMOCAP_NEUTRAL)
+
+
+# Corpus folder name -> (gender, emotion) rule. The split corpus is not here: its
+# names hold the label itself.
+SPLIT_CORPUS = "CORAA_SER"
+CORPUS_RULES = {"BAVED": baved_fields, "EMOVO": emovo_fields, "RAVDESS": ravdess_fields}
+CORPORA = (SPLIT_CORPUS, *CORPUS_RULES)
+
+
+def with_label(df: DataFrame, gender: Column, emotion: Column) -> DataFrame:
+    """Add ``gender``, ``emotion`` and the ``label`` composed of them."""
+    parts = df.withColumns({"gender": gender, "emotion": emotion})
+    return parts.withColumn("label", compose_label(F.col("emotion"), F.col("gender")))

@@ -81,3 +81,18 @@ def pad_columns(samples: Column, pad_to: Column) -> dict[str, Column]:
                                    F.array_repeat(F.lit(0), missing)),
         "n_valid": size,
     }
+
+
+def stack_batches(padded: DataFrame, key: str, labels: str | None = "label_id",
+                  error: str | None = "error") -> DataFrame:
+    """Padded rows -> one row per batch, clips in order of ``pos``.
+
+    ``batch_id, key, input_values, attention_mask, [labels]``, each an array over
+    the clips. Rejected rows are left out. A group is one batch, so it holds at
+    most ``batch_size`` rows.
+    """
+    good = padded.filter(F.col(error).isNull()) if error else padded
+    columns = ["pos", key, "input_values", "attention_mask", *([labels] if labels else [])]
+    rows = F.sort_array(F.collect_list(F.struct(*columns)))
+    stacked = good.groupBy("batch_id").agg(rows.alias("__rows"))
+    return stacked.select("batch_id", *[F.col(f"__rows.{c}").alias(c) for c in columns[1:]])

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
@@ -62,6 +64,33 @@ def predict_batches(df: DataFrame, make_predict_fn: Callable, input_col: str,
     return _pick(scored.select(*kept, softmax(F.col("__logits")).alias("scores")), kept)
 
 
+def score_batches(batches: DataFrame, make_model: Callable[[], Callable], key: str) -> DataFrame:
+    """Score stacked batches with any network: ``key, scores, label_id, score``.
+
+    ``make_model`` loads the network once per task; the network takes
+    ``(input_values [B, T], attention_mask [B, T])`` and returns logits ``[B, C]``.
+    """
+    narrow = batches.select(key, "input_values", "attention_mask")
+    schema = T.StructType([
+        T.StructField(key, narrow.schema[key].dataType.elementType),
+        T.StructField("__logits", T.ArrayType(T.DoubleType()))])
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = make_model()
+        for table in tables:
+            for keys, values, mask in zip(*table.columns):
+                size = len(keys)
+                logits = np.asarray(network(
+                    values.values.flatten().to_numpy().reshape(size, -1),
+                    mask.values.flatten().to_numpy().reshape(size, -1)), np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [keys.values, pa.array(list(logits), pa.list_(pa.float64()))],
+                    names=schema.names)
+
+    scored = narrow.mapInArrow(run, schema)
+    return _pick(scored.select(key, softmax(F.col("__logits")).alias("scores")), [key])
+
+
 def predicted_labels(scored: DataFrame, dictionary: DataFrame, label: str = "label") -> DataFrame:
     return decode_labels(scored, dictionary, label)
 

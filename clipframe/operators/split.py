@@ -27,7 +27,7 @@ def class_quotas(counts: DataFrame, label: str, test_share: float) -> DataFrame:
         F.sum("class_rows").over(everything).alias("__n"),
         F.count(F.lit(1)).over(everything).alias("__classes"),
         F.min("class_rows").over(everything).alias("__smallest"))
-    total = total.withColumn("__dev", F.ceil(F.col("__n") * F.lit(test_share) - F.lit(1e-9)))
+    total = total.withColumn("__dev", F.ceil(F.col("__n") * F.lit(test_share)))
     # whole and fractional part of class_rows * dev / n in integers
     scaled = F.col("class_rows").cast("decimal(38,0)") * F.col("__dev")
     total = total.withColumns({

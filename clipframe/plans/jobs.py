@@ -17,23 +17,22 @@ from clipframe.operators.features import clip_features
 from clipframe.sources import scan, sinks, tables
 from clipframe.sources.wav import scan_headers
 
-SPLIT_CORPUS = "CORAA_SER"
-
-
 def label_corpora(paths: DataFrame, mode: str = "strict", path_col: str = "wav_file",
                   corpus_col: str = "corpus") -> DataFrame:
     """``(corpus, wav_file, gender, emotion, label)`` by the rule of each row's corpus."""
-    fields = None
+    path, corpus = F.col(path_col), F.col(corpus_col)
+    gender = emotion = F.when(F.lit(False), F.lit(""))
     for name, rule in L.CORPUS_RULES.items():
-        is_corpus = F.col(corpus_col) == name
-        fields = (F.when(is_corpus, rule(F.col(path_col), mode=mode)) if fields is None
-                  else fields.when(is_corpus, rule(F.col(path_col), mode=mode)))
-    return paths.select(corpus_col, path_col, fields.alias("__f")).select(
-        corpus_col, path_col, "__f.gender", "__f.emotion", "__f.label")
+        own_gender, own_emotion = rule(path, mode)
+        gender = gender.when(corpus == name, own_gender)
+        emotion = emotion.when(corpus == name, own_emotion)
+    composed = L.with_label(paths.select(corpus_col, path_col), gender, emotion)
+    return composed.withColumn("label", F.when(
+        corpus == L.SPLIT_CORPUS, L.suffix_label(path)).otherwise(F.col("label")))
 
 
 def metadata_tables(paths: DataFrame, seed: int = 42, dev_share: float = 0.2,
-                    mode: str = "strict", split_corpus: str = SPLIT_CORPUS) -> DataFrame:
+                    mode: str = "strict", split_corpus: str = L.SPLIT_CORPUS) -> DataFrame:
     """``(corpus, wav_file, label, split)``: dev is a stratified part of one corpus,
     train the rest of it and every other corpus."""
     labelled = label_corpora(paths, mode).select("corpus", "wav_file", "label")
@@ -46,7 +45,7 @@ def metadata_tables(paths: DataFrame, seed: int = 42, dev_share: float = 0.2,
 def build_metadata(spark: SparkSession, base_dir: str, train_out: str, dev_out: str,
                    clips_out: str | None = None, rejects_out: str | None = None,
                    mode: str = "strict",
-                   corpora: Sequence[str] = tuple(L.CORPUS_RULES)) -> DataFrame:
+                   corpora: Sequence[str] = L.CORPORA) -> DataFrame:
     """Scan the corpora below ``<base>/train`` and write the train and dev CSVs.
 
     Returns row counts per corpus, checked against the scan. ``clips_out`` also
@@ -81,18 +80,19 @@ def label_annotated(clips: DataFrame, turns: DataFrame, mode: str = "strict",
         "wav_file", "duration_s", L.iemocap_session(path, mode).alias("session"),
         L.iemocap_dialog(path).alias("dialog"), L.iemocap_turn(path).alias("turn"))
     joined = joins.join_annotations(keyed, turns, ["session", "dialog", "turn"], mode)
-    fields = L.iemocap_fields(path, F.col("emotion_raw"), mode).alias("__f")
+    columns = ["wav_file", "gender", "emotion", "label"]
     if mode == "strict":
         kept = joins.usable_clips(joined, max_seconds=max_seconds)
-        return kept.select("wav_file", fields).select("wav_file", "__f.*")
+        fields = L.iemocap_fields(path, F.col("emotion_raw"), mode)
+        return L.with_label(kept, *fields).select(*columns)
     error = (F.when(F.col("session").isNull(), "no session number in clip name")
              .when(F.col("emotion_raw").isNull(), "no annotated emotion")
              .when(F.col("duration_s").isNull(), "no duration"))
     usable = joins.is_usable(F.col("emotion_raw"), F.col("duration_s"), max_seconds=max_seconds)
     kept = joined.withColumn("error", error).filter(F.col("error").isNotNull() | usable)
-    return kept.select("wav_file", fields, "error").select(
-        "wav_file", *[F.when(F.col("error").isNull(), F.col(f"__f.{name}")).alias(name)
-                      for name in ("gender", "emotion", "label")], "error")
+    good = F.col("error").isNull()
+    fields = L.iemocap_fields(path, F.col("emotion_raw"), mode)
+    return L.with_label(kept, *[F.when(good, f) for f in fields]).select(*columns, "error")
 
 
 def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict") -> DataFrame:
@@ -137,8 +137,9 @@ def training_features(metadata: DataFrame, dictionary: DataFrame, spec: preproce
                       base_dir: str = "", clips_per_task: int = 1024) -> DataFrame:
     """``(wav_file, label_id, features, error)`` of the clips a metadata table names."""
     rows = encode_labels(resolve_paths(metadata, base_dir), dictionary)
-    clips = scan.load_clips(rows, "input_values", clips_per_task)
-    clips = clips.withColumn("load_error", F.coalesce("load_error", "label_error"))
+    known = F.when(F.col("label_error").isNull(), F.col("input_values"))
+    clips = scan.load_clips(rows.withColumn("input_values", known), "input_values", clips_per_task)
+    clips = clips.withColumn("load_error", F.coalesce("label_error", "load_error"))
     return clip_features(clips, spec, keep=["wav_file", "label_id"])
 
 

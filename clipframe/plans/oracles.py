@@ -43,6 +43,12 @@ LABEL_CORAA = f"""
 select wav_file, string_split(replace(wav_file, '.wav', ''), '_')[-1] as label from ({CORAA})"""
 LABEL_BAVED = _label("case p[2] when 'm' then 'male' when 'f' then 'female' else p[2] end",
                      "p[5] = '1'", BAVED)
+BAVED_CUT = f"""
+select case when wav_file like '%/error/%'
+            then array_to_string(string_split(wav_file, '-')[1:3], '-') || '.wav'
+            else wav_file end as wav_file from ({BAVED})"""
+LABEL_BAVED_CUT = _label("case p[2] when 'm' then 'male' when 'f' then 'female' else p[2] end",
+                         "p[5] = '1'", BAVED_CUT)
 LABEL_EMOVO = _label("case when p[2] like 'm%' then 'male' when p[2] like 'f%' then 'female' "
                      "else p[2] end", "p[1] = 'neu'", EMOVO)
 LABEL_RAVDESS = _label("case when string_split(p[-1], '.')[1]::int % 2 = 0 then 'female' "
@@ -69,7 +75,7 @@ def _split(source: str, label: str, key: str, columns: str) -> str:
     return f"""
 with rows as (select *, {label} as __l, {key} as __k, md5('42:' || {key}) as __h from ({source})),
 counts as (select __l, count(*) as c from rows group by 1),
-shares as (select __l, c, sum(c) over () as n, ceil(sum(c) over () * 0.2 - 1e-9)::bigint as d
+shares as (select __l, c, sum(c) over () as n, ceil(sum(c) over () * 0.2::double)::bigint as d
            from counts),
 parts as (select *, (c * d) // n as whole, (c * d) % n as rest from shares),
 quotas as (select __l, whole + case when row_number() over (order by rest desc, __l)
@@ -229,6 +235,31 @@ select batch_id, pos, doc_id,
        round(total / n, 4) as absolute, error
 from placed left join absolute using (doc_id)"""
 
+STACKED = f"""
+with {MONO}, {_resampled("mono", "doc_id", "heads")}, {_batches("heads", 4, ERROR)},
+ids as (select lang, (row_number() over (order by lang) - 1)::int as label_id
+        from (select distinct lang from documents))
+select batch_id, count(*)::int as size, max(longest)::int as width, sum(n)::bigint as valid,
+       array_to_string(list(label_id order by pos), ',') as labels,
+       array_to_string(list(doc_id order by pos), ',') as clips
+from placed join ids using (lang) where error is null group by 1"""
+
+# the stand-in network scores the sums over every third standardised sample
+SCORED = f"""
+with {MONO}, {_resampled("mono", "doc_id", "heads")}, {STANDARD},
+logits as (
+  select r.doc_id, m % 3 as c,
+         sum(((x::double - mu) / sqrt(var + 1e-7))::float::double) / any_value(s.n) as z
+  from resampled r join spread using (doc_id)
+       join (select doc_id, count(*) as n from resampled group by 1) s using (doc_id)
+  group by 1, 2),
+three as (
+  select h.doc_id, t.c, coalesce(l.z, 0) as z from heads h cross join range(3) t(c)
+  left join logits l on l.doc_id = h.doc_id and l.c = t.c where frames > 0)
+select doc_id, min(case when z = top then c end)::int as label_id,
+       round(1 / sum(exp(z - top)), 5) as score
+from (select *, max(z) over (partition by doc_id) as top from three) group by 1"""
+
 
 # --- small pieces --------------------------------------------------------
 
@@ -280,6 +311,11 @@ ORACLES = {
     "label_baved": LABEL_BAVED,
     "label_emovo": LABEL_EMOVO,
     "label_ravdess": LABEL_RAVDESS,
+    "label_quarantine": f"""
+select wav_file, case when event_type <> 'error' then gender end as gender,
+       case when event_type <> 'error' then emotion end as emotion,
+       case when event_type <> 'error' then label end as label
+from (select *, string_split(wav_file, '/')[4] as event_type from ({LABEL_BAVED_CUT}))""",
     "annotation_turns": f"""
 select 'Session' || s as session, dialog, dialog || '_' || speaker || event_id as turn, emotion_raw
 from ({DIALOGS})""",
@@ -442,6 +478,8 @@ select doc_id, batch_id, pos,
 from placed""",
     "preprocess_train": PREPROCESS_TRAIN,
     "preprocess_test": PREPROCESS_TEST,
+    "stacked_batches": STACKED,
+    "score_batches": SCORED,
     "softmax_scores": """
 select vec_id, round(list_max(p) / list_sum(p), 8) as top,
        round(list_sum(list_transform(p, lambda v: v / t)), 8) as total, len(p)::int as n

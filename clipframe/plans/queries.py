@@ -40,7 +40,7 @@ def _sum_abs(values: Column) -> Column:
 
 
 def _labelled(paths: DataFrame, rule) -> DataFrame:
-    return paths.select("wav_file", rule(F.col("wav_file")).alias("f")).select("wav_file", "f.*")
+    return L.with_label(paths, *rule(F.col("wav_file")))
 
 
 # --- labels and metadata -------------------------------------------------
@@ -66,6 +66,19 @@ def label_ravdess(spark, sf_dir):
     return _labelled(S.ravdess_paths(S.table(spark, sf_dir, "events")), L.ravdess_fields)
 
 
+@query
+def label_quarantine(spark, sf_dir):
+    """Names cut short after the gender: no label instead of an error."""
+    paths = S.baved_paths(S.table(spark, sf_dir, "events"))
+    path = F.col("wav_file")
+    cut = F.concat(F.substring_index(path, "-", 3), F.lit(".wav"))
+    odd = paths.select(F.when(path.contains("/error/"), cut).otherwise(path).alias("wav_file"))
+    labelled = L.with_label(odd, *L.baved_fields(path, "quarantine"))
+    complete = F.col("label").isNotNull()
+    return labelled.select("wav_file", *[F.when(complete, F.col(c)).alias(c)
+                                         for c in ("gender", "emotion", "label")])
+
+
 @query
 def annotation_turns(spark, sf_dir):
     lines = S.dialog_lines(spread(S.table(spark, sf_dir, "events"), "event_id"))
@@ -96,7 +109,7 @@ def union_counts(spark, sf_dir):
     paths = S.corpus_paths(spark, sf_dir)
     labelled = jobs.label_corpora(paths)
     parts = {name: labelled.filter(F.col("corpus") == name).select("wav_file", "label")
-             for name in L.CORPUS_RULES}
+             for name in L.CORPORA}
     return stats.assert_counts(stats.corpus_counts(paths), stats.union_all(parts))
 
 
@@ -375,6 +388,39 @@ def preprocess_test(spark, sf_dir):
     return _batch_summary(preprocess(S.document_wavs(spark, sf_dir), spec, key="doc_id"))
 
 
+def _train_batches(spark, sf_dir) -> DataFrame:
+    dictionary = encode.label_dictionary(S.table(spark, sf_dir, "documents"), "lang")
+    done = preprocess(S.document_wavs(spark, sf_dir), ClipSpec(), key="doc_id",
+                      dictionary=dictionary, label="lang")
+    return batching.stack_batches(done, "doc_id")
+
+
+@query
+def stacked_batches(spark, sf_dir):
+    valid = F.aggregate(F.flatten("attention_mask"), F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return _train_batches(spark, sf_dir).select(
+        "batch_id", F.size("doc_id").alias("size"),
+        F.array_max(F.transform("input_values", F.size)).alias("width"), valid.alias("valid"),
+        F.array_join(F.col("label_id").cast("array<string>"), ",").alias("labels"),
+        F.array_join(F.col("doc_id").cast("array<string>"), ",").alias("clips"))
+
+
+def _sum_network() -> Callable:
+    """A stand-in for a loaded network: means over every third valid sample."""
+    def network(values: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        masked = values.astype(np.float64) * mask
+        sums = np.stack([masked[:, c::3].sum(axis=1) for c in range(3)], axis=1)
+        return sums / mask.sum(axis=1, keepdims=True)
+
+    return network
+
+
+@query
+def score_batches(spark, sf_dir):
+    scored = model.score_batches(_train_batches(spark, sf_dir), _sum_network, "doc_id")
+    return scored.select("doc_id", "label_id", F.round("score", 5).alias("score"))
+
+
 # --- scores --------------------------------------------------------------
 
 @query

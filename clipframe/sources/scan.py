@@ -88,7 +88,9 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow.fs import FileSystem, LocalFileSystem
 
-        def fetch(path: str) -> bytes:
+        def fetch(path: str | None) -> bytes:
+            if path is None:
+                raise FileNotFoundError
             if path.startswith("file:"):
                 filesystem, inner = LocalFileSystem(), "/" + path[5:].lstrip("/")
             elif "://" in path:
