@@ -1,4 +1,4 @@
-"""Row numbers, batches, pad targets and padded arrays."""
+"""Row numbers, batches, pad targets and stacked batches."""
 
 from __future__ import annotations
 
@@ -40,11 +40,10 @@ def assign_batches(df: DataFrame, order: Sequence[str], batch_size: int,
                    partitions: int | None = None) -> DataFrame:
     """Add ``batch_id`` and ``pos`` (place in the batch) in the given order."""
     numbered = number_rows(df, order, "__row", partitions)
-    row = F.col("__row")
     return numbered.select(
         *df.columns,
-        F.floor(row / batch_size).cast("bigint").alias("batch_id"),
-        (row % batch_size).cast("int").alias("pos"))
+        F.expr(f"__row div {int(batch_size)}").alias("batch_id"),
+        F.expr(f"__row % {int(batch_size)}").cast("int").alias("pos"))
 
 
 def pad_target(df: DataFrame, length: Column, padding: bool | str = True,
@@ -71,18 +70,6 @@ def pad_target(df: DataFrame, length: Column, padding: bool | str = True,
     return df.withColumn(name, F.greatest(target, length).cast("int"))
 
 
-def pad_columns(samples: Column, pad_to: Column) -> dict[str, Column]:
-    """``input_values``, ``attention_mask`` and ``n_valid`` of a padded clip."""
-    size = F.size(samples)
-    missing = pad_to - size
-    return {
-        "input_values": F.concat(samples, F.array_repeat(F.lit(0.0).cast("float"), missing)),
-        "attention_mask": F.concat(F.array_repeat(F.lit(1), size),
-                                   F.array_repeat(F.lit(0), missing)),
-        "n_valid": size,
-    }
-
-
 def stack_batches(padded: DataFrame, key: str, labels: str | None = "label_id",
                   error: str | None = "error") -> DataFrame:
     """Padded rows -> one row per batch, clips in order of ``pos``.

@@ -39,6 +39,8 @@ class ClipBatch:
         self.pcm: list[np.ndarray | None] = [None] * count
         self.values = np.empty(0, np.float32)
         self.offsets = np.zeros(count + 1, np.int64)
+        self.valid = np.zeros(count, np.int64)
+        self.mask = np.empty(0, np.int32)
         self.dbfs: list[float | None] = [None] * count
         self.features: list[np.ndarray | None] = [None] * count
 
@@ -219,6 +221,24 @@ def standardise() -> Step:
     return step
 
 
+def pad(pad_to_col: str) -> Step:
+    """Fill clips with zeros up to the length in ``pad_to_col``; a longer one is kept."""
+
+    def step(batch: ClipBatch) -> None:
+        batch.valid = np.diff(batch.offsets)
+        wanted = np.array([n or 0 for n in batch.column(pad_to_col)], np.int64)
+        wanted[[error is not None for error in batch.error]] = 0
+        offsets = K.lengths_to_offsets(np.maximum(wanted, batch.valid))
+        place = np.repeat(offsets[:-1], batch.valid) + K.position_in_clip(batch.offsets)
+        values = np.zeros(offsets[-1], np.float32)
+        values[place] = batch.values
+        batch.mask = np.zeros(offsets[-1], np.int32)
+        batch.mask[place] = 1
+        batch.values, batch.offsets = values, offsets
+
+    return step
+
+
 def features() -> Step:
     def step(batch: ClipBatch) -> None:
         for i in batch.good():
@@ -229,21 +249,25 @@ def features() -> Step:
 
 # --- running a chain -----------------------------------------------------
 
+def _lists(values: np.ndarray, offsets: np.ndarray, valid: list[bool] | None,
+           kind: pa.DataType) -> pa.Array:
+    mask = None if valid is None else pa.array([not v for v in valid], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind), mask=mask)
+
+
 def _float_lists(clips: list[np.ndarray], valid: list[bool] | None,
                  kind: pa.DataType) -> pa.Array:
     offsets = K.lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
-    values = np.concatenate(clips) if clips else np.empty(0)
-    mask = None if valid is None else pa.array([not v for v in valid], pa.bool_())
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.array(values, kind), mask=mask)
+    return _lists(np.concatenate(clips) if clips else np.empty(0), offsets, valid, kind)
 
 
 def _output(batch: ClipBatch, name: str) -> pa.Array:
     valid = [error is None for error in batch.error]
     everyone = range(len(batch))
-    if name == "samples":
-        clips = [batch.clip(i) for i in everyone]
-        return _float_lists(clips, valid, pa.float32())
+    if name in ("samples", "input_values"):
+        return _lists(batch.values, batch.offsets, valid, pa.float32())
+    if name == "attention_mask":
+        return _lists(batch.mask, batch.offsets, valid, pa.int32())
     if name == "pcm":
         empty = np.empty(0, np.int32)
         return _float_lists([_to_int(batch, i) if valid[i] else empty for i in everyone],
@@ -271,7 +295,8 @@ def _output(batch: ClipBatch, name: str) -> pa.Array:
     elif name == "dbfs":
         values, kind = batch.dbfs, pa.float64()
     else:
-        values = {"sample_rate": batch.rate, "num_channels": batch.channels}[name]
+        values = {"sample_rate": batch.rate, "num_channels": batch.channels,
+                  "n_valid": batch.valid}[name]
         kind = pa.int32()
     number = float if name == "dbfs" else int
     return pa.array([number(values[i]) if valid[i] else None for i in everyone], kind)
@@ -279,6 +304,9 @@ def _output(batch: ClipBatch, name: str) -> pa.Array:
 
 OUTPUT_TYPES = {
     "samples": "array<float>",
+    "input_values": "array<float>",
+    "attention_mask": "array<int>",
+    "n_valid": "int",
     "channels": "array<array<float>>",
     "pcm": "array<int>",
     "features": "array<double>",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clipframe.operators import clips as C
 from clipframe.operators.augment import DEFAULT_AUGMENTATIONS, compose
-from clipframe.operators.batching import assign_batches, pad_columns, pad_target
+from clipframe.operators.batching import assign_batches, pad_target
 from clipframe.operators.encode import encode_labels
 from clipframe.sources.scan import materialise
 from clipframe.sources.wav import scan_headers
@@ -123,12 +123,9 @@ def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
     # planned failures need no decoding
     joined = joined.withColumn("content", F.when(F.col("plan_error").isNull(), F.col("content")))
     ids = ["label_id"] if dictionary is not None else []
-    keep = [key, "batch_id", "pos", "pad_to", *ids, "plan_error"]
-    done = C.run_steps(joined, spec.steps(key, split_col, augment), keep,
-                       ["samples", "error"], inputs=["content", *extra])
-    padded = pad_columns(F.col("samples"), F.col("pad_to"))
-    error = F.coalesce("plan_error", "error")
-    good = error.isNull()
-    return done.select("batch_id", "pos", key,
-                       *[F.when(good, column).alias(name) for name, column in padded.items()],
-                       *ids, error.alias("error"))
+    keep = [key, "batch_id", "pos", *ids, "plan_error"]
+    steps = [*spec.steps(key, split_col, augment), C.pad("pad_to")]
+    done = C.run_steps(joined, steps, keep, ["input_values", "attention_mask", "n_valid", "error"],
+                       inputs=["content", "pad_to", *extra])
+    return done.select("batch_id", "pos", key, "input_values", "attention_mask", "n_valid", *ids,
+                       F.coalesce("plan_error", "error").alias("error"))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipframe.session import lookup_join, side_table
+from clipframe.session import side_table
 
 # Quantile sketch: rank error n / ACCURACY; the bracket around the median is
 # five times as wide on either side.
@@ -45,6 +45,13 @@ def _median_near(near: DataFrame, names: Sequence[str], name: str) -> DataFrame:
         F.raise_error(F.lit("median fell outside its bracket"))).alias(name))
 
 
+def _join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on group keys where NULL is a group like any other."""
+    names = {k: f"__key{i}" for i, k in enumerate(keys)}
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return df.join(groups.withColumnsRenamed(names), same, how).drop(*names.values())
+
+
 def duration_stats(df: DataFrame, duration: str = "duration_s", keys: Sequence[str] = (),
                    exact: bool = True) -> DataFrame:
     """Per group: ``n, min_s, max_s, mean_s, median_s, std_s, total_minutes``.
@@ -66,10 +73,11 @@ def duration_stats(df: DataFrame, duration: str = "duration_s", keys: Sequence[s
     data = df.select(*keys, v.alias("__v")).filter(v.isNotNull())
     bracket = F.array(F.col("__q")[0], F.col("__q")[2])
     if keys:
-        summary, _ = side_table(summary)
+        summary, fits = side_table(summary)
         brackets = summary.select(*keys, F.col("n").alias("__n"), bracket.alias("__b"))
-        medians = _median_near(lookup_join(data, brackets, list(keys), "inner"), keys, "median_s")
-        return summary.join(medians, list(keys), "left").select(*keys, *shown)
+        near = _join_groups(data, F.broadcast(brackets) if fits else brackets, keys, "inner")
+        medians = _median_near(near, keys, "median_s")
+        return _join_groups(summary, medians, keys, "left").select(*keys, *shown)
     row = summary.first()
     if row["n"] == 0:
         return summary.withColumn("median_s", F.lit(None).cast("double")).select(*shown)

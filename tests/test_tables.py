@@ -39,13 +39,6 @@ def test_pad_targets(spark, options, expected):
     assert [(r.batch_id, r.pos) for r in out] == [(0, 0), (0, 1), (1, 0), (1, 1)]
 
 
-def test_padded_arrays(spark):
-    df = spark.createDataFrame([([1.0, 2.0], 4)], "x array<float>, t int")
-    r = df.select(*[c.alias(n) for n, c in
-                    batching.pad_columns(F.col("x"), F.col("t")).items()]).first()
-    assert (r.input_values, r.attention_mask, r.n_valid) == ([1, 2, 0, 0], [1, 1, 0, 0], 2)
-
-
 def test_bad_padding(spark):
     df = spark.createDataFrame([(0, 3)], "batch_id int, n int")
     with pytest.raises(ValueError):
@@ -103,6 +96,13 @@ def test_median_is_exact(spark, size):
     assert min(values) <= rough <= max(values)
 
 
+def test_rows_without_group_are_a_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0), ("b", None)],
+                               "g string, duration_s double")
+    got = {r.g: (r.n, r.median_s) for r in stats.duration_stats(df, keys=["g"]).collect()}
+    assert got == {None: (2, 1.5), "a": (1, 5.0), "b": (0, None)}
+
+
 def test_median_with_one_value_holding_most_rows(spark):
     values = [5.0] * 20_000 + [float(i) for i in range(9_000)]
     df = spark.createDataFrame([(v,) for v in values], "duration_s double")
