@@ -266,10 +266,10 @@ from (select *, max(z) over (partition by doc_id) as top from three) group by 1"
 def _durations(source: str, value: str, keys: str = "") -> str:
     group = f"group by {keys}" if keys else ""
     return f"""
-select {keys + ',' if keys else ''} count({value}) as n, round(min({value}), 6) as min_s,
-       round(max({value}), 6) as max_s, round(avg({value}), 6) as mean_s,
-       round(median({value}), 6) as median_s, round(stddev_pop({value}), 6) as std_s,
-       round(sum({value}) / 60, 6) as total_minutes
+select {keys + ',' if keys else ''} count({value}) as n, round(min({value}), 9) as min_s,
+       round(max({value}), 9) as max_s, round(avg({value}), 9) as mean_s,
+       round(median({value}), 9) as median_s, round(stddev_pop({value}), 9) as std_s,
+       round(sum({value}) / 60, 9) as total_minutes
 from ({source}) {group}"""
 
 

@@ -203,7 +203,7 @@ ROUNDED = ("min_s", "max_s", "mean_s", "median_s", "std_s", "total_minutes")
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in ROUNDED})
+    return df.withColumns({c: F.round(c, 9) for c in ROUNDED})
 
 
 @query
