@@ -39,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only where none is named (tests, a laptop) a temporary one is made.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="clipframe-")
     if not context.getCheckpointDir():

@@ -45,7 +45,8 @@ def test_label_scan_reads_two_columns(spark):
 
 @needs_tables
 def test_split_does_not_move_the_data(spark):
-    plan = plan_of(REGISTRY["stratified_split_scale"](spark, SF))
+    documents = S.table(spark, SF, "documents").select("doc_id", "lang")
+    plan = plan_of(jobs.split.stratified_split(documents, "lang", "doc_id"))
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan and "Sort" not in plan and "Window" not in plan
 
