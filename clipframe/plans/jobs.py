@@ -101,8 +101,8 @@ def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict") -> Da
     clips = headers.select(F.col("path").alias("wav_file"), duration_seconds(
         F.col("num_frames"), F.col("sample_rate")).alias("duration_s"))
     path = F.col("wav_file")
-    keys = clips.select(L.iemocap_session(path, mode).alias("session"),
-                        L.iemocap_dialog(path).alias("dialog"))
+    keys = scan.scan_paths(spark, root).select(L.iemocap_session(path, mode).alias("session"),
+                                               L.iemocap_dialog(path).alias("dialog"))
     files = tables.scan_annotation_files(spark, root)
     missing = joins.missing_annotations(keys, files, ["session", "dialog"]).limit(5).collect()
     if missing and mode == "strict":

@@ -521,6 +521,9 @@ with {LEVELS}
 select doc_id, nbytes + 44 as length, round(dbfs, 6) as dbfs, error from levels
 union all
 select -1 - item_id, null, null, 'cannot read file: FileNotFoundError' from benchmark""",
+    "ingest_clips": f"""
+select doc_id, nbytes + 44 as length, frames as num_frames, rate::int as sample_rate,
+       null::varchar as error from ({HEADERS})""",
     "batch_predict": f"""
 select vec_id, (list_position(z, list_max(z)) - 1)::int as label_id,
        round(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))), 8) as score

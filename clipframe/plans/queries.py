@@ -538,6 +538,17 @@ def load_by_path(spark, sf_dir):
     return levels.select("doc_id", "length", F.round("dbfs", 6).alias("dbfs"), "error")
 
 
+@query
+def ingest_clips(spark, sf_dir):
+    """A folder of WAV files packed into one table with header columns."""
+    folder = new_folder(spark, "wavs")
+    name = F.concat(F.lit("clip "), F.col("doc_id"), F.lit(".wav"))
+    sinks.export_clips(S.document_wavs(spark, sf_dir), folder, name, key="doc_id")
+    table = scan.ingest(spark, folder, new_folder(spark, "clips"))
+    doc_id = F.regexp_extract("path", r"clip (\d+)\.wav$", 1).cast("bigint")
+    return table.select(doc_id.alias("doc_id"), "length", "num_frames", "sample_rate", "error")
+
+
 # --- model ---------------------------------------------------------------
 
 def _linear_model() -> Callable[[np.ndarray], np.ndarray]:

@@ -132,9 +132,9 @@ def ingest(spark: SparkSession, roots: str | Sequence[str], out: str,
 
     Later jobs read this table: header jobs read the header columns only.
     """
-    from clipframe.sources.wav import scan_headers
+    from clipframe.sources.wav import with_headers
 
-    clips = scan_headers(scan_clips(spark, roots, pattern), keep=["path", "length", "content"])
+    clips = with_headers(scan_clips(spark, roots, pattern))
     clips.write.mode("overwrite").option("parquet.block.size", 128 << 20).parquet(out)
     return spark.read.parquet(out)
 

@@ -127,14 +127,16 @@ def _parse_headers(heads: pa.Array, sizes: list[int | None]) -> list[pa.Array]:
     return [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
 
 
+def _head(content: Column) -> Column:
+    return F.when(_is_plain(content), F.substring(content, 1, PLAIN_HEADER_BYTES)).otherwise(content)
+
+
 def scan_headers(clips: DataFrame, keep: Sequence[str] = ("path",),
                  content_col: str = "content") -> DataFrame:
     """``keep, num_frames, sample_rate, num_channels, bits, error`` of WAV bytes."""
     content = F.col(content_col)
-    heads = clips.select(
-        *keep, F.octet_length(content).alias("__size"),
-        F.when(_is_plain(content), F.substring(content, 1, PLAIN_HEADER_BYTES))
-        .otherwise(content).alias("__head"))
+    heads = clips.select(*keep, F.octet_length(content).alias("__size"),
+                         _head(content).alias("__head"))
     schema = T.StructType([*heads.select(*keep).schema.fields, *HEADER_FIELDS])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,6 +148,19 @@ def scan_headers(clips: DataFrame, keep: Sequence[str] = ("path",),
     return heads.mapInArrow(parse, schema)
 
 
+@F.arrow_udf(T.StructType(list(HEADER_FIELDS)))
+def _header(head: pa.Array, size: pa.Array) -> pa.Array:
+    return pa.StructArray.from_arrays(
+        _parse_headers(head, size.to_pylist()), names=[f.name for f in HEADER_FIELDS])
+
+
+def with_headers(clips: DataFrame, content_col: str = "content") -> DataFrame:
+    """Add the header columns; the audio itself stays in the JVM."""
+    content = F.col(content_col)
+    added = clips.withColumn("__h", _header(_head(content), F.octet_length(content)))
+    return added.select(*clips.columns, *[f"__h.{f.name}" for f in HEADER_FIELDS])
+
+
 def _hex_le(value: Column, size: int) -> Column:
     text = F.lpad(F.hex(value.cast("bigint")), 2 * size, "0")
     return F.concat(*[F.substring(text, 2 * i + 1, 2) for i in reversed(range(size))])

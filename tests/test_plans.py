@@ -13,6 +13,7 @@ from clipframe.plans import standins as S
 from clipframe.plans.queries import REGISTRY
 from clipframe.session import spread
 from clipframe.sources import scan
+from clipframe.sources.wav import with_headers
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -60,6 +61,12 @@ def test_signal_chain_is_one_python_pass(spark):
         assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
 
 
+def test_header_columns_cost_one_call(spark):
+    clips = spark.range(0, 100, 1, 8).select("id", F.lit(bytearray(b"RIFF")).alias("content"))
+    plan = plan_of(with_headers(clips))
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("_header(") == 1
+
+
 @needs_tables
 def test_only_small_inputs_are_spread(spark):
     few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
