@@ -1,13 +1,13 @@
 """Sample-level maths on ragged arrays (numpy), used inside Arrow batches.
 
-A batch of clips is one flat ``values`` array plus ``offsets`` (clip ``i`` is
+Workers get these functions by value: they refer to each other by plain names, not
+through a module of this package. A batch of clips is one flat ``values`` array plus ``offsets`` (clip ``i`` is
 ``values[offsets[i]:offsets[i + 1]]``), so most kernels run over all clips of a
 batch at once instead of looping over clips.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 
@@ -75,7 +75,7 @@ def pcm_gain(samples: np.ndarray, decibels: float, bits: int) -> np.ndarray:
 
 # --- float waveforms -----------------------------------------------------
 
-def mono(values: np.ndarray, offsets: np.ndarray, channels: np.ndarray):
+def mix_down(values: np.ndarray, offsets: np.ndarray, channels: np.ndarray):
     """Mean over interleaved channels -> ``(values, offsets)`` with one channel."""
     frames = np.diff(offsets) // channels
     if (channels == 1).all():
@@ -93,7 +93,7 @@ def mono(values: np.ndarray, offsets: np.ndarray, channels: np.ndarray):
     return out, out_offsets
 
 
-def standardise(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def zero_mean_unit_variance(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Zero mean and unit variance per clip."""
     lengths = np.diff(offsets)
     count = np.maximum(lengths, 1)
@@ -113,7 +113,6 @@ def windowed_sinc(u: np.ndarray) -> np.ndarray:
     return np.sinc(u) * np.where(np.abs(u) < FILTER_WIDTH, window, 0.0)
 
 
-@functools.lru_cache(maxsize=16)
 def _filter_bank(o: int, n: int) -> tuple[np.ndarray, int]:
     """Taps ``[n, taps]``: row ``r`` serves outputs at input position ``q + r / n``."""
     cutoff = ROLL_OFF * min(o, n)
@@ -123,11 +122,9 @@ def _filter_bank(o: int, n: int) -> tuple[np.ndarray, int]:
     return windowed_sinc((steps - shift) * (cutoff / o)) * (cutoff / o), reach
 
 
-@functools.lru_cache(maxsize=16)
-def _phase_matrix(o: int, n: int) -> np.ndarray:
+def _phase_matrix(bank: np.ndarray, o: int) -> np.ndarray:
     """The bank laid out for one block of ``o`` inputs -> ``n`` outputs."""
-    bank, _ = _filter_bank(o, n)
-    taps = bank.shape[1]
+    n, taps = bank.shape
     matrix = np.zeros((o + taps, n))
     for phase in range(n):
         start, rest = divmod(phase * o, n)
@@ -135,7 +132,7 @@ def _phase_matrix(o: int, n: int) -> np.ndarray:
     return matrix
 
 
-def resample(values: np.ndarray, offsets: np.ndarray, old: int, new: int):
+def resample_clips(values: np.ndarray, offsets: np.ndarray, old: int, new: int):
     """All clips of one rate ``old`` -> rate ``new``: ``(values, offsets)``.
 
     The clips are laid side by side, each padded with the zeros the filter
@@ -157,7 +154,7 @@ def resample(values: np.ndarray, offsets: np.ndarray, old: int, new: int):
     padded = np.zeros(starts[-1] + o + taps)
     padded[np.repeat(starts[:-1] + reach, lengths) + position_in_clip(offsets)] = values
     if o + taps <= 32 * taps:
-        matrix = _phase_matrix(o, n)
+        matrix = _phase_matrix(bank, o)
         rows = np.lib.stride_tricks.sliding_window_view(padded, o + taps)[::o]
         total = int(padded_blocks.sum())
         flat = np.empty((total, n), np.float32)
@@ -275,7 +272,7 @@ def _read_at(samples: np.ndarray, step: float, count: int) -> np.ndarray:
     return out
 
 
-def pitch_shift(samples: np.ndarray, semitones: float) -> np.ndarray:
+def shift_pitch(samples: np.ndarray, semitones: float) -> np.ndarray:
     """Move the pitch, keep the length."""
     factor = 2.0 ** (semitones / 12.0)
     slow = time_stretch(samples.astype(np.float64), 1.0 / factor)
@@ -311,7 +308,6 @@ def acoustic_features(samples: np.ndarray, rate: int) -> np.ndarray:
     return np.concatenate([head, bands.mean(axis=0), bands.std(axis=0)])
 
 
-@functools.lru_cache(maxsize=16)
 def _mel_bands(size: int, rate: int) -> np.ndarray:
     frequency = np.fft.rfftfreq(size, 1.0 / rate)
     edges = 700 * (10 ** (np.linspace(0, 2595 * np.log10(1 + rate / 1400), BANDS + 2) / 2595) - 1)

@@ -10,7 +10,12 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 
-from clipframe.functions import kernels as K
+from clipframe.functions.kernels import (
+    add_noise,
+    digest_uniform,
+    row_digest,
+    shift_pitch,
+)
 from clipframe.operators.clips import ClipBatch, Step
 
 # The default augmentation list, in order of application.
@@ -28,9 +33,9 @@ def _draws(batch: ClipBatch, name: str, key_col: str, seed: int, epoch: int,
     for i in batch.good():
         if splits is not None and splits[i] != "train":
             continue
-        digest = K.row_digest(seed, epoch, name, keys[i])
-        if K.digest_uniform(digest, 0) < p:
-            yield i, K.digest_uniform(digest, 8), int(digest[16:24], 16)
+        digest = row_digest(seed, epoch, name, keys[i])
+        if digest_uniform(digest, 0) < p:
+            yield i, digest_uniform(digest, 8), int(digest[16:24], 16)
 
 
 def gaussian(min_amplitude: float, max_amplitude: float, p: float = 0.5, *, key_col: str,
@@ -41,7 +46,7 @@ def gaussian(min_amplitude: float, max_amplitude: float, p: float = 0.5, *, key_
         values = np.array(batch.values)
         for i, size, row_seed in _draws(batch, "gaussian", key_col, seed, epoch, p, split_col):
             amplitude = min_amplitude + (max_amplitude - min_amplitude) * size
-            values[batch.offsets[i]:batch.offsets[i + 1]] = K.add_noise(
+            values[batch.offsets[i]:batch.offsets[i + 1]] = add_noise(
                 batch.clip(i), amplitude, row_seed)
         batch.values = values
 
@@ -56,7 +61,7 @@ def pitch_shift(min_semitones: float, max_semitones: float, p: float = 0.5, *, k
         values = np.array(batch.values)
         for i, size, _ in _draws(batch, "pitch_shift", key_col, seed, epoch, p, split_col):
             semitones = min_semitones + (max_semitones - min_semitones) * size
-            values[batch.offsets[i]:batch.offsets[i + 1]] = K.pitch_shift(
+            values[batch.offsets[i]:batch.offsets[i + 1]] = shift_pitch(
                 batch.clip(i), semitones)
         batch.values = values
 

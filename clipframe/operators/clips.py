@@ -17,7 +17,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipframe.functions import kernels as K
+from clipframe.functions.kernels import (
+    acoustic_features,
+    lengths_to_offsets,
+    mix_down,
+    pcm_dbfs,
+    pcm_gain,
+    pcm_mono,
+    position_in_clip,
+    resample_clips,
+    zero_mean_unit_variance,
+)
 from clipframe.sources.wav import WavError, decode_samples
 
 FULL_SCALE_FLOAT = 2.0 ** 31
@@ -57,7 +67,7 @@ class ClipBatch:
         return self.values[self.offsets[i]:self.offsets[i + 1]]
 
     def replace(self, clips: list[np.ndarray]) -> None:
-        self.offsets = K.lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
+        self.offsets = lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
         self.values = (np.concatenate(clips).astype(np.float32, copy=False)
                        if clips else np.empty(0, np.float32))
 
@@ -136,7 +146,7 @@ def from_samples(samples_col: str, rate: int, channels: int = 1) -> Step:
     def step(batch: ClipBatch) -> None:
         array = batch.table.column(batch.table.schema.get_field_index(samples_col))
         lengths = array.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        batch.offsets = K.lengths_to_offsets(lengths.astype(np.int64))
+        batch.offsets = lengths_to_offsets(lengths.astype(np.int64))
         batch.values = array.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
         batch.rate[:] = rate
         batch.channels[:] = channels
@@ -153,7 +163,7 @@ def loudness() -> Step:
 
     def step(batch: ClipBatch) -> None:
         for i in batch.good():
-            batch.dbfs[i] = K.pcm_dbfs(_to_int(batch, i), int(batch.bits[i]))
+            batch.dbfs[i] = pcm_dbfs(_to_int(batch, i), int(batch.bits[i]))
 
     return step
 
@@ -170,15 +180,15 @@ def gain_to(target_dbfs: float, on_silence: str = "reject") -> Step:
     def step(batch: ClipBatch) -> None:
         for i in batch.good():
             bits = int(batch.bits[i]) if batch.pcm[i].dtype.kind != "f" else 32
-            samples = K.pcm_mono(_to_int(batch, i), int(batch.channels[i]))
+            samples = pcm_mono(_to_int(batch, i), int(batch.channels[i]))
             batch.channels[i] = 1
-            level = K.pcm_dbfs(samples, bits)
+            level = pcm_dbfs(samples, bits)
             if math.isinf(level):
                 if on_silence == "reject":
                     batch.reject(i, "silent clip has no gain")
                     continue
             else:
-                samples = K.pcm_gain(samples, target_dbfs - level, bits)
+                samples = pcm_gain(samples, target_dbfs - level, bits)
             batch.pcm[i] = samples
 
     return step
@@ -186,7 +196,7 @@ def gain_to(target_dbfs: float, on_silence: str = "reject") -> Step:
 
 def mono() -> Step:
     def step(batch: ClipBatch) -> None:
-        batch.values, batch.offsets = K.mono(batch.values, batch.offsets, batch.channels)
+        batch.values, batch.offsets = mix_down(batch.values, batch.offsets, batch.channels)
         batch.channels[:] = 1
 
     return step
@@ -204,8 +214,8 @@ def resample_to(rate: int) -> Step:
         for old in wrong:
             chosen = np.flatnonzero((batch.rate == old) & (lengths > 0))
             flat = np.concatenate([clips[i] for i in chosen])
-            values, offsets = K.resample(
-                flat, K.lengths_to_offsets(lengths[chosen]), old, rate)
+            values, offsets = resample_clips(
+                flat, lengths_to_offsets(lengths[chosen]), old, rate)
             for at, i in enumerate(chosen):
                 clips[i] = values[offsets[at]:offsets[at + 1]]
             batch.rate[chosen] = rate
@@ -216,7 +226,7 @@ def resample_to(rate: int) -> Step:
 
 def standardise() -> Step:
     def step(batch: ClipBatch) -> None:
-        batch.values = K.standardise(batch.values, batch.offsets)
+        batch.values = zero_mean_unit_variance(batch.values, batch.offsets)
 
     return step
 
@@ -228,8 +238,8 @@ def pad(pad_to_col: str) -> Step:
         batch.valid = np.diff(batch.offsets)
         wanted = np.array([n or 0 for n in batch.column(pad_to_col)], np.int64)
         wanted[[error is not None for error in batch.error]] = 0
-        offsets = K.lengths_to_offsets(np.maximum(wanted, batch.valid))
-        place = np.repeat(offsets[:-1], batch.valid) + K.position_in_clip(batch.offsets)
+        offsets = lengths_to_offsets(np.maximum(wanted, batch.valid))
+        place = np.repeat(offsets[:-1], batch.valid) + position_in_clip(batch.offsets)
         values = np.zeros(offsets[-1], np.float32)
         values[place] = batch.values
         batch.mask = np.zeros(offsets[-1], np.int32)
@@ -242,7 +252,7 @@ def pad(pad_to_col: str) -> Step:
 def features() -> Step:
     def step(batch: ClipBatch) -> None:
         for i in batch.good():
-            batch.features[i] = K.acoustic_features(batch.clip(i), int(batch.rate[i]))
+            batch.features[i] = acoustic_features(batch.clip(i), int(batch.rate[i]))
 
     return step
 
@@ -257,7 +267,7 @@ def _lists(values: np.ndarray, offsets: np.ndarray, valid: list[bool] | None,
 
 def _float_lists(clips: list[np.ndarray], valid: list[bool] | None,
                  kind: pa.DataType) -> pa.Array:
-    offsets = K.lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
+    offsets = lengths_to_offsets(np.array([len(c) for c in clips], np.int64))
     return _lists(np.concatenate(clips) if clips else np.empty(0), offsets, valid, kind)
 
 
@@ -278,7 +288,7 @@ def _output(batch: ClipBatch, name: str) -> pa.Array:
         inner = _float_lists([channel for row in rows for channel in row], None, pa.float32())
         counts = np.array([len(row) for row in rows], np.int64)
         return pa.ListArray.from_arrays(
-            pa.array(K.lengths_to_offsets(counts), pa.int32()), inner,
+            pa.array(lengths_to_offsets(counts), pa.int32()), inner,
             mask=pa.array([not v for v in valid], pa.bool_()))
     if name == "features":
         empty = np.empty(0)

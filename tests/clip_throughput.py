@@ -33,8 +33,8 @@ def plain_loop(paths: list[Path]) -> None:
     for path in paths:
         samples, rate, channels, bits = decode_samples(path.read_bytes())
         x = (samples / 2.0 ** (bits - 1)).astype(np.float32).reshape(-1, channels).mean(axis=1)
-        x, _ = K.resample(x, np.array([0, len(x)]), rate, 16_000)
-        K.standardise(x, np.array([0, len(x)]))
+        x, _ = K.resample_clips(x, np.array([0, len(x)]), rate, 16_000)
+        K.zero_mean_unit_variance(x, np.array([0, len(x)]))
 
 
 def main() -> None:

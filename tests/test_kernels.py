@@ -32,7 +32,7 @@ def brute_resample(x, old, new):
 def test_resample_matches_the_sum(old, new):
     rng = np.random.default_rng(1)
     clips = [rng.normal(size=size).astype(np.float32) for size in (1, 700, 64, 5)]
-    values, offsets = K.resample(*ragged(*clips), old, new)
+    values, offsets = K.resample_clips(*ragged(*clips), old, new)
     for i, clip in enumerate(clips):
         got = values[offsets[i]:offsets[i + 1]]
         want = brute_resample(clip.astype(np.float64), old, new)
@@ -42,9 +42,9 @@ def test_resample_matches_the_sum(old, new):
 
 @pytest.mark.parametrize("rate", [8_000, 22_050, 44_100])
 def test_resample_keeps_level_and_pitch(rate):
-    flat, _ = K.resample(*ragged(np.ones(rate)), rate, 16_000)
+    flat, _ = K.resample_clips(*ragged(np.ones(rate)), rate, 16_000)
     assert abs(flat[8_000] - 1) < 1e-3
-    values, _ = K.resample(*ragged(tone(500, 1.0, rate) / 32768), rate, 16_000)
+    values, _ = K.resample_clips(*ragged(tone(500, 1.0, rate) / 32768), rate, 16_000)
     spectrum = np.abs(np.fft.rfft(values[:16_000]))
     assert int(spectrum.argmax()) == 500
 
@@ -52,7 +52,7 @@ def test_resample_keeps_level_and_pitch(rate):
 def test_standardise_per_clip():
     rng = np.random.default_rng(2)
     values, offsets = ragged(rng.normal(3, 5, 400), rng.normal(-1, 0.1, 50), [7.0])
-    out = K.standardise(values, offsets).astype(np.float64)
+    out = K.zero_mean_unit_variance(values, offsets).astype(np.float64)
     for i in (0, 1):
         part = out[offsets[i]:offsets[i + 1]]
         assert abs(part.mean()) < 1e-6 and abs(part.var() - 1) < 1e-3
@@ -61,14 +61,14 @@ def test_standardise_per_clip():
 
 def test_empty_clips_do_no_harm():
     values, offsets = ragged([1, 2, 3], [], [4, 5])
-    assert len(K.standardise(values, offsets)) == 5
-    _, out = K.resample(values, offsets, 8_000, 16_000)
+    assert len(K.zero_mean_unit_variance(values, offsets)) == 5
+    _, out = K.resample_clips(values, offsets, 8_000, 16_000)
     assert np.diff(out).tolist() == [6, 0, 4]
 
 
 def test_mono():
     same = np.repeat(np.arange(50, dtype=np.float32), 2)
-    values, offsets = K.mono(*ragged(same, [1, 2, 3]), np.array([2, 1]))
+    values, offsets = K.mix_down(*ragged(same, [1, 2, 3]), np.array([2, 1]))
     assert values.tolist() == [*range(50), 1, 2, 3] and offsets.tolist() == [0, 50, 53]
 
 
@@ -96,7 +96,7 @@ def test_noise_depends_on_seed_only():
 @pytest.mark.parametrize("semitones", [-3, -1.5, 2, 3])
 def test_pitch_shift_moves_the_tone(semitones):
     x = (tone(440, 1.0) / 32768).astype(np.float32)
-    y = K.pitch_shift(x, semitones)
+    y = K.shift_pitch(x, semitones)
     assert len(y) == len(x)
     peak = np.abs(np.fft.rfft(y[2_000:14_000] * np.hanning(12_000))).argmax() * 16_000 / 12_000
     assert abs(peak - 440 * 2 ** (semitones / 12)) < 4
@@ -104,7 +104,7 @@ def test_pitch_shift_moves_the_tone(semitones):
 
 def test_pitch_shift_of_short_clips():
     for size in (1, 64, 3_000):
-        assert len(K.pitch_shift(np.ones(size, np.float32), 2)) == size
+        assert len(K.shift_pitch(np.ones(size, np.float32), 2)) == size
 
 
 def test_features():

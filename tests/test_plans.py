@@ -1,6 +1,8 @@
 """The physical plans: what is read, what is shuffled, what runs in Python."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,26 @@ def test_hot_class(spark):
         S.table(spark, SF, "events").withColumn("k", F.lit(1)), ["k"], F.col("value"))
     assert levels.first().num_samples == S.table(spark, SF, "events").count()
     assert stats.corpus_counts(documents, "lang").first().n == n
+
+
+WITHOUT_PACKAGE = """
+import sys
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as entry
+from clipframe.session import build_session
+spark = build_session("away", "local[2]", **{{"spark.sql.shuffle.partitions": "2"}})
+for name in ("preprocess_test", "augment_compose", "feature_vector", "wav_header",
+             "ingest_clips", "score_batches", "batch_predict", "load_by_path"):
+    assert entry.queries()[name](spark, {sf!r}).count() > 0
+print("all ran")
+"""
+
+
+@needs_tables
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The workers start in another folder, where the package cannot be imported."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", WITHOUT_PACKAGE.format(repo=repo, sf=SF)],
+                          cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert "all ran" in done.stdout, done.stderr[-3000:]

@@ -91,8 +91,8 @@ def brute_chain(rows, spec, ids):
                 samples, channels = K.pcm_gain(samples, spec.target_dbfs - level, bits), 1
             x = (samples / 2.0 ** (bits - 1)).astype(np.float32)
             x = x.reshape(-1, channels).mean(axis=1, dtype=np.float64).astype(np.float32)
-            x, _ = K.resample(x, np.array([0, len(x)]), rate, spec.sample_rate)
-            x = K.standardise(x, np.array([0, len(x)]))
+            x, _ = K.resample_clips(x, np.array([0, len(x)]), rate, spec.sample_rate)
+            x = K.zero_mean_unit_variance(x, np.array([0, len(x)]))
             done.append((path, x, ids[label]))
         except Exception:
             done.append((path, None, None))
