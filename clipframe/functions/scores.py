@@ -1,4 +1,4 @@
-"""Score and level expressions: softmax, argmax, dBFS, repeatable uniforms."""
+"""Score and level expressions: softmax, argmax, dBFS, repeatable ranks."""
 
 from __future__ import annotations
 
@@ -41,8 +41,3 @@ def integer_rms(sum_of_squares: Column, count: Column) -> Column:
 def seeded_hash(seed: int, key: Column) -> Column:
     """Repeatable pseudo-random rank of a key: hex md5 of ``seed:key``."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
-
-
-def hash_uniform(digest: Column, first_digit: int = 1) -> Column:
-    """Uniform number in [0,1) from eight hex digits of a digest."""
-    return F.conv(F.substring(digest, first_digit, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)

@@ -7,8 +7,10 @@ from clipframe.functions import kernels as K
 from clipframe.operators import signal
 from clipframe.operators.augment import DEFAULT_AUGMENTATIONS, build_augmentation
 from clipframe.operators.encode import label_dictionary
+from clipframe.operators.features import wave_features
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.sources.scan import ingest
+from clipframe.sources.tables import rows_to_table
 from clipframe.sources.wav import decode_samples
 
 
@@ -59,6 +61,13 @@ def test_augmentation_ignores_partitions_and_keeps_other_splits(spark):
     assert len(changed) < 20
 
 
+def test_features_of_plain_waves(spark):
+    table = rows_to_table(spark, [("a", [0.5, -0.5] * 400), ("b", [])], "id string, x array<float>")
+    got = by_key(wave_features(table, "x", 16_000, ["id"]))
+    assert len(got["a"].features) == K.FEATURE_SIZE and got["a"].features[0] == pytest.approx(0.5)
+    assert got["b"].error == "no samples" and got["b"].features is None
+
+
 def test_registry():
     spec = {"name": "echo", "p": 1.0}
     with pytest.raises(ValueError, match="echo"):
