@@ -40,6 +40,36 @@ def place(loads: np.ndarray, shards: int) -> np.ndarray:
     return chosen
 
 
+def settle(sizes: np.ndarray, chosen: np.ndarray, shards: int, rounds: int = 500) -> np.ndarray:
+    """Even out one dimension: the fullest and the emptiest shard exchange a vector or move one.
+
+    Of all exchanges of these two, the one that leaves them nearest to each other.
+    """
+    chosen = chosen.copy()
+    for _ in range(rounds):
+        loads = np.bincount(chosen, sizes, shards)
+        high, low = int(loads.argmax()), int(loads.argmin())
+        half = (loads[high] - loads[low]) / 2
+        give = np.flatnonzero(chosen == high)
+        take = np.append(np.flatnonzero(chosen == low), -1)  # -1: nothing comes back
+        back = np.append(sizes[take[:-1]], 0.0)
+        order = np.argsort(back, kind="stable")
+        want = sizes[give] - half
+        at = np.searchsorted(back[order], want)
+        best, pair = half, None
+        for near in (np.clip(at - 1, 0, len(order) - 1), np.clip(at, 0, len(order) - 1)):
+            off = np.abs(back[order][near] - want)
+            i = int(off.argmin()) if len(off) else -1
+            if i >= 0 and off[i] < best * 0.999:
+                best, pair = off[i], (give[i], take[order[near[i]]])
+        if pair is None:
+            break
+        chosen[pair[0]] = low
+        if pair[1] >= 0:
+            chosen[pair[1]] = high
+    return chosen
+
+
 def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
           id_col: str = "doc_id", text_col: str = "text", row_bytes: int = 8) -> DataFrame:
     """``(id, size, tokens, text_crc32, shard, slot)`` for every row of ``docs``.
@@ -49,6 +79,7 @@ def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
     Groups above a 64th of a shard (at most 3 x 64 x shards of them, by counting)
     and cells of hashed smaller groups (128 x shards) are the vectors to place, so
     their number does not grow with the input; only their sums reach the driver.
+    Exchanges between the fullest and the emptiest shard then even out the bytes.
 
     A null text is an empty payload and forms a group; a null id is kept. Repeated
     rows each get a slot of their own. Other columns are not looked at. An empty
@@ -77,7 +108,8 @@ def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
         .otherwise(F.xxhash64("key", F.pmod(F.xxhash64("row"), F.col("parts")))).alias("unit"),
         F.col("parts").isNotNull().alias("alone")), "shard-units")
     loads = units.groupBy("alone", "unit").agg(*sums).orderBy("alone", "unit").toPandas()
-    loads["shard"] = place(loads[list(DIMENSIONS)].to_numpy(float), shards)
+    vectors = loads[list(DIMENSIONS)].to_numpy(float)
+    loads["shard"] = settle(vectors[:, 0], place(vectors, shards), shards)
     placed = docs.sparkSession.createDataFrame(
         list(loads[["alone", "unit", "shard"]].itertuples(index=False, name=None)),
         "alone boolean, unit bigint, shard int")

@@ -1,0 +1,197 @@
+"""Every registered operator query next to a plain loop over the same table."""
+
+import os
+from collections import defaultdict
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+import brute
+import corpus_pipeline
+from clipframe.llm import queries as Q
+from clipframe.llm import tokens
+from clipframe.llm.packing import lower_bound
+
+SF = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+def rows_of(name, *columns):
+    return [tuple(r[c] for c in columns) for r in pq.read_table(f"{SF}/{name}.parquet").to_pylist()]
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return rows_of("documents", "doc_id", "text")
+
+
+@pytest.fixture(scope="module")
+def ids(docs):
+    tokenizer = tokens.encoder(tokens.default_path()).tokenizer
+    return {d: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+            for d, t in docs}
+
+
+def result(spark, name):
+    df = getattr(Q, name)(spark, SF)
+    return [r.asDict() for r in df.collect()], df
+
+
+def test_every_query_is_registered():
+    import __spark_entry__
+
+    assert set(Q.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
+
+
+def test_sharding(spark, docs):
+    got, _ = result(spark, "op1_sharding")
+    texts = dict(docs)
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    slots, sizes, groups = defaultdict(list), defaultdict(int), defaultdict(set)
+    for r in got:
+        data = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(data) + 8 and r["text_crc32"] == brute.crc(data)
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+        slots[r["shard"]].append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+        groups[data].add(r["shard"])
+    assert set(slots) == set(range(Q.SHARDS))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    total, largest = sum(sizes.values()), max(r["size"] for r in got)
+    assert max(sizes.values()) <= max(total / Q.SHARDS * 1.1, largest)
+    assert sum(len(g) > 1 for g in groups.values()) <= 2
+
+
+def test_minhash(spark, docs):
+    got, _ = result(spark, "op2_minhash")
+    order = sorted(docs)
+    by_id = {r["doc_id"]: r for r in got}
+    assert len(by_id) == len(order) == len(got)
+    prints = {}
+    for i, (doc, text) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        edited = text[:len(text) - len(text) // 2] + after[:len(text) // 2]
+        r = by_id[doc]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == brute.digest(edited)
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+        for key, other in (("near_edited", edited), ("near_next", after)):
+            a, b = brute.shingles(text), brute.shingles(other)
+            true = len(a & b) / len(a | b) if a | b else 1.0
+            assert abs(r[key] - true) < 0.2
+
+
+def test_token_files(spark, docs, ids):
+    got, _ = result(spark, "op3_token_files")
+    start, want = 0, []
+    for doc, _ in sorted(docs):
+        want.append((doc, start, len(ids[doc]), brute.crc(ids[doc].tobytes())))
+        start += len(ids[doc])
+    assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+
+
+def test_chat(spark):
+    got, _ = result(spark, "op4_chat")
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows_of("conversations", "conv_id", "turn", "role", "text"):
+        talks[conv].append((turn, role, text or ""))
+    talks[-1] = [(0, "user", Q.PLANTED), (1, "assistant", Q.PLANTED)]
+    want = []
+    for conv, turns in talks.items():
+        turns.sort()
+        loss = "".join(t for _, role, t in turns if role == "assistant")
+        want.append((conv, len(turns), brute.digest("".join(f"{r}\n{t}\n" for _, r, t in turns)),
+                     len(loss), brute.digest(loss)))
+    assert sorted((r["conv_id"], r["n_turns"], r["turns_sha256"], r["loss_chars"],
+                   r["loss_sha256"]) for r in got) == sorted(want)
+
+
+def test_jaccard_join(spark, docs):
+    got, _ = result(spark, "op5_jaccard_join")
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(
+        brute.jaccard_components(docs))
+
+
+def test_winnowing(spark, docs):
+    got, _ = result(spark, "op6_winnowing")
+    want = brute.contamination(docs, rows_of("benchmark", "item_id", "text"))
+    assert any(w[1] for w in want.values())
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"],
+                          r["contaminated"]) for r in got} == {
+        d: (n, hit, len(items), brute.digest(",".join(items)), hit > 0)
+        for d, (n, hit, items) in want.items()}
+
+
+def test_warc(spark):
+    got, _ = result(spark, "op7_warc")
+    first, want = {}, []
+    pages = sorted(rows_of("pages", "page_id", "html"))
+    for page, html in pages:
+        first.setdefault(html or "", page)
+    for page, html in pages:
+        same = first[html or ""]
+        want.append((page, len((html or "").encode()), brute.sha1(html),
+                     *(("response", None) if same == page else ("revisit", same))))
+    assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"],
+                    r["refers_to"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert all(r["digest_ok"] for r in got if r["record_type"] == "response")
+
+
+def test_packing(spark, docs, ids):
+    got, _ = result(spark, "op9_packing")
+    places, pieces = defaultdict(list), defaultdict(list)
+    for r in got:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+        part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert len(part) == r["length"] and r["ids_crc32"] == brute.crc(part.tobytes())
+        pieces[r["doc_id"]].append((r["piece"], r["start"], r["length"]))
+    for spans in places.values():
+        spans.sort()
+        assert spans[0][0] == 0 and sum(n for _, n in spans) <= 1024
+        assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
+    for doc, _ in docs:
+        own = sorted(pieces[doc])
+        assert [p for p, _, _ in own] == list(range(len(own)))
+        assert sum(n for _, _, n in own) == len(ids[doc])
+        assert len(own) == 1 or all(n == 1024 for _, _, n in own[1:])
+    bound = lower_bound(np.array([r["length"] for r in got]), 1024)
+    assert len(places) <= bound * 1.01 + 1
+
+
+@pytest.mark.parametrize("name", ["op8_toxicity", "op10_language"])
+def test_held_out_accuracy(spark, docs, name):
+    got, _ = result(spark, name)
+    assert len(got) == len(docs)
+    assert all(r["held_out"] == brute.held_out(r["doc_id"]) for r in got)
+    assert all(0 <= r["score"] <= 1 for r in got)
+    if name == "op8_toxicity":
+        truth, key = dict(rows_of("labels", "doc_id", "toxic")), "predicted"
+        assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
+    else:
+        truth, key = dict(rows_of("documents", "doc_id", "lang")), "lang_pred"
+    judged = [r[key] == truth[r["doc_id"]] for r in got
+              if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    assert len(judged) > 5 and sum(judged) / len(judged) >= 0.9
+
+
+def test_pipeline(spark, docs):
+    kept = {}
+    frame = Q.table(spark, SF, "documents")
+    columns = frame.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = Q.written(stage(spark, frame, SF), name)
+        assert frame.columns == columns
+        kept[name] = {r["doc_id"]: r["text"] for r in frame.select("doc_id", "text").collect()}
+    texts = dict(docs)
+    truth = dict(rows_of("labels", "doc_id", "toxic"))
+    assert len(kept["language_id"]) >= len(docs) * 0.95
+    gone = set(kept["language_id"]) - set(kept["toxicity"])
+    assert all(truth.get(d, 1) for d in gone)
+    before = sorted(kept["toxicity"].items())
+    assert set(kept["ngram_jaccard"]) == {c for _, _, c in brute.jaccard_components(before)}
+    leaks = brute.contamination(kept["ngram_jaccard"].items(),
+                                rows_of("benchmark", "item_id", "text"))
+    assert set(kept["decontamination"]) == {d for d, (_, hit, _) in leaks.items() if not hit}
+    packed = corpus_pipeline.run(spark, SF)
+    assert {r["doc_id"] for r in packed.select("doc_id").collect()} == set(kept["decontamination"])
+    assert all(kept["decontamination"][d] == texts[d] for d in kept["decontamination"])
