@@ -11,7 +11,7 @@ from clipframe.llm.common import written
 DIMENSIONS = ("size", "tokens", "n_rows")
 FINE = 64            # a group above 1/64 of a shard in some dimension is placed by itself
 CELLS = 128          # cells of small groups for each shard
-SPLIT = 8            # a group above 1/8 of a shard is cut into parts of about that
+SPLIT = 2            # a group above half a shard is cut into parts of about that
 BLOCK_ROWS = 1_000_000
 
 
@@ -75,7 +75,7 @@ def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
     """``(id, size, tokens, text_crc32, shard, slot)`` for every row of ``docs``.
 
     Rows of equal text form a group and stay together, unless the group exceeds
-    an eighth of a shard: then its rows are dealt by hash into parts of about that.
+    half a shard: then its rows are dealt by hash into parts of about that.
     Groups above a 64th of a shard (at most 3 x 64 x shards of them, by counting)
     and cells of hashed smaller groups (128 x shards) are the vectors to place, so
     their number does not grow with the input; only their sums reach the driver.

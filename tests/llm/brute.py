@@ -24,6 +24,9 @@ def jaccard_components(rows, percent=75):
     """``rows``: (doc_id, text); a list of (doc_id, n, component)."""
     sets = [shingles(t) for _, t in rows]
     parent = list(range(len(rows)))
+    same = {}
+    for i, s in enumerate(sets):
+        parent[i] = same.setdefault(frozenset(s), i) if s else i
 
     def find(i):
         while parent[i] != i:
@@ -31,14 +34,17 @@ def jaccard_components(rows, percent=75):
         return i
 
     index = defaultdict(set)
-    for i, s in enumerate(sets):
-        for x in s:
+    once = sorted(same.values())
+    for i in once:
+        for x in sets[i]:
             index[x].add(i)
-    for i, s in enumerate(sets):
+    for i in once:
+        s = sets[i]
         shared = defaultdict(int)
         for x in s:
-            for j in index[x]:
-                shared[j] += j < i
+            if len(index[x]) > 1:
+                for j in index[x]:
+                    shared[j] += j < i
         for j, both in shared.items():
             if both and 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 a, b = find(i), find(j)
