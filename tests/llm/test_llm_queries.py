@@ -28,7 +28,7 @@ def docs():
 
 @pytest.fixture(scope="module")
 def ids(docs):
-    tokenizer = tokens.encoder(tokens.default_path()).tokenizer
+    tokenizer = tokens.Encoder(tokens.default_path()).tokenizer
     return {d: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
             for d, t in docs}
 
