@@ -79,15 +79,13 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = tk.END_
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            rows = []
-            for doc_id, data in zip(ids, tk.encoded(batch.column(1), tokenizer, end_id)):
-                total = len(data) // 4
-                first = total % capacity or capacity
-                edges = [0, *range(first, total + 1, capacity)]
-                view = memoryview(data)
-                rows += [(doc_id, n, a, b - a, tk.crc(view[4 * a:4 * b]))
-                         for n, (a, b) in enumerate(zip(edges, edges[1:]))]
+            names, rows = batch.column(0).to_pylist(), []
+            for row, ids, at in tk.encoded(batch.column(1), tokenizer, end_id):
+                for doc_id, a0, b0 in zip(names[row:], at.tolist(), at[1:].tolist()):
+                    first = (b0 - a0) % capacity or capacity
+                    edges = [0, *range(first, b0 - a0 + 1, capacity)]
+                    rows += [(doc_id, n, a, b - a, tk.crc(ids[a0 + a:a0 + b]))
+                             for n, (a, b) in enumerate(zip(edges, edges[1:]))]
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (

@@ -43,20 +43,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = tk.END_ID,
 
         shard, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = list(tk.encoded(part.column(1), tokenizer, end_id))
-                sizes = np.array([len(x) // 4 for x in ids], np.int32)
-                ends = np.cumsum(sizes, dtype=np.int64)
-                values = pa.Array.from_buffers(
-                    pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+            for row, ids, at in tk.encoded(batch.column(1), tokenizer, end_id):
+                sizes = np.diff(at).astype(np.int32)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+                    pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.full(len(ids), shard, np.int32)),
-                     pa.array(before + ends - sizes), pa.array(sizes), lists],
+                    [batch.column(0).slice(row, len(sizes)),
+                     pa.array(np.full(len(sizes), shard, np.int32)),
+                     pa.array(before + at[:-1]), pa.array(sizes), lists],
                     names=["doc_id", "shard", "start", "n_tokens", "ids"])
-                before += int(ends[-1])
+                before += int(at[-1])
 
     (docs.select(F.col("doc_id").cast("bigint"), "text").repartitionByRange("doc_id")
      .sortWithinPartitions("doc_id", "text").mapInArrow(encode, SCHEMA)

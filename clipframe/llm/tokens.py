@@ -1,28 +1,38 @@
 """Token ids of whole texts by a public tokenizer file and the tokenizers library.
 
-The library is slow on long texts and prose repeats its words, so a text is cut
-where its pre-tokenizer cuts anyway, before a single blank between two characters
-that are no white space, and the ids of each part are remembered. The ids are
-those of the whole text; the tests compare them.
+The library is slow on long texts and prose repeats its words. So a batch of texts
+is cut where a byte-level pre-tokenizer cuts anyway: around a single blank or line
+feed between two characters that are no white space. Every distinct part of the
+batch is encoded once, many of them in one call, and remembered in flat arrays; the
+ids are put together in numpy. They are those of the whole texts; the tests compare
+them. Parts are told apart by 64-bit hashes of their bytes.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 
+from clipframe.llm import words as W
+
 END_ID = 2
-MAX_PARTS = 300_000   # parts remembered twice over: up to about 80 MB in each Python worker
-IRREGULAR = re.compile(r"\s\s|^ | $")
-MARKS = ".,;:!?%$*&#"
-CUT = re.compile(r"(?<=\S) (?=\S)")
+BATCH_BYTES = 3 << 20    # of text that are cut and encoded together
+REMEMBERED = 2_000_000   # parts, at about 30 bytes each
+JOINED = 128             # distinct parts encoded in one text
+
+# Bytes that only occur in characters that are no white space (first bytes, and all of ASCII)
+SAFE_FIRST = np.zeros(256, bool)
+SAFE_FIRST[0x21:0x7F] = True
+SAFE_FIRST[0xC3:0xE0] = True
+UNSAFE = ~SAFE_FIRST
+UNSAFE[0x80:0xC0] = False  # they follow a first byte, which decides
+BLANK, LINE = 0x20, 0x0A
 
 
 def default_path() -> str:
@@ -39,104 +49,159 @@ def worker_state(key: object, make: Callable[[], object]) -> object:
     return holder.__dict__[key]
 
 
-class Parts(dict):
-    """Ids of parts of a text, found when first asked for.
-
-    ``blank`` stands before each part: the byte-level letter of a blank, or nothing
-    for parts at the start of a text or line.
-    """
-
-    def __init__(self, owner: Encoder, blank: str):
-        super().__init__()
-        self.owner, self.blank = owner, blank
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.old.get(part)
-        if ids is None:
-            ids = self.find(part)
-        self[part] = ids
-        return ids
-
-    def find(self, part: str) -> bytes:
-        owner = self.owner
-        if part.isalpha():
-            return owner.piece(self.blank + owner.spelled(part))
-        body = part.rstrip(MARKS)
-        if body.isalpha():  # closing marks are a piece of their own
-            return self[body] + owner.marks[part[len(body):]]
-        before, line, after = part.partition("\n")
-        if before and after and not before[-1].isspace() and not after[0].isspace():
-            return self[before] + owner.line + owner.heads[after]
-        return owner.whole(" " + part if self.blank else part)
-
-    def forget(self, limit: int) -> None:
-        """Beyond the limit, what is not met again goes."""
-        if len(self) > limit:
-            self.old = dict(self)
-            self.clear()
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where parts begin: each row, each fitting blank, and each fitting line feed and what follows it."""
+    size = len(data)
+    if size < 3:
+        return np.unique(offsets[:-1][np.diff(offsets) > 0])
+    here = np.flatnonzero((data[1:-1] == BLANK) | (data[1:-1] == LINE)) + 1
+    before, after = data[here - 1], data[here + 1]
+    two = data[np.maximum(here - 2, 0)]
+    ends = ((before > BLANK) & (before < 0x7F)) | (
+        (before >= 0x80) & (before < 0xC0) & (two >= 0xC3) & (two < 0xE0))
+    edge = np.zeros(size + 1, bool)
+    edge[offsets] = True
+    here = here[ends & SAFE_FIRST[after] & ~edge[here] & ~edge[here + 1]]
+    lines = here[data[here] == LINE]
+    marks = edge[:size]
+    marks[here] = True
+    marks[lines + 1] = True
+    return np.flatnonzero(marks)
+
+
+def part_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    lengths = np.diff(np.append(starts, len(data)))
+    power = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    place = np.arange(len(data)) - np.repeat(starts, lengths)
+    sums = np.add.reduceat(W.BYTE_VALUES[data] * power[place], starts)
+    return W.mix(sums + lengths.astype(np.uint64))
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes, without an end id."""
+    """Encodes batches of texts and remembers the ids of their parts."""
 
-    def __init__(self, path: str, max_parts: int = MAX_PARTS):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text their strings are plain text
-        self.tokenize = self.tokenizer.model.tokenize
-        self.max_parts = max_parts
         # Only of this kind is it known that white space, letters and marks are cut apart
         pre = self.tokenizer.pre_tokenizer
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_parts = (isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex
-                         and not pre.add_prefix_space and self.tokenizer.normalizer is None)
-        if self.by_parts:
-            blank = pre.pre_tokenize_str(" ")[0][0]
-            self.letters: dict[str, str] = {}
-            self.line = self.whole("\n")
-            self.heads, self.inner, self.marks = Parts(self, ""), Parts(self, blank), Parts(self, "")
-            self.marks.find = self.piece
-
-    def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
-
-    def piece(self, letters: str) -> bytes:
-        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
-
-    def spelled(self, word: str) -> str:
-        """The word in the letters that a byte-level model knows bytes by."""
-        if word.isascii():
-            return word
-        letters = self.letters
-        for c in set(word).difference(letters):
-            letters[c] = "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
-        return "".join(map(letters.__getitem__, word))
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_parts:
-            return self.whole(text)
-        parts = CUT.split(text) if IRREGULAR.search(text) else text.split(" ")
-        head = self.heads[parts[0]]
-        self.heads.forget(self.max_parts // 4)
-        self.inner.forget(self.max_parts)
-        return head + b"".join(map(self.inner.__getitem__, parts[1:]))
-
-
-def encoder(path: str) -> Encoder:
-    return worker_state(f"encoder:{path}", lambda: Encoder(path))
-
-
-def encoded(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[bytes]:
-    """Bytes of the ids of each text, end id included; a null text is empty."""
-    tokenizer, end = encoder(path), end_id.to_bytes(4, "little")
-    for text in texts:
-        yield tokenizer.encode(text.as_py()) + end
-
-
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
+                         and not pre.add_prefix_space and self.tokenizer.normalizer is None
+                         and len(line) == 1)
+        self.line = line[0] if line else -1
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes = np.empty(0, np.uint64)  # ascending
+        self.place = np.empty(0, np.int64)    # where the ids of each begin in the pool
+        self.counts = np.empty(0, np.int32)
+        self.pool = np.empty(0, np.uint32)
+
+    def learn(self, hashes: np.ndarray, parts: list[bytes], plain: np.ndarray) -> None:
+        pool, place, counts = self.distinct(parts, plain)
+        at = np.searchsorted(self.hashes, hashes)
+        self.place = np.insert(self.place, at, place + len(self.pool))
+        self.counts = np.insert(self.counts, at, counts)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.pool = np.concatenate([self.pool, pool])
+
+    def unknown(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.hashes[at] != hashes
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def distinct(self, parts: list[bytes], plain: np.ndarray) -> tuple[
+            np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the parts, end to end, and where those of each begin and how many.
+
+        Plain parts have no white space but a blank before them: they are joined by
+        line feeds, each of which is one id of its own between them.
+        """
+        counts = np.zeros(len(parts), np.int64)
+        flat = []
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        n = int(plain.sum())
+        for i in range(0, n, JOINED):
+            mine = order[i:min(i + JOINED, n)]
+            text = b"\n".join([parts[j] for j in mine]).decode()
+            ids = self.whole([text])[0]
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            if len(ends) != len(mine):
+                raise ValueError("the tokenizer does not keep line feeds apart")
+            counts[mine] = np.diff(ends, prepend=-1) - 1
+            flat.append(ids[ids != self.line])
+        for j in order[n:]:
+            ids = self.whole([parts[j].decode()])[0]
+            counts[j] = len(ids)
+            flat.append(ids)
+        starts = np.zeros(len(parts), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate(flat) if flat else np.empty(0, np.uint32), starts, counts
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[
+            np.ndarray, np.ndarray]:
+        """Ids of rows of UTF-8 bytes, each with the end id, and the rows' offsets in them."""
+        rows = len(offsets) - 1
+        if not self.by_parts or not len(data):
+            texts = [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
+            ids = [np.append(x, np.uint32(end_id)) for x in self.whole(texts)]
+            return (np.concatenate(ids).astype(np.uint32) if ids else np.empty(0, np.uint32),
+                    np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64))
+        starts = cuts(data, offsets)
+        hashes = np.concatenate([
+            part_hashes(data[a:b], starts[i:j] - a) for i, j, a, b in spans(starts, len(data))])
+        named, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(named) > REMEMBERED:
+            self.forget()
+        new = np.flatnonzero(self.unknown(named))
+        begin, end = starts[first[new]], np.append(starts, len(data))[first[new] + 1]
+        unsafe = np.concatenate([[0], np.cumsum(UNSAFE[data], dtype=np.int64)])
+        odd = unsafe[end] - unsafe[begin] - (data[begin] == BLANK)
+        parts = [data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist())]
+        self.learn(named[new], parts, (odd == 0) & (end - begin > 1))
+        at = np.searchsorted(self.hashes, named)
+        # each row's parts, then one more with the end id
+        pool, end_part = np.append(self.pool, np.uint32(end_id)), len(named)
+        place = np.append(self.place[at], len(pool) - 1)
+        counts = np.append(self.counts[at], 1)
+        last = np.searchsorted(starts, offsets[1:])
+        sequence = np.insert(which, last, end_part)
+        sizes = counts[sequence]
+        at = np.cumsum(sizes) - sizes
+        ids = pool[np.repeat(place[sequence] - at, sizes) + np.arange(int(sizes.sum()))]
+        ends = at[last + np.arange(rows)] + 1
+        return ids, np.concatenate([[0], ends])
+
+
+def spans(starts: np.ndarray, size: int, limit: int = W.CHUNK_BYTES) -> Iterator[tuple]:
+    """Runs of whole parts of about ``limit`` bytes: ``(part from, to, byte from, to)``."""
+    i = 0
+    while i < len(starts):
+        j = max(int(np.searchsorted(starts, starts[i] + limit)), i + 1)
+        yield i, j, int(starts[i]), int(starts[j]) if j < len(starts) else size
+        i = j
+
+
+def encoded(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[tuple[
+        int, np.ndarray, np.ndarray]]:
+    """``(first row, ids, offsets)`` of runs of texts, end ids included; a null text is empty."""
+    encoder = worker_state(f"encoder:{path}", lambda: Encoder(path))
+    for row, data, offsets in W.chunks(texts, BATCH_BYTES):
+        ids, at = encoder.encode(data, offsets, end_id)
+        yield row, ids, at
+
+
+def crc(ids: np.ndarray) -> int:
+    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4", copy=False))
