@@ -41,8 +41,8 @@ def signatures(texts: pa.Array, k: int, permutations: int) -> np.ndarray:
     return mixed
 
 
-def as_hex(signature: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in signature]
+def as_bytes(signature: np.ndarray) -> pa.Array:
+    return pa.array([row.astype(">u2").tobytes() for row in signature], pa.binary())
 
 
 def _compare(ids: list, own: list[str], after: list[str], k: int,
@@ -56,16 +56,16 @@ def _compare(ids: list, own: list[str], after: list[str], k: int,
     changed = signatures(pa.array(edited, pa.large_string()), k, permutations)
     return pa.RecordBatch.from_arrays([
         pa.array(ids, pa.int64()), pa.array([len(t) for t in own], pa.int64()),
-        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-        pa.array(as_hex(mine)), pa.array(as_hex(changed)),
+        pa.array([hashlib.sha256(t.encode()).digest() for t in edited], pa.binary()),
+        as_bytes(mine), as_bytes(changed),
         pa.array((mine == changed).mean(axis=1)), pa.array((mine == following).mean(axis=1)),
     ], names=RESULT)
 
 
 RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
           "near_edited", "near_next"]
-SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-          "edited_fingerprint string, near_edited double, near_next double")
+SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, "
+          "edited_fingerprint binary, near_edited double, near_next double")
 EDGE = "edge int, first_id bigint, first_text string, last_id bigint, last_text string"
 
 
@@ -102,7 +102,7 @@ def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
                 [*(pa.nulls(1, t) for t in result_types),
                  *(pa.array([v], t) for v, t in zip(row, edge_types))], names=names)
 
-    result_types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(),
+    result_types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
                     pa.float64(), pa.float64()]
     edge_types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()]
     names = RESULT + ["edge", "first_id", "first_text", "last_id", "last_text"]
@@ -129,7 +129,9 @@ def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
                 yield _compare([row["last_id"]], [row["last_text"]], [row["first_text"]],
                                k, permutations)
 
-    return rows.filter("edge is null").select(*RESULT).union(pairs.mapInArrow(ends, SCHEMA))
+    result = rows.filter("edge is null").select(*RESULT).union(pairs.mapInArrow(ends, SCHEMA))
+    return result.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else c
+                           for c, kind in result.dtypes])
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_WORDS,
