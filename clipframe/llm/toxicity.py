@@ -14,7 +14,7 @@ from clipframe.llm import words as W
 from clipframe.llm.common import held_out
 
 BITS = 20
-SAMPLE = 12_000  # labelled documents of each class that are learned from, at most
+SAMPLE = 6_000  # labelled documents of each class that are learned from, at most
 
 
 class Settings(NamedTuple):
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
                     bounds = np.searchsorted(at, words.first)
                     for i, own in enumerate(sets):
                         own.append(values[bounds[i]:bounds[i + 1]])
-                found += [np.unique(np.concatenate(own)).astype(np.int64) for own in sets]
+                found += [np.unique(np.concatenate(own)).astype(np.int32) for own in sets]
             order += batch.column(0).to_pylist()
             y += batch.column(1).to_pylist()
         by_id = np.argsort(np.array(order, np.int64), kind="stable")

@@ -135,7 +135,7 @@ def matches(words: W.Words, index: Index, item_words: np.ndarray) -> tuple[np.nd
     return (mine - left)[enough], (mine + right)[enough], index.item[entry[enough]]
 
 
-RESULT = "struct<n_words:bigint,hits:binary,items:array<string>>"
+RESULT = "struct<n_words:bigint,n_hit:bigint,hits:binary,items:array<string>>"
 
 
 def block_finder(spark, ids: list[str | None], texts: list[str | None], span: int, k: int):
@@ -145,7 +145,7 @@ def block_finder(spark, ids: list[str | None], texts: list[str | None], span: in
     def find(column: pa.Array) -> pa.Array:
         names, item_texts = shared.value
         indexes, item_words = build(pa.array(item_texts, pa.large_string()), span, k)
-        n_words, hits, items = [], [], []
+        n_words, n_hit, hits, items = [], [], [], []
         for _, data, offsets in W.chunks(column):
             words = W.split_words(data, offsets, W.ALPHANUMERIC)
             change = np.zeros(len(words.hashes) + 1, np.int64)
@@ -165,16 +165,19 @@ def block_finder(spark, ids: list[str | None], texts: list[str | None], span: in
             for i in range(len(words.first) - 1):
                 n_words.append(int(words.first[i + 1] - words.first[i]))
                 if dirty[i]:
-                    hits.append(np.packbits(
-                        covered[words.first[i]:words.first[i + 1]]).tobytes())
+                    mask = covered[words.first[i]:words.first[i + 1]]
+                    n_hit.append(int(mask.sum()))
+                    hits.append(np.packbits(mask).tobytes())
                     items.append(sorted({names[j] for j in pairs[1][bounds[i]:bounds[i + 1]]
                                          if names[j] is not None}))
                 else:
+                    n_hit.append(0)
                     hits.append(b"")
                     items.append([])
         return pa.StructArray.from_arrays(
-            [pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()),
-             pa.array(items, pa.list_(pa.string()))], names=["n_words", "hits", "items"])
+            [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+             pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
+            names=["n_words", "n_hit", "hits", "items"])
 
     return F.arrow_udf(find, RESULT)
 
@@ -227,9 +230,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return pa.array(out, pa.int64())
 
     items = F.array_sort(F.array_distinct(F.concat(*[F.col(c)["items"] for c in added])))
-    return docs, {"n_words": F.col(added[0])["n_words"],
-                  "n_hit": F.arrow_udf(merge, "bigint")(*[F.col(c)["hits"] for c in added]),
-                  "items": items}
+    hit = (F.col(added[0])["n_hit"] if len(added) == 1 else
+           F.arrow_udf(merge, "bigint")(*[F.col(c)["hits"] for c in added]))
+    return docs, {"n_words": F.col(added[0])["n_words"], "n_hit": hit, "items": items}
 
 
 def digest(items: list[str]) -> str:
