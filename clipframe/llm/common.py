@@ -10,7 +10,36 @@ from pyspark.sql import functions as F
 from clipframe.session import new_folder
 
 
+ARROW_ROWS = 2_000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send fewer rows to Python at a time, unless the session says how many.
+
+    The default of 10,000 is meant for narrow rows; here a row is a whole text.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system.
+
+    Workers live on after a stage, beside those of the next.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    text_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 

@@ -20,10 +20,11 @@ import numpy as np
 import pyarrow as pa
 
 from clipframe.llm import words as W
+from clipframe.llm.common import give_back
 
 END_ID = 2
 BATCH_BYTES = 3 << 20    # of text that are cut and encoded together
-REMEMBERED = 2_000_000   # parts, at about 30 bytes each
+REMEMBERED = 1_000_000   # parts, at about 30 bytes each
 JOINED = 128             # distinct parts encoded in one text
 
 # Bytes that only occur in characters that are no white space (first bytes, and all of ASCII)
@@ -200,6 +201,7 @@ def encoded(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[tuple[
     for row, data, offsets in W.chunks(texts, BATCH_BYTES):
         ids, at = encoder.encode(data, offsets, end_id)
         yield row, ids, at
+    give_back()
 
 
 def crc(ids: np.ndarray) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.llm import words as W
-from clipframe.llm.common import held_out
+from clipframe.llm.common import give_back, held_out
 
 BITS = 20
 SAMPLE = 6_000  # labelled documents of each class that are learned from, at most
@@ -126,6 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(index, -1)), pa.array(np.append(value, intercept))],
             names=["index", "value"])
+        del found
+        give_back()
 
     rows = sample(docs, labels, limit).repartition(1).mapInArrow(
         learn, "index bigint, value double").toPandas()
