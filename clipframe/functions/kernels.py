@@ -293,8 +293,8 @@ def acoustic_features(samples: np.ndarray, rate: int) -> np.ndarray:
     level = 20 * math.log10(max(rms, 1e-10))
     crossings = float(np.mean(np.signbit(x[1:]) != np.signbit(x[:-1]))) if len(x) > 1 else 0.0
     size = 512
-    if len(x) < size:
-        x = np.pad(x, (0, size - len(x)))
+    hops = -(-max(len(x) - size, 0) // (size // 2))
+    x = np.pad(x, (0, size + hops * (size // 2) - len(x)))  # the last frame holds the tail
     frames = np.lib.stride_tricks.sliding_window_view(x, size)[::size // 2]
     power = np.abs(np.fft.rfft(frames * np.hanning(size), axis=1)) ** 2
     frequency = np.fft.rfftfreq(size, 1.0 / rate)

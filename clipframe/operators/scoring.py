@@ -38,11 +38,11 @@ def macro_f1(df: DataFrame, truth: str = "truth", pred: str = "pred") -> DataFra
 
 def best_epoch(history: DataFrame, run: str = "run", epoch: str = "epoch",
                value: str = "value", greater_is_better: bool = True) -> DataFrame:
-    """``(run, best_epoch, best_value)``; the earliest epoch wins a tie.
+    """``(run, best_epoch, best_value)``; the earliest epoch wins a tie, NaN loses to any value.
 
     A map-side combined ``max_by``, no sort of a run.
     """
-    rank = F.col(value) if greater_is_better else -F.col(value)
+    rank = F.when(~F.isnan(value), F.col(value) if greater_is_better else -F.col(value))
     order = F.struct(rank, (-F.col(epoch)).alias("earlier"))
     return history.groupBy(run).agg(
         F.max_by(epoch, order).alias("best_epoch"), F.max_by(value, order).alias("best_value"))
@@ -51,19 +51,21 @@ def best_epoch(history: DataFrame, run: str = "run", epoch: str = "epoch",
 def early_stop(history: DataFrame, patience: int, run: str = "run", epoch: str = "epoch",
                value: str = "value", greater_is_better: bool = True) -> DataFrame:
     """``(run, stop_epoch)``: the first epoch with ``patience`` epochs without a
-    new best; NULL when training is never stopped.
+    new best; NULL when training is never stopped. NaN is never a new best.
 
     The history has one row per epoch of a run, which is all a window holds.
     """
-    score = F.col(value) if greater_is_better else -F.col(value)
+    score = F.when(~F.isnan(value), F.col(value) if greater_is_better else -F.col(value))
     ordered = Window.partitionBy(run).orderBy(epoch)
     earlier = F.max("__score").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     place = F.row_number().over(ordered)
     marked = history.select(run, epoch, score.alias("__score")).select(
         run, epoch, place.alias("__place"),
-        (earlier.isNull() | (F.col("__score") > earlier)).alias("__better"))
+        (F.col("__score").isNotNull() & (earlier.isNull() | (F.col("__score") > earlier)))
+        .alias("__better"))
     last_best = F.max(F.when(F.col("__better"), F.col("__place"))).over(
         ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    waiting = marked.select(run, epoch, (F.col("__place") - last_best).alias("__waited"))
+    waiting = marked.select(run, epoch, (
+        F.col("__place") - F.coalesce(last_best, F.lit(0))).alias("__waited"))
     return waiting.groupBy(run).agg(
         F.min(F.when(F.col("__waited") >= patience, F.col(epoch))).alias("stop_epoch"))

@@ -109,9 +109,15 @@ def audit_headers(df: DataFrame, sample_rate: int = 16_000, num_channels: int =
         count(F.col("num_frames").isNull()).alias("no_header"))
 
 
-def mean_level(df: DataFrame, dbfs: str = "dbfs", keys: Sequence[str] = ()) -> DataFrame:
-    """Plain mean of clip levels in dB; one silent clip (-inf) makes it -inf."""
-    return df.groupBy(*keys).agg(F.avg(dbfs).alias("mean_dbfs"), F.count(dbfs).alias("n_clips"))
+def mean_level(df: DataFrame, dbfs: str = "dbfs", keys: Sequence[str] = (),
+               rejects: bool = False) -> DataFrame:
+    """Plain mean of clip levels in dB; one silent clip (-inf) makes it -inf.
+
+    ``rejects`` adds ``n_rejected``, the clips without a level.
+    """
+    left_out = [F.count(F.when(F.col(dbfs).isNull(), 1)).alias("n_rejected")] if rejects else []
+    return df.groupBy(*keys).agg(F.avg(dbfs).alias("mean_dbfs"), F.count(dbfs).alias("n_clips"),
+                                 *left_out)
 
 
 def corpus_counts(df: DataFrame, corpus: str = "corpus") -> DataFrame:

@@ -19,13 +19,21 @@ from clipframe.sources.wav import scan_headers
 
 def label_corpora(paths: DataFrame, mode: str = "strict", path_col: str = "wav_file",
                   corpus_col: str = "corpus") -> DataFrame:
-    """``(corpus, wav_file, gender, emotion, label)`` by the rule of each row's corpus."""
+    """``(corpus, wav_file, gender, emotion, label)`` by the rule of each row's corpus.
+
+    A corpus without a rule raises; in quarantine mode its rows have a NULL label.
+    """
     path, corpus = F.col(path_col), F.col(corpus_col)
     gender = emotion = F.when(F.lit(False), F.lit(""))
     for name, rule in L.CORPUS_RULES.items():
         own_gender, own_emotion = rule(path, mode)
         gender = gender.when(corpus == name, own_gender)
         emotion = emotion.when(corpus == name, own_emotion)
+    if mode == "strict":
+        known = corpus.isin(*L.CORPUS_RULES, L.SPLIT_CORPUS)
+        unknown = F.raise_error(F.concat(F.lit("no label rule for corpus "),
+                                         F.coalesce(corpus, F.lit("NULL"))))
+        gender = F.when(F.coalesce(known, F.lit(False)), gender).otherwise(unknown)
     composed = L.with_label(paths.select(corpus_col, path_col), gender, emotion)
     return composed.withColumn("label", F.when(
         corpus == L.SPLIT_CORPUS, L.suffix_label(path)).otherwise(F.col("label")))
@@ -37,7 +45,7 @@ def metadata_tables(paths: DataFrame, seed: int = 42, dev_share: float = 0.2,
     train the rest of it and every other corpus."""
     labelled = label_corpora(paths, mode).select("corpus", "wav_file", "label")
     inside = labelled.filter(F.col("corpus") == split_corpus)
-    others = labelled.filter(F.col("corpus") != split_corpus)
+    others = labelled.filter(~F.col("corpus").eqNullSafe(split_corpus))
     divided = split.stratified_split(inside, "label", "wav_file", dev_share, seed)
     return divided.unionByName(others.withColumn("split", F.lit("train")))
 
@@ -48,14 +56,23 @@ def build_metadata(spark: SparkSession, base_dir: str, train_out: str, dev_out:
                    corpora: Sequence[str] = L.CORPORA) -> DataFrame:
     """Scan the corpora below ``<base>/train`` and write the train and dev CSVs.
 
-    Returns row counts per corpus, checked against the scan. ``clips_out`` also
-    stores the dev clips with their bytes; ``rejects_out`` the names without a
-    label (quarantine mode).
+    Returns ``(corpus, n, n_train, n_dev, n_rejected)``; ``n`` is checked against the
+    scan and the rest says what was written. ``clips_out`` also stores the dev clips
+    with their bytes; ``rejects_out`` the names without a label (quarantine mode),
+    which raise where it is not given.
     """
     paths = scan.scan_corpora(spark, base_dir, corpora)
     table = scan.materialise(metadata_tables(paths, mode=mode), "metadata")
-    counts = stats.assert_counts(stats.corpus_counts(paths), table)
     labelled = F.col("label").isNotNull()
+    parts = table.groupBy("corpus").agg(
+        *[F.count(F.when(labelled & (F.col("split") == s), 1)).alias(f"n_{s}")
+          for s in ("train", "dev")], F.count(F.when(~labelled, 1)).alias("n_rejected"))
+    counts = scan.materialise(stats.assert_counts(stats.corpus_counts(paths), table)
+                              .join(parts, "corpus").withColumn("n", F.when(
+                                  F.expr("n = n_train + n_dev + n_rejected"), F.col("n"))
+                                  .otherwise(F.raise_error(F.lit("rows of no side")))), "counts")
+    if not rejects_out and not counts.filter("n_rejected > 0").isEmpty():
+        raise ValueError("some names have no label; give rejects_out to keep them")
     for side, out in (("train", train_out), ("dev", dev_out)):
         part = table.filter((F.col("split") == side) & labelled)
         sinks.write_csv(part.select("wav_file", "label"), out)
@@ -124,8 +141,9 @@ def dataset_stats(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame,
 
 
 def mean_dbfs(spark: SparkSession, root: str) -> DataFrame:
-    """Mean clip level below ``root``: the target of the gain normalisation."""
-    return stats.mean_level(signal.clip_loudness(scan.scan_clips(spark, root)))
+    """``(mean_dbfs, n_clips, n_rejected)`` below ``root``: the target of the gain normalisation."""
+    loud = signal.clip_loudness(scan.scan_clips(spark, root))
+    return stats.mean_level(loud, rejects=True)
 
 
 def resolve_paths(df: DataFrame, base_dir: str = "", path_col: str = "wav_file") -> DataFrame:
@@ -149,16 +167,18 @@ def fit(train: DataFrame, dev: DataFrame, spec: preprocess.ClipSpec, base_dir: s
     """Fit on the train metadata, choose by macro-F1 on the dev metadata.
 
     The features of either side are written once. Returns the model and the
-    metric history, sample counts included.
+    metric history, counts of samples and of rejected clips included.
     """
     dictionary = label_dictionary(train)
-    sides = {}
+    sides, rejects = {}, {}
     for name, metadata in (("train", train), ("dev", dev)):
         table = scan.materialise(
             training_features(metadata, dictionary, spec, base_dir), f"features-{name}")
-        sides[name], _ = split_rejects(table)
+        sides[name], rejects[name] = split_rejects(table)
     best, history = model.select_model(sides["train"], sides["dev"], reg_params)
-    counts = [("fit", 0, name, "samples", float(side.count())) for name, side in sides.items()]
+    counts = [("fit", 0, name, what, float(side.count()))
+              for what, part in (("samples", sides), ("rejected", rejects))
+              for name, side in part.items()]
     history = history.unionByName(
         history.sparkSession.createDataFrame(counts, model.HISTORY_SCHEMA))
     if model_out:

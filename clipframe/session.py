@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,11 +37,15 @@ def build_session(app: str = "clipframe", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names for checkpoints.
 
-    Only where none is named (tests, a laptop) a temporary one is made.
+    Only where none is named and everything runs in one process (tests, a laptop) a
+    temporary one is made; on a cluster a missing name is an error, because each
+    executor would write to its own disk.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="clipframe-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

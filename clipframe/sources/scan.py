@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -29,12 +28,15 @@ def scan_clips(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
                max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """``(path, length, content)`` of every matching file below the roots.
 
-    Hidden names (leading ``.`` or ``_``) are skipped. Files over ``max_bytes``
-    are left out by a filter the source applies before reading; ``oversized``
-    lists them.
+    Hidden names (leading ``.`` or ``_``) are skipped. A file over ``max_bytes`` keeps
+    its row, with NULL content and a ``load_error``; its bytes are never read.
     """
     files = _files(spark, roots, pattern).filter(F.col("length") <= max_bytes)
-    return files.select("path", "length", "content")
+    read = files.select("path", "length", "content", F.lit(None).cast("string").alias("load_error"))
+    large = oversized(spark, roots, pattern, max_bytes)
+    return read.unionByName(large.select(
+        "path", "length", F.lit(None).cast("binary").alias("content"),
+        F.col("error").alias("load_error")))
 
 
 def oversized(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav",
@@ -50,6 +52,13 @@ def scan_paths(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
     return _files(spark, roots, pattern).select(F.col("path").alias(path_col))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as the file sources report it: scheme and all, without a last slash."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop.getFileSystem(conf).makeQualified(hadoop).toString().rstrip("/")
+
+
 def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
                  train_dir: str = "train", path_col: str = "wav_file") -> DataFrame:
     """One scan of ``<base>/<train>/<corpus>/**`` -> ``(corpus, wav_file)``.
@@ -58,7 +67,7 @@ def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
     below ``<base>/<train>/``.
     """
     given = f"{base_dir.rstrip('/')}/{train_dir}/"
-    full = given if "://" in given or given.startswith("file:") else os.path.abspath(given) + "/"
+    full = qualified(spark, given) + "/"
     paths = scan_paths(spark, [given + name for name in corpora], path_col="__path")
     below = F.substring_index("__path", full, -1)
     return paths.select(F.split(below, "/")[0].alias("corpus"),
@@ -76,7 +85,7 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
     """
     if clips_per_task:
         tasks = max(1, -(-df.count() // clips_per_task))
-        df = df.repartition(tasks, path_col)
+        df = df.repartition(tasks)  # round-robin: many rows may lack a path
     schema = T.StructType([
         *df.schema.fields,
         T.StructField("length", T.LongType()),
@@ -109,7 +118,7 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
                 data, error = None, None
                 try:
                     data = fetch(path)
-                except Exception as exc:  # the row is kept with its reason
+                except FileNotFoundError as exc:  # the row is kept; other faults are retried
                     error = f"cannot read file: {type(exc).__name__}"
                 content.append(data)
                 errors.append(error)

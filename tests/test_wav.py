@@ -94,8 +94,9 @@ def test_scan_rules(spark, tmp_path, wav_cases):
     found = scan.scan_paths(spark, str(tmp_path)).collect()
     ends = sorted(os.path.relpath(r.wav_file.removeprefix("file:"), tmp_path) for r in found)
     assert ends == sorted(["a.wav", "deep/er/b.wav", "sp ace %41/c d%20.wav", "big.wav"])
-    small = scan.scan_clips(spark, str(tmp_path), max_bytes=1_000)
-    assert small.count() == 3
+    clips = scan.scan_clips(spark, str(tmp_path), max_bytes=1_000).collect()
+    assert len(clips) == 4 and sum(bytes(r.content or b"") == data for r in clips) == 3
+    assert [(r.content, r.load_error) for r in clips if r.load_error] == [(None, "file too large")]
     assert [r.error for r in scan.oversized(spark, str(tmp_path), max_bytes=1_000).collect()] == [
         "file too large"]
     loaded = scan.load_clips(scan.scan_paths(spark, str(tmp_path)), "wav_file", clips_per_task=2)
