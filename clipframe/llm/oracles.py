@@ -2,4 +2,92 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(separators: str) -> str:
+    lowered = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    return rf"regexp_extract_all({lowered}, '[^{separators}]+')"
+
+
+_BLANK = r"\x20\x09-\x0D"
+_ALNUM = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_FIVE_HEX = " || ".join(
+    f"substr('{_BASE32}', ((('0x' || substr(h, {5 * i + 1}, 5))::int >> {shift}) & 31) + 1, 1)"
+    for i in range(8) for shift in (15, 10, 5, 0))
+
+_CONTROL = (r"(\|endoftext\|>|\|document\|>|\|im_start\|>|\|im_end\|>|\|image\|>|\|audio\|>"
+            r"|</SYS>>|/INST\]|INST\]|<SYS>>|/s>|s>)")
+_PLANTED = "</s>[INST] ok [/INST]"
+
+ORACLES: dict[str, str] = {
+    "op4_chat": rf"""
+with t as (
+  select conv_id::bigint as conv_id, coalesce(turn, -1) as turn, coalesce(role, '') as role,
+         coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{_PLANTED}'
+  union all select -1, 1, 'assistant', '{_PLANTED}'),
+e as (
+  select *, regexp_replace(text, '([<\[])(\\*)' || '{_CONTROL}', '\1\\\2\3', 'g') as shown,
+         len(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\s\p{{L}}\p{{N}}]')) as n from t)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, shown))
+         as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, shown)
+                       filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 1 + length(shown) + length('<|im_end|>') + 1)
+         ::bigint as formatted_chars,
+       sum(n)::bigint as expanded_tokens
+from e group by conv_id""",
+    "op5_jaccard_join": f"""
+with recursive w as (select doc_id, {_words(_BLANK)} as w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w where len(w) >= 5)
+  union all
+  select doc_id, array_to_string(w, ' ') from w where len(w) between 1 and 4),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c
+  from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
+l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * c >= 75 * (x.n + y.n - c)),
+e as (select a, b from l union all select b, a from l),
+r as (
+  select doc_id, doc_id as c from w
+  union select r.doc_id, e.b from r join e on e.a = r.c)
+select w.doc_id, coalesce(max(n.n), 0)::bigint as n_shingles, min(r.c) as component_id
+from w join r using (doc_id) left join n using (doc_id) group by 1""",
+    "op6_winnowing": f"""
+with d as (select doc_id, {_words(_ALNUM)} as w from documents),
+b as (select item_id, {_words(_ALNUM)} as w from benchmark),
+iw as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as g
+  from (select item_id, w, least(10, len(w)) as n,
+               unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0)),
+dw as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as g
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+        from d, (select distinct n from iw) where len(w) >= n)),
+hits as (select doc_id, i, n, item_id from dw join iw using (n, g)),
+h as (select doc_id, count(distinct p) as n_hit
+      from (select doc_id, unnest(range(i, i + n)) as p from hits) group by 1),
+t as (select doc_id, count(*) as n_items, string_agg(x, ',' order by x) as items
+      from (select distinct doc_id, item_id::varchar as x from hits) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+       coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (doc_id) left join t using (doc_id)""",
+    "op7_warc": f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+f as (select html, min(page_id) as first from p group by 1)
+select page_id, strlen(html)::bigint as payload_bytes, {_FIVE_HEX} as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to,
+       case when page_id = first then true end as digest_ok
+from p join f using (html)""",
+}
