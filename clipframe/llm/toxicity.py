@@ -18,11 +18,11 @@ SAMPLE = 6_000  # labelled documents of each class that are learned from, at mos
 
 
 class Settings(NamedTuple):
-    alpha: float = 0.5
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 0.1
-    passes: int = 3
+    l1: float = 4.0
+    l2: float = 0.0
+    passes: int = 8
     bits: int = BITS
 
 
