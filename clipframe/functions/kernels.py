@@ -201,9 +201,15 @@ def mix32(state: np.ndarray) -> np.ndarray:
 
 
 def counter_normals(row_seed: int, count: int) -> np.ndarray:
-    """Standard normals number 0..count-1 of a row: depends on nothing else."""
+    """Standard normals number 0..count-1 of a row: depends on nothing else.
+
+    The high word of the 64-bit seed moves the counter, the low one keys what comes of
+    it, so rows whose counters overlap still have unrelated noise.
+    """
+    high, low = np.uint64(row_seed >> 32), np.uint64(row_seed & 0xFFFFFFFF)
     counter = np.arange(2 * count, dtype=np.uint64) * np.uint64(0x9E3779B9)
-    uniform = (mix32((counter + np.uint64(row_seed)) & np.uint64(0xFFFFFFFF)) + 0.5) / 2.0 ** 32
+    once = mix32((counter + high) & np.uint64(0xFFFFFFFF)).astype(np.uint64)
+    uniform = (mix32((once + low) & np.uint64(0xFFFFFFFF)) + 0.5) / 2.0 ** 32
     return np.sqrt(-2.0 * np.log(uniform[0::2])) * np.cos(2.0 * np.pi * uniform[1::2])
 
 

@@ -35,7 +35,7 @@ def _draws(batch: ClipBatch, name: str, key_col: str, seed: int, epoch: int,
             continue
         digest = row_digest(seed, epoch, name, keys[i])
         if digest_uniform(digest, 0) < p:
-            yield i, digest_uniform(digest, 8), int(digest[16:24], 16)
+            yield i, digest_uniform(digest, 8), int(digest[16:32], 16)
 
 
 def gaussian(min_amplitude: float, max_amplitude: float, p: float = 0.5, *, key_col: str,

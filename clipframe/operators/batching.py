@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import accumulate
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, pairwise
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipframe.session import pin
 
@@ -70,6 +73,52 @@ def pad_target(df: DataFrame, length: Column, padding: bool | str = True,
     return df.withColumn(name, F.greatest(target, length).cast("int"))
 
 
+def by_batch(plan: DataFrame, batches_per_task: int) -> DataFrame:
+    """Narrow plan rows in tasks of whole, adjacent batches, sorted by batch and place."""
+    batches = (plan.agg(F.max("batch_id")).first()[0] or 0) + 1
+    cores = plan.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-batches // batches_per_task), min(batches, cores))
+    return plan.repartitionByRange(tasks, "batch_id").sortWithinPartitions("batch_id", "pos")
+
+
+def stack_adjacent(padded: DataFrame, key: str, labels: str | None = "label_id",
+                   error: str | None = "error") -> DataFrame:
+    """As :func:`stack_batches` for rows of ``preprocess`` by path: no shuffle.
+
+    The rows of a batch follow each other in one task, in order of ``pos``; one batch is
+    held at a time.
+    """
+    good = padded.filter(F.col(error).isNull()) if error else padded
+    columns = [key, "input_values", "attention_mask", *([labels] if labels else [])]
+    narrow = good.select("batch_id", *columns)
+    schema = T.StructType([narrow.schema["batch_id"], *[
+        T.StructField(c, T.ArrayType(narrow.schema[c].dataType)) for c in columns]])
+
+    def stacked(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        ends = pa.array([0, whole.num_rows], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [whole.column(0)[:1], *[pa.ListArray.from_arrays(ends, c) for c in whole.columns[1:]]],
+            names=schema.names)
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for table in tables:
+            ids = table.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for start, end in pairwise(cuts):
+                part = table.slice(start, end - start)
+                if held and part.num_rows and held[0].column(0)[0] != part.column(0)[0]:
+                    yield stacked(held)
+                    held = []
+                if part.num_rows:
+                    held.append(part)
+        if held:
+            yield stacked(held)
+
+    return narrow.mapInArrow(run, schema)
+
+
 def stack_batches(padded: DataFrame, key: str, labels: str | None = "label_id",
                   error: str | None = "error") -> DataFrame:
     """Padded rows -> one row per batch, clips in order of ``pos``.

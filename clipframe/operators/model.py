@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,3 +122,8 @@ def select_model(train: DataFrame, dev: DataFrame, reg_params: Sequence[float] =
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_labels(spark: SparkSession, path: str) -> DataFrame:
+    """``(label, label_id)`` as stored with the model."""
+    return spark.read.parquet(f"{path}/labels")

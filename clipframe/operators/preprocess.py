@@ -1,4 +1,4 @@
-"""The clip pre-processing chain: plan batches from headers, then one Python pass."""
+"""The clip pre-processing chain: plan batches from headers, then one pass over the audio."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from clipframe.operators import clips as C
 from clipframe.operators.augment import DEFAULT_AUGMENTATIONS, compose
-from clipframe.operators.batching import assign_batches, pad_target
+from clipframe.operators.batching import assign_batches, by_batch, pad_target
 from clipframe.operators.encode import encode_labels
-from clipframe.sources.scan import materialise
-from clipframe.sources.wav import scan_headers
+from clipframe.sources.scan import load_clips, materialise
+from clipframe.sources.wav import scan_header_files, scan_headers
 
 
 @dataclass(frozen=True)
@@ -50,20 +50,25 @@ class ClipSpec:
         return chain
 
 
-def clip_lengths(clips: DataFrame, spec: ClipSpec, keep: Sequence[str]) -> DataFrame:
+def clip_lengths(clips: DataFrame, spec: ClipSpec, keep: Sequence[str],
+                 path_col: str | None = None) -> DataFrame:
     """``keep, num_samples, error``: length of each clip at the target rate.
 
     Read from the headers; an ingested clip table has them as columns, and then
-    no audio is read. Only with gain normalisation are samples decoded, since a
-    silent clip is known by its samples alone.
+    no audio is read; files named in ``path_col`` are read by range. Only where gain
+    normalisation meets padding to the longest are samples decoded: a silent clip is
+    known by its samples alone, and its length must not count.
     """
-    if spec.apply_dbfs_norm:
+    if spec.apply_dbfs_norm and spec.padding in (True, "longest"):
+        if path_col:
+            clips = load_clips(clips, path_col)
         steps = [C.decode_pcm(), C.gain_to(spec.target_dbfs, spec.on_silence)]
         sized = C.run_steps(clips, steps, keep, ["num_frames", "sample_rate", "error"])
     else:
         known = ["load_error"] if "load_error" in clips.columns else []
         headers = ["num_frames", "sample_rate", "error"]
         sized = (clips.select(*keep, *known, *headers) if set(headers) <= set(clips.columns)
+                 else scan_header_files(clips, path_col, [*keep, *known]) if path_col
                  else scan_headers(clips, [*keep, *known]))
         sized = sized.withColumn("error", F.coalesce(
             *known, "error", F.when(F.col("num_frames") == 0, "no samples")))
@@ -81,15 +86,15 @@ def require_unique(df: DataFrame, key: str) -> None:
 
 def plan_batches(clips: DataFrame, spec: ClipSpec, key: str = "path",
                  dictionary: DataFrame | None = None, label: str = "label",
-                 keep: Sequence[str] = ()) -> DataFrame:
+                 keep: Sequence[str] = (), path_col: str | None = None) -> DataFrame:
     """Narrow table ``(key, keep, batch_id, pos, pad_to, label_id, plan_error)``.
 
     Batches are cut over all rows in key order, before any row is rejected; the
     pad target counts the rows that succeed. The lengths are written to the shared
     folder first, so the audio is looked at once however often they are used.
     """
-    columns = [key, *keep, *([label] if dictionary is not None else [])]
-    sized = materialise(clip_lengths(clips, spec, columns), "lengths")
+    columns = list(dict.fromkeys([key, *keep, *([label] if dictionary is not None else [])]))
+    sized = materialise(clip_lengths(clips, spec, columns, path_col), "lengths")
     require_unique(sized, key)
     if dictionary is not None:
         sized = encode_labels(sized, dictionary, label)
@@ -104,8 +109,9 @@ def plan_batches(clips: DataFrame, spec: ClipSpec, key: str = "path",
 
 def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
                dictionary: DataFrame | None = None, label: str = "label",
-               split_col: str | None = None, augment: bool = False) -> DataFrame:
-    """WAV bytes -> padded batches, one row per clip.
+               split_col: str | None = None, augment: bool = False,
+               path_col: str | None = None, batches_per_task: int = 256) -> DataFrame:
+    """WAV bytes or files -> padded batches, one row per clip.
 
     ``batch_id, pos, key, input_values, attention_mask, n_valid, [label_id], error``.
     With a ``dictionary`` the labels are encoded (training form); without, only
@@ -113,15 +119,22 @@ def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
     ``split_col`` is ``train``. A row that fails keeps its place and its reason;
     ``split_rejects`` separates it.
 
-    The audio is shuffled once, as stored bytes, to meet its plan row. The plan
-    side is hashed, so the audio is not sorted.
+    With ``path_col`` the rows name files and hold no bytes: the narrow plan is cut into
+    tasks of whole batches, each opens its files, and no audio is shuffled;
+    ``stack_adjacent`` can follow. Without, the audio of the table is shuffled once, as
+    stored bytes, to meet its plan row.
     """
     extra = [split_col] if split_col else []
-    plan = plan_batches(clips, spec, key, dictionary, label, extra)
-    audio = clips.select(key, "content")
-    joined = audio.join(plan.hint("shuffle_hash"), key)
-    # planned failures need no decoding
-    joined = joined.withColumn("content", F.when(F.col("plan_error").isNull(), F.col("content")))
+    planned = F.col("plan_error").isNull()  # planned failures need no reading or decoding
+    if path_col:
+        named = [] if path_col == key else [path_col]
+        plan = plan_batches(clips, spec, key, dictionary, label, [*extra, *named], path_col)
+        rows = by_batch(plan, batches_per_task).withColumn("__path", F.when(planned, F.col(path_col)))
+        joined = load_clips(rows, "__path")
+    else:
+        plan = plan_batches(clips, spec, key, dictionary, label, extra)
+        joined = clips.select(key, "content").join(plan, key).withColumn(
+            "content", F.when(planned, F.col("content")))
     ids = ["label_id"] if dictionary is not None else []
     keep = [key, "batch_id", "pos", *ids, "plan_error"]
     steps = [*spec.steps(key, split_col, augment), C.pad("pad_to")]

@@ -15,7 +15,8 @@ from clipframe.operators.clips import split_rejects
 from clipframe.operators.encode import encode_labels, label_dictionary
 from clipframe.operators.features import clip_features
 from clipframe.sources import scan, sinks, tables
-from clipframe.sources.wav import scan_headers
+from clipframe.sources.wav import HEADER_FIELDS, scan_header_files, scan_headers
+
 
 def label_corpora(paths: DataFrame, mode: str = "strict", path_col: str = "wav_file",
                   corpus_col: str = "corpus") -> DataFrame:
@@ -112,14 +113,35 @@ def label_annotated(clips: DataFrame, turns: DataFrame, mode: str = "strict",
     return L.with_label(kept, *[F.when(good, f) for f in fields]).select(*columns, "error")
 
 
-def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict") -> DataFrame:
-    """Dialog corpus below ``root``: clips, their headers and annotation files."""
-    headers = scan_headers(scan.scan_clips(spark, root))
+def clip_headers(spark: SparkSession, source: DataFrame | str) -> DataFrame:
+    """``(path, num_frames, sample_rate, num_channels, bits, error)`` of every clip.
+
+    The files of a folder are read by range; an ingested table has the headers as
+    columns; of any other clip table the bytes are looked at.
+    """
+    if isinstance(source, str):
+        return scan_header_files(scan.scan_paths(spark, source, path_col="path"))
+    names = [f.name for f in HEADER_FIELDS]
+    if set(names) <= set(source.columns):
+        return source.select("path", *names)
+    return scan_headers(source)
+
+
+def _clips(spark: SparkSession, source: DataFrame | str) -> DataFrame:
+    return scan.scan_clips(spark, source) if isinstance(source, str) else source
+
+
+def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict",
+                     clips: DataFrame | None = None) -> DataFrame:
+    """Dialog corpus: annotation files below ``root``; clips there too, or in a table."""
+    headers = clip_headers(spark, root if clips is None else clips)
+    paths = (scan.scan_paths(spark, root) if clips is None
+             else clips.select(F.col("path").alias("wav_file")))
     clips = headers.select(F.col("path").alias("wav_file"), duration_seconds(
         F.col("num_frames"), F.col("sample_rate")).alias("duration_s"))
     path = F.col("wav_file")
-    keys = scan.scan_paths(spark, root).select(L.iemocap_session(path, mode).alias("session"),
-                                               L.iemocap_dialog(path).alias("dialog"))
+    keys = paths.select(L.iemocap_session(path, mode).alias("session"),
+                        L.iemocap_dialog(path).alias("dialog"))
     files = tables.scan_annotation_files(spark, root)
     missing = joins.missing_annotations(keys, files, ["session", "dialog"]).limit(5).collect()
     if missing and mode == "strict":
@@ -129,9 +151,10 @@ def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict") -> Da
     return label_annotated(clips, turns, mode)
 
 
-def dataset_stats(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(durations, formats, audit)`` of every clip below ``root``."""
-    headers = scan.materialise(scan_headers(scan.scan_clips(spark, root)), "headers")
+def dataset_stats(spark: SparkSession, source: DataFrame | str
+                  ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(durations, formats, audit)`` of every clip of a folder or clip table."""
+    headers = scan.materialise(clip_headers(spark, source), "headers")
     timed = headers.withColumn("duration_s", duration_seconds(
         F.col("num_frames"), F.col("sample_rate")))
     return (stats.duration_stats(timed),
@@ -140,9 +163,10 @@ def dataset_stats(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame,
             stats.audit_headers(headers))
 
 
-def mean_dbfs(spark: SparkSession, root: str) -> DataFrame:
-    """``(mean_dbfs, n_clips, n_rejected)`` below ``root``: the target of the gain normalisation."""
-    loud = signal.clip_loudness(scan.scan_clips(spark, root))
+def mean_dbfs(spark: SparkSession, source: DataFrame | str) -> DataFrame:
+    """``(mean_dbfs, n_clips, n_rejected)`` of a folder or clip table: the target of the
+    gain normalisation."""
+    loud = signal.clip_loudness(_clips(spark, source))
     return stats.mean_level(loud, rejects=True)
 
 
@@ -182,23 +206,26 @@ def fit(train: DataFrame, dev: DataFrame, spec: preprocess.ClipSpec, base_dir: s
     history = history.unionByName(
         history.sparkSession.createDataFrame(counts, model.HISTORY_SCHEMA))
     if model_out:
-        sinks.write_model(best, model_out)
+        sinks.write_model(best, model_out, dictionary)
     if metrics_out:
         sinks.append_metrics(history, metrics_out)
     return best, history
 
 
-def predict(spark: SparkSession, test_root: str, train_metadata: DataFrame,
-            fitted: PipelineModel | str, spec: preprocess.ClipSpec,
-            out: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Label every clip below ``test_root``: ``(predictions, rejected)``.
+def predict(spark: SparkSession, source: DataFrame | str, fitted: PipelineModel | str,
+            spec: preprocess.ClipSpec, out: str | None = None,
+            dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Label every clip of a folder or clip table: ``(predictions, rejected)``.
 
-    Predictions are ``(wav_file, label)`` with base names, as in the CSV.
+    Predictions are ``(wav_file, label)`` with base names, as in the CSV. The labels
+    are those stored with the model; a model that is not stored needs ``dictionary``.
     """
     if isinstance(fitted, str):
+        dictionary = model.load_labels(spark, fitted) if dictionary is None else dictionary
         fitted = model.load_model(fitted)
-    dictionary = label_dictionary(train_metadata)
-    features = scan.materialise(clip_features(scan.scan_clips(spark, test_root), spec), "features")
+    elif dictionary is None:
+        raise ValueError("give the dictionary of a model that is not stored")
+    features = scan.materialise(clip_features(_clips(spark, source), spec), "features")
     good, rejected = split_rejects(features)
     labelled = model.predicted_labels(model.predict(fitted, good), dictionary)
     predictions = labelled.select(base_name(F.col("path")).alias("wav_file"), "label")

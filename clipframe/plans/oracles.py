@@ -296,6 +296,19 @@ select round(avg(f1), 8) as macro_f1, count(*) as n_classes, sum(support)::bigin
 from ({_class_scores(source, truth, pred)})"""
 
 
+def _mixed(source: str, name: str) -> str:
+    """CTE ``name``: the 32-bit finaliser applied to columns ``a`` and ``b`` of ``source``."""
+    def step(column: str, shift: int, factor: int) -> str:
+        folded = f"xor({column}::bigint, {column}::bigint >> {shift})::hugeint"
+        return f"{folded} * {factor} % 4294967296 as {column}"
+
+    def both(shift: int, factor: int) -> str:
+        return f"select * replace ({step('a', shift, factor)}, {step('b', shift, factor)})"
+
+    return (f"{name} as ({both(16, 1)} from ({both(13, 3266489909)} from "
+            f"({both(16, 2246822507)} from {source})))")
+
+
 HISTORY = """
 select event_type as run, datediff('day', date '2024-01-01', ts::date)::int as epoch,
        round(avg(value), 6) as value
@@ -306,6 +319,8 @@ select vec_id, list_transform(range(10), lambda c: list_sum(list_transform(
          range(64 // 10 + case when c < 64 % 10 then 1 else 0 end),
          lambda k: embedding[(c + 10 * k + 1)::int]::double))) as z from embeddings"""
 
+DURATIONS = _durations(f"select frames / rate::double as s from ({HEADERS})", "s")
+
 ORACLES = {
     "label_coraa": LABEL_CORAA,
     "label_baved": LABEL_BAVED,
@@ -333,6 +348,13 @@ where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "union_corpora": UNION,
     "union_counts": f"select corpus, count(*) as n from ({UNION}) group by 1",
     "build_metadata": METADATA,
+    "build_metadata_files": f"""
+select split as side, 'CORAA_SER' as corpus, label, count(*) as n
+from ({_split(LABEL_CORAA, "label", "wav_file", "wav_file, label")}) group by 1, 2, 3
+union all
+select case when lang = 'fr' then 'rejects' else 'train' end, 'BAVED',
+       case when lang = 'fr' then null when doc_id % 3 = 1 then 'neutral'
+            else 'non-neutral-male' end, count(*) from documents group by 1, 2, 3""",
     "class_counts": f"select corpus, label, count(*) as n from ({UNION}) group by 1, 2",
     "path_join": """
 select page_id, p as no_base, 'data/test/' || p as plain, 'data/test/' || p as slash,
@@ -361,7 +383,8 @@ with ids as (
   from (select distinct source from documents where doc_id in (select doc_id from labels)))
 select doc_id, source, label_id,
        case when label_id is null then 'unknown label' end as label_error
-from documents left join ids using (source)""",
+from (select doc_id, source from documents
+      union all select -1 - event_id, event_type from events) left join ids using (source)""",
     "label_decode": """
 with ids as (select lang, (row_number() over (order by lang) - 1)::int as label_id
              from (select distinct lang from documents))
@@ -373,6 +396,34 @@ select doc_id, label_id, lang from documents join ids using (lang)""",
     "wav_header": f"""
 select doc_id, frames as num_frames, rate::int as sample_rate, ch::int as num_channels,
        bits::int as bits, null::varchar as error from ({HEADERS})""",
+    "wav_header_files": f"""
+select doc_id, frames as num_frames, rate::int as sample_rate, ch::int as num_channels,
+       bits::int as bits, null::varchar as error from ({HEADERS})""",
+    "dataset_stats_job": " union all ".join(
+        f"select *, '{form}' as form from ({DURATIONS})" for form in ("folder", "table")),
+    "mean_dbfs_job": f"""
+with {LEVELS}
+select form, round(avg(dbfs), 6) as mean_dbfs, count(dbfs) as n_clips, count(error) as n_rejected
+from (select *, unnest(['folder', 'table']) as form from levels) group by 1""",
+    "predict_job": f"select doc_id, coalesce({ERROR}, 'label') as outcome from ({HEADERS})",
+    "fit_evaluate": f"""
+select (select count(distinct label) from embeddings) as n_classes, count(*) as n_rows,
+       true as is_share
+from ({_split("select vec_id, label from embeddings", "label", "vec_id", "vec_id")})
+where split = 'dev'""",
+    "odd_clips": f"""
+with {LEVELS},
+kinds as (
+  select doc_id * 4 as clip_id, case when frames = 0 then 'no samples' when dbfs = '-inf'::double
+         then 'silent clip has no gain' end as error, (frames * 16000 + rate - 1) // rate as n
+  from levels
+  union all select doc_id * 4 + 1, case when nbytes < 2 then 'no samples'
+                                        else 'silent clip has no gain' end, null from levels
+  union all select doc_id * 4 + 2, 'no samples', null from levels
+  union all select doc_id * 4 + 3, 'not a RIFF/WAVE file', null from levels)
+select clip_id, r // 4 as batch_id, (r % 4)::int as pos,
+       case when error is null then n::int end as n_valid, error
+from (select *, row_number() over (order by clip_id) - 1 as r from kinds)""",
     "distinct_formats": f"""
 select 'sample_rate' as attribute, rate::bigint as value, count(*) as n_clips
 from ({HEADERS}) group by 2
@@ -449,24 +500,22 @@ z as (select w.vec_id, m, n, ((x - mu) / sqrt(var + 1e-7))::float::double as z
 select vec_id, round(max(case when m = 1 then z end), 5) as first,
        round(max(case when m = n then z end), 5) as last, round(sum(abs(z)), 4) as absolute
 from z group by 1""",
-    "noise_augment": """
+    "noise_augment": f"""
 with digests as (select *, md5('42:0:gaussian:' || vec_id) as h from embeddings),
 drawn as (
   select vec_id, embedding, ('0x' || h[1:8])::bigint / 4294967296.0::double < 0.25 as hit,
          0.0001::double + (0.001::double - 0.0001::double)
            * (('0x' || h[9:16])::bigint / 4294967296.0::double) as amplitude,
-         ('0x' || h[17:24])::hugeint as seed from digests),
-waves as (select vec_id, hit, amplitude, seed, unnest(embedding)::double as x,
+         ('0x' || h[17:24])::hugeint as high, ('0x' || h[25:32])::hugeint as low from digests),
+waves as (select vec_id, hit, amplitude, high, low, unnest(embedding)::double as x,
                  (generate_subscripts(embedding, 1) - 1)::hugeint as i from drawn),
-s0 as (select *, (seed + 2 * i * 2654435769) % 4294967296 as a,
-              (seed + (2 * i + 1) * 2654435769) % 4294967296 as b from waves),
-s1 as (select *, xor(a::bigint, a::bigint >> 16)::hugeint * 2246822507 % 4294967296 as a1,
-              xor(b::bigint, b::bigint >> 16)::hugeint * 2246822507 % 4294967296 as b1 from s0),
-s2 as (select *, xor(a1::bigint, a1::bigint >> 13)::hugeint * 3266489909 % 4294967296 as a2,
-              xor(b1::bigint, b1::bigint >> 13)::hugeint * 3266489909 % 4294967296 as b2 from s1),
-uniforms as (
-  select *, (xor(a2::bigint, a2::bigint >> 16) + 0.5::double) / 4294967296.0::double as u1,
-            (xor(b2::bigint, b2::bigint >> 16) + 0.5::double) / 4294967296.0::double as u2 from s2),
+started as (select *, (high + 2 * i * 2654435769) % 4294967296 as a,
+                   (high + (2 * i + 1) * 2654435769) % 4294967296 as b from waves),
+{_mixed("started", "once")},
+keyed as (select * replace ((a + low) % 4294967296 as a, (b + low) % 4294967296 as b) from once),
+{_mixed("keyed", "twice")},
+uniforms as (select *, (a + 0.5::double) / 4294967296.0::double as u1,
+                    (b + 0.5::double) / 4294967296.0::double as u2 from twice),
 noisy as (
   select vec_id, case when hit then (x + amplitude * sqrt(-2 * ln(u1)) * cos(2 * pi() * u2))::float
                       else x::float end::double as y from uniforms)
@@ -479,6 +528,7 @@ from placed""",
     "preprocess_train": PREPROCESS_TRAIN,
     "preprocess_test": PREPROCESS_TEST,
     "stacked_batches": STACKED,
+    "preprocess_files": STACKED,
     "score_batches": SCORED,
     "softmax_scores": """
 select vec_id, round(list_max(p) / list_sum(p), 8) as top,
@@ -493,10 +543,18 @@ select class, tp, support, predicted, round(f1, 8) as f1
 from ({_class_scores(CLASS_PREDICTIONS, "label", "pred")})""",
     "binary_f1": _macro_f1("select * from labels", "quality", "toxic"),
     "pred_truth_pairing": """
-select doc_id, lang as pred, quality::varchar as truth,
-       case when l.doc_id is null then 'only_pred' when d.doc_id is null then 'only_truth'
-            else 'both' end as status
-from documents d full outer join labels l using (doc_id)""",
+with p as (
+  select doc_id, min(label) as pred, count(*) as n_pred from (
+    select doc_id, lang as label from documents
+    union all select doc_id, 'toxic' from labels where toxic = 1) group by 1),
+t as (
+  select doc_id, min(label) as truth, count(*) as n_truth from (
+    select doc_id, quality::varchar as label from labels
+    union all select -1 - item_id, 'none' from benchmark) group by 1)
+select doc_id, pred, truth,
+       case when n_pred > 1 or n_truth > 1 then 'duplicate' when n_truth is null then 'only_pred'
+            when n_pred is null then 'only_truth' else 'both' end as status
+from p full outer join t using (doc_id)""",
     "score_predictions": _macro_f1(CLASS_PREDICTIONS, "label", "pred"),
     "best_epoch": f"""
 select run, epoch as best_epoch, value as best_value

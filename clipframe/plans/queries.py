@@ -19,7 +19,7 @@ from clipframe.plans import jobs
 from clipframe.plans import standins as S
 from clipframe.session import new_folder, spread
 from clipframe.sources import scan, sinks, tables
-from clipframe.sources.wav import scan_headers
+from clipframe.sources.wav import scan_header_files, scan_headers, wav_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -117,6 +117,28 @@ def build_metadata(spark, sf_dir):
     return jobs.metadata_tables(S.corpus_paths(spark, sf_dir))
 
 
+@query
+def build_metadata_files(spark, sf_dir):
+    """Files scanned, labelled, split, written and read back; some names have no label."""
+    names = S.document_paths(S.table(spark, sf_dir, "documents"))
+    folder = new_folder(spark, "corpora")
+    clip = wav_bytes(F.lit(bytearray(2)), F.lit(16_000), F.lit(1), F.lit(16))
+    sinks.export_clips(names.withColumn("content", clip), folder, F.col("wav_file"), key="wav_file")
+    sides = {side: new_folder(spark, side) for side in ("train", "dev", "rejects")}
+    jobs.build_metadata(spark, f"{folder}/data", sides["train"], sides["dev"], mode="quarantine",
+                        rejects_out=sides["rejects"], corpora=("CORAA_SER", "BAVED"))
+    written = None
+    for side, out in sides.items():
+        rows = (tables.read_metadata(spark, out, "corpus string, wav_file string")
+                .withColumn("label", F.lit(None).cast("string")) if side == "rejects"
+                else tables.read_metadata(spark, out))
+        rows = rows.select(F.lit(side).alias("side"), "wav_file", "label")
+        written = rows if written is None else written.unionByName(rows)
+    corpus = F.split(F.substring_index("wav_file", "/data/train/", -1), "/")[0]
+    return written.groupBy("side", corpus.alias("corpus"), "label").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @query
 def class_counts(spark, sf_dir):
     labelled = jobs.label_corpora(S.corpus_paths(spark, sf_dir))
@@ -185,7 +207,10 @@ def label_dictionary(spark, sf_dir):
 def label_encode(spark, sf_dir):
     documents = S.table(spark, sf_dir, "documents").select("doc_id", "source")
     known = documents.join(S.table(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    return encode.encode_labels(documents, encode.label_dictionary(known, "source"), "source")
+    # event types are labels the dictionary does not know
+    rows = documents.unionByName(S.table(spark, sf_dir, "events").select(
+        (-1 - F.col("event_id")).alias("doc_id"), F.col("event_type").alias("source")))
+    return encode.encode_labels(rows, encode.label_dictionary(known, "source"), "source")
 
 
 @query
@@ -228,6 +253,47 @@ def wav_header(spark, sf_dir):
     return scan_headers(S.document_wavs(spark, sf_dir), keep=["doc_id"])
 
 
+@query
+def wav_header_files(spark, sf_dir):
+    """Headers read by range from files; every French one has a chunk before its data."""
+    wavs = S.document_wavs(spark, sf_dir).withColumn("content", F.when(
+        F.col("lang") == "fr", S.with_list_chunk(F.col("content"))).otherwise(F.col("content")))
+    folder = _wav_files(spark, wavs)
+    return _document_ids(scan_header_files(scan.scan_paths(spark, folder, path_col="path")))
+
+
+def _wav_files(spark, wavs: DataFrame) -> str:
+    """A new folder with a file per clip, ``clip <doc_id>.wav``."""
+    folder = new_folder(spark, "wavs")
+    name = F.concat(F.lit("clip "), F.col("doc_id"), F.lit(".wav"))
+    sinks.export_clips(wavs, folder, name, key="doc_id")
+    return folder
+
+
+def _document_ids(clips: DataFrame, path: str = "path") -> DataFrame:
+    doc_id = F.regexp_extract(path, r"clip (-?\d+)\.wav$", 1).cast("bigint")
+    return clips.select(doc_id.alias("doc_id"), *[c for c in clips.columns if c != path])
+
+
+def _both_forms(spark, sf_dir, job: Callable) -> DataFrame:
+    """A job over a folder and over the table ingested from it."""
+    folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
+    table = scan.ingest(spark, folder, new_folder(spark, "clips"))
+    return job(spark, folder).withColumn("form", F.lit("folder")).unionByName(
+        job(spark, table).withColumn("form", F.lit("table")))
+
+
+@query
+def dataset_stats_job(spark, sf_dir):
+    return _rounded(_both_forms(spark, sf_dir, lambda *given: jobs.dataset_stats(*given)[0]))
+
+
+@query
+def mean_dbfs_job(spark, sf_dir):
+    return _both_forms(spark, sf_dir, jobs.mean_dbfs).withColumn(
+        "mean_dbfs", F.round("mean_dbfs", 6))
+
+
 @query
 def distinct_formats(spark, sf_dir):
     headers = scan_headers(S.document_wavs(spark, sf_dir), keep=["doc_id"])
@@ -387,6 +453,25 @@ def preprocess_test(spark, sf_dir):
     return _batch_summary(preprocess(S.document_wavs(spark, sf_dir), spec, key="doc_id"))
 
 
+@query
+def preprocess_files(spark, sf_dir):
+    """Files named by a metadata table -> stacked batches, without a shuffle of audio."""
+    folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
+    rows = S.table(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(
+        F.lit(f"{folder}/clip "), "doc_id", F.lit(".wav")).alias("path"))
+    done = preprocess(rows, ClipSpec(), key="doc_id", path_col="path", label="lang",
+                      dictionary=encode.label_dictionary(rows, "lang"))
+    return _stack_summary(batching.stack_adjacent(done, "doc_id"))
+
+
+@query
+def odd_clips(spark, sf_dir):
+    """Silent and empty clips and bytes that are no clip, next to usual ones."""
+    spec = ClipSpec(apply_dbfs_norm=True)
+    done = preprocess(S.odd_wavs(spark, sf_dir), spec, key="clip_id")
+    return done.select("clip_id", "batch_id", "pos", "n_valid", "error")
+
+
 def _train_batches(spark, sf_dir) -> DataFrame:
     dictionary = encode.label_dictionary(S.table(spark, sf_dir, "documents"), "lang")
     done = preprocess(S.document_wavs(spark, sf_dir), ClipSpec(), key="doc_id",
@@ -396,8 +481,12 @@ def _train_batches(spark, sf_dir) -> DataFrame:
 
 @query
 def stacked_batches(spark, sf_dir):
+    return _stack_summary(_train_batches(spark, sf_dir))
+
+
+def _stack_summary(batches: DataFrame) -> DataFrame:
     valid = F.aggregate(F.flatten("attention_mask"), F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return _train_batches(spark, sf_dir).select(
+    return batches.select(
         "batch_id", F.size("doc_id").alias("size"),
         F.array_max(F.transform("input_values", F.size)).alias("width"), valid.alias("valid"),
         F.array_join(F.col("label_id").cast("array<string>"), ",").alias("labels"),
@@ -460,9 +549,12 @@ def binary_f1(spark, sf_dir):
 
 @query
 def pred_truth_pairing(spark, sf_dir):
-    pred = S.table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"))
-    truth = S.table(spark, sf_dir, "labels").select(
-        "doc_id", F.col("quality").cast("string").alias("label"))
+    """Toxic documents are predicted twice; benchmark items are known to the truth only."""
+    labels = S.table(spark, sf_dir, "labels")
+    pred = S.table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label")).union(
+        labels.filter("toxic = 1").select("doc_id", F.lit("toxic")))
+    truth = labels.select("doc_id", F.col("quality").cast("string").alias("label")).union(
+        S.table(spark, sf_dir, "benchmark").select(-1 - F.col("item_id"), F.lit("none")))
     return joins.pair_predictions(pred, truth, "doc_id", how="report")
 
 
@@ -595,4 +687,23 @@ def fit_evaluate(spark, sf_dir):
         F.col("label").alias("label_id"))
     stored = scan.materialise(stratified_split(rows, "label_id", "vec_id"), "embeddings")
     fitted = model.fit_classifier(stored.filter("split = 'train'"), max_iter=20)
-    return model.evaluate(fitted, stored.filter("split = 'dev'"))
+    scores = model.evaluate(fitted, stored.filter("split = 'dev'"))
+    return scores.select("n_classes", "n_rows", F.col("macro_f1").between(0, 1).alias("is_share"))
+
+
+@query
+def predict_job(spark, sf_dir):
+    """A fit over files, stored with its labels; every file predicted by the stored model."""
+    folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
+    rows = S.table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"))
+    sides = scan.materialise(stratified_split(rows, "label", "doc_id").withColumn(
+        "wav_file", F.concat(F.lit("clip "), "doc_id", F.lit(".wav"))), "metadata")
+    stored = new_folder(spark, "model")
+    train, dev = (sides.filter(F.col("split") == s) for s in ("train", "dev"))
+    jobs.fit(train, dev, ClipSpec(), base_dir=folder, model_out=stored, reg_params=(0.01,))
+    predictions, rejected = jobs.predict(spark, folder, stored, ClipSpec())
+    found = predictions.withColumn("outcome", F.when(F.col("label").isin(
+        [r[0] for r in model.load_labels(spark, stored).select("label").collect()]), "label"))
+    found = found.select("wav_file", "outcome").unionByName(rejected.select(
+        F.col("path").alias("wav_file"), F.col("error").alias("outcome")))
+    return _document_ids(found, "wav_file")

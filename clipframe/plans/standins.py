@@ -43,6 +43,16 @@ def coraa_paths(documents: DataFrame) -> DataFrame:
         F.lit("_"), label, F.lit(".wav")).alias("wav_file"))
 
 
+def document_paths(documents: DataFrame) -> DataFrame:
+    """Two names a document, in two corpora; those of French ones in the second are cut
+    short after the gender and have no label."""
+    tail = F.when(F.col("lang") == "fr", "21").otherwise(
+        F.concat_ws("-", F.lit("21-0"), F.col("doc_id") % 3, "doc_id"))
+    second = documents.select(F.concat(F.lit("data/train/BAVED/"), "lang", F.lit("/"), "doc_id",
+                                       F.lit("-m-"), tail, F.lit(".wav")).alias("wav_file"))
+    return coraa_paths(documents).unionByName(second)
+
+
 def baved_paths(events: DataFrame) -> DataFrame:
     side = F.when(F.col("user_id") % 7 < 3, "m").when(F.col("user_id") % 7 < 6, "f").otherwise("x")
     return events.select(F.concat(
@@ -129,6 +139,26 @@ def document_wavs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").cast("binary"), F.col("f.r"), F.col("f.c"), F.col("f.b")).alias("content"))
 
 
+def with_list_chunk(content: Column) -> Column:
+    """The same file with a LIST chunk of odd size, so padded, before the data."""
+    chunk = F.lit(bytearray(b"LIST\x05\x00\x00\x00INFOx\x00"))
+    size = F.octet_length(content)
+    return F.concat(F.substring(content, 1, 36), chunk, F.substring(content, F.lit(37), size))
+
+
+def odd_wavs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(clip_id, content)``: of each document its clip, a silent one as long as its text,
+    one without samples, and its text as it is."""
+    wavs = document_wavs(spark, sf_dir)
+    data = F.substring(F.col("content"), F.lit(45), F.octet_length("content"))
+    mono = (F.lit(16_000), F.lit(1), F.lit(16))
+    silent = F.unhex(F.repeat(F.lit("00"), F.octet_length(data)))
+    kinds = F.array(F.col("content"), wav_bytes(silent, *mono), wav_bytes(F.lit(bytearray()), *mono),
+                    data)
+    return wavs.select("doc_id", F.posexplode(kinds).alias("kind", "content")).select(
+        (F.col("doc_id") * 4 + F.col("kind")).alias("clip_id"), "content")
+
+
 def class_logits(embedding: Column, classes: int = 10) -> Column:
     """Ten class scores: the sums over every tenth number of the whole vector."""
     def total(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipframe.session import new_folder
+from clipframe.sources.files import Files, qualified
 
 # Largest file the binary source can hold in one row (a JVM byte array).
 MAX_FILE_BYTES = 2**31 - 1
@@ -52,13 +53,6 @@ def scan_paths(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
     return _files(spark, roots, pattern).select(F.col("path").alias(path_col))
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path as the file sources report it: scheme and all, without a last slash."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop.getFileSystem(conf).makeQualified(hadoop).toString().rstrip("/")
-
-
 def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
                  train_dir: str = "train", path_col: str = "wav_file") -> DataFrame:
     """One scan of ``<base>/<train>/<corpus>/**`` -> ``(corpus, wav_file)``.
@@ -75,14 +69,16 @@ def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
 
 
 def load_clips(df: DataFrame, path_col: str = "input_values",
-               clips_per_task: int | None = None) -> DataFrame:
+               clips_per_task: int | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Read the file each row names, inside the tasks that hold the rows.
 
     Adds ``length``, ``content`` and ``load_error``. Works from a metadata table
     without listing folders and without a join, so audio bytes are never
-    shuffled. A file that cannot be read keeps its row, with the reason.
+    shuffled. A file that is missing or over ``max_bytes`` keeps its row, with the
+    reason; other read faults fail the task, so it is retried.
     ``clips_per_task`` spreads the (small) metadata rows before any byte is read.
     """
+    base = qualified(df.sparkSession, ".")
     if clips_per_task:
         tasks = max(1, -(-df.count() // clips_per_task))
         df = df.repartition(tasks)  # round-robin: many rows may lack a path
@@ -95,42 +91,35 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
     max_out = 64 << 20
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow.fs import FileSystem, LocalFileSystem
-
-        def fetch(path: str | None) -> bytes:
-            if path is None:
-                raise FileNotFoundError
-            if path.startswith("file:"):
-                filesystem, inner = LocalFileSystem(), "/" + path[5:].lstrip("/")
-            elif "://" in path:
-                filesystem, inner = FileSystem.from_uri(path)
-            else:
-                filesystem, inner = LocalFileSystem(), path
-            with filesystem.open_input_file(inner) as handle:
-                return handle.read()
-
+        files = Files(base)
         for batch in batches:
             paths = batch.column(batch.schema.get_field_index(path_col)).to_pylist()
-            start, size = 0, 0
+            start, held = 0, 0
             content: list[bytes | None] = []
+            lengths: list[int | None] = []
             errors: list[str | None] = []
             for i, path in enumerate(paths):
-                data, error = None, None
+                data, size, error = None, None, None
                 try:
-                    data = fetch(path)
+                    with files.open(path) as handle:
+                        size = handle.size()
+                        if size > max_bytes:
+                            error = "file too large"
+                        else:
+                            data = handle.read()
                 except FileNotFoundError as exc:  # the row is kept; other faults are retried
                     error = f"cannot read file: {type(exc).__name__}"
                 content.append(data)
+                lengths.append(size)
                 errors.append(error)
-                size += len(data or b"")
-                if size >= max_out or i == len(paths) - 1:
+                held += len(data or b"")
+                if held >= max_out or i == len(paths) - 1:
                     part = batch.slice(start, i + 1 - start)
-                    lengths = [None if c is None else len(c) for c in content]
                     yield pa.RecordBatch.from_arrays(
                         [*part.columns, pa.array(lengths, pa.int64()),
                          pa.array(content, pa.binary()), pa.array(errors, pa.string())],
                         names=[*part.schema.names, "length", "content", "load_error"])
-                    start, size, content, errors = i + 1, 0, [], []
+                    start, held, content, lengths, errors = i + 1, 0, [], [], []
 
     return df.mapInArrow(read, schema)
 

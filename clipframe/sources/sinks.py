@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.functions.paths import base_name
+from clipframe.sources.files import Files, qualified
 from clipframe.sources.scan import materialise
 
 
@@ -41,22 +42,20 @@ def export_clips(clips: DataFrame, folder: str, name: Column, content_col: str =
     """Write each clip to ``<folder>/<name>`` from the tasks; returns ``(key, target, length)``.
 
     ``folder`` is reachable from every executor (path or URI). A file appears
-    under its name when complete, so a retried task repeats the same result.
+    under its name when complete, so a retried task repeats the same result. Two clips
+    of one name raise before anything is written.
     """
     narrow = clips.select(key, name.alias("__name"), F.col(content_col).alias("__content"))
+    twice = narrow.groupBy("__name").count().filter(F.col("count") > 1).limit(1).collect()
+    if twice:
+        raise ValueError(f"{twice[0][1]} clips would be written to {twice[0][0]!r}")
+    base = qualified(clips.sparkSession, ".")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import posixpath
         import uuid
 
-        from pyarrow.fs import FileSystem, LocalFileSystem
-
-        if folder.startswith("file:"):
-            filesystem, root = LocalFileSystem(), "/" + folder[5:].lstrip("/")
-        elif "://" in folder:
-            filesystem, root = FileSystem.from_uri(folder)
-        else:
-            filesystem, root = LocalFileSystem(), folder
+        filesystem, root = Files(base).find(folder)
         made = set()
         for batch in batches:
             targets, sizes = [], []
@@ -81,8 +80,11 @@ def export_clips(clips: DataFrame, folder: str, name: Column, content_col: str =
     return materialise(narrow.mapInArrow(write, schema), "export")
 
 
-def write_model(model: MLWritable, path: str) -> None:
+def write_model(model: MLWritable, path: str, dictionary: DataFrame | None = None) -> None:
+    """The model and, below it, the labels its classes stand for."""
     model.write().overwrite().save(path)
+    if dictionary is not None:
+        dictionary.write.mode("overwrite").parquet(f"{path}/labels")
 
 
 def append_metrics(history: DataFrame, path: str) -> None:

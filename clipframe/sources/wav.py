@@ -7,7 +7,7 @@ layout travel whole, to have their chunks walked.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipframe.sources.files import Files, qualified
+
 HEADER_FIELDS = (
     T.StructField("num_frames", T.LongType()),
     T.StructField("sample_rate", T.IntegerType()),
@@ -29,6 +31,8 @@ PCM_BITS = (8, 16, 24, 32)
 FLOAT_BITS = (32, 64)
 PLAIN_HEADER_BYTES = 44
 PLAIN_FORMAT = b"WAVEfmt \x10\x00\x00\x00\x01\x00"
+# What is read of a file at first; the head of a usual file is shorter.
+FIRST_BYTES = 512
 
 
 class WavError(ValueError):
@@ -42,19 +46,27 @@ def walk_chunks(data: bytes | memoryview, file_bytes: int | None = None
     ``file_bytes`` is the size of the file when ``data`` is only its beginning.
     """
     data = memoryview(data)
-    file_bytes = len(data) if file_bytes is None else file_bytes
-    if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+    return _walk(lambda at, count: data[at:at + count], len(data),
+                 len(data) if file_bytes is None else file_bytes)
+
+
+def _walk(read: Callable[[int, int], bytes | memoryview], known_bytes: int, file_bytes: int
+          ) -> tuple[int, int, int, int, int, int]:
+    """``walk_chunks`` over ``read(offset, count)``, which reaches ``known_bytes``."""
+    head = bytes(read(0, 12))
+    if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
         raise WavError("not a RIFF/WAVE file")
     fmt, at = None, 12
-    while at + 8 <= len(data):
-        name, size = bytes(data[at:at + 4]), struct.unpack_from("<I", data, at + 4)[0]
+    while at + 8 <= known_bytes:
+        name, size = struct.unpack("<4sI", read(at, 8))
         body = at + 8
         if name == b"fmt ":
-            if size < 16 or body + size > len(data):
+            if size < 16 or body + size > known_bytes:
                 raise WavError("bad fmt chunk")
-            codec, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, body)
+            fields = read(body, min(size, 26))
+            codec, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", fields)
             if codec == EXTENSIBLE and size >= 26:
-                codec = struct.unpack_from("<H", data, body + 24)[0]
+                codec = struct.unpack_from("<H", fields, 24)[0]
             fmt = codec, channels, rate, bits
         elif name == b"data":
             if fmt is None:
@@ -75,11 +87,29 @@ def check_format(codec: int, channels: int, rate: int, bits: int) -> None:
 def parse_header(data: bytes | memoryview, file_bytes: int | None = None
                  ) -> tuple[int, int, int, int]:
     """``(frames, rate, channels, bits)``; raises :class:`WavError`."""
-    codec, channels, rate, bits, _, size = walk_chunks(data, file_bytes)
+    return _summary(*walk_chunks(data, file_bytes))
+
+
+def _summary(codec: int, channels: int, rate: int, bits: int, _: int, size: int
+             ) -> tuple[int, int, int, int]:
     check_format(codec, channels, rate, bits)
     return size // (channels * bits // 8), rate, channels, bits
 
 
+def file_header(handle) -> tuple[int, int, int, int]:
+    """As :func:`parse_header`, from an open file (``size()``, ``read_at(count, offset)``).
+
+    Reads the first bytes, then the heads of further chunks; never the samples.
+    """
+    size = handle.size()
+    first = handle.read_at(min(size, FIRST_BYTES), 0)
+
+    def read(at: int, count: int) -> bytes:
+        return first[at:at + count] if at + count <= len(first) else handle.read_at(count, at)
+
+    return _summary(*_walk(read, size, size))
+
+
 def decode_samples(data: bytes) -> tuple[np.ndarray, int, int, int]:
     """``(samples, rate, channels, bits)``, channels interleaved.
 
@@ -123,6 +153,10 @@ def _parse_headers(heads: pa.Array, sizes: list[int | None]) -> list[pa.Array]:
             rows.append((*parse_header(head.as_buffer(), size), None))
         except WavError as exc:
             rows.append((None, None, None, None, str(exc)))
+    return _header_arrays(rows)
+
+
+def _header_arrays(rows: list[tuple]) -> list[pa.Array]:
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
     return [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
 
@@ -148,6 +182,37 @@ def scan_headers(clips: DataFrame, keep: Sequence[str] = ("path",),
     return heads.mapInArrow(parse, schema)
 
 
+def scan_header_files(files: DataFrame, path_col: str = "path",
+                      keep: Sequence[str] = ("path",)) -> DataFrame:
+    """As :func:`scan_headers`, for files named by path: opened in the tasks, read by range.
+
+    A missing file and one without a header keep their rows and get an ``error``; other
+    read faults fail the task, so it is retried.
+    """
+    narrow = files.select(*dict.fromkeys([*keep, path_col]))
+    schema = T.StructType([*[narrow.schema[c] for c in keep], *HEADER_FIELDS])
+    base = qualified(files.sparkSession, ".")
+    place = narrow.columns.index(path_col)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Files(base)
+        for batch in batches:
+            rows = []
+            for path in batch.column(place).to_pylist():
+                try:
+                    with found.open(path) as handle:
+                        rows.append((*file_header(handle), None))
+                except WavError as exc:
+                    rows.append((None, None, None, None, str(exc)))
+                except FileNotFoundError as exc:
+                    reason = f"cannot read file: {type(exc).__name__}"
+                    rows.append((None, None, None, None, reason))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(keep)], *_header_arrays(rows)], names=schema.names)
+
+    return narrow.mapInArrow(parse, schema)
+
+
 @F.arrow_udf(T.StructType(list(HEADER_FIELDS)))
 def _header(head: pa.Array, size: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(

@@ -131,7 +131,7 @@ def test_fit_predict_score(spark, corpora, metadata, tmp_path):
     for r in dev.collect():
         (test_root / os.path.basename(r.wav_file)).write_bytes(open(r.wav_file, "rb").read())
     (test_root / "broken.wav").write_bytes(b"RIFF")
-    predictions, rejected = jobs.predict(spark, str(test_root), train, f"{tmp_path}/model", spec,
+    predictions, rejected = jobs.predict(spark, str(test_root), f"{tmp_path}/model", spec,
                                          out=f"{tmp_path}/pred")
     assert [r.error for r in rejected.collect()] == ["not a RIFF/WAVE file"]
     stored = tables.read_metadata(spark, f"{tmp_path}/pred")

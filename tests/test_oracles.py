@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 # Iterative fits, and augmentations by a phase vocoder, have no SQL form.
-WITHOUT_SQL = {"augment_compose", "pitch_shift", "feature_vector", "fit_predict", "fit_evaluate"}
+WITHOUT_SQL = {"augment_compose", "pitch_shift", "feature_vector", "fit_predict"}
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, SF, name) == ""
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL - {"fit_predict", "fit_evaluate"}))
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL - {"fit_predict"}))
 def test_other_queries_run(spark, name):
     rows = entry.queries()[name](spark, SF).collect()
     assert rows
