@@ -28,6 +28,8 @@ from clipframe.functions.kernels import (
     resample_clips,
     zero_mean_unit_variance,
 )
+from clipframe.sources.files import qualified
+from clipframe.sources.scan import read_files
 from clipframe.sources.wav import WavError, decode_samples
 
 FULL_SCALE_FLOAT = 2.0 ** 31
@@ -346,15 +348,21 @@ def _parts(table: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 
 def run_steps(df: DataFrame, steps: Sequence[Step], keep: Sequence[str],
-              outputs: Sequence[str], inputs: Sequence[str] = ("content",)) -> DataFrame:
+              outputs: Sequence[str], inputs: Sequence[str] = ("content",),
+              path_col: str | None = None) -> DataFrame:
     """Apply ``steps`` in order to every row.
 
-    Only ``keep`` and ``inputs`` are sent to Python. The result has the ``keep``
+    With ``path_col`` the bytes are read in the same pass, from the files the rows
+    name. Only ``keep`` and ``inputs`` are sent to Python. The result has the ``keep``
     columns and the named ``outputs``; a row that fails keeps its ``error``.
     """
     steps = list(steps)
     wanted = list(dict.fromkeys([*keep, *inputs]))
-    if "load_error" in df.columns and "load_error" not in wanted:
+    opened = None
+    if path_col:
+        wanted = [c for c in dict.fromkeys([*wanted, path_col]) if c != "content"]
+        opened = read_files(qualified(df.sparkSession, "."), path_col, part_bytes=PART_BYTES)
+    elif "load_error" in df.columns and "load_error" not in wanted:
         wanted.append("load_error")
     narrow = df.select(*wanted)
     schema = T.StructType([narrow.schema[c] for c in keep])
@@ -362,7 +370,7 @@ def run_steps(df: DataFrame, steps: Sequence[Step], keep: Sequence[str],
         schema.add(name, T.DataType.fromDDL(OUTPUT_TYPES[name]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in opened(batches) if opened else batches:
             for table in _parts(whole, inputs[0]):
                 batch = ClipBatch(table)
                 for step in steps:

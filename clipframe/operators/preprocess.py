@@ -12,7 +12,7 @@ from clipframe.operators import clips as C
 from clipframe.operators.augment import DEFAULT_AUGMENTATIONS, compose
 from clipframe.operators.batching import assign_batches, by_batch, pad_target
 from clipframe.operators.encode import encode_labels
-from clipframe.sources.scan import load_clips, materialise
+from clipframe.sources.scan import materialise
 from clipframe.sources.wav import scan_header_files, scan_headers
 
 
@@ -60,10 +60,9 @@ def clip_lengths(clips: DataFrame, spec: ClipSpec, keep: Sequence[str],
     known by its samples alone, and its length must not count.
     """
     if spec.apply_dbfs_norm and spec.padding in (True, "longest"):
-        if path_col:
-            clips = load_clips(clips, path_col)
         steps = [C.decode_pcm(), C.gain_to(spec.target_dbfs, spec.on_silence)]
-        sized = C.run_steps(clips, steps, keep, ["num_frames", "sample_rate", "error"])
+        sized = C.run_steps(clips, steps, keep, ["num_frames", "sample_rate", "error"],
+                            path_col=path_col)
     else:
         known = ["load_error"] if "load_error" in clips.columns else []
         headers = ["num_frames", "sample_rate", "error"]
@@ -122,23 +121,24 @@ def preprocess(clips: DataFrame, spec: ClipSpec, key: str = "path",
     With ``path_col`` the rows name files and hold no bytes: the narrow plan is cut into
     tasks of whole batches, each opens its files, and no audio is shuffled;
     ``stack_adjacent`` can follow. Without, the audio of the table is shuffled once, as
-    stored bytes, to meet its plan row.
+    stored bytes, to meet its plan row; the plan side is hashed, so the audio is not sorted.
     """
     extra = [split_col] if split_col else []
     planned = F.col("plan_error").isNull()  # planned failures need no reading or decoding
     if path_col:
         named = [] if path_col == key else [path_col]
         plan = plan_batches(clips, spec, key, dictionary, label, [*extra, *named], path_col)
-        rows = by_batch(plan, batches_per_task).withColumn("__path", F.when(planned, F.col(path_col)))
-        joined = load_clips(rows, "__path")
+        joined = by_batch(plan, batches_per_task).withColumn(
+            "__path", F.when(planned, F.col(path_col)))
     else:
         plan = plan_batches(clips, spec, key, dictionary, label, extra)
-        joined = clips.select(key, "content").join(plan, key).withColumn(
+        joined = clips.select(key, "content").join(plan.hint("shuffle_hash"), key).withColumn(
             "content", F.when(planned, F.col("content")))
     ids = ["label_id"] if dictionary is not None else []
     keep = [key, "batch_id", "pos", *ids, "plan_error"]
     steps = [*spec.steps(key, split_col, augment), C.pad("pad_to")]
     done = C.run_steps(joined, steps, keep, ["input_values", "attention_mask", "n_valid", "error"],
-                       inputs=["content", "pad_to", *extra])
+                       inputs=["content", "pad_to", *extra],
+                       path_col="__path" if path_col else None)
     return done.select("batch_id", "pos", key, "input_values", "attention_mask", "n_valid", *ids,
                        F.coalesce("plan_error", "error").alias("error"))

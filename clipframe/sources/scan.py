@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -68,28 +68,12 @@ def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
                         F.concat(F.lit(given), below).alias(path_col))
 
 
-def load_clips(df: DataFrame, path_col: str = "input_values",
-               clips_per_task: int | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """Read the file each row names, inside the tasks that hold the rows.
+def read_files(base: str, path_col: str, max_bytes: int = MAX_FILE_BYTES, part_bytes: int = 64 << 20
+               ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does to batches of rows with paths: adds ``length, content, load_error``.
 
-    Adds ``length``, ``content`` and ``load_error``. Works from a metadata table
-    without listing folders and without a join, so audio bytes are never
-    shuffled. A file that is missing or over ``max_bytes`` keeps its row, with the
-    reason; other read faults fail the task, so it is retried.
-    ``clips_per_task`` spreads the (small) metadata rows before any byte is read.
+    ``base`` is the qualified working folder. A part ends when it holds ``part_bytes``.
     """
-    base = qualified(df.sparkSession, ".")
-    if clips_per_task:
-        tasks = max(1, -(-df.count() // clips_per_task))
-        df = df.repartition(tasks)  # round-robin: many rows may lack a path
-    schema = T.StructType([
-        *df.schema.fields,
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-        T.StructField("load_error", T.StringType()),
-    ])
-    max_out = 64 << 20
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = Files(base)
         for batch in batches:
@@ -113,7 +97,7 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
                 lengths.append(size)
                 errors.append(error)
                 held += len(data or b"")
-                if held >= max_out or i == len(paths) - 1:
+                if held >= part_bytes or i == len(paths) - 1:
                     part = batch.slice(start, i + 1 - start)
                     yield pa.RecordBatch.from_arrays(
                         [*part.columns, pa.array(lengths, pa.int64()),
@@ -121,7 +105,30 @@ def load_clips(df: DataFrame, path_col: str = "input_values",
                         names=[*part.schema.names, "length", "content", "load_error"])
                     start, held, content, lengths, errors = i + 1, 0, [], [], []
 
-    return df.mapInArrow(read, schema)
+    return read
+
+
+def load_clips(df: DataFrame, path_col: str = "input_values",
+               clips_per_task: int | None = None, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Read the file each row names, inside the tasks that hold the rows.
+
+    Adds ``length``, ``content`` and ``load_error``. Works from a metadata table
+    without listing folders and without a join, so audio bytes are never
+    shuffled. A file that is missing or over ``max_bytes`` keeps its row, with the
+    reason; other read faults fail the task, so it is retried.
+    ``clips_per_task`` spreads the (small) metadata rows before any byte is read.
+    """
+    base = qualified(df.sparkSession, ".")
+    if clips_per_task:
+        tasks = max(1, -(-df.count() // clips_per_task))
+        df = df.repartition(tasks)  # round-robin: many rows may lack a path
+    schema = T.StructType([
+        *df.schema.fields,
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+        T.StructField("load_error", T.StringType()),
+    ])
+    return df.mapInArrow(read_files(base, path_col, max_bytes), schema)
 
 
 def ingest(spark: SparkSession, roots: str | Sequence[str], out: str,

@@ -7,12 +7,16 @@ Writes stereo 22,050 Hz noise below a new folder in /tmp and prints one line per
 
 from __future__ import annotations
 
+import os
 import sys
 import tempfile
 import time
 from pathlib import Path
 
-import numpy as np
+for name in ("OPENBLAS", "OMP", "MKL"):  # one core a task, and one for the plain loop
+    os.environ[f"{name}_NUM_THREADS"] = "1"
+
+import numpy as np  # noqa: E402
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,11 +25,12 @@ from conftest import wav  # noqa: E402
 
 from clipframe.functions import kernels as K  # noqa: E402
 from clipframe.operators import signal  # noqa: E402
+from clipframe.operators.batching import stack_adjacent  # noqa: E402
 from clipframe.operators.features import clip_features  # noqa: E402
 from clipframe.operators.preprocess import ClipSpec, preprocess  # noqa: E402
 from clipframe.session import build_session  # noqa: E402
 from clipframe.sources import scan  # noqa: E402
-from clipframe.sources.wav import decode_samples, scan_headers  # noqa: E402
+from clipframe.sources.wav import decode_samples, scan_header_files  # noqa: E402
 
 
 def plain_loop(paths: list[Path]) -> None:
@@ -50,11 +55,15 @@ def main() -> None:
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     clips = scan.scan_clips(spark, str(root))
+    paths = scan.scan_paths(spark, str(root), path_col="path").repartition(cores)
     jobs = {
-        "headers": lambda: scan_headers(clips),
+        "headers": lambda: scan_header_files(paths),
         "loudness": lambda: signal.clip_loudness(clips),
         "features": lambda: clip_features(clips, ClipSpec()),
         "preprocess": lambda: preprocess(clips, ClipSpec()),
+        "by path": lambda: preprocess(paths, ClipSpec(), path_col="path"),
+        "stacked": lambda: stack_adjacent(
+            preprocess(paths, ClipSpec(), path_col="path"), "path", labels=None),
     }
     for name, job in jobs.items():
         for _ in range(2):  # the second run is the one shown: the JVM is warm
