@@ -29,7 +29,8 @@ def scan_clips(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
                max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """``(path, length, content)`` of every matching file below the roots.
 
-    Hidden names (leading ``.`` or ``_``) are skipped. A file over ``max_bytes`` keeps
+    Hidden names (leading ``.`` or ``_``) and files of zero bytes are skipped by Spark's
+    listing. A file over ``max_bytes`` keeps
     its row, with NULL content and a ``load_error``; its bytes are never read.
     """
     files = _files(spark, roots, pattern).filter(F.col("length") <= max_bytes)
