@@ -424,6 +424,19 @@ kinds as (
 select clip_id, r // 4 as batch_id, (r % 4)::int as pos,
        case when error is null then n::int end as n_valid, error
 from (select *, row_number() over (order by clip_id) - 1 as r from kinds)""",
+    "feature_vector": f"""
+with {MONO}, {_resampled("mono", "doc_id", "heads")},
+steps as (select *, lag(x) over (partition by doc_id order by m) as before from resampled),
+sums as (
+  select doc_id, sqrt(avg(x::double * x::double)) as rms, max(abs(x::double)) as peak,
+         coalesce(avg(case when before is not null
+                      then ((x < 0) <> (before < 0))::int::double end), 0) as crossings
+  from steps group by 1)
+select doc_id, case when frames > 0 then 46 end as n, case when frames > 0 then 46 end as n_finite,
+       round(rms, 5) as rms, round(peak, 5) as peak,
+       round(20 * log10(greatest(rms, 1e-10)), 4) as level, round(crossings, 6) as crossings,
+       {ERROR} as error
+from heads left join sums using (doc_id)""",
     "distinct_formats": f"""
 select 'sample_rate' as attribute, rate::bigint as value, count(*) as n_clips
 from ({HEADERS}) group by 2

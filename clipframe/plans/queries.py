@@ -658,8 +658,11 @@ def batch_predict(spark, sf_dir):
 @query
 def feature_vector(spark, sf_dir):
     table = features.clip_features(S.document_wavs(spark, sf_dir), ClipSpec(), ["doc_id"])
-    return table.select("doc_id", F.size("features").alias("n"),
-                        F.round(F.col("features")[0], 6).alias("rms"), "error")
+    finite = F.size(F.filter("features", lambda v: F.abs(v) < float("inf")))
+    head = {"rms": 5, "peak": 5, "level": 4, "crossings": 6}
+    return table.select("doc_id", F.size("features").alias("n"), finite.alias("n_finite"),
+                        *[F.round(F.col("features")[i], digits).alias(name)
+                          for i, (name, digits) in enumerate(head.items())], "error")
 
 
 @query

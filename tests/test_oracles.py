@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 # Iterative fits, and augmentations by a phase vocoder, have no SQL form.
-WITHOUT_SQL = {"augment_compose", "pitch_shift", "feature_vector", "fit_predict"}
+WITHOUT_SQL = {"augment_compose", "pitch_shift", "fit_predict"}
 
 
 @pytest.fixture(scope="module")
