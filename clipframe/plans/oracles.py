@@ -437,6 +437,11 @@ select doc_id, case when frames > 0 then 46 end as n, case when frames > 0 then
        round(20 * log10(greatest(rms, 1e-10)), 4) as level, round(crossings, 6) as crossings,
        {ERROR} as error
 from heads left join sums using (doc_id)""",
+    "pitch_shift": f"""
+select doc_id, frames::int as n, case when frames >= 4096 then
+         ('0x' || md5('42:0:pitch_shift:' || doc_id)[1:8])::bigint / 4294967296.0::double < 0.5
+       end as is_shifted, true as energy_kept
+from ({HEADERS}) where frames > 0""",
     "distinct_formats": f"""
 select 'sample_rate' as attribute, rate::bigint as value, count(*) as n_clips
 from ({HEADERS}) group by 2

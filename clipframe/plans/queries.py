@@ -416,10 +416,18 @@ def augment_compose(spark, sf_dir):
 
 @query
 def pitch_shift(spark, sf_dir):
-    spec = {"name": "pitch_shift", "min_semitones": -3, "max_semitones": 3, "p": 1.0}
-    waves = signal.augment_waves(spread(S.table(spark, sf_dir, "embeddings"), "vec_id"), "embedding",
-                                 16_000, [spec], "vec_id")
-    return waves.select("vec_id", F.size("samples").alias("n"))
+    """Whole documents as mono clips, half of them shifted; the others come out as they were."""
+    spec = {"name": "pitch_shift", "min_semitones": -3, "max_semitones": 3, "p": 0.5}
+    mono = signal.mono_clips(S.document_wavs(spark, sf_dir), keep=["doc_id"])
+    waves = scan.materialise(mono.filter("error is null").drop("error"), "mono")
+    shifted = signal.augment_waves(waves, "samples", 16_000, [spec], "doc_id").select(
+        "doc_id", F.col("samples").alias("after"))
+    pairs = waves.select("doc_id", "samples").join(shifted, "doc_id")
+    energy = {c: _sum(F.col(c), lambda v: v * v) for c in ("samples", "after")}
+    share = F.when(energy["samples"] == 0, 1.0).otherwise(energy["after"] / energy["samples"])
+    return pairs.select("doc_id", F.size("after").alias("n"),
+                        F.when(F.size("after") >= 4_096, F.col("after") != F.col("samples"))
+                        .alias("is_shifted"), share.between(0, 2).alias("energy_kept"))
 
 
 @query

@@ -11,8 +11,8 @@ from clipframe.plans.queries import REGISTRY
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
-# Iterative fits, and augmentations by a phase vocoder, have no SQL form.
-WITHOUT_SQL = {"augment_compose", "pitch_shift", "fit_predict"}
+# Iterative fits, and sums over clips a phase vocoder has changed, have no SQL form.
+WITHOUT_SQL = {"augment_compose", "fit_predict"}
 
 
 @pytest.fixture(scope="module")
