@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Side tables up to this many rows may be shipped to every task; a larger one
-# is joined by shuffling. Rows are a key, an id and a few numbers, so this is a
-# few megabytes at most.
+# Side tables up to this many rows, and this many bytes in their texts, may be shipped
+# to every task; a larger one is joined by shuffling. The rest of a row is numbers.
 MAX_SIDE_ROWS = 50_000
+MAX_SIDE_BYTES = 16 << 20
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -74,14 +74,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
-def side_table(df: DataFrame, max_rows: int = MAX_SIDE_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df, fits)`` where ``fits`` says that ``df`` has at most ``max_rows`` rows.
+def side_table(df: DataFrame, max_rows: int = MAX_SIDE_ROWS, *,
+               max_bytes: int = MAX_SIDE_BYTES) -> tuple[DataFrame, bool]:
+    """Return ``(df, fits)`` where ``fits`` says that ``df`` has at most ``max_rows`` rows
+    and ``max_bytes`` in its texts.
 
     A table that fits comes back as a local relation, so it is computed once and
     Catalyst knows its exact size. At most ``max_rows + 1`` rows reach the driver.
     """
     rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    held = sum(len(v) for row in rows for v in row if isinstance(v, (str, bytes, bytearray)))
+    if len(rows) > max_rows or held > max_bytes:
         return df, False
     return df.sparkSession.createDataFrame(rows, df.schema), True
 

@@ -11,6 +11,7 @@ from clipframe.operators import batching
 from clipframe.operators.encode import label_dictionary
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.plans import jobs
+from clipframe.session import side_table
 from clipframe.sources import scan, sinks
 from clipframe.sources.files import Files, resolve
 from clipframe.sources.wav import WavError, file_header, parse_header, scan_header_files
@@ -161,6 +162,12 @@ def test_two_clips_of_one_name_are_refused(spark, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+def test_a_side_table_of_long_texts_is_not_shipped(spark):
+    side = spark.createDataFrame([("x" * 400, 1), ("y" * 400, 2)], "k string, v int")
+    assert side_table(side)[1] and side_table(side, max_bytes=800)[1]
+    assert not side_table(side, max_bytes=799)[1] and not side_table(side, max_rows=1)[1]
+
+
 def test_paths_are_resolved_as_spark_does():
     assert resolve("/a/b", "file:/home/me") == "file:/a/b"
     assert resolve("a/b", "file:/home/me") == "file:/home/me/a/b"
