@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.llm import words as W
-from clipframe.llm.common import give_back, held_out
+from clipframe.llm.common import give_back, held_out, written
 
 BITS = 20
 SAMPLE = 6_000  # labelled documents of each class that are learned from, at most
@@ -70,16 +70,24 @@ def ftrl(documents: list[np.ndarray], labels: np.ndarray, how: Settings) -> tupl
     return kept, w[kept], float(intercept())
 
 
-def sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` labelled documents of each class, ``(doc_id, toxic, text)``.
+def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, toxic)`` of all labelled documents that may be learned from.
 
-    Only documents outside the held-out fifth; the choice is by a hash of the id. A
-    document with several labels counts as toxic if one says so; rows with a null
-    id or label are left out, and one row stands for a repeated id.
+    Only documents outside the held-out fifth. A document with several labels counts as
+    toxic if one says so; rows with a null id or label are left out, as are labels
+    without a document, and one row stands for a repeated id.
     """
     known = (labels.select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
              .filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    return known.join(docs.select(F.col("doc_id").cast("bigint")), "doc_id", "left_semi")
+
+
+def sample(docs: DataFrame, known: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` documents of each class of ``learnable``, ``(doc_id, toxic, text)``.
+
+    The choice is by a hash of the id.
+    """
     chosen = None
     for label in (0, 1):
         some = known.filter((F.col("toxic") > 0) == bool(label)).orderBy(
@@ -90,6 +98,17 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
             .agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")))
 
 
+def prior_shift(known: DataFrame, limit: int) -> float:
+    """What turns the log-odds of the classes in a ``sample`` into those of all ``known``.
+
+    0 where no class is cut, and where only one class is known.
+    """
+    clean, toxic = known.agg(F.count_if(F.col("toxic") <= 0), F.count_if(F.col("toxic") > 0)).first()
+    if not clean or not toxic:
+        return 0.0
+    return float(np.log(toxic / clean) - np.log(min(toxic, limit) / min(clean, limit)))
+
+
 class Model(NamedTuple):
     index: np.ndarray
     value: np.ndarray
@@ -101,7 +120,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
         how: Settings = Settings()) -> Model:
     """Learn from a bounded sample in one task; only the non-zero weights come back.
 
-    Without labelled documents the model has no weights and scores everything by the
+    The limit may cut one class more than the other: the intercept is shifted back to
+    the odds of all labelled documents, which are counted. So a probability of 0.5
+    means the same at every size of input. Without labelled documents the model has no weights and scores everything by the
     intercept alone: 0.5 without any, so the caller decides (``score`` gives 0 then).
     """
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +150,15 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE,
         del found
         give_back()
 
-    rows = sample(docs, labels, limit).repartition(1).mapInArrow(
+    known = written(learnable(docs, labels), "learnable")
+    rows = sample(docs, known, limit).repartition(1).mapInArrow(
         learn, "index bigint, value double").toPandas()
     if not len(rows):
         return Model(np.empty(0, np.int64), np.empty(0), -35.0, how.bits)
     model = rows[rows["index"] >= 0]
+    intercept = float(rows.loc[rows["index"] < 0, "value"].iloc[0])
     return Model(model["index"].to_numpy(), model["value"].to_numpy(),
-                 float(rows.loc[rows["index"] < 0, "value"].iloc[0]), how.bits)
+                 intercept + prior_shift(known, limit), how.bits)
 
 
 def score(model: Model, spark) -> callable:

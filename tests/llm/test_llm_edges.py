@@ -335,6 +335,21 @@ def test_ftrl_learns_a_sparse_rule():
     assert weights[3] == max(weights.values()) > 1 and len(index) < 400
 
 
+def test_toxicity_keeps_the_class_ratio_when_the_sample_is_cut(spark):
+    rows = [(i, "the same words", int(i % 10 == 0)) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    strays = spark.createDataFrame([(i, 0) for i in range(10_000, 14_000)], "doc_id long, toxic int")
+    labels = df.select("doc_id", "toxic").union(strays)  # labels without a document
+    odds = []
+    for limit in (100, 200, 6_000):
+        model = toxicity.fit(df, labels, limit)
+        (p, accused), = df.limit(1).select(toxicity.score(model, spark)(F.col("text")).alias(
+            "p")).select("p", toxicity.predicted(F.col("p"))).collect()
+        assert not accused
+        odds.append(np.log(p / (1 - p)))
+    assert all(abs(x - np.log(1 / 9)) < 1 for x in odds)
+
+
 def test_stages_keep_their_columns(spark, odd, empty, tables):
     for docs in (odd[0], empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:
