@@ -15,6 +15,8 @@ from clipframe.llm.common import components, written
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
 BAND_ROWS = 4
+FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
+BAND_PART = 1_000  # members of a band that meet its leads in one part
 
 
 def signatures(texts: pa.Array, k: int, permutations: int) -> np.ndarray:
@@ -138,53 +140,97 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
                     permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS) -> DataFrame:
     """``(doc_id, component_id)`` of non-null, distinct ids; texts without words stay alone.
 
-    Equal shingle sets are one class. Classes that share a band of their signatures
-    are compared with the band's smallest class, not with each other, so a band
-    with many rows gives as many pairs; every pair is verified on whole shingle
-    sets. 32 bands of 4 find a pair at 0.75 with probability above 0.99999.
+    Equal shingle sets are one class. Any two classes that share a band of their
+    signatures are compared, unless a chain of links joins them already: first with
+    the band's smallest class, then, in rounds, with about 1, 2, 4, ... further
+    members. So a band of copies gives as many pairs as rows, one of unlike texts all
+    its pairs. Every pair is verified on whole shingle sets. 32 bands of 4 find a
+    pair at 0.75 with probability above 0.99999.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 sets = list(W.shingle_sets(part.column(1), k))
                 signature = signatures(part.column(1), k, permutations)
                 bands = signature.reshape(len(sets), -1, band_rows).astype(np.uint64)
-                keys = np.zeros(bands.shape[:2], np.uint64)
+                keys = np.zeros(bands.shape[:2], np.uint64) + W.stream(5, bands.shape[1])
                 for j in range(band_rows):
                     keys = W.mix(keys + bands[:, :, j] + np.uint64(1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
+                    [part.column(0),
+                     pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))],
-                    names=["doc_id", "shingles", "bands"])
-
-    signed = written(docs.select(F.col("doc_id").cast("bigint"), "text").filter(
-        "doc_id is not null").mapInArrow(
-            sign, "doc_id bigint, shingles binary, bands array<bigint>"), "signatures")
-    some = signed.filter(F.octet_length("shingles") > 0).withColumn("key", F.md5("shingles"))
-    classes = some.groupBy("key").agg(F.min("doc_id").alias("id"))
-    sets = some.join(classes.withColumnRenamed("id", "doc_id"), ["key", "doc_id"]).dropDuplicates(
-        ["doc_id"]).select(F.col("doc_id").alias("id"), "shingles", "bands")
-    banded = sets.select("id", F.posexplode("bands").alias("band", "value"))
-    lead = banded.groupBy("band", "value").agg(
-        F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = banded.join(lead, ["band", "value"]).filter("id > a").select(
-        "a", F.col("id").alias("b")).distinct()
+                    names=["doc_id", "key", "size", "bands"])
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
+    signed = written(texts.mapInArrow(
+        sign, "doc_id bigint, key binary, size bigint, bands array<bigint>"), "signatures")
+    classes = signed.filter("size > 0").groupBy("key").agg(
+        F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    banded = classes.select("id", "size", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(
+        F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    members = written(banded.join(shared, "band").select(
+        "band", "id", "size", F.ceil(F.col("n") / BAND_PART).alias("parts"),
+        F.when(F.col("id") == F.col("lead"), 0).otherwise(
+            1 + F.floor(F.log2(1 + part * F.col("n")))).cast("int").alias("turn")), "members")
 
     @F.arrow_udf("double")
     def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
         out = []
-        for x, y in zip(left, right):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+        for x, y in zip(W.shingle_sets(left, k), W.shingle_sets(right, k)):
             both = len(np.intersect1d(x, y, assume_unique=True))
             out.append(both / (len(x) + len(y) - both))
         return pa.array(out, pa.float64())
 
-    left, right = (sets.select(F.col("id").alias(n), F.col("shingles").alias(f"set_{n}"))
-                   for n in ("a", "b"))
-    links = pairs.join(left, "a").join(right, "b").filter(
-        jaccard("set_a", "set_b") >= threshold).select("a", "b")
-    found = components(links)
-    return (signed.select("doc_id", F.md5("shingles").alias("key")).join(classes, "key", "left")
+    def similar(pairs: DataFrame, n: int) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        own = texts.join(F.broadcast(ids) if n <= FEW_PAIRS else ids, "doc_id", "left_semi")
+        left, right = (own.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
+                       for c in ("a", "b"))
+        return pairs.join(left, "a").join(right, "b").filter(
+            jaccard("text_a", "text_b") >= threshold).select("a", "b")
+
+    spark = docs.sparkSession
+    links = compared = spark.createDataFrame([], "a bigint, b bigint")
+    found = spark.createDataFrame([], "id bigint, component bigint")
+    last = members.agg(F.max("turn")).first()[0]
+    for turn in range(-1 if last is None else last + 1):
+        now = members.filter(F.col("turn") >= turn).join(found, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        if turn:  # bands that are one component by now are done
+            mixed = now.groupBy("band").agg(
+                F.min("component").alias("low"), F.max("component").alias("high")).filter(
+                    "low < high").select("band")
+            now = written(now.join(mixed, "band", "left_semi"), "members")
+            members = now.drop("component")
+            if now.isEmpty():
+                break
+        # a band of many members is dealt in parts; its leads go to each
+        leads = now.filter(F.col("turn") == turn).select(
+            "band", F.col("id").alias("lead"), F.col("size").alias("lead_size"),
+            F.col("component").alias("lead_component"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+        pairs = written(
+            now.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
+            .join(leads, ["band", "part"])
+            .filter((F.col("component") != F.col("lead_component"))
+                    & ((F.col("turn") > turn) | (F.col("id") > F.col("lead")))
+                    & (F.least("size", "lead_size") / F.greatest("size", "lead_size")
+                       >= threshold))
+            .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+            .distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared = compared.union(pairs)
+        n = pairs.count()
+        new = written(similar(pairs, n), "links") if n else pairs
+        if not new.isEmpty():
+            links = links.union(new)
+            found = components(links)
+    return (signed.select("doc_id", "key").join(classes.select("key", "id"), "key", "left")
             .join(found, "id", "left").select(
                 "doc_id", F.coalesce("component", "id", "doc_id").alias("component_id")))

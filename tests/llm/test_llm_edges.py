@@ -103,6 +103,16 @@ def test_minhash_near_duplicates(spark, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_minhash_near_duplicates_of_a_shared_template(spark):
+    # the last two are at 0.83, and at 0.67 to each other page; pages are at 0.56
+    rows = [(i, " ".join([f"t{j}" for j in range(104)] + [f"p{i}x{j}" for j in range(own)]))
+            for i, own in [*((i, 40) for i in range(200)), (900, 10), (901, 10)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted((d, c) for d, _, c in brute.jaccard_components(rows))
+    assert (901, 900) in want and (199, 199) in want
+    assert sorted(tuple(r) for r in minhash.near_duplicates(df).collect()) == want
+
+
 def test_token_files(spark, odd, empty, tmp_path):
     df, rows = odd
     path, tokenizer = str(tmp_path / "t"), tokens.default_path()

@@ -86,6 +86,12 @@ def test_minhash(spark, docs):
             assert abs(r[key] - true) < 0.2
 
 
+def test_minhash_components(spark, docs):
+    got, _ = result(spark, "op2_minhash")
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted(
+        (d, c) for d, _, c in brute.jaccard_components(docs))
+
+
 def test_token_files(spark, docs, ids):
     got, _ = result(spark, "op3_token_files")
     start, want = 0, []
