@@ -88,13 +88,15 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text their strings are plain text
         # Only of this kind is it known that white space, letters and marks are cut apart
         pre = self.tokenizer.pre_tokenizer
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_parts = (isinstance(pre, pre_tokenizers.ByteLevel) and pre.use_regex
                          and not pre.add_prefix_space and self.tokenizer.normalizer is None
-                         and len(line) == 1)
+                         and len(line) == 1 and all(
+                             not (t.lstrip or t.rstrip or t.single_word or t.normalized)
+                             and not any(c.isspace() for c in t.content)
+                             for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.line = line[0] if line else -1
         self.forget()
 

@@ -144,6 +144,21 @@ def test_ids_are_those_of_the_whole_text():
             assert ids[at[i]:at[i + 1]].tolist() == want
 
 
+def test_ids_are_those_of_the_plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    path, rng = tokens.default_path(), random.Random(6)
+    plain, mark = Tokenizer.from_file(path), "<|endoftext|>"
+    texts = ["".join(rng.choice([*" \n\tab'é.1日", mark]) for _ in range(rng.randrange(30)))
+             for _ in range(2000)] + [f"a{mark} x", mark, f"{mark}{mark}", prose(3, 300)]
+    assert plain.encode(texts[2000], add_special_tokens=False).ids == [64, 50256, 2124]
+    assert tokens.Encoder(path).by_parts
+    for row, ids, at in tokens.encoded(pa.array(texts), path):
+        for i in range(len(at) - 1):
+            want = plain.encode(texts[row + i], add_special_tokens=False).ids + [2]
+            assert ids[at[i]:at[i + 1]].tolist() == want
+
+
 def test_packing(odd, empty):
     df, rows = odd
     got = packing.pack_documents(df, tokens.default_path(), capacity=64, items_per_task=200).collect()
