@@ -3,9 +3,9 @@
 The library is slow on long texts and prose repeats its words. So a batch of texts
 is cut where a byte-level pre-tokenizer cuts anyway: around a single blank or line
 feed between two characters that are no white space. Every distinct part of the
-batch is encoded once, many of them in one call, and remembered in flat arrays; the
-ids are put together in numpy. They are those of the whole texts; the tests compare
-them. Parts are told apart by 64-bit hashes of their bytes.
+batch is encoded once, many of them in one call, and remembered; the ids lie in flat
+arrays and are put together in numpy. They are those of the whole texts; the tests compare
+them. Parts are told apart by their bytes.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from clipframe.llm.common import give_back
 
 END_ID = 2
 BATCH_BYTES = 3 << 20    # of text that are cut and encoded together
-REMEMBERED = 1_000_000   # parts, at about 30 bytes each
+REMEMBERED = 1_000_000   # parts, at about 150 bytes each
 JOINED = 128             # distinct parts encoded in one text
 
 # Bytes that only occur in characters that are no white space (first bytes, and all of ASCII)
@@ -70,24 +70,76 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks)
 
 
-def part_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    lengths = np.diff(np.append(starts, len(data)))
-    power = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64)
-    power[0] = 1
-    power = np.cumprod(power)
-    place = np.arange(len(data)) - np.repeat(starts, lengths)
-    sums = np.add.reduceat(W.BYTE_VALUES[data] * power[place], starts)
-    return W.mix(sums + lengths.astype(np.uint64))
+def strings(array: pa.Array) -> list[bytes]:
+    """The values of a binary array without nulls."""
+    wide = pa.types.is_large_binary(array.type) or pa.types.is_large_string(array.type)
+    at = np.frombuffer(array.buffers()[1], np.int64 if wide else np.int32)[
+        array.offset:array.offset + len(array) + 1].tolist()
+    data = array.buffers()[2].to_pybytes() if at[-1] else b""
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
+
+class Memory:
+    """Ids of parts by several encoders, remembered by the bytes of the parts.
+
+    An encoder maps distinct parts to their ids, end to end, and the count of each.
+    """
+
+    def __init__(self, *encoders: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]],
+                 limit: int = REMEMBERED):
+        self.encoders, self.limit = encoders, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pools = [np.empty(0, np.uint32) for _ in self.encoders]
+        self.counts = [np.empty(0, np.int64) for _ in self.encoders]
+        self.places = [np.empty(0, np.int64) for _ in self.encoders]
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The number of each part, which begins at its start and ends at the next."""
+        wide = len(data) >= 1 << 31
+        edges = np.append(starts, len(data)).astype(np.int64 if wide else np.int32)
+        parts = pa.Array.from_buffers(pa.large_binary() if wide else pa.binary(), len(starts), [
+            None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
+        encoded = parts.dictionary_encode()
+        named = strings(encoded.dictionary)
+        if len(self.known) + len(named) > self.limit:
+            self.forget()
+        found = np.fromiter((self.known.get(x, -1) for x in named), np.int64, len(named))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            fresh = [named[i] for i in new]
+            found[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(fresh, found[new].tolist()))
+            for k, encode in enumerate(self.encoders):
+                ids, counts = encode(fresh)
+                at = len(self.pools[k]) + np.cumsum(counts) - counts
+                self.pools[k] = np.concatenate([self.pools[k], ids.astype(np.uint32, copy=False)])
+                self.counts[k] = np.concatenate([self.counts[k], counts])
+                self.places[k] = np.concatenate([self.places[k], at])
+        return found[encoded.indices.to_numpy()]
+
+    def ids(self, k: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of encoder ``k`` of a sequence of parts, and the count of each part."""
+        sizes = self.counts[k][numbers]
+        at = np.cumsum(sizes) - sizes
+        flat = np.repeat(self.places[k][numbers] - at, sizes) + np.arange(int(sizes.sum()))
+        return self.pools[k][flat], sizes
 
 
 class Encoder:
-    """Encodes batches of texts and remembers the ids of their parts."""
+    """Encodes batches of texts and remembers the ids of their parts.
 
-    def __init__(self, path: str):
+    ``plain`` takes the strings of added tokens in texts as ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         # Only of this kind is it known that white space, letters and marks are cut apart
         pre = self.tokenizer.pre_tokenizer
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -98,39 +150,24 @@ class Encoder:
                              and not any(c.isspace() for c in t.content)
                              for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.line = line[0] if line else -1
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes = np.empty(0, np.uint64)  # ascending
-        self.place = np.empty(0, np.int64)    # where the ids of each begin in the pool
-        self.counts = np.empty(0, np.int32)
-        self.pool = np.empty(0, np.uint32)
-
-    def learn(self, hashes: np.ndarray, parts: list[bytes], plain: np.ndarray) -> None:
-        pool, place, counts = self.distinct(parts, plain)
-        at = np.searchsorted(self.hashes, hashes)
-        self.place = np.insert(self.place, at, place + len(self.pool))
-        self.counts = np.insert(self.counts, at, counts)
-        self.hashes = np.insert(self.hashes, at, hashes)
-        self.pool = np.concatenate([self.pool, pool])
-
-    def unknown(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.ones(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return self.hashes[at] != hashes
+        self.memory = Memory(self.distinct)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def distinct(self, parts: list[bytes], plain: np.ndarray) -> tuple[
-            np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the parts, end to end, and where those of each begin and how many.
+    def distinct(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts, end to end, and how many each has.
 
         Plain parts have no white space but a blank before them: they are joined by
         line feeds, each of which is one id of its own between them.
         """
+        sizes = np.array([len(p) for p in parts])
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        unsafe = np.concatenate([[0], np.cumsum(UNSAFE[data], dtype=np.int64)])
+        plain = (unsafe[ends] - unsafe[begins] == (data[begins] == BLANK)) & (sizes > 1)
         counts = np.zeros(len(parts), np.int64)
         flat = []
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
@@ -139,61 +176,35 @@ class Encoder:
             mine = order[i:min(i + JOINED, n)]
             text = b"\n".join([parts[j] for j in mine]).decode()
             ids = self.whole([text])[0]
-            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
-            if len(ends) != len(mine):
+            edges = np.append(np.flatnonzero(ids == self.line), len(ids))
+            if len(edges) != len(mine):
                 raise ValueError("the tokenizer does not keep line feeds apart")
-            counts[mine] = np.diff(ends, prepend=-1) - 1
+            counts[mine] = np.diff(edges, prepend=-1) - 1
             flat.append(ids[ids != self.line])
         for j in order[n:]:
             ids = self.whole([parts[j].decode()])[0]
             counts[j] = len(ids)
             flat.append(ids)
+        ids = np.concatenate(flat) if flat else np.empty(0, np.uint32)
+        # from the order they were encoded in to that of the parts
         starts = np.zeros(len(parts), np.int64)
         starts[order] = np.cumsum(counts[order]) - counts[order]
-        return np.concatenate(flat) if flat else np.empty(0, np.uint32), starts, counts
+        at = np.cumsum(counts) - counts
+        return ids[np.repeat(starts - at, counts) + np.arange(len(ids))], counts
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[
             np.ndarray, np.ndarray]:
         """Ids of rows of UTF-8 bytes, each with the end id, and the rows' offsets in them."""
-        rows = len(offsets) - 1
         if not self.by_parts or not len(data):
             texts = [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])]
             ids = [np.append(x, np.uint32(end_id)) for x in self.whole(texts)]
             return (np.concatenate(ids).astype(np.uint32) if ids else np.empty(0, np.uint32),
                     np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64))
         starts = cuts(data, offsets)
-        hashes = np.concatenate([
-            part_hashes(data[a:b], starts[i:j] - a) for i, j, a, b in spans(starts, len(data))])
-        named, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) + len(named) > REMEMBERED:
-            self.forget()
-        new = np.flatnonzero(self.unknown(named))
-        begin, end = starts[first[new]], np.append(starts, len(data))[first[new] + 1]
-        unsafe = np.concatenate([[0], np.cumsum(UNSAFE[data], dtype=np.int64)])
-        odd = unsafe[end] - unsafe[begin] - (data[begin] == BLANK)
-        parts = [data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist())]
-        self.learn(named[new], parts, (odd == 0) & (end - begin > 1))
-        at = np.searchsorted(self.hashes, named)
-        # each row's parts, then one more with the end id
-        pool, end_part = np.append(self.pool, np.uint32(end_id)), len(named)
-        place = np.append(self.place[at], len(pool) - 1)
-        counts = np.append(self.counts[at], 1)
-        last = np.searchsorted(starts, offsets[1:])
-        sequence = np.insert(which, last, end_part)
-        sizes = counts[sequence]
-        at = np.cumsum(sizes) - sizes
-        ids = pool[np.repeat(place[sequence] - at, sizes) + np.arange(int(sizes.sum()))]
-        ends = at[last + np.arange(rows)] + 1
-        return ids, np.concatenate([[0], ends])
-
-
-def spans(starts: np.ndarray, size: int, limit: int = W.CHUNK_BYTES) -> Iterator[tuple]:
-    """Runs of whole parts of about ``limit`` bytes: ``(part from, to, byte from, to)``."""
-    i = 0
-    while i < len(starts):
-        j = max(int(np.searchsorted(starts, starts[i] + limit)), i + 1)
-        yield i, j, int(starts[i]), int(starts[j]) if j < len(starts) else size
-        i = j
+        ids, sizes = self.memory.ids(0, self.memory.numbers(data, starts))
+        # ids before each row, where the row before has its end id
+        before = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]
+        return np.insert(ids, before[1:], np.uint32(end_id)), before + np.arange(len(offsets))
 
 
 def encoded(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[tuple[

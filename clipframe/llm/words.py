@@ -44,7 +44,27 @@ BLANK_SEPARATED = byte_table(bytes([0x20, *range(0x09, 0x0E)]))
 ALPHANUMERIC = byte_table(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-BYTE_VALUES = stream(1, 256)
+# A random value for each byte at each of the first places of a string
+PLACES = 32
+PLACE_VALUES = stream(1, PLACES * 256)
+
+
+def string_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hash of each string; they lie end to end and none is empty.
+
+    Byte and place are hashed together, then summed: a power of the place as a factor
+    would give strings of a regular build equal sums.
+    """
+    lengths = np.diff(np.append(starts, len(data)))
+    code = np.arange(len(data)) - np.repeat(starts, lengths)
+    far = np.flatnonzero(code >= PLACES)
+    code <<= 8
+    code |= data
+    far_code = code[far].astype(np.uint64)
+    code[far] = 0
+    values = PLACE_VALUES[code]
+    values[far] = mix(far_code * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019))
+    return mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64))
 
 
 def chunks(array: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -85,15 +105,8 @@ def split_words(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray) -> Word
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return Words(np.empty(0, np.uint64), first)
-    kept = data[inside]
     at = np.cumsum(inside)[starts] - 1  # where each word begins among the kept bytes
-    lengths = np.diff(np.append(at, len(kept)))
-    power = np.full(int(lengths.max()) + 1, 0x9E3779B97F4A7C15, np.uint64)
-    power[0] = 1
-    power = np.cumprod(power)
-    place = np.arange(len(kept)) - np.repeat(at, lengths)
-    sums = np.add.reduceat(BYTE_VALUES[kept] * power[place], at)
-    return Words(mix(sums + lengths.astype(np.uint64)), first)
+    return Words(string_hashes(data[inside], at), first)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
