@@ -90,4 +90,34 @@ select page_id, strlen(html)::bigint as payload_bytes, {_FIVE_HEX} as payload_di
        case when page_id <> first then first end as refers_to,
        case when page_id = first then true end as digest_ok
 from p join f using (html)""",
+    "op11_divergence": f"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                            '[^\x00-\x60\x7B-\x7F]+') as w from documents),
+t as (select r, lang, source, unnest(w) as term from d),
+kept as (select lang, term, count(*) as c from t group by 1, 2 having count(distinct r) >= 3),
+c as (select lang, source, term, count(*) as c from t join kept using (lang, term) group by 1, 2, 3),
+g as (select distinct lang, source from d),
+n as (select lang, source, sum(c) as n from c group by 1, 2),
+v as (select lang, count(*) as v, sum(c) as n from kept group by 1),
+p as (
+  select g.lang, g.source, k.term, coalesce(c.c, 0) as c,
+         1 + (1000000000::hugeint * (coalesce(c.c, 0) + 1)) // (coalesce(n.n, 0) + v.v) as p,
+         1 + (1000000000::hugeint * (k.c + 1)) // (v.n + v.v) as q
+  from g join v using (lang) join kept k using (lang) left join c using (lang, source, term)
+  left join n using (lang, source)),
+f as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by 1, 2, 3),
+u as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q) // q)::bigint from p where c > 0 and p > q),
+k as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int
+        as rank from u)
+select lang, source, part, item, value, rank from k where part = 'pair' or rank <= 200""",
 }

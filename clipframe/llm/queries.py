@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators."""
+"""The registered queries of the operators."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipframe.llm import (chat, langid, minhash, packing, setjoin, sharding, tokenfiles, tokens,
+from clipframe.llm import (chat, divergence, langid, minhash, packing, setjoin, sharding, tokenfiles, tokens,
                            toxicity, warc, winnowing)
 from clipframe.llm.common import held_out, table, written
 from clipframe.session import new_folder
@@ -103,7 +103,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "score")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_minhash, op3_token_files, op4_chat, op5_jaccard_join, op6_winnowing,
-        op7_warc, op8_toxicity, op9_packing, op10_language)}
+        op7_warc, op8_toxicity, op9_packing, op10_language, op11_divergence)}
