@@ -28,8 +28,8 @@ from clipframe.session import lookup_join
 SCALE = 1_000_000_000
 LEAST_DOCUMENTS = 3
 TERM_RANKS = 200
-SLICE_BYTES = 16 << 20
-BUCKET_BYTES = 64 << 20   # of text for each bucket of chunks and terms, about
+SLICE_BYTES = 8 << 20
+BUCKET_BYTES = 32 << 20   # of text for each bucket of chunks and terms, about
 FAN_IN = 256              # slices whose sums meet in one task
 BLOCK_SOURCES = 512       # of a language that are compared with all others in one task
 BUCKET_ROWS = 500_000     # kept counts in a task that compares sources
@@ -74,7 +74,7 @@ def factor(docs: DataFrame, buckets: int) -> DataFrame:
         for table in runs(batches, 2, SLICE_BYTES):
             yield pa.RecordBatch.from_pylist(list(slice_rows(table, number, buckets)), schema)
             number += 1
-        give_back()
+            give_back()
 
     return docs.mapInArrow(cut, FACTORS)
 
