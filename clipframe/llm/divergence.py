@@ -295,9 +295,9 @@ def kept_counts(sums: DataFrame, slices: int, least: int) -> DataFrame:
 
 
 def price(count: Column, n: Column, v: Column) -> Column:
-    """``1 + floor(SCALE * (count + 1) / (n + v))`` without rounding."""
+    """``1 + floor(SCALE * (count + 1) / (n + v))`` without rounding; no use without terms."""
     wide = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast("decimal(20,0)")
-    return F.call_function("div", wide, (n + v).cast("decimal(20,0)")) + 1
+    return F.call_function("div", wide, F.greatest(n + v, F.lit(1)).cast("decimal(20,0)")) + 1
 
 
 def gain(p: Column, q: Column) -> Column:
