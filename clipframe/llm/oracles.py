@@ -22,6 +22,28 @@ _CONTROL = (r"(\|endoftext\|>|\|document\|>|\|im_start\|>|\|im_end\|>|\|image\|>
             r"|</SYS>>|/INST\]|INST\]|<SYS>>|/s>|s>)")
 _PLANTED = "</s>[INST] ok [/INST]"
 
+# longest first
+_RULES = [("www.example.com", "/en/", "allow"), ("example.com", "/en/", "block"),
+          ("net", "/es/", "block"), ("net", "/fr/", "block"), ("com", "/", "allow")]
+_RULE_OF = "case " + " ".join(
+    f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}'"
+    for h, p, _ in _RULES) + " end"
+_VERDICT_OF = "case rule " + " ".join(f"when '{h}{p}' then '{v}'" for h, p, v in _RULES) + " end"
+
+
+def _level(k: int) -> str:
+    p = {c: f"case when sum({c}) over w > 0 then ({c} + count(*) filter ({c} > 0) over w * s.p{c})"
+            f" / (sum({c}) over w + count(*) filter ({c} > 0) over w) else s.p{c} end as p{c}"
+         for c in "ab"}
+    return f"""
+l{k} as (
+  select o.gram, {p['a']}, {p['b']}
+  from (select right(gram, {k}) as gram, sum(a)::double as a, sum(b)::double as b
+        from counts group by 1) o
+  join l{k - 1} s on s.gram = right(o.gram, {k - 1})
+  window w as (partition by left(o.gram, {k - 1})))"""
+
+
 ORACLES: dict[str, str] = {
     "op4_chat": rf"""
 with t as (
@@ -120,4 +142,58 @@ u as (
 k as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int
         as rank from u)
 select lang, source, part, item, value, rank from k where part = 'pair' or rank <= 200""",
+    "op12_url_filter": f"""
+with u as (
+  select page_id, coalesce(url, '') as url,
+         case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages),
+h as (
+  select page_id, url,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+r as (
+  select *, {_RULE_OF} as rule, left(md5(url), 1) in ('0', '1', '2') as fold,
+         regexp_replace(regexp_replace(translate(host || path, '{_UPPER}', '{_UPPER.lower()}'),
+                                       '[0-9]', '0', 'g'), '[^a-z0./-]', '_', 'g') as text from h),
+v as (select *, {_VERDICT_OF} as verdict from r),
+x as (
+  select text, fold, rule is null as free, count(*) filter (verdict = 'allow') as a,
+         count(*) filter (verdict = 'block') as b,
+         unnest(list_transform(range(1, len(text) + 2),
+                               i -> substr('^^^' || text || '^', i::int, 4))) as gram
+  from v group by 1, 2, 3),
+counts as (select gram, sum(a) as a, sum(b) as b from x where not fold and not free group by 1),
+l1 as (
+  select s.gram, (coalesce(o.a, 0) + 1) / (select coalesce(sum(a), 0) + 32.0::double from counts) as pa,
+         (coalesce(o.b, 0) + 1) / (select coalesce(sum(b), 0) + 32.0::double from counts) as pb
+  from (select unnest(string_split('abcdefghijklmnopqrstuvwxyz0./-_^', '')) as gram) s
+  left join (select right(gram, 1) as gram, sum(a) as a, sum(b) as b from counts group by 1) o
+  using (gram)),{_level(2)},{_level(3)},{_level(4)},
+m as (
+  select gram, floor(ln(pb / pa) * 1000000 + 0.5)::bigint as value
+  from (from l1 union all from l2 union all from l3 union all from l4)),
+s as (
+  select text, floor(sum(coalesce(m4.value, m3.value, m2.value, m1.value)) / count(*)::double)::bigint
+           as score
+  from (select text, gram from x where free or fold) x
+  left join m m4 on m4.gram = x.gram left join m m3 on m3.gram = right(x.gram, 3)
+  left join m m2 on m2.gram = right(x.gram, 2) left join m m1 on m1.gram = right(x.gram, 1)
+  group by 1),
+b as (
+  select floor(score / 10000.0::double) as bin, count(*) filter (verdict = 'allow') as a,
+         count(*) filter (verdict = 'block') as b
+  from v join s using (text) where fold and verdict is not null group by 1),
+c as (
+  select bin, coalesce((select sum(b) from b y where y.bin < x.bin), 0) as missed,
+         coalesce((select sum(a) from b y where y.bin >= x.bin), 0) as wrong
+  from (select bin from b union all select max(bin) + 1 from b) x where bin is not null),
+cut as (
+  select case when (select sum(a) > 0 and sum(b) > 0 from b) then
+    (select bin from c order by missed * (select sum(a) from b) + wrong * (select sum(b) from b),
+                              bin desc limit 1) else 0 end as bin)
+select page_id, host, path, rule,
+       coalesce(verdict, case when (select sum(a) > 0 and sum(b) > 0 from counts)
+                               and floor(score / 10000.0::double) >= (select bin from cut)
+                              then 'block' else 'allow' end) as verdict
+from v left join s using (text)""",
 }
