@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipframe.llm import (chat, divergence, langid, minhash, packing, setjoin, sharding, tokenfiles, tokens,
-                           toxicity, warc, winnowing)
+from clipframe.llm import (align, chat, divergence, langid, minhash, packing, setjoin, sharding, tokenfiles, tokens,
+                           toxicity, urlfilter, warc, winnowing)
 from clipframe.llm.common import held_out, table, written
 from clipframe.session import new_folder
 
@@ -107,7 +107,23 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents", "lang", "source", "text"))
 
 
+URL_RULES = [urlfilter.Rule(*r) for r in (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"))]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            tokens.default_path(), tokens.default_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_minhash, op3_token_files, op4_chat, op5_jaccard_join, op6_winnowing,
-        op7_warc, op8_toxicity, op9_packing, op10_language, op11_divergence)}
+        op7_warc, op8_toxicity, op9_packing, op10_language, op11_divergence,
+        op12_url_filter, op13_alignment)}

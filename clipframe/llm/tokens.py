@@ -36,10 +36,10 @@ UNSAFE[0x80:0xC0] = False  # they follow a first byte, which decides
 BLANK, LINE = 0x20, 0x0A
 
 
-def default_path() -> str:
+def default_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def worker_state(key: object, make: Callable[[], object]) -> object:
