@@ -32,7 +32,7 @@ SLICE_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20   # of text for each bucket of chunks and terms, about
 FAN_IN = 256              # slices whose sums meet in one task
 BLOCK_SOURCES = 512       # of a language that are compared with all others in one task
-BUCKET_ROWS = 500_000     # kept counts in a task that compares sources
+BUCKET_ROWS = 50_000      # kept counts in a task that compares sources
 CELLS = 4_000_000         # of terms x sources at a time
 
 # [^\x00-\x40\x5B-\x60\x7B-\x7F]+ once A-Z are lower case

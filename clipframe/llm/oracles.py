@@ -160,7 +160,7 @@ x as (
   select text, fold, rule is null as free, count(*) filter (verdict = 'allow') as a,
          count(*) filter (verdict = 'block') as b,
          unnest(list_transform(range(1, len(text) + 2),
-                               i -> substr('^^^' || text || '^', i::int, 4))) as gram
+                               lambda i: substr('^^^' || text || '^', i::int, 4))) as gram
   from v group by 1, 2, 3),
 counts as (select gram, sum(a) as a, sum(b) as b from x where not fold and not free group by 1),
 l1 as (
