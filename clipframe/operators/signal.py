@@ -23,9 +23,14 @@ def decode_pcm(clips: DataFrame, keep: Sequence[str] = ("path",)) -> DataFrame:
                        ["sample_rate", "num_channels", "num_frames", "pcm", "error"])
 
 
-def clip_loudness(clips: DataFrame, keep: Sequence[str] = ("path",)) -> DataFrame:
-    """``keep, dbfs, error``: only one number per clip leaves the Python worker."""
-    return C.run_steps(clips, [C.decode_pcm(), C.loudness()], keep, ["dbfs", "error"])
+def clip_loudness(clips: DataFrame, keep: Sequence[str] = ("path",),
+                  path_col: str | None = None) -> DataFrame:
+    """``keep, dbfs, error``: only one number per clip leaves the Python worker.
+
+    With ``path_col`` the files that the rows name are read there too.
+    """
+    return C.run_steps(clips, [C.decode_pcm(), C.loudness()], keep, ["dbfs", "error"],
+                       path_col=path_col)
 
 
 def sample_loudness(samples: DataFrame, keys: Sequence[str], sample: Column) -> DataFrame:

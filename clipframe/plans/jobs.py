@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from clipframe.functions import labels as L
 from clipframe.functions.paths import base_name, duration_seconds, join_path
-from clipframe.operators import joins, model, preprocess, scoring, signal, split, stats
+from clipframe.operators import (joins, model, preprocess, scoring, signal, split, stats,
+                                 training)
 from clipframe.operators.clips import split_rejects
 from clipframe.operators.encode import encode_labels, label_dictionary
 from clipframe.operators.features import clip_features
-from clipframe.sources import scan, sinks, tables
+from clipframe.sources import commits, manifest, scan, sinks, tables
 from clipframe.sources.wav import HEADER_FIELDS, scan_header_files, scan_headers
 
 
@@ -62,7 +63,8 @@ def build_metadata(spark: SparkSession, base_dir: str, train_out: str, dev_out:
     with their bytes; ``rejects_out`` the names without a label (quarantine mode),
     which raise where it is not given.
     """
-    paths = scan.scan_corpora(spark, base_dir, corpora)
+    folders = [f"{base_dir.rstrip('/')}/train/{name}" for name in corpora]
+    paths = scan.corpus_paths(manifest.list_files(spark, folders), base_dir)
     table = scan.materialise(metadata_tables(paths, mode=mode), "metadata")
     labelled = F.col("label").isNotNull()
     parts = table.groupBy("corpus").agg(
@@ -116,38 +118,45 @@ def label_annotated(clips: DataFrame, turns: DataFrame, mode: str = "strict",
 def clip_headers(spark: SparkSession, source: DataFrame | str) -> DataFrame:
     """``(path, num_frames, sample_rate, num_channels, bits, error)`` of every clip.
 
-    The files of a folder are read by range; an ingested table has the headers as
-    columns; of any other clip table the bytes are looked at.
+    ``source`` is a folder, the names of a manifest or a clip table. Files are read by
+    range; an ingested table has the headers as columns; of any other clip table the
+    bytes are looked at.
     """
     if isinstance(source, str):
-        return scan_header_files(scan.scan_paths(spark, source, path_col="path"))
+        source = manifest.list_files(spark, source)
     names = [f.name for f in HEADER_FIELDS]
     if set(names) <= set(source.columns):
         return source.select("path", *names)
+    if "content" not in source.columns:
+        return scan_header_files(manifest.dealt(source))
     return scan_headers(source)
 
 
-def _clips(spark: SparkSession, source: DataFrame | str) -> DataFrame:
-    return scan.scan_clips(spark, source) if isinstance(source, str) else source
+def _clips(spark: SparkSession, source: DataFrame | str) -> tuple[DataFrame, str | None]:
+    """Clips to decode and, if their files are to be read, the column that names them."""
+    if isinstance(source, str):
+        source = manifest.list_files(spark, source)
+    return (source, None) if "content" in source.columns else (manifest.balanced(source), "path")
 
 
 def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict",
                      clips: DataFrame | None = None) -> DataFrame:
     """Dialog corpus: annotation files below ``root``; clips there too, or in a table."""
-    headers = clip_headers(spark, root if clips is None else clips)
-    paths = (scan.scan_paths(spark, root) if clips is None
-             else clips.select(F.col("path").alias("wav_file")))
+    clips = manifest.list_files(spark, root) if clips is None else clips
+    headers = clip_headers(spark, clips)
+    paths = clips.select(F.col("path").alias("wav_file"))
     clips = headers.select(F.col("path").alias("wav_file"), duration_seconds(
         F.col("num_frames"), F.col("sample_rate")).alias("duration_s"))
     path = F.col("wav_file")
     keys = paths.select(L.iemocap_session(path, mode).alias("session"),
                         L.iemocap_dialog(path).alias("dialog"))
-    files = tables.scan_annotation_files(spark, root)
-    missing = joins.missing_annotations(keys, files, ["session", "dialog"]).limit(5).collect()
+    files = tables.annotated(manifest.list_files(spark, root, "*.txt"), "path")
+    missing = joins.missing_annotations(
+        keys, files.select("session", "dialog"), ["session", "dialog"]).limit(5).collect()
     if missing and mode == "strict":
         raise FileNotFoundError(f"no annotation file for {[tuple(r) for r in missing]}")
-    turns = tables.annotation_turns(tables.scan_annotations(spark, root),
-                                    ["session", "dialog"], ["block_start", "line_id"])
+    lines = tables.annotated(manifest.read_lines(files))
+    turns = tables.annotation_turns(lines, ["session", "dialog"], ["line_id"])
     return label_annotated(clips, turns, mode)
 
 
@@ -164,9 +173,10 @@ def dataset_stats(spark: SparkSession, source: DataFrame | str
 
 
 def mean_dbfs(spark: SparkSession, source: DataFrame | str) -> DataFrame:
-    """``(mean_dbfs, n_clips, n_rejected)`` of a folder or clip table: the target of the
-    gain normalisation."""
-    loud = signal.clip_loudness(_clips(spark, source))
+    """``(mean_dbfs, n_clips, n_rejected)`` of a folder, the names of a manifest or a clip
+    table: the target of the gain normalisation."""
+    clips, path_col = _clips(spark, source)
+    loud = signal.clip_loudness(clips, path_col=path_col)
     return stats.mean_level(loud, rejects=True)
 
 
@@ -212,6 +222,30 @@ def fit(train: DataFrame, dev: DataFrame, spec: preprocess.ClipSpec, base_dir: s
     return best, history
 
 
+def fit_epochs(train: DataFrame, dev: DataFrame, spec: preprocess.ClipSpec, out: str,
+               settings: Sequence[training.Setting], plan: training.Plan = training.Plan(),
+               base_dir: str = "") -> tuple[training.LinearModel, DataFrame]:
+    """Fit by epochs on the train metadata, all settings in one pass, scored on dev.
+
+    ``out`` holds the features of either side, the epochs and, at the end, the best
+    model with its labels; each is there as a whole or not at all. Called again after a
+    failure, the job goes on with what is there. Returns the model and the metric history.
+    """
+    spark, dictionary = train.sparkSession, label_dictionary(train)
+    sides = {}
+    for name, metadata in (("train", train), ("dev", dev)):
+        part = f"{out.rstrip('/')}/features/side={name}"
+        if not commits.is_complete(spark, part):
+            commits.stage(spark, f"{out.rstrip('/')}/features", f"side={name}")
+            training_features(metadata, dictionary, spec, base_dir).write.parquet(f"{part}/rows")
+            commits.finish(spark, part)
+        sides[name], _ = split_rejects(spark.read.parquet(f"{part}/rows"))
+    best, history = training.train(sides["train"], sides["dev"], f"{out.rstrip('/')}/epochs",
+                                   settings, plan, key="wav_file")
+    best.save(spark, f"{out.rstrip('/')}/models", dictionary)
+    return best, history
+
+
 def predict(spark: SparkSession, source: DataFrame | str, fitted: PipelineModel | str,
             spec: preprocess.ClipSpec, out: str | None = None,
             dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -225,7 +259,8 @@ def predict(spark: SparkSession, source: DataFrame | str, fitted: PipelineModel
         fitted = model.load_model(fitted)
     elif dictionary is None:
         raise ValueError("give the dictionary of a model that is not stored")
-    features = scan.materialise(clip_features(_clips(spark, source), spec), "features")
+    clips, path_col = _clips(spark, source)
+    features = scan.materialise(clip_features(clips, spec, path_col=path_col), "features")
     good, rejected = split_rejects(features)
     labelled = model.predicted_labels(model.predict(fitted, good), dictionary)
     predictions = labelled.select(base_name(F.col("path")).alias("wav_file"), "label")

@@ -592,6 +592,13 @@ select 'a "b", ' || url as wav_file, ' x,' || page_id as label from pages""",
     "wav_roundtrip": f"""
 with {LEVELS}
 select doc_id, lang, nbytes + 44 as length, round(dbfs, 6) as dbfs, error from levels""",
+    "manifest_versions": """
+with d as (select doc_id, (doc_id % 4)::varchar as folder,
+                  case when doc_id % 5 > 0 then strlen(coalesce(text, '')) else 0 end as n
+           from documents where doc_id % 3 <> 2)
+select doc_id, folder, n::bigint as length, 'added' as change, (1 + doc_id % 2)::int as version from d
+union all
+select doc_id, folder, (n + 1)::bigint, 'changed', 3 from d where doc_id % 7 = 0""",
     "load_by_path": f"""
 with {LEVELS}
 select doc_id, nbytes + 44 as length, round(dbfs, 6) as dbfs, error from levels
@@ -600,6 +607,32 @@ select -1 - item_id, null, null, 'cannot read file: FileNotFoundError' from benc
     "ingest_clips": f"""
 select doc_id, nbytes + 44 as length, frames as num_frames, rate::int as sample_rate,
        null::varchar as error from ({HEADERS})""",
+    "fit_epochs": """
+select run, epoch, split, n_rows, n_batches, n_metrics, finite_loss
+from (values ('slow'), ('fast')) r(run), (select unnest(range(3))::int as epoch) e,
+     (select 'train' as split, count(*) as n_rows, 2 as n_batches, 3::bigint as n_metrics,
+             true as finite_loss from embeddings where vec_id % 5 <> 0
+      union all
+      select 'eval', count(*), null, 2, null from embeddings where vec_id % 5 = 0) s""",
+    "fit_one_step": """
+with x as (
+  select vec_id, label::int as label, d, embedding[d]::double as v
+  from embeddings, (select unnest(range(1, 65)) as d)),
+m as (select d, avg(v) as mean, stddev_pop(v) as scale from x where vec_id % 5 <> 0 group by 1),
+z as (select vec_id, label, d, (v - mean) / case when scale > 0 then scale else 1 end as z
+      from x join m using (d)),
+c as (select label, d, sum(z) as z from z where vec_id % 5 <> 0 group by 1, 2),
+n as (select label, count(*) as n, (select count(*) from embeddings where vec_id % 5 <> 0) as total
+      from embeddings where vec_id % 5 <> 0 group by 1),
+k as (select unnest(range(0, (select max(label) + 1 from n)))::int as label),
+s as (
+  select z.vec_id, k.label,
+         coalesce(sum(c.z * z.z) / max(n.total), 0) + coalesce(max(n.n)::double / max(n.total), 0) as s
+  from z cross join k left join c on c.label = k.label and c.d = z.d left join n on n.label = k.label
+  where z.vec_id % 5 = 0 group by 1, 2),
+e as (select vec_id, label, exp(s - max(s) over (partition by vec_id)) as e from s)
+select vec_id, 'class ' || arg_max(label, e) as label, round(max(e) / sum(e), 6) as score
+from e group by 1""",
     "batch_predict": f"""
 select vec_id, (list_position(z, list_max(z)) - 1)::int as label_id,
        round(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))), 8) as score

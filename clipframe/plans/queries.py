@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from clipframe.functions import labels as L
 from clipframe.functions.paths import base_name, duration_seconds, join_path, parent_name
 from clipframe.functions.scores import argmax, softmax
-from clipframe.operators import batching, encode, features, joins, model, scoring, signal, stats
+from clipframe.operators import (batching, encode, features, joins, model, scoring, signal, stats,
+                                 training)
 from clipframe.operators.clips import split_rejects
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.operators.split import stratified_split
@@ -19,6 +20,7 @@ from clipframe.plans import jobs
 from clipframe.plans import standins as S
 from clipframe.session import new_folder, spread
 from clipframe.sources import scan, sinks, tables
+from clipframe.sources.manifest import Manifest
 from clipframe.sources.wav import scan_header_files, scan_headers, wav_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -623,6 +625,32 @@ def wav_roundtrip(spark, sf_dir):
                          "length", F.round("dbfs", 6).alias("dbfs"), "error")
 
 
+@query
+def manifest_versions(spark, sf_dir):
+    """Files of all kinds of names, listed in tasks by three runs of a manifest.
+
+    Half of the documents are there at first, the others come later, and every seventh
+    of all is then written anew and longer. Every fifth file has no byte, and the names
+    take turns: plain, with ``_``, with a dot (hidden).
+    """
+    folder, known = new_folder(spark, "names"), Manifest(spark, new_folder(spark, "manifest"))
+    documents = S.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.when(
+            F.col("doc_id") % 5 > 0, F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+        .otherwise(F.unhex(F.lit(""))).alias("content"))
+    mark = F.element_at(F.array(F.lit(""), F.lit("_"), F.lit(".")), (F.col("doc_id") % 3 + 1).cast("int"))
+    name = F.concat(F.coalesce("lang", F.lit("none")), F.lit("/"), (F.col("doc_id") % 4).cast("string"),
+                    F.lit("/"), mark, F.lit("clip "), F.col("doc_id"), F.lit(".wav"))
+    longer = F.concat("content", F.unhex(F.lit("00")))
+    for part in (documents.filter("doc_id % 2 = 0"), documents.filter("doc_id % 2 <> 0"),
+                 documents.filter("doc_id % 7 = 0").withColumn("content", longer)):
+        sinks.export_clips(part, folder, name, key="doc_id")
+        known.refresh(folder)
+    return known.changes().select(
+        F.regexp_extract("path", r"clip (\d+)\.wav$", 1).cast("bigint").alias("doc_id"),
+        parent_name(F.col("path")).alias("folder"), "length", "change", "version")
+
+
 @query
 def load_by_path(spark, sf_dir):
     """Files opened from the paths of a metadata table; a missing one is rejected."""
@@ -702,6 +730,47 @@ def fit_evaluate(spark, sf_dir):
     return scores.select("n_classes", "n_rows", F.col("macro_f1").between(0, 1).alias("is_share"))
 
 
+def _embedding_sides(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Embeddings with their labels; every fifth is held back."""
+    rows = S.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("features"),
+        F.col("label").cast("int").alias("label_id"))
+    return rows.filter("vec_id % 5 <> 0"), rows.filter("vec_id % 5 = 0")
+
+
+@query
+def fit_epochs(spark, sf_dir):
+    """Two settings fitted by mini-batches for three epochs, with a stop in between."""
+    rows, dev = _embedding_sides(spark, sf_dir)
+    folder = new_folder(spark, "epochs")
+    settings = [training.Setting("slow", 0.1), training.Setting("fast", 0.5, 0.01)]
+    plan = training.Plan(epochs=3, batches=2)
+    training.train(rows, dev, folder, settings, plan, key="vec_id")
+    again, history = training.train(rows, dev, folder, settings, plan, key="vec_id")
+    return history.groupBy("run", "epoch", "split").agg(
+        F.max(F.when(F.col("metric") == "rows", F.col("value"))).cast("bigint").alias("n_rows"),
+        F.max(F.when(F.col("metric") == "batches", F.col("value"))).cast("int").alias("n_batches"),
+        F.count(F.lit(1)).alias("n_metrics"),
+        F.max(F.when(F.col("metric") == "loss", F.col("value") < 10)).alias("finite_loss"))
+
+
+@query
+def fit_one_step(spark, sf_dir):
+    """One step of the whole table from zero weights: each held-back row's scores follow
+    from the class means alone. The model is stored with its labels and read back."""
+    rows, dev = _embedding_sides(spark, sf_dir)
+    plan = training.Plan(epochs=1, batches=1, warmup=0.0, momentum=0.0)
+    fitted, _ = training.train(rows, dev, new_folder(spark, "epochs"),
+                               [training.Setting("one", 1.0)], plan, key="vec_id")
+    folder = new_folder(spark, "models")
+    names = rows.select(F.concat(F.lit("class "), "label_id").alias("label"), "label_id").distinct()
+    fitted.save(spark, folder, names)
+    stored, dictionary = training.load_linear(spark, folder)
+    scored = training.predict_linear(stored, dev.select("vec_id", "features"))
+    return model.predicted_labels(scored, dictionary).select(
+        "vec_id", "label", F.round("score", 6).alias("score"))
+
+
 @query
 def predict_job(spark, sf_dir):
     """A fit over files, stored with its labels; every file predicted by the stored model."""

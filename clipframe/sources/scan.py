@@ -62,9 +62,15 @@ def scan_corpora(spark: SparkSession, base_dir: str, corpora: Sequence[str],
     below ``<base>/<train>/``.
     """
     given = f"{base_dir.rstrip('/')}/{train_dir}/"
-    full = qualified(spark, given) + "/"
-    paths = scan_paths(spark, [given + name for name in corpora], path_col="__path")
-    below = F.substring_index("__path", full, -1)
+    paths = scan_paths(spark, [given + name for name in corpora], path_col="path")
+    return corpus_paths(paths, base_dir, train_dir, path_col)
+
+
+def corpus_paths(paths: DataFrame, base_dir: str, train_dir: str = "train",
+                 path_col: str = "wav_file") -> DataFrame:
+    """``(corpus, wav_file)`` of files below ``<base>/<train>`` with their full ``path``."""
+    given = f"{base_dir.rstrip('/')}/{train_dir}/"
+    below = F.substring_index("path", qualified(paths.sparkSession, given) + "/", -1)
     return paths.select(F.split(below, "/")[0].alias("corpus"),
                         F.concat(F.lit(given), below).alias(path_col))
 

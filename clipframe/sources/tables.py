@@ -65,9 +65,14 @@ def scan_annotations(spark: SparkSession, root: str) -> DataFrame:
                 F.col("_metadata.file_block_start").alias("block_start"),
                 F.monotonically_increasing_id().alias("line_id"))
     )
-    return lines.withColumns({
-        "session": F.regexp_extract("file_path", r"/(Session\d+)/dialog/EmoEvaluation/[^/]*$", 1),
-        "dialog": F.regexp_extract("file_path", r"/([^/]*)\.txt$", 1),
+    return annotated(lines)
+
+
+def annotated(files: DataFrame, path_col: str = "file_path") -> DataFrame:
+    """Add ``session`` and ``dialog`` by the path; only annotation files stay."""
+    return files.withColumns({
+        "session": F.regexp_extract(path_col, r"/(Session\d+)/dialog/EmoEvaluation/[^/]*$", 1),
+        "dialog": F.regexp_extract(path_col, r"/([^/]*)\.txt$", 1),
     }).filter(F.col("session") != "")
 
 
@@ -76,8 +81,4 @@ def scan_annotation_files(spark: SparkSession, root: str) -> DataFrame:
     from clipframe.sources.scan import scan_paths
 
     files = scan_paths(spark, root, pattern="*.txt", path_col="file_path")
-    return files.select(
-        F.regexp_extract("file_path", r"/(Session\d+)/dialog/EmoEvaluation/[^/]*$", 1)
-        .alias("session"),
-        F.regexp_extract("file_path", r"/([^/]*)\.txt$", 1).alias("dialog"),
-    ).filter(F.col("session") != "")
+    return annotated(files).select("session", "dialog")

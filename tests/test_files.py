@@ -133,7 +133,10 @@ def test_jobs_give_the_same_over_folders_and_tables(spark, folder, tmp_path):
              scan.scan_clips(spark, str(folder)).drop("load_error")]
     for job in (lambda s: jobs.dataset_stats(spark, s)[0], lambda s: jobs.mean_dbfs(spark, s),
                 lambda s: jobs.dataset_stats(spark, s)[2]):
-        assert len({str(job(form).collect()) for form in forms}) == 1
+        # sums over other partitions may differ in the last bit
+        found = [[tuple(round(v, 12) if isinstance(v, float) else v for v in row)
+                  for row in job(form).collect()] for form in forms]
+        assert all(rows == found[0] for rows in found)
 
 
 def test_labels_come_with_the_model(spark, tmp_path):
