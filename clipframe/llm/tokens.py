@@ -23,8 +23,8 @@ from clipframe.llm import words as W
 from clipframe.llm.common import give_back
 
 END_ID = 2
-BATCH_BYTES = 3 << 20    # of text that are cut and encoded together
-REMEMBERED = 1_000_000   # parts, at about 150 bytes each
+BATCH_BYTES = 4 << 20    # of text that are cut and encoded together
+REMEMBERED = 1_500_000   # parts, at about 150 bytes each
 JOINED = 128             # distinct parts encoded in one text
 
 # Bytes that only occur in characters that are no white space (first bytes, and all of ASCII)
@@ -149,7 +149,7 @@ class Encoder:
                              not (t.lstrip or t.rstrip or t.single_word or t.normalized)
                              and not any(c.isspace() for c in t.content)
                              for t in self.tokenizer.get_added_tokens_decoder().values()))
-        self.line = line[0] if line else -1
+        self.line_ids = np.array(line[:1], np.uint32)
         self.memory = Memory(self.distinct)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -168,24 +168,21 @@ class Encoder:
         begins = ends - sizes
         unsafe = np.concatenate([[0], np.cumsum(UNSAFE[data], dtype=np.int64)])
         plain = (unsafe[ends] - unsafe[begins] == (data[begins] == BLANK)) & (sizes > 1)
-        counts = np.zeros(len(parts), np.int64)
-        flat = []
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         n = int(plain.sum())
-        for i in range(0, n, JOINED):
-            mine = order[i:min(i + JOINED, n)]
-            text = b"\n".join([parts[j] for j in mine]).decode()
-            ids = self.whole([text])[0]
-            edges = np.append(np.flatnonzero(ids == self.line), len(ids))
-            if len(edges) != len(mine):
-                raise ValueError("the tokenizer does not keep line feeds apart")
-            counts[mine] = np.diff(edges, prepend=-1) - 1
-            flat.append(ids[ids != self.line])
-        for j in order[n:]:
-            ids = self.whole([parts[j].decode()])[0]
-            counts[j] = len(ids)
-            flat.append(ids)
-        ids = np.concatenate(flat) if flat else np.empty(0, np.uint32)
+        joined = [b"\n".join([parts[j] for j in order[i:min(i + JOINED, n)]]).decode()
+                  for i in range(0, n, JOINED)]
+        encoded = self.whole(joined + [parts[j].decode() for j in order[n:]])
+        own = [x for ids in encoded[:len(joined)] for x in (ids, self.line_ids)]
+        ids = np.concatenate([*own, np.empty(0, np.uint32)])
+        between = ids == self.line_ids[0]
+        counts = np.zeros(len(parts), np.int64)
+        edges = np.flatnonzero(between)
+        if len(edges) != n:
+            raise ValueError("the tokenizer does not keep line feeds apart")
+        counts[order[:n]] = np.diff(edges, prepend=-1) - 1
+        counts[order[n:]] = [len(x) for x in encoded[len(joined):]]
+        ids = np.concatenate([ids[~between], *encoded[len(joined):]])
         # from the order they were encoded in to that of the parts
         starts = np.zeros(len(parts), np.int64)
         starts[order] = np.cumsum(counts[order]) - counts[order]
