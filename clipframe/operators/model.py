@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from clipframe.functions.scores import argmax, softmax
 from clipframe.operators.encode import decode_labels
 from clipframe.operators.scoring import best_epoch, macro_f1
+from clipframe.sources import commits
 
 VECTOR = "__vector"
 HISTORY_SCHEMA = "run string, epoch int, split string, metric string, value double"
@@ -120,10 +121,18 @@ def select_model(train: DataFrame, dev: DataFrame, reg_params: Sequence[float] =
     return models[best_epoch(history).first()["best_epoch"]], history
 
 
+def stored_part(spark: SparkSession, path: str) -> str:
+    """The newest whole part of a model's folder."""
+    keys = commits.complete(spark, path)
+    if not keys:
+        raise FileNotFoundError(f"no complete model in {path}")
+    return f"{path.rstrip('/')}/{keys[-1]}"
+
+
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(f"{stored_part(SparkSession.active(), path)}/pipeline")
 
 
 def load_labels(spark: SparkSession, path: str) -> DataFrame:
     """``(label, label_id)`` as stored with the model."""
-    return spark.read.parquet(f"{path}/labels")
+    return spark.read.parquet(f"{stored_part(spark, path)}/labels")

@@ -218,7 +218,7 @@ def fit(train: DataFrame, dev: DataFrame, spec: preprocess.ClipSpec, base_dir: s
     if model_out:
         sinks.write_model(best, model_out, dictionary)
     if metrics_out:
-        sinks.append_metrics(history, metrics_out)
+        sinks.append_metrics(history, metrics_out, "fit")
     return best, history
 
 

@@ -604,6 +604,22 @@ with {LEVELS}
 select doc_id, nbytes + 44 as length, round(dbfs, 6) as dbfs, error from levels
 union all
 select -1 - item_id, null, null, 'cannot read file: FileNotFoundError' from benchmark""",
+    "long_clip_levels": f"""
+with {LEVELS}
+select doc_id, frames as num_frames, rate::int as sample_rate, round(dbfs, 6) as dbfs, error
+from levels""",
+    "long_clip_waves": f"""
+with {MONO},
+w as (select doc_id, avg(x::double) as mean, var_pop(x::double) as var from mono group by 1),
+p as (select doc_id, lang, frames, rate, 1000 // (bits // 8) as per from heads where lang in ('en', 'es')),
+f as (
+  select doc_id, m, round(((x - mean) / sqrt(var + 1e-7))::float::double, 3) as v
+  from mono join w using (doc_id) join p using (doc_id) where m % per = 0)
+select doc_id, m as first_sample, v as value, null::varchar as error from f
+union all
+select doc_id, null, ceil(frames * 16000 / rate::double), null from heads where frames > 0
+union all
+select doc_id, null, null, 'no samples' from heads where frames = 0""",
     "ingest_clips": f"""
 select doc_id, nbytes + 44 as length, frames as num_frames, rate::int as sample_rate,
        null::varchar as error from ({HEADERS})""",

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from clipframe.functions import labels as L
 from clipframe.functions.paths import base_name, duration_seconds, join_path, parent_name
 from clipframe.functions.scores import argmax, softmax
-from clipframe.operators import (batching, encode, features, joins, model, scoring, signal, stats,
-                                 training)
+from clipframe.operators import (batching, encode, features, joins, long_clips, model, scoring,
+                                 signal, stats, training)
 from clipframe.operators.clips import split_rejects
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.operators.split import stratified_split
 from clipframe.plans import jobs
 from clipframe.plans import standins as S
 from clipframe.session import new_folder, spread
-from clipframe.sources import scan, sinks, tables
+from clipframe.sources import manifest, scan, sinks, tables
 from clipframe.sources.manifest import Manifest
 from clipframe.sources.wav import scan_header_files, scan_headers, wav_bytes
 
@@ -581,8 +581,9 @@ def score_predictions(spark, sf_dir):
 def best_epoch(spark, sf_dir):
     """The history goes through the metrics table, as after a fit."""
     folder = new_folder(spark, "metrics")
-    sinks.append_metrics(S.daily_history(S.table(spark, sf_dir, "events")), folder)
-    return scoring.best_epoch(spark.read.parquet(folder))
+    for _ in range(2):  # a repeated run does not count twice
+        sinks.append_metrics(S.daily_history(S.table(spark, sf_dir, "events")), folder, "daily")
+    return scoring.best_epoch(sinks.read_metrics(spark, folder))
 
 
 @query
@@ -665,6 +666,33 @@ def load_by_path(spark, sf_dir):
     return levels.select("doc_id", "length", F.round("dbfs", 6).alias("dbfs"), "error")
 
 
+@query
+def long_clip_levels(spark, sf_dir):
+    """Files read in ranges of 1,000 bytes: their headers, and levels merged from the ranges."""
+    folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
+    levels = long_clips.long_loudness(manifest.list_files(spark, folder), range_bytes=1_000)
+    return _document_ids(levels.select(
+        "path", "num_frames", "sample_rate", F.round("dbfs", 6).alias("dbfs"), "error"))
+
+
+@query
+def long_clip_waves(spark, sf_dir):
+    """The clip chain over ranges of 1,000 bytes. Of clips at the target rate each range's
+    first sample is given, of all the number of samples."""
+    folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
+    files = manifest.list_files(spark, folder)
+    waves, rejected = long_clips.long_waves(files, ClipSpec(), range_bytes=1_000)
+    kept = S.table(spark, sf_dir, "documents").filter("lang in ('en', 'es')").select("doc_id").join(
+        _document_ids(waves), "doc_id").select(
+            "doc_id", "first_sample", F.round(F.col("samples")[0].cast("double"), 3).alias("value"))
+    whole = _document_ids(waves).groupBy("doc_id").agg(
+        F.lit(None).cast("bigint").alias("first_sample"),
+        F.sum(F.size("samples")).cast("double").alias("value"))
+    return kept.union(whole).withColumn("error", F.lit(None).cast("string")).union(
+        _document_ids(rejected).select("doc_id", F.lit(None).cast("bigint"),
+                                       F.lit(None).cast("double"), "error"))
+
+
 @query
 def ingest_clips(spark, sf_dir):
     """A folder of WAV files packed into one table with header columns."""

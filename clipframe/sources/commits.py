@@ -23,10 +23,8 @@ def stage(spark: SparkSession, folder: str, key: str) -> str:
     """The path of part ``key``, empty: write there, then :func:`finish` it."""
     if not re.fullmatch(r"[A-Za-z0-9][\w.=-]*", key):
         raise ValueError(f"not a key of a part: {key!r}")
-    store, path = _store(spark, folder)
     target = f"{folder.rstrip('/')}/{key}"
-    store.delete(path(f"{target}/{MARK}"), False)  # first, so that no reader takes a half of it
-    store.delete(path(target), True)
+    remove(spark, target)
     return target
 
 
@@ -35,6 +33,13 @@ def finish(spark: SparkSession, part: str) -> None:
     store.create(path(f"{part}/{MARK}"), True).close()
 
 
+def remove(spark: SparkSession, part: str) -> None:
+    """Take a part away, its mark first."""
+    store, path = _store(spark, part)
+    store.delete(path(f"{part}/{MARK}"), False)
+    store.delete(path(part), True)
+
+
 def is_complete(spark: SparkSession, part: str) -> bool:
     store, path = _store(spark, part)
     return store.exists(path(f"{part}/{MARK}"))

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.ml.util import MLWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipframe.functions.paths import base_name
+from clipframe.sources import commits
 from clipframe.sources.files import Files, qualified
 from clipframe.sources.scan import materialise
 
 
+METRICS = "run string, epoch int, split string, metric string, value double"
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header row, no index, doubled quotes, bare empty fields; overwrites.
 
@@ -81,12 +86,38 @@ def export_clips(clips: DataFrame, folder: str, name: Column, content_col: str =
 
 
 def write_model(model: MLWritable, path: str, dictionary: DataFrame | None = None) -> None:
-    """The model and, below it, the labels its classes stand for."""
-    model.write().overwrite().save(path)
+    """The model and the labels its classes stand for, as one part of a folder.
+
+    Readers take the newest whole part, so they never see a model with the labels of
+    another; older parts are removed only when the new one is complete.
+    """
+    spark = SparkSession.active()
+    before = commits.complete(spark, path)
+    number = 1 + max((int(k.partition("=")[2]) for k in before), default=0)
+    part = commits.stage(spark, path, f"model={number}")
+    model.write().save(f"{part}/pipeline")
     if dictionary is not None:
-        dictionary.write.mode("overwrite").parquet(f"{path}/labels")
+        dictionary.write.parquet(f"{part}/labels")
+    commits.finish(spark, part)
+    for key in before:
+        commits.remove(spark, f"{path.rstrip('/')}/{key}")
+
 
+def append_metrics(history: DataFrame, path: str, key: str | None = None) -> None:
+    """Add ``(run, epoch, split, metric, value)`` rows to the metrics of a folder.
 
-def append_metrics(history: DataFrame, path: str) -> None:
-    """Add ``(run, epoch, split, metric, value)`` rows to the metrics table."""
-    history.write.mode("append").parquet(path)
+    Rows of one ``key`` replace those given before under it, so a job that is repeated
+    does not count twice; without a key they are always added.
+    """
+    part = commits.stage(history.sparkSession, path, f"rows={key or uuid.uuid4().hex}")
+    history.write.parquet(part)
+    commits.finish(history.sparkSession, part)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """All rows given to :func:`append_metrics`; those of a run that was ended are not there."""
+    found = spark.createDataFrame([], METRICS)
+    for key in commits.complete(spark, path):
+        found = found.union(spark.read.parquet(f"{path.rstrip('/')}/{key}").select(
+            *found.columns))
+    return found

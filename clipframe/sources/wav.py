@@ -30,6 +30,9 @@ PCM, FLOAT, EXTENSIBLE = 1, 3, 0xFFFE
 PCM_BITS = (8, 16, 24, 32)
 FLOAT_BITS = (32, 64)
 PLAIN_HEADER_BYTES = 44
+# The 64-bit forms keep the sizes that do not fit 32 bits in a chunk of their own.
+CONTAINERS = (b"RIFF", b"RF64", b"BW64")
+SIZE_ELSEWHERE = 0xFFFFFFFF
 PLAIN_FORMAT = b"WAVEfmt \x10\x00\x00\x00\x01\x00"
 # What is read of a file at first; the head of a usual file is shorter.
 FIRST_BYTES = 512
@@ -54,12 +57,18 @@ def _walk(read: Callable[[int, int], bytes | memoryview], known_bytes: int, file
           ) -> tuple[int, int, int, int, int, int]:
     """``walk_chunks`` over ``read(offset, count)``, which reaches ``known_bytes``."""
     head = bytes(read(0, 12))
-    if len(head) < 12 or head[:4] != b"RIFF" or head[8:] != b"WAVE":
+    if len(head) < 12 or head[:4] not in CONTAINERS or head[8:] != b"WAVE":
         raise WavError("not a RIFF/WAVE file")
-    fmt, at = None, 12
+    fmt, at, large = None, 12, None
     while at + 8 <= known_bytes:
         name, size = struct.unpack("<4sI", read(at, 8))
         body = at + 8
+        if name == b"ds64" and head[:4] != b"RIFF":
+            if size < 24 or body + size > known_bytes:
+                raise WavError("bad ds64 chunk")
+            large = struct.unpack("<Q", read(body + 8, 8))[0]
+        elif name == b"data" and size == SIZE_ELSEWHERE and large is not None:
+            size = large
         if name == b"fmt ":
             if size < 16 or body + size > known_bytes:
                 raise WavError("bad fmt chunk")
@@ -101,13 +110,18 @@ def file_header(handle) -> tuple[int, int, int, int]:
 
     Reads the first bytes, then the heads of further chunks; never the samples.
     """
+    return _summary(*file_layout(handle))
+
+
+def file_layout(handle) -> tuple[int, int, int, int, int, int]:
+    """As :func:`walk_chunks`, from an open file."""
     size = handle.size()
     first = handle.read_at(min(size, FIRST_BYTES), 0)
 
     def read(at: int, count: int) -> bytes:
         return first[at:at + count] if at + count <= len(first) else handle.read_at(count, at)
 
-    return _summary(*_walk(read, size, size))
+    return _walk(read, size, size)
 
 
 def decode_samples(data: bytes) -> tuple[np.ndarray, int, int, int]:
@@ -118,11 +132,16 @@ def decode_samples(data: bytes) -> tuple[np.ndarray, int, int, int]:
     """
     codec, channels, rate, bits, offset, size = walk_chunks(data)
     check_format(codec, channels, rate, bits)
+    count = size // (channels * bits // 8) * channels
+    return raw_samples(data, codec, bits, count, offset), rate, channels, bits
+
+
+def raw_samples(data: bytes, codec: int, bits: int, count: int, offset: int = 0) -> np.ndarray:
+    """``count`` samples from a place in the bytes on; see :func:`decode_samples`."""
     width = bits // 8
-    count = size // (channels * width) * channels
     if codec == FLOAT:
         raw = np.frombuffer(data, "<f4" if bits == 32 else "<f8", count, offset)
-        return raw.astype(np.float64), rate, channels, bits
+        return raw.astype(np.float64)
     if bits == 8:
         samples = np.frombuffer(data, np.uint8, count, offset).astype(np.int32) - 128
     elif bits == 24:
@@ -132,7 +151,7 @@ def decode_samples(data: bytes) -> tuple[np.ndarray, int, int, int]:
         samples = wide.view("<i4").ravel() >> 8
     else:
         samples = np.frombuffer(data, f"<i{width}", count, offset).astype(np.int32)
-    return samples, rate, channels, bits
+    return samples
 
 
 def _is_plain(content: Column) -> Column:
