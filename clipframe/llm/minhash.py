@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,19 +18,26 @@ PERMUTATIONS = 128
 BAND_ROWS = 4
 FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
 BAND_PART = 1_000  # members of a band that meet its leads in one part
+MISSED = 1e-9      # probability of a linked pair whose signatures are not looked at further
 
 
-def signatures(texts: pa.Array, k: int, permutations: int) -> np.ndarray:
+def signatures(texts: pa.Array, k: int, permutations: int,
+               named: list | None = None) -> np.ndarray:
     """16 bits of the smallest value of each permutation, for every row.
 
     Permutations are multiply-add-shift universal hashes of the 64-bit shingles. A
-    row without words has the same signature as any other such row and no other.
+    row without words has the same signature as any other such row and no other. The
+    name and size of each row's set of shingles are added to ``named``, if given.
     """
     multiply = W.stream(3, permutations) | np.uint64(1)
     add = W.stream(4, permutations)
     result = np.full((len(texts), permutations), 0xFFFFFFFF, np.uint64)
     for row, data, offsets in W.chunks(texts):
         values, at = W.shingles(W.split_words(data, offsets, W.BLANK_SEPARATED), k)
+        if named is not None:
+            for a, b in zip(at, at[1:]):
+                own = np.unique(values[a:b])
+                named.append((hashlib.md5(own.tobytes()).digest(), len(own)))
         some = np.flatnonzero(np.diff(at))
         if not len(some):
             continue
@@ -50,10 +58,9 @@ def as_bytes(signature: np.ndarray) -> pa.Array:
 def _compare(ids: list, own: list[str], after: list[str], k: int,
              permutations: int) -> pa.RecordBatch:
     """Fingerprints of texts and of their edited forms, given the text that follows each."""
-    import hashlib
-
     edited = [t[:len(t) - len(t) // 2] + n[:len(t) // 2] for t, n in zip(own, after)]
-    signature = signatures(pa.array([*own, after[-1]], pa.large_string()), k, permutations)
+    named: list = []
+    signature = signatures(pa.array([*own, after[-1]], pa.large_string()), k, permutations, named)
     mine, following = signature[:-1], signature[1:]
     changed = signatures(pa.array(edited, pa.large_string()), k, permutations)
     return pa.RecordBatch.from_arrays([
@@ -61,20 +68,37 @@ def _compare(ids: list, own: list[str], after: list[str], k: int,
         pa.array([hashlib.sha256(t.encode()).digest() for t in edited], pa.binary()),
         as_bytes(mine), as_bytes(changed),
         pa.array((mine == changed).mean(axis=1)), pa.array((mine == following).mean(axis=1)),
+        pa.array([x for x, _ in named[:-1]], pa.binary()),
+        pa.array([n for _, n in named[:-1]], pa.int64()),
     ], names=RESULT)
 
 
 RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-          "near_edited", "near_next"]
+          "near_edited", "near_next", "set_name", "set_size"]
 SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, "
-          "edited_fingerprint binary, near_edited double, near_next double")
+          "edited_fingerprint binary, near_edited double, near_next double, set_name binary, "
+          "set_size bigint")
 EDGE = "edge int, first_id bigint, first_text string, last_id bigint, last_text string"
 
 
 def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
                       permutations: int = PERMUTATIONS) -> DataFrame:
+    """Fingerprints in hexadecimal digits, see :func:`fingerprints`."""
+    return shown(fingerprints(docs, k, permutations))
+
+
+def shown(found: DataFrame) -> DataFrame:
+    return found.drop("set_name", "set_size").select(
+        *[F.lower(F.hex(c)).alias(c) if kind == "binary" else c
+          for c, kind in found.dtypes if not c.startswith("set_")])
+
+
+def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS,
+                 permutations: int = PERMUTATIONS) -> DataFrame:
     """Fingerprint every text, its edited form and its likeness to the next document.
 
+    ``set_name`` and ``set_size`` are those of the text's set of shingles.
+
     The rows are sorted by ``doc_id`` in ranges; neighbours in a range meet in its
     task. Only the first and last document of each range are joined afterwards, as
     many rows as there are partitions. Null texts are empty; rows with equal or null
@@ -105,7 +129,7 @@ def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
                  *(pa.array([v], t) for v, t in zip(row, edge_types))], names=names)
 
     result_types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
-                    pa.float64(), pa.float64()]
+                    pa.float64(), pa.float64(), pa.binary(), pa.int64()]
     edge_types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()]
     names = RESULT + ["edge", "first_id", "first_text", "last_id", "last_text"]
 
@@ -131,47 +155,63 @@ def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
                 yield _compare([row["last_id"]], [row["last_text"]], [row["first_text"]],
                                k, permutations)
 
-    result = rows.filter("edge is null").select(*RESULT).union(pairs.mapInArrow(ends, SCHEMA))
-    return result.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else c
-                           for c, kind in result.dtypes])
+    return rows.filter("edge is null").select(*RESULT).union(
+        written(pairs.mapInArrow(ends, SCHEMA), "edges"))
+
+
+def least_matches(threshold: float, permutations: int) -> int:
+    """Signature values that two sets at the threshold share but for ``MISSED`` of all pairs."""
+    from math import comb
+
+    below = 0.0
+    for n in range(permutations + 1):
+        below += comb(permutations, n) * threshold ** n * (1 - threshold) ** (permutations - n)
+        if below > MISSED:
+            return n
+    return permutations
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_WORDS,
-                    permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS) -> DataFrame:
+                    permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS,
+                    signed: DataFrame | None = None) -> DataFrame:
     """``(doc_id, component_id)`` of non-null, distinct ids; texts without words stay alone.
 
     Equal shingle sets are one class. Any two classes that share a band of their
     signatures are compared, unless a chain of links joins them already: first with
     the band's smallest class, then, in rounds, with about 1, 2, 4, ... further
     members. So a band of copies gives as many pairs as rows, one of unlike texts all
-    its pairs. Every pair is verified on whole shingle sets. 32 bands of 4 find a
-    pair at 0.75 with probability above 0.99999.
+    its pairs. 32 bands of 4 find a pair at 0.75 with probability above 0.99999. Every
+    pair is verified on whole shingle sets, but those whose signatures agree in so few
+    places that a pair at the threshold does so with a probability below ``MISSED``.
+
+    ``signed`` are the :func:`fingerprints` of the same rows, if there are any. Rows that
+    repeat an id each have a row; unlike texts of one id are classes of their own, and of
+    classes of one smallest id all follow the links of either. Long texts are read whole.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sets = list(W.shingle_sets(part.column(1), k))
-                signature = signatures(part.column(1), k, permutations)
-                bands = signature.reshape(len(sets), -1, band_rows).astype(np.uint64)
-                keys = np.zeros(bands.shape[:2], np.uint64) + W.stream(5, bands.shape[1])
-                for j in range(band_rows):
-                    keys = W.mix(keys + bands[:, :, j] + np.uint64(1))
+                part, named = batch.slice(at, 500), []
+                signature = signatures(part.column(1), k, permutations, named)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0),
-                     pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                     pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))],
-                    names=["doc_id", "key", "size", "bands"])
+                    [part.column(0), pa.array([x for x, _ in named], pa.binary()),
+                     pa.array([n for _, n in named], pa.int64()), as_bytes(signature)],
+                    names=["doc_id", "set_name", "set_size", "fingerprint"])
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
-    signed = written(texts.mapInArrow(
-        sign, "doc_id bigint, key binary, size bigint, bands array<bigint>"), "signatures")
+    if signed is None:
+        signed = written(texts.mapInArrow(
+            sign, "doc_id bigint, set_name binary, set_size bigint, fingerprint binary"),
+            "signatures")
+    signed = signed.filter("doc_id is not null").select(
+        "doc_id", F.col("set_name").alias("key"), F.col("set_size").alias("size"), "fingerprint")
     classes = signed.filter("size > 0").groupBy("key").agg(
-        F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    banded = classes.select("id", "size", F.explode("bands").alias("band"))
+        F.min("doc_id").alias("id"), F.first("size").alias("size"),
+        F.first("fingerprint").alias("fingerprint"))
+    bands = F.transform(F.sequence(F.lit(0), F.lit(permutations // band_rows - 1)),
+                        lambda j: F.xxhash64(j, F.substring(
+                            "fingerprint", j * (2 * band_rows) + 1, F.lit(2 * band_rows))))
+    banded = classes.select("id", "size", F.explode(bands).alias("band"))
     shared = banded.groupBy("band").agg(
         F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
@@ -181,20 +221,37 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
             1 + F.floor(F.log2(1 + part * F.col("n")))).cast("int").alias("turn")), "members")
 
     @F.arrow_udf("double")
-    def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+    def jaccard(left: pa.Array, right: pa.Array, names: pa.Array, others: pa.Array) -> pa.Array:
         out = []
-        for x, y in zip(W.shingle_sets(left, k), W.shingle_sets(right, k)):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / (len(x) + len(y) - both))
+        found = left.dictionary_encode()  # rows of one lead follow each other
+        sets = list(W.shingle_sets(found.dictionary, k))
+        own = [hashlib.md5(s.tobytes()).digest() for s in sets]
+        for i, y, name, other in zip(found.indices.to_pylist(), W.shingle_sets(right, k),
+                                     names.to_pylist(), others.to_pylist()):
+            if own[i] != name or hashlib.md5(y.tobytes()).digest() != other:
+                out.append(0.0)  # another text of a repeated id
+                continue
+            both = len(np.intersect1d(sets[i], y, assume_unique=True))
+            out.append(both / (len(sets[i]) + len(y) - both))
         return pa.array(out, pa.float64())
 
+    @F.arrow_udf("int")
+    def matches(left: pa.Array, right: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), ">u2").reshape(-1, permutations)
+                for c in (left, right))
+        return pa.array((x == y).sum(axis=1), pa.int32())
+
     def similar(pairs: DataFrame, n: int) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         own = texts.join(F.broadcast(ids) if n <= FEW_PAIRS else ids, "doc_id", "left_semi")
         left, right = (own.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
                        for c in ("a", "b"))
-        return pairs.join(left, "a").join(right, "b").filter(
-            jaccard("text_a", "text_b") >= threshold).select("a", "b")
+        return pairs.join(right, "b").join(left, "a").filter(
+            jaccard("text_a", "text_b", "name_a", "name_b") >= threshold).select("a", "b").distinct()
+
+    marks = [classes.select(F.col("id").alias(c), F.col("fingerprint").alias(f"mark_{c}"),
+                            F.col("key").alias(f"name_{c}")) for c in ("a", "b")]
+    least = least_matches(threshold, permutations)
 
     spark = docs.sparkSession
     links = compared = spark.createDataFrame([], "a bigint, b bigint")
@@ -226,8 +283,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
             .distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = compared.union(pairs)
+        pairs = written(pairs.join(marks[1], "b").join(marks[0], "a").filter(
+            matches("mark_a", "mark_b") >= least).select("a", "b", "name_a", "name_b"), "alike")
         n = pairs.count()
-        new = written(similar(pairs, n), "links") if n else pairs
+        new = written(similar(pairs, n), "links") if n else pairs.select("a", "b")
         if not new.isEmpty():
             links = links.union(new)
             found = components(links)

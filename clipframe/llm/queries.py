@@ -24,9 +24,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    groups = minhash.near_duplicates(docs).groupBy("doc_id").agg(
+    found = minhash.fingerprints(docs)
+    groups = minhash.near_duplicates(docs, signed=found).groupBy("doc_id").agg(
         F.min("component_id").alias("component_id"))
-    return minhash.compare_with_next(docs).join(groups, "doc_id", "left")
+    return minhash.shown(found).join(groups, "doc_id", "left")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

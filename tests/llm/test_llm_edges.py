@@ -103,6 +103,30 @@ def test_minhash_near_duplicates(spark, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_of_odd_rows(odd):
+    df, rows = odd
+    named = [r for r in rows if r[0] is not None]
+    want = Counter((d, c) for d, _, c in brute.jaccard_components(named))
+    assert pairs(minhash.near_duplicates(df), "doc_id", "component_id") == want
+    found = minhash.fingerprints(df)
+    assert pairs(minhash.near_duplicates(df, signed=found), "doc_id", "component_id") == want
+
+
+def test_near_duplicates_of_unlike_texts_with_one_id(spark):
+    a, b = prose(61, 80), prose(62, 80)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, prose(63, 80)), (4, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in minhash.near_duplicates(df).collect()) == [
+        (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+
+
+def test_signatures_ruled_out():
+    least = minhash.least_matches(0.75, 128)
+    from math import comb
+    below = sum(comb(128, n) * 0.75 ** n * 0.25 ** (128 - n) for n in range(least))
+    assert below <= minhash.MISSED and 55 < least < 75
+
+
 def test_minhash_near_duplicates_of_a_shared_template(spark):
     # the last two are at 0.83, and at 0.67 to each other page; pages are at 0.56
     rows = [(i, " ".join([f"t{j}" for j in range(104)] + [f"p{i}x{j}" for j in range(own)]))
