@@ -38,6 +38,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, _HEADS + r"\\(\\*)" + _TAILS, "$1$2$3")
 
 
+def one_line(role: Column) -> Column:
+    """A role without line feeds, which end it in the string."""
+    return F.replace(F.replace(role, F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n"))
+
+
+def lines(role: Column) -> Column:
+    return F.replace(F.replace(role, F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\"))
+
+
 def text_part(text: Column) -> Column:
     """A plain text as a list of one typed part."""
     return F.array(F.struct(F.lit("text").alias("type"), F.coalesce(text, F.lit("")).alias("text"),
@@ -101,12 +110,12 @@ def format_turns(rows: DataFrame, parts: Column, loss_role: str = LOSS_ROLE) ->
     Takes rows ``(conv_id, turn, role)`` and a column of typed parts. Turns follow
     by ``turn`` (a null first), equal ones by role, then by text. ``spans`` are the
     zero-based code-point ranges under the loss mask: the texts of ``loss_role``,
-    without marks. A null role is the empty role, a null ``conv_id`` is a
+    without marks. Any role comes back, line feeds included. A null role is the empty role, a null ``conv_id`` is a
     conversation of its own; repeated rows are repeated turns. A conversation is
     gathered in two steps, joined blocks of 64 turns first, so that a very long one
     is not sent turn by turn to a task. An empty table gives no rows.
     """
-    role = escape(F.regexp_replace(F.coalesce("role", F.lit("")), "\n", " "))
+    role = escape(one_line(F.coalesce("role", F.lit(""))))
     turns = flatten(rows.select("conv_id", F.col("turn").cast("long").alias("turn"),
                                 F.coalesce("role", F.lit("")).alias("role"), parts.alias("parts")),
                     F.col("parts"))
@@ -157,7 +166,7 @@ def parse(formatted: Column) -> Column:
     """
     pieces = F.filter(F.split(formatted, re.escape(OPEN)), lambda p: p != "")
     return F.transform(pieces, lambda p: F.struct(
-        unescape(F.substring_index(p, "\n", 1)).alias("role"),
+        lines(unescape(F.substring_index(p, "\n", 1))).alias("role"),
         unescape(F.substring(p, F.instr(p, "\n") + 1, F.length(p) - F.instr(p, "\n")
                              - F.lit(len(CLOSE) + 1))).alias("text")))
 

@@ -9,13 +9,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clipframe.llm import words as W
 from clipframe.llm.common import held_out
+from clipframe.llm.slices import text_sizes
 
 TRAIN_PER_LANGUAGE = 500
+TRAIN_ROWS = 20_000     # of all languages, about
+MOST_LANGUAGES = 1_000  # that are learned, the most frequent ones
 LANDMARKS = 60          # for each language
+MOST_LANDMARKS = 3_000  # of all languages, about
 RIDGE = 0.1
+REJECT = 0.5            # see floor_of
+MARGIN = 0.25
+SHORT_BYTES = 200       # shorter texts say too little to be found of no language
 TRIGRAM_BITS = 17
 CODES = 256 + 65536 + (1 << TRIGRAM_BITS)
 BATCH_ROWS = 64
@@ -58,6 +66,7 @@ class Model(NamedTuple):
     languages: list[str]
     codes: np.ndarray    # n-gram codes that the landmarks have
     weights: np.ndarray  # n-grams x languages
+    floor: float = -np.inf  # a text whose best value lies below is of no learned language
 
 
 def solve(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> Model:
@@ -67,6 +76,7 @@ def solve(texts: list[str], labels: list[str], landmarks: int, ridge: float) ->
     mean of their own numbers, among the n-grams that occur in a landmark.
     """
     languages = sorted(set(labels))
+    landmarks = max(1, min(landmarks, MOST_LANDMARKS // len(languages)))
     y = np.array([languages.index(v) for v in labels])
     chosen = np.sort(np.concatenate([np.flatnonzero(y == i)[:landmarks]
                                      for i in range(len(languages))]))
@@ -93,24 +103,57 @@ def solve(texts: list[str], labels: list[str], landmarks: int, ridge: float) ->
     return Model(languages, codes, (z.T.astype(np.float64) @ (root @ w)).astype(np.float32))
 
 
+def values_of(texts: pa.Array, codes: np.ndarray, weights: np.ndarray) -> Iterator[
+        tuple[int, np.ndarray]]:
+    """``(first row, matrix)``: the regression value of each language for each text."""
+    place = np.full(CODES, len(codes), np.int32)
+    place[codes] = np.arange(len(codes))
+    for row, x in presence(texts, place, len(codes)):
+        size = np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
+        yield row, (x @ weights / size).astype(np.float64)
+
+
+def floor_of(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> float:
+    """What no text of a learned language should fall below, from texts not learned from.
+
+    A fifth is judged by a model of the rest. The floor lies below the worst of them, by
+    ``REJECT`` of its distance from the usual one and ``MARGIN`` at least.
+    """
+    mine = [i for i in range(len(texts)) if i % 5]
+    other = [i for i in range(len(texts)) if i % 5 == 0]
+    if not mine:
+        return -np.inf
+    model = solve([texts[i] for i in mine], [labels[i] for i in mine], landmarks, ridge)
+    best = np.concatenate([v.max(axis=1) for _, v in values_of(
+        pa.array([texts[i] for i in other], pa.large_string()), model.codes, model.weights)])
+    low = float(best.min())
+    return low - max(MARGIN, REJECT * (float(np.median(best)) - low))
+
+
 def sample(docs: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` documents of each language, ``(doc_id, lang, text)``.
 
     Only rows with text and language outside the held-out fifth, chosen by a hash of
-    the id with bounded per-task buffers; one row stands for a repeated id.
+    the id (ties by the id) in one pass over the ids, of which a task sends on no more
+    than it may need; one row stands for a repeated id, all of which count. The ``MOST_LANGUAGES`` most
+    frequent languages are learned, the first by name of equal ones; with many
+    languages each has fewer documents, so that all have about ``TRAIN_ROWS``.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").filter(
         "doc_id is not null and lang is not null and text is not null").filter(
             ~held_out(F.col("doc_id")))
-    languages = [r[0] for r in rows.select("lang").distinct().orderBy("lang").limit(1000).collect()]
-    chosen = None
-    for language in languages:
-        some = rows.filter(F.col("lang") == language).select("doc_id").orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        chosen = some if chosen is None else chosen.union(some)
-    if chosen is None:
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    languages = [r["lang"] for r in counted.collect()]
+    if not languages:
         return rows.filter("false")
-    return (rows.join(F.broadcast(chosen.distinct()), "doc_id").groupBy("doc_id")
+    each = max(1, min(per_language, TRAIN_ROWS // len(languages)))
+    known = docs.sparkSession.createDataFrame([(v,) for v in languages], "lang string")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = rows.join(F.broadcast(known), "lang").select(
+        "doc_id", F.row_number().over(order).alias("place")).filter(F.col("place") <= each)
+    return (rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
+            .join(F.broadcast(known), "lang").groupBy("doc_id")
             .agg(F.min("lang").alias("lang"), F.min("text").alias("text")))
 
 
@@ -125,7 +168,9 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, landmarks: int
 
         rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         if rows:
-            model = solve([r[2] for r in rows], [r[1] for r in rows], landmarks, ridge)
+            texts, labels = [r[2] for r in rows], [r[1] for r in rows]
+            model = solve(texts, labels, landmarks, ridge)._replace(
+                floor=floor_of(texts, labels, landmarks, ridge))
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))])], ["model"])
 
     got = sample(docs, per_language).repartition(1).mapInArrow(learn, "model binary").first()
@@ -136,40 +181,43 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, landmarks: int
     return Model(*pickle.loads(bytes(got[0])))
 
 
-RESULT = "struct<lang_pred:string,score:double>"
+RESULT = "struct<lang_pred:string,score:double,accepted:boolean>"
 
 
 def predict(model: Model, spark) -> callable:
-    """A column function ``text -> struct(lang_pred, score)``, on whole texts.
+    """A column function ``text -> struct(lang_pred, score, accepted)``, on whole texts.
 
     ``und`` with score 0 if the text is null, has no letter, or no language was
     learned. The score is the softmax share of the best language's regression value;
-    of equal values the first language by name wins.
+    of equal values the first language by name wins. Accepted are texts of a language
+    whose value is not below the model's floor (see ``floor_of``), or that are short. Equal texts have equal results, repeated rows included; a text of
+    any length is judged whole, in chunks of rows.
     """
     shared = spark.sparkContext.broadcast(tuple(model))
 
     def apply(texts: pa.Array, letters: pa.Array) -> pa.Array:
-        languages, codes, weights = shared.value
+        languages, codes, weights, floor = shared.value
         names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        accepted = np.zeros(len(texts), bool)
+        short = text_sizes(texts) < SHORT_BYTES
         known = letters.to_pylist()
         if languages:
-            place = np.full(CODES, len(codes), np.int32)
-            place[codes] = np.arange(len(codes))
-            for row, x in presence(texts, place, len(codes)):
-                size = np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
-                values = (x @ weights / size).astype(np.float64)
+            for row, values in values_of(texts, codes, weights):
                 share = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
                 share /= share.sum(axis=1, keepdims=True)
                 for i, best in enumerate(values.argmax(axis=1)):
                     if known[row + i]:
                         names[row + i], scores[row + i] = languages[best], share[i, best]
-        return pa.StructArray.from_arrays([pa.array(names), pa.array(scores)],
-                                          names=["lang_pred", "score"])
+                        accepted[row + i] = values[i, best] >= floor or short[row + i]
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores), pa.array(accepted)],
+            names=["lang_pred", "score", "accepted"])
 
     udf = F.arrow_udf(apply, RESULT)
     return lambda text: udf(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
+    """``(doc_id, lang_pred, score, accepted)`` of every row, see :func:`predict`."""
     found: Column = predict(model, docs.sparkSession)(F.col("text"))
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")

@@ -60,7 +60,8 @@ select conv_id, count(*) as n_turns,
        coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
        sha256(coalesce(string_agg(text, '' order by turn, role, shown)
                        filter (role = 'assistant'), '')) as loss_sha256,
-       sum(length('<|im_start|>') + length(role) + 1 + length(shown) + length('<|im_end|>') + 1)
+       sum(length('<|im_start|>') + length(role) + len(role)
+             - len(replace(replace(role, chr(92), ''), chr(10), '')) + 1 + length(shown) + length('<|im_end|>') + 1)
          ::bigint as formatted_chars,
        sum(n)::bigint as expanded_tokens
 from e group by conv_id""",

@@ -13,6 +13,7 @@ FINE = 64            # a group above 1/64 of a shard in some dimension is placed
 CELLS = 128          # cells of small groups for each shard
 SPLIT = 2            # a group above half a shard is cut into parts of about that
 BLOCK_ROWS = 1_000_000
+TOLERANCE = 0.1      # of the mean, for tokens and rows of a shard when bytes are evened out
 
 
 def words(text: Column) -> Column:
@@ -40,15 +41,24 @@ def place(loads: np.ndarray, shards: int) -> np.ndarray:
     return chosen
 
 
-def settle(sizes: np.ndarray, chosen: np.ndarray, shards: int, rounds: int = 500) -> np.ndarray:
-    """Even out one dimension: the fullest and the emptiest shard exchange a vector or move one.
+def settle(vectors: np.ndarray, chosen: np.ndarray, shards: int, rounds: int = 500) -> np.ndarray:
+    """Even out the first dimension: the fullest and the emptiest shard exchange a vector or
+    move one.
 
-    Of all exchanges of these two, the one that leaves them nearest to each other.
+    Of the exchanges of these two that raise no other dimension above its largest load, or
+    above ``TOLERANCE`` and a usual vector more than the mean, the one that leaves them
+    nearest to each other.
     """
-    chosen = chosen.copy()
+    chosen, sizes = chosen.copy(), vectors[:, 0]
+    others = vectors[:, 1:]
+    none = np.zeros((1, others.shape[1]))
+    usual = others.sum(axis=0) / shards * (1 + TOLERANCE) + np.median(others, axis=0) if len(
+        others) else none[0]
     for _ in range(rounds):
         loads = np.bincount(chosen, sizes, shards)
         high, low = int(loads.argmax()), int(loads.argmin())
+        held = np.stack([np.bincount(chosen, d, shards) for d in others.T], axis=1)
+        most = np.maximum(held.max(axis=0), usual)
         half = (loads[high] - loads[low]) / 2
         give = np.flatnonzero(chosen == high)
         take = np.append(np.flatnonzero(chosen == low), -1)  # -1: nothing comes back
@@ -59,6 +69,9 @@ def settle(sizes: np.ndarray, chosen: np.ndarray, shards: int, rounds: int = 500
         best, pair = half, None
         for near in (np.clip(at - 1, 0, len(order) - 1), np.clip(at, 0, len(order) - 1)):
             off = np.abs(back[order][near] - want)
+            moved = others[give] - np.concatenate([others[take[:-1]], none])[order][near]
+            fits = ((held[high] - moved <= most) & (held[low] + moved <= most)).all(axis=1)
+            off[~fits] = np.inf
             i = int(off.argmin()) if len(off) else -1
             if i >= 0 and off[i] < best * 0.999:
                 best, pair = off[i], (give[i], take[order[near[i]]])
@@ -79,7 +92,8 @@ def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
     Groups above a 64th of a shard (at most 3 x 64 x shards of them, by counting)
     and cells of hashed smaller groups (128 x shards) are the vectors to place, so
     their number does not grow with the input; only their sums reach the driver.
-    Exchanges between the fullest and the emptiest shard then even out the bytes.
+    Exchanges between the fullest and the emptiest shard then even out the bytes, as far
+    as no shard gets more tokens or rows than the fullest had or a tolerance allows.
 
     A null text is an empty payload and forms a group; a null id is kept. Repeated
     rows each get a slot of their own. Other columns are not looked at. An empty
@@ -109,7 +123,7 @@ def shard(docs: DataFrame, shards: int, tokens: Column | None = None,
         F.col("parts").isNotNull().alias("alone")), "shard-units")
     loads = units.groupBy("alone", "unit").agg(*sums).orderBy("alone", "unit").toPandas()
     vectors = loads[list(DIMENSIONS)].to_numpy(float)
-    loads["shard"] = settle(vectors[:, 0], place(vectors, shards), shards)
+    loads["shard"] = settle(vectors, place(vectors, shards), shards)
     placed = docs.sparkSession.createDataFrame(
         list(loads[["alone", "unit", "shard"]].itertuples(index=False, name=None)),
         "alone boolean, unit bigint, shard int")

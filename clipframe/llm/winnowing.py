@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -11,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.llm import words as W
-from clipframe.llm.common import free_name
+from clipframe.llm.common import free_name, written
+from clipframe.llm.tokens import worker_state
 
 SPAN_WORDS = 10
 GRAM_WORDS = 5
-BLOCK_WORDS = 1_000_000
+ITEM_BYTES = 8 << 20  # of items that are broadcast, at most
+PART_ROWS = 1_000     # documents with shared fingerprints that are looked at together
 
 
 class Index(NamedTuple):
@@ -135,104 +139,167 @@ def matches(words: W.Words, index: Index, item_words: np.ndarray) -> tuple[np.nd
     return (mine - left)[enough], (mine + right)[enough], index.item[entry[enough]]
 
 
-RESULT = "struct<n_words:bigint,n_hit:bigint,hits:binary,items:array<string>>"
+RESULT = "struct<n_words:bigint,n_hit:bigint,items:array<string>>"
+PRINTS = "row bigint, size int, gram bigint"
+FOUND = "row bigint, n_words bigint, n_hit bigint, items array<string>"
 
 
-def block_finder(spark, ids: list[str | None], texts: list[str | None], span: int, k: int):
-    """A column function that finds the items of one block in a text column."""
+def find(texts: pa.Array, indexes: list[Index], item_words: np.ndarray, names: list[str | None]
+         ) -> Iterator[tuple[int, int, list[str]]]:
+    """``(n_words, n_hit, items)`` of each text."""
+    for _, data, offsets in W.chunks(texts):
+        words = W.split_words(data, offsets, W.ALPHANUMERIC)
+        change = np.zeros(len(words.hashes) + 1, np.int64)
+        rows, which = [], []
+        for index in indexes:
+            start, stop, item = matches(words, index, item_words)
+            np.add.at(change, start, 1)
+            np.add.at(change, stop, -1)
+            rows.append(np.searchsorted(words.first, start, "right") - 1)
+            which.append(item)
+        covered = np.cumsum(change)[:-1] > 0
+        pairs = np.unique(np.stack([np.concatenate([*rows, np.empty(0, np.int64)]),
+                                    np.concatenate([*which, np.empty(0, np.int64)])]).astype(
+                                        np.int64), axis=1)
+        bounds = np.searchsorted(pairs[0], np.arange(len(words.first)))
+        for i in range(len(words.first) - 1):
+            mine = pairs[1][bounds[i]:bounds[i + 1]]
+            yield (int(words.first[i + 1] - words.first[i]),
+                   int(covered[words.first[i]:words.first[i + 1]].sum()) if len(mine) else 0,
+                   sorted({names[j] for j in mine if names[j] is not None}))
+
+
+def in_tasks(spark, ids: list[str | None], texts: list[str | None], span: int, k: int) -> Column:
+    """A column function that finds a bounded number of items in a text column."""
+    key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast((ids, texts))
 
-    def find(column: pa.Array) -> pa.Array:
+    def found(column: pa.Array) -> pa.Array:
         names, item_texts = shared.value
-        indexes, item_words = build(pa.array(item_texts, pa.large_string()), span, k)
-        n_words, n_hit, hits, items = [], [], [], []
-        for _, data, offsets in W.chunks(column):
-            words = W.split_words(data, offsets, W.ALPHANUMERIC)
-            change = np.zeros(len(words.hashes) + 1, np.int64)
-            rows, which = [], []
-            for index in indexes:
-                start, stop, item = matches(words, index, item_words)
-                np.add.at(change, start, 1)
-                np.add.at(change, stop, -1)
-                rows.append(np.searchsorted(words.first, start, "right") - 1)
-                which.append(item)
-            covered = np.cumsum(change)[:-1] > 0
-            pairs = np.unique(np.stack([np.concatenate([*rows, np.empty(0, np.int64)]),
-                                        np.concatenate([*which, np.empty(0, np.int64)])]).astype(
-                                            np.int64), axis=1)
-            bounds = np.searchsorted(pairs[0], np.arange(len(words.first)))
-            dirty = np.diff(bounds) > 0
-            for i in range(len(words.first) - 1):
-                n_words.append(int(words.first[i + 1] - words.first[i]))
-                if dirty[i]:
-                    mask = covered[words.first[i]:words.first[i + 1]]
-                    n_hit.append(int(mask.sum()))
-                    hits.append(np.packbits(mask).tobytes())
-                    items.append(sorted({names[j] for j in pairs[1][bounds[i]:bounds[i + 1]]
-                                         if names[j] is not None}))
-                else:
-                    n_hit.append(0)
-                    hits.append(b"")
-                    items.append([])
+        held = worker_state("items", dict)  # the index of one call, kept over batches and tasks
+        if key not in held:
+            held.clear()
+            held[key] = build(pa.array(item_texts, pa.large_string()), span, k)
+        indexes, item_words = held[key]
+        rows = list(find(column, indexes, item_words, names))
         return pa.StructArray.from_arrays(
-            [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-             pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))],
-            names=["n_words", "n_hit", "hits", "items"])
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+             pa.array([r[2] for r in rows], pa.list_(pa.string()))],
+            names=["n_words", "n_hit", "items"])
+
+    return F.arrow_udf(found, RESULT)
 
-    return F.arrow_udf(find, RESULT)
 
+def fingerprints(rows: DataFrame, text_col: str, span: int, k: int,
+                 sizes: list[int] | None = None) -> DataFrame:
+    """``(row, size, gram)`` of ``rows (row, text)``: distinct winnowed grams of each text.
 
-def blocks_of(benchmark: DataFrame, block_bytes: int):
-    """Item ids and texts in blocks of about ``block_bytes``, one block on the driver at a time."""
-    ids, texts, size = [], [], 0
-    for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        ids.append(row[0])
-        texts.append(row[1])
-        size += len(row[1] or "")
-        if size >= block_bytes:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+    An item has those of its own size: its number of words, at most ``span``. With
+    ``sizes`` a text has those of all these sizes that it is long enough for.
+    """
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_numpy()
+            for row, data, offsets in W.chunks(batch.column(1)):
+                words = W.split_words(data, offsets, W.ALPHANUMERIC)
+                counts = np.diff(words.first)
+                for size in sizes or sorted(set(np.minimum(counts, span).tolist()) - {0}):
+                    gram_words = min(k, size)
+                    grams = W.grams(words.hashes, gram_words)
+                    mine = counts >= size if sizes or size == span else counts == size
+                    at = winnow(grams, words.first[:-1][mine],
+                                words.first[1:][mine] - gram_words + 1, size - gram_words + 1)
+                    owner = np.searchsorted(words.first, at, "right") - 1
+                    pairs = np.unique(np.stack([owner.astype(np.uint64), grams[at]]), axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[row + pairs[0].astype(np.int64)]),
+                         pa.array(np.full(pairs.shape[1], size, np.int32)),
+                         pa.array(pairs[1].view(np.int64))], names=["row", "size", "gram"])
+
+    return rows.select("row", text_col).mapInArrow(sign, PRINTS)
+
+
+def by_join(docs: DataFrame, items: DataFrame, text_col: str, span: int, k: int,
+            found_col: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """``docs`` with ``found_col``, for items beyond any bound: no task holds all of them.
+
+    The distinct fingerprints of documents and items meet in a join; the documents that
+    share one, and the items they share it with, are dealt into parts, in which hits
+    are extended. Hot fingerprints are distinct in each document, and their join is
+    split by the adaptive skew join.
+    """
+    row = free_name(docs.columns, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    texts = numbered.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    items = written(items.withColumn("row", F.monotonically_increasing_id()), "items")
+    item_prints = written(fingerprints(items, "text", span, k), "item-fingerprints")
+    sizes = [r[0] for r in item_prints.select("size").distinct().orderBy("size").collect()]
+    prints = fingerprints(texts, "text", span, k, sizes) if sizes else item_prints.limit(0)
+    met = written(prints.join(item_prints.withColumnRenamed("row", "item"), ["size", "gram"])
+                  .select("row", "item").distinct(), "met")
+    n = met.select("row").distinct().count()
+    part = F.pmod(F.xxhash64("row"), F.lit(max(1, -(-n // part_rows)))).alias("part")
+    left = texts.join(met.select("row").distinct(), "row", "left_semi").select(part, "row", "text")
+    right = met.select(part, "item").distinct().join(
+        items.select(F.col("row").alias("item"), "item_id", F.col("text").alias("item_text")), "item")
+
+    def extend(mine: pa.Table, others: pa.Table) -> pa.Table:
+        mine, others = mine.combine_chunks(), others.combine_chunks()
+        names = others.column("item_id").to_pylist()
+        rows = []
+        if mine.num_rows and others.num_rows:
+            indexes, words = build(whole(others.column("item_text")), span, k)
+            rows = list(find(whole(mine.column("text")), indexes, words, names))
+        return pa.table({"row": mine.column("row") if rows else pa.array([], pa.int64()),
+                         "n_words": pa.array([r[0] for r in rows], pa.int64()),
+                         "n_hit": pa.array([r[1] for r in rows], pa.int64()),
+                         "items": pa.array([r[2] for r in rows], pa.list_(pa.string()))})
+
+    def whole(column: pa.ChunkedArray) -> pa.Array:
+        return pa.concat_arrays([c.cast(pa.large_string()) for c in column.chunks])
+
+    hits = left.groupBy("part").cogroup(right.groupBy("part")).applyInArrow(extend, FOUND)
+    hits = hits.withColumn("found", F.struct("n_words", "n_hit", "items")).select(
+        F.col("row").alias(row), F.col("found").alias(found_col))
+
+    def count(column: pa.Array) -> pa.Array:
+        return pa.array([int(n) for _, data, offsets in W.chunks(column) for n in np.diff(
+            W.split_words(data, offsets, W.ALPHANUMERIC).first)], pa.int64())
+
+    clean = F.struct(F.arrow_udf(count, "bigint")(F.col(text_col)).alias("n_words"),
+                     F.lit(0).cast("bigint").alias("n_hit"),
+                     F.array().cast("array<string>").alias("items"))
+    return numbered.join(hits, row, "left").withColumn(
+        found_col, F.coalesce(F.col(found_col), clean)).drop(row)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   span: int = SPAN_WORDS, k: int = GRAM_WORDS,
-                  block_bytes: int = 8 * BLOCK_WORDS) -> tuple[DataFrame, dict[str, Column]]:
-    """``docs`` with one column added for each block of items, and the columns that sum them up.
+                  most_bytes: int = ITEM_BYTES) -> tuple[DataFrame, dict[str, Column]]:
+    """``docs`` with one column added, and the columns that sum it up.
 
     Returns the frame and ``n_words``, ``n_hit`` and ``items`` (sorted distinct
-    ids as strings). Items go to the tasks in blocks of bounded size, whatever the
-    size of the benchmark; one block is one pass over the texts, without a shuffle.
+    ids as strings). Items of at most ``most_bytes`` (measured before they are read)
+    are broadcast, and their fingerprints meet those of the documents in one pass
+    without a shuffle. Beyond that fingerprints meet in a join (``by_join``). Both
+    ways find the same.
 
     A null text has no words and no hits. An item of fewer words than ``span`` must
     occur whole; one without words or text matches nothing. Items with equal ids
     count once, an item without id marks words and is not named. Without items
     nothing is hit.
     """
-    spark = docs.sparkSession
-    taken, added = list(docs.columns), []
-    for ids, texts in blocks_of(benchmark, block_bytes):
-        name = free_name(taken, f"found_{len(added)}")
-        taken.append(name)
-        added.append(name)
-        docs = docs.withColumn(name, block_finder(spark, ids, texts, span, k)(F.col(text_col)))
-    if not added:
-        name = free_name(taken, "found_0")
-        added.append(name)
-        docs = docs.withColumn(name, block_finder(spark, [], [], span, k)(F.col(text_col)))
-
-    def merge(*masks: pa.Array) -> pa.Array:
-        out = []
-        for row in zip(*(m.to_pylist() for m in masks)):
-            row = [np.frombuffer(x, np.uint8) for x in row if x]
-            out.append(int(np.unpackbits(np.bitwise_or.reduce(row)).sum()) if row else 0)
-        return pa.array(out, pa.int64())
-
-    items = F.array_sort(F.array_distinct(F.concat(*[F.col(c)["items"] for c in added])))
-    hit = (F.col(added[0])["n_hit"] if len(added) == 1 else
-           F.arrow_udf(merge, "bigint")(*[F.col(c)["hits"] for c in added]))
-    return docs, {"n_words": F.col(added[0])["n_words"], "n_hit": hit, "items": items}
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))
+                           + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 16)).first()[0] or 0
+    name = free_name(docs.columns, "found")
+    if size > most_bytes:
+        found = by_join(docs, items, text_col, span, k, name)
+    else:
+        rows = items.collect()
+        column = in_tasks(docs.sparkSession, [r[0] for r in rows], [r[1] for r in rows], span, k)
+        found = docs.withColumn(name, column(F.col(text_col)))
+    return found, {c: F.col(name)[c] for c in ("n_words", "n_hit", "items")}
 
 
 def digest(items: list[str]) -> str:

@@ -309,8 +309,8 @@ def test_contamination(spark, odd, empty, tables):
     df, rows = odd
     bench = spark.read.parquet(f"{tables}/benchmark.parquet")
     items = [tuple(r) for r in bench.collect()]
-    for block_bytes in (1 << 20, 10):  # one block, and one for each item
-        found, column = winnowing.contamination(df, bench, block_bytes=block_bytes)
+    for most_bytes in (1 << 20, 10):  # items in the tasks, and a join of fingerprints
+        found, column = winnowing.contamination(df, bench, most_bytes=most_bytes)
         got = found.select("doc_id", *column.values()).collect()
         for r in got:
             if r[0] is not None:
@@ -329,12 +329,13 @@ def test_contamination_of_random_words(spark, seed):
         return " ".join(rng.choice("abc") for _ in range(n))
     items = [(i, words(rng.choice([1, 3, 7, 10, 11, 25]) + 3)) for i in range(25)]
     docs = [(i, words(rng.randrange(200))) for i in range(40)]
-    found, column = winnowing.contamination(
-        spark.createDataFrame(docs, "doc_id long, text string"),
-        spark.createDataFrame(items, "item_id long, text string"))
+    df, bench = (spark.createDataFrame(rows, f"{name} long, text string").repartition(3)
+                 for rows, name in ((docs, "doc_id"), (items, "item_id")))
     want = brute.contamination(docs, items)
-    for r in found.select("doc_id", *column.values()).collect():
-        assert (r[1], r[2], sorted(r[3])) == want[r[0]]
+    for most_bytes in (1 << 20, 10):
+        found, column = winnowing.contamination(df, bench, most_bytes=most_bytes)
+        got = found.select("doc_id", *column.values()).collect()
+        assert {r[0]: (r[1], r[2], sorted(r[3])) for r in got} == want
 
 
 def test_warc(spark, tmp_path):
