@@ -18,6 +18,7 @@ PERMUTATIONS = 128
 BAND_ROWS = 4
 FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
 BAND_PART = 1_000  # members of a band that meet its leads in one part
+TURN_BITS = 3      # a round takes 8 times as many leads of a band as the one before
 MISSED = 1e-9      # probability of a linked pair whose signatures are not looked at further
 
 
@@ -178,7 +179,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
 
     Equal shingle sets are one class. Any two classes that share a band of their
     signatures are compared, unless a chain of links joins them already: first with
-    the band's smallest class, then, in rounds, with about 1, 2, 4, ... further
+    the band's smallest class, then, in rounds, with about 8, 64, ... further
     members. So a band of copies gives as many pairs as rows, one of unlike texts all
     its pairs. 32 bands of 4 find a pair at 0.75 with probability above 0.99999. Every
     pair is verified on whole shingle sets, but those whose signatures agree in so few
@@ -218,7 +219,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
     members = written(banded.join(shared, "band").select(
         "band", "id", "size", F.ceil(F.col("n") / BAND_PART).alias("parts"),
         F.when(F.col("id") == F.col("lead"), 0).otherwise(
-            1 + F.floor(F.log2(1 + part * F.col("n")))).cast("int").alias("turn")), "members")
+            1 + F.floor(F.log2(1 + part * F.col("n")) / TURN_BITS)).cast("int").alias("turn")),
+        "members")
 
     @F.arrow_udf("double")
     def jaccard(left: pa.Array, right: pa.Array, names: pa.Array, others: pa.Array) -> pa.Array:
@@ -254,7 +256,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
     least = least_matches(threshold, permutations)
 
     spark = docs.sparkSession
-    links = compared = spark.createDataFrame([], "a bigint, b bigint")
+    compared = spark.createDataFrame([], "a bigint, b bigint")
     found = spark.createDataFrame([], "id bigint, component bigint")
     last = members.agg(F.max("turn")).first()[0]
     for turn in range(-1 if last is None else last + 1):
@@ -281,15 +283,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
                     & (F.least("size", "lead_size") / F.greatest("size", "lead_size")
                        >= threshold))
             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-            .distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = compared.union(pairs)
-        pairs = written(pairs.join(marks[1], "b").join(marks[0], "a").filter(
-            matches("mark_a", "mark_b") >= least).select("a", "b", "name_a", "name_b"), "alike")
+            .distinct().join(compared, ["a", "b"], "left_anti")
+            .join(marks[1], "b").join(marks[0], "a").filter(
+                matches("mark_a", "mark_b") >= least).select("a", "b", "name_a", "name_b"), "pairs")
+        compared = compared.union(pairs.select("a", "b"))
         n = pairs.count()
         new = written(similar(pairs, n), "links") if n else pairs.select("a", "b")
         if not new.isEmpty():
-            links = links.union(new)
-            found = components(links)
+            found = components(new.union(found.select("component", "id")))
     return (signed.select("doc_id", "key").join(classes.select("key", "id"), "key", "left")
             .join(found, "id", "left").select(
                 "doc_id", F.coalesce("component", "id", "doc_id").alias("component_id")))
