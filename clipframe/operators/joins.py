@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.functions import labels as L
+from clipframe.session import hot_join
 
 
 def missing_annotations(clips: DataFrame, files: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,10 +26,10 @@ def join_annotations(clips: DataFrame, turns: DataFrame, keys: Sequence[str],
     """Add ``emotion_raw`` to every clip; ``turns`` has one row per key.
 
     A clip without annotation raises (``strict``) or keeps NULL (``quarantine``).
-    Both sides grow with the corpus, so the join is a shuffle join; a turn with
-    very many clips is split by the adaptive skew join.
+    Both sides grow with the corpus, so the join is a shuffle join. Turns that very many
+    clips have are found by a sketch first, and spread over tasks.
     """
-    joined = clips.join(turns, list(keys), "left")
+    joined = hot_join(clips, turns, list(keys))
     return joined.withColumn("emotion_raw", L.required(
         F.col("emotion_raw"), F.col(path_col), "annotated emotion", mode))
 

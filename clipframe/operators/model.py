@@ -18,6 +18,7 @@ from clipframe.functions.scores import argmax, softmax
 from clipframe.operators.encode import decode_labels
 from clipframe.operators.scoring import best_epoch, macro_f1
 from clipframe.sources import commits
+from clipframe.worker import kept
 
 VECTOR = "__vector"
 HISTORY_SCHEMA = "run string, epoch int, split string, metric string, value double"
@@ -65,11 +66,15 @@ def predict_batches(df: DataFrame, make_predict_fn: Callable, input_col: str,
     return _pick(scored.select(*kept, softmax(F.col("__logits")).alias("scores")), kept)
 
 
-def score_batches(batches: DataFrame, make_model: Callable[[], Callable], key: str) -> DataFrame:
+def score_batches(batches: DataFrame, make_model: Callable[[], Callable], key: str,
+                  version: str | None = None) -> DataFrame:
     """Score stacked batches with any network: ``key, scores, label_id, score``.
 
-    ``make_model`` loads the network once per task; the network takes
+    ``make_model`` loads the network; it takes
     ``(input_values [B, T], attention_mask [B, T])`` and returns logits ``[B, C]``.
+    With the ``version`` of the network, which must tell its weights apart, a worker
+    loads it once and keeps it from task to task until another version comes; without
+    one it is loaded for each task.
     """
     narrow = batches.select(key, "input_values", "attention_mask")
     schema = T.StructType([
@@ -77,7 +82,7 @@ def score_batches(batches: DataFrame, make_model: Callable[[], Callable], key: s
         T.StructField("__logits", T.ArrayType(T.DoubleType()))])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = make_model()
+        network = make_model() if version is None else kept("network", version, make_model)
         for table in tables:
             for keys, values, mask in zip(*table.columns):
                 size = len(keys)

@@ -8,12 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipframe.session import side_table
+from clipframe.session import pin, side_table
 
 # Quantile sketch: rank error n / ACCURACY; the bracket around the median is
 # five times as wide on either side.
 ACCURACY = 10_000
 BRACKET = 5 / ACCURACY
+# Distinct values around a median that one task may sort; wider brackets are cut again.
+MIDDLE = 2_000_000
+ROUNDS = 8
+STEPS = 200        # ranks of a bracket that a round looks at
 
 
 def _median_near(near: DataFrame, names: Sequence[str], name: str) -> DataFrame:
@@ -45,6 +49,42 @@ def _median_near(near: DataFrame, names: Sequence[str], name: str) -> DataFrame:
         F.raise_error(F.lit("median fell outside its bracket"))).alias(name))
 
 
+def _narrowed(data: DataFrame, keys: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """``brackets (keys, __n, __b)`` made narrower until each holds few distinct values.
+
+    The first bracket holds about a thousandth of the rows. A round counts what lies
+    below it, sketches what lies inside and cuts around the ranks of the middle.
+    """
+    brackets = brackets.withColumn("__d", (F.col("__n") * 2.5 * BRACKET).cast("bigint"))
+    for _ in range(ROUNDS):
+        wide = (F.col("__d") > MIDDLE) & (F.col("__b")[0] < F.col("__b")[1])
+        if brackets.filter(wide).isEmpty():
+            break
+        if keys:
+            near = _join_groups(data, brackets.filter(wide), keys, "inner")
+        else:
+            only = brackets.first()
+            near = data.withColumns({"__n": F.lit(only["__n"]),
+                                     "__b": F.array(*[F.lit(x) for x in only["__b"]])})
+        inside = F.when(F.col("__v") >= F.col("__b")[0], F.col("__v").cast("double"))
+        seen = near.filter(F.col("__v") <= F.col("__b")[1]).groupBy(*keys, "__n").agg(
+            F.count(F.lit(1)).alias("__upto"), F.count(inside).alias("__in"),
+            F.percentile_approx(inside, [i / STEPS for i in range(STEPS + 1)], ACCURACY).alias("__s"),
+            F.approx_count_distinct(inside).alias("__d"))
+
+        def edge(rank: Column, off: int) -> Column:
+            below = F.col("__upto") - F.col("__in")
+            step = F.round((rank - below) / F.col("__in") * STEPS).cast("int") + off
+            return F.col("__s")[F.least(F.greatest(step, F.lit(0)), F.lit(STEPS))]
+
+        cut = seen.select(*keys, "__n", F.array(
+            edge(F.floor((F.col("__n") + 1) / 2), -2),
+            edge(F.floor(F.col("__n") / 2) + 1, 2)).alias("__b"),
+            F.least("__d", F.ceil(F.col("__d") * 5 / STEPS)).alias("__d"))
+        brackets = pin(brackets.filter(~wide).unionByName(cut))
+    return brackets.drop("__d")
+
+
 def _join_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on group keys where NULL is a group like any other."""
     names = {k: f"__key{i}" for i, k in enumerate(keys)}
@@ -74,15 +114,20 @@ def duration_stats(df: DataFrame, duration: str = "duration_s", keys: Sequence[s
     bracket = F.array(F.col("__q")[0], F.col("__q")[2])
     if keys:
         summary, fits = side_table(summary)
-        brackets = summary.select(*keys, F.col("n").alias("__n"), bracket.alias("__b"))
+        summary = summary if fits else pin(summary)
+        brackets = _narrowed(data, keys, summary.select(
+            *keys, F.col("n").alias("__n"), bracket.cast("array<double>").alias("__b")))
         near = _join_groups(data, F.broadcast(brackets) if fits else brackets, keys, "inner")
         medians = _median_near(near, keys, "median_s")
         return _join_groups(summary, medians, keys, "left").select(*keys, *shown)
     row = summary.first()
     if row["n"] == 0:
         return summary.withColumn("median_s", F.lit(None).cast("double")).select(*shown)
-    near = data.withColumns({"__n": F.lit(row["n"]),
-                             "__b": F.array(F.lit(row["__q"][0]), F.lit(row["__q"][2]))})
+    spark = df.sparkSession
+    held = spark.createDataFrame([(row["n"], [float(row["__q"][0]), float(row["__q"][2])])],
+                                 "__n bigint, __b array<double>")
+    low, high = _narrowed(data, [], held).first()["__b"]
+    near = data.withColumns({"__n": F.lit(row["n"]), "__b": F.array(F.lit(low), F.lit(high))})
     known = {c: F.lit(row[c]) for c in shown if c != "median_s"}
     return _median_near(near, [], "median_s").withColumns(known).select(*shown)
 

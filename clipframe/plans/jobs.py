@@ -143,7 +143,7 @@ def annotated_corpus(spark: SparkSession, root: str, mode: str = "strict",
                      clips: DataFrame | None = None) -> DataFrame:
     """Dialog corpus: annotation files below ``root``; clips there too, or in a table."""
     clips = manifest.list_files(spark, root) if clips is None else clips
-    headers = clip_headers(spark, clips)
+    headers = scan.materialise(clip_headers(spark, clips), "headers")
     paths = clips.select(F.col("path").alias("wav_file"))
     clips = headers.select(F.col("path").alias("wav_file"), duration_seconds(
         F.col("num_frames"), F.col("sample_rate")).alias("duration_s"))

@@ -649,6 +649,11 @@ s as (
 e as (select vec_id, label, exp(s - max(s) over (partition by vec_id)) as e from s)
 select vec_id, 'class ' || arg_max(label, e) as label, round(max(e) / sum(e), 6) as score
 from e group by 1""",
+    "evaluate_stored": _macro_f1("""
+select label::int as truth, (list_position(z, list_max(z)) - 1)::int as pred
+from (select label, list_transform(range(10), lambda k: list_sum(list_transform(
+        range(k + 1, 65, 10), lambda j: embedding[j]::double))) as z from embeddings)""",
+                                 "truth", "pred"),
     "batch_predict": f"""
 select vec_id, (list_position(z, list_max(z)) - 1)::int as label_id,
        round(1 / list_sum(list_transform(z, lambda v: exp(v - list_max(z)))), 8) as score

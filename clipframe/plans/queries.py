@@ -799,6 +799,20 @@ def fit_one_step(spark, sf_dir):
         "vec_id", "label", F.round("score", 6).alias("score"))
 
 
+@query
+def evaluate_stored(spark, sf_dir):
+    """A model of given weights, stored and read back, scored on all embeddings."""
+    rows = S.table(spark, sf_dir, "embeddings").select(
+        F.col("label").cast("int").alias("truth"),
+        F.col("embedding").cast("array<double>").alias("features"))
+    weights = (np.arange(65)[:, None] % 10 == np.arange(10)) * (np.arange(65)[:, None] < 64)
+    folder = new_folder(spark, "models")
+    training.LinearModel(np.zeros(64), np.ones(64), weights.astype(float)).save(spark, folder)
+    scored = training.predict_linear(training.load_linear(spark, folder)[0], rows)
+    return scoring.macro_f1(scored.withColumnRenamed("label_id", "pred")).withColumn(
+        "macro_f1", F.round("macro_f1", 8))
+
+
 @query
 def predict_job(spark, sf_dir):
     """A fit over files, stored with its labels; every file predicted by the stored model."""

@@ -80,11 +80,18 @@ def side_table(df: DataFrame, max_rows: int = MAX_SIDE_ROWS, *,
     and ``max_bytes`` in its texts.
 
     A table that fits comes back as a local relation, so it is computed once and
-    Catalyst knows its exact size. At most ``max_rows + 1`` rows reach the driver.
+    Catalyst knows its exact size. Texts are measured before any row reaches the
+    driver; then at most ``max_rows + 1`` rows do.
     """
-    rows = df.limit(max_rows + 1).collect()
-    held = sum(len(v) for row in rows for v in row if isinstance(v, (str, bytes, bytearray)))
-    if len(rows) > max_rows or held > max_bytes:
+    first = df.limit(max_rows + 1)
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if texts:
+        first = pin(first)  # measured and collected, computed once
+        if (first.agg(F.sum(sum(texts[1:], texts[0]))).first()[0] or 0) > max_bytes:
+            return df, False
+    rows = first.collect()
+    if len(rows) > max_rows:
         return df, False
     return df.sparkSession.createDataFrame(rows, df.schema), True
 
@@ -117,6 +124,40 @@ def salted_join(df: DataFrame, side: DataFrame, on: list[str], how: str = "left"
     return salted.join(copies, [*on, salt], how).drop(salt)
 
 
+HOT_SHARE = 200       # a key that more than a 200th of the rows have is hot
+TRACKED = 10_000      # keys that the sketch of a task keeps
+
+
+def hot_keys(df: DataFrame, on: list[str]) -> dict[int, float]:
+    """Hashes of the hot keys and their shares, at most ``HOT_SHARE`` of them.
+
+    One pass with a sketch of frequent items; no key is shuffled.
+    """
+    found = df.select(F.xxhash64(*on).alias("k")).agg(
+        F.call_function("approx_top_k", F.col("k"), F.lit(HOT_SHARE), F.lit(TRACKED)).alias("top"),
+        F.count(F.lit(1)).alias("n")).first()
+    return {t["item"]: t["count"] / found["n"] for t in found["top"] or []
+            if t["count"] * HOT_SHARE > found["n"]}
+
+
+def hot_join(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join with a side whose keys are unique; only hot keys of ``df`` are spread.
+
+    A hot key gets as many salts as it has tasks' worth of rows, several times over, and
+    the side's row of it that many copies; all other rows are joined as they are.
+    """
+    hot = hot_keys(df, on)
+    if not hot:
+        return df.join(side, on, how)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.map_from_arrays(F.lit(list(hot)), F.lit([1 + int(16 * tasks * s) for s in hot.values()]))
+    many = F.coalesce(F.element_at(salts, F.xxhash64(*on)), F.lit(1))
+    salt = "__salt"
+    spread_ = df.withColumn(salt, F.pmod(F.xxhash64(*hashable(df)), many).cast("int"))
+    copies = side.withColumn(salt, F.explode(F.sequence(F.lit(0), many - 1)))
+    return spread_.join(copies, [*on, salt], how).drop(salt)
+
+
 def hashable(df: DataFrame) -> list[str]:
     """Plain columns to hash; audio bytes and arrays are too long for that."""
     return [f"`{f.name}`" for f in df.schema.fields

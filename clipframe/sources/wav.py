@@ -1,7 +1,7 @@
 """WAV headers and samples.
 
-A header job sends 44 bytes per plain PCM file to Python; only files of another
-layout travel whole, to have their chunks walked.
+A header job sends 44 bytes per plain PCM file to Python, and the first 512 of files of
+another layout, to have their chunks walked.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ PLAIN_HEADER_BYTES = 44
 # The 64-bit forms keep the sizes that do not fit 32 bits in a chunk of their own.
 CONTAINERS = (b"RIFF", b"RF64", b"BW64")
 SIZE_ELSEWHERE = 0xFFFFFFFF
+# Chunks before the samples that are walked without sending a file to Python.
+MOST_CHUNKS = 16
 PLAIN_FORMAT = b"WAVEfmt \x10\x00\x00\x00\x01\x00"
 # What is read of a file at first; the head of a usual file is shorter.
 FIRST_BYTES = 512
@@ -163,6 +165,28 @@ def _is_plain(content: Column) -> Column:
             & (F.octet_length(content) >= PLAIN_HEADER_BYTES))
 
 
+def _number(content: Column, at: Column) -> Column:
+    """The little-endian 32-bit number at a place of the bytes."""
+    digits = F.hex(F.substring(content, at + 1, F.lit(4)))
+    return F.conv(F.concat(*[F.substring(digits, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("bigint")
+
+
+def _is_short(content: Column) -> Column:
+    """Whether the samples' chunk is found within the first bytes, by the sizes of those before."""
+    here = F.struct(F.lit(12).cast("bigint").alias("at"), F.lit(False).alias("found"))
+
+    def step(state: Column, _: Column) -> Column:
+        size = _number(content, state["at"] + 4)
+        found = F.substring(content, state["at"] + 1, F.lit(4)) == F.lit(bytearray(b"data"))
+        after = state["at"] + 8 + size + size % 2
+        return F.when(state["found"] | (state["at"] + 8 > FIRST_BYTES), state).otherwise(F.struct(
+            F.when(found, state["at"]).otherwise(F.coalesce(after, F.lit(FIRST_BYTES).cast("bigint")))
+            .alias("at"), F.coalesce(found, F.lit(False)).alias("found")))
+
+    walked = F.aggregate(F.array_repeat(F.lit(0), MOST_CHUNKS), here, step)
+    return walked["found"]
+
+
 def _parse_headers(heads: pa.Array, sizes: list[int | None]) -> list[pa.Array]:
     rows = []
     for head, size in zip(heads, sizes):
@@ -181,7 +205,9 @@ def _header_arrays(rows: list[tuple]) -> list[pa.Array]:
 
 
 def _head(content: Column) -> Column:
-    return F.when(_is_plain(content), F.substring(content, 1, PLAIN_HEADER_BYTES)).otherwise(content)
+    """What of a file is sent to Python: all of it only where its header is a long one."""
+    return (F.when(_is_plain(content), F.substring(content, 1, PLAIN_HEADER_BYTES))
+            .when(_is_short(content), F.substring(content, 1, FIRST_BYTES)).otherwise(content))
 
 
 def scan_headers(clips: DataFrame, keep: Sequence[str] = ("path",),
