@@ -604,6 +604,13 @@ with {LEVELS}
 select doc_id, nbytes + 44 as length, round(dbfs, 6) as dbfs, error from levels
 union all
 select -1 - item_id, null, null, 'cannot read file: FileNotFoundError' from benchmark""",
+    "kept_statistics": f"""
+select 'durations' as part, count(*) as n, round(min(s), 6) as min_s, round(max(s), 6) as max_s,
+       round(avg(s), 6) as mean_s, round(stddev_pop(s), 6) as std_s,
+       round(sum(s) / 60, 6) as total_minutes
+from (select frames / rate::double as s from ({HEADERS}))
+union all
+select rate || ' x ' || ch, count(*), null, null, null, null, null from ({HEADERS}) group by 1""",
     "long_clip_levels": f"""
 with {LEVELS}
 select doc_id, frames as num_frames, rate::int as sample_rate, round(dbfs, 6) as dbfs, error

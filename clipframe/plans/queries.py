@@ -14,6 +14,7 @@ from clipframe.functions.scores import argmax, softmax
 from clipframe.operators import (batching, encode, features, joins, long_clips, model, scoring,
                                  signal, stats, training)
 from clipframe.operators.clips import split_rejects
+from clipframe.operators.kept_stats import CorpusStats
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
 from clipframe.operators.split import stratified_split
 from clipframe.plans import jobs
@@ -666,6 +667,26 @@ def load_by_path(spark, sf_dir):
     return levels.select("doc_id", "length", F.round("dbfs", 6).alias("dbfs"), "error")
 
 
+@query
+def kept_statistics(spark, sf_dir):
+    """Statistics over two versions of a manifest: the second reads only its own files."""
+    wavs, folder = S.document_wavs(spark, sf_dir), new_folder(spark, "wavs")
+    known = Manifest(spark, new_folder(spark, "manifest"))
+    kept = CorpusStats(spark, new_folder(spark, "statistics"), known)
+    name = F.concat(F.lit("clip "), F.col("doc_id"), F.lit(".wav"))
+    for part in ("doc_id % 3 = 0", "doc_id % 3 <> 0"):
+        sinks.export_clips(wavs.filter(part), folder, name, key="doc_id")
+        known.refresh(folder)
+        kept.update()
+    whole = kept.durations().select(
+        F.lit("durations").alias("part"), "n", F.round("min_s", 6).alias("min_s"),
+        F.round("max_s", 6).alias("max_s"), F.round("mean_s", 6).alias("mean_s"),
+        F.round("std_s", 6).alias("std_s"), F.round("total_minutes", 6).alias("total_minutes"))
+    none = [F.lit(None).cast("double")] * 5
+    formats = kept.formats().select(F.concat_ws(" x ", "sample_rate", "num_channels"), "n_clips", *none)
+    return whole.union(formats)
+
+
 @query
 def long_clip_levels(spark, sf_dir):
     """Files read in ranges of 1,000 bytes: their headers, and levels merged from the ranges."""
