@@ -18,6 +18,8 @@ from clipframe.llm.slices import text_sizes
 TRAIN_PER_LANGUAGE = 500
 TRAIN_ROWS = 20_000     # of all languages, about
 MOST_LANGUAGES = 1_000  # that are learned, the most frequent ones
+HASHES = 1 << 40
+LOOKED_AT = 4
 LANDMARKS = 60          # for each language
 MOST_LANDMARKS = 3_000  # of all languages, about
 RIDGE = 0.1
@@ -134,26 +136,32 @@ def sample(docs: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` documents of each language, ``(doc_id, lang, text)``.
 
     Only rows with text and language outside the held-out fifth, chosen by a hash of
-    the id (ties by the id) in one pass over the ids, of which a task sends on no more
-    than it may need; one row stands for a repeated id, all of which count. The ``MOST_LANGUAGES`` most
-    frequent languages are learned, the first by name of equal ones; with many
-    languages each has fewer documents, so that all have about ``TRAIN_ROWS``.
+    the id (ties by the id) in one pass over the ids, of which few more are sent on than
+    are needed; one row stands for a repeated id, all of which count. The
+    ``MOST_LANGUAGES`` most frequent languages are learned, the first by name of equal
+    ones; with many languages each has fewer documents, so that all have about
+    ``TRAIN_ROWS``.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), "lang", "text").filter(
         "doc_id is not null and lang is not null and text is not null").filter(
             ~held_out(F.col("doc_id")))
     counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
         F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    languages = [r["lang"] for r in counted.collect()]
+    languages = [(r["lang"], r["n"]) for r in counted.collect()]
     if not languages:
         return rows.filter("false")
     each = max(1, min(per_language, TRAIN_ROWS // len(languages)))
-    known = docs.sparkSession.createDataFrame([(v,) for v in languages], "lang string")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.join(F.broadcast(known), "lang").select(
+    # of a frequent language only the lowest hashes are looked at, several times as many
+    # as are needed, whatever the number of tasks
+    known = docs.sparkSession.createDataFrame(
+        [(v, min(HASHES, -(-HASHES * LOOKED_AT * each // n))) for v, n in languages],
+        "lang string, below bigint")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    chosen = rows.join(F.broadcast(known), "lang").filter(place < F.col("below")).select(
         "doc_id", F.row_number().over(order).alias("place")).filter(F.col("place") <= each)
     return (rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
-            .join(F.broadcast(known), "lang").groupBy("doc_id")
+            .join(F.broadcast(known.select("lang")), "lang").groupBy("doc_id")
             .agg(F.min("lang").alias("lang"), F.min("text").alias("text")))
 
 

@@ -24,6 +24,7 @@ DATE = "1970-01-01T00:00:00Z"  # the tables have none, and a retried task must r
 
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 8 << 20
+SPLITS_PER_TASK = 16
 READ_BYTES = 1 << 20
 
 
@@ -207,7 +208,8 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = Fa
     splits = manifest.selectExpr(
         "path", "size", f"explode(sequence(0L, greatest(size - 1, 0L), {split_bytes}L)) as start")
     count = manifest.selectExpr(f"sum(ceil(size / {split_bytes}))").first()[0]
-    splits = splits.repartition(max(1, int(count or 1)))
+    count, cores = int(count or 1), manifest.sparkSession.sparkContext.defaultParallelism
+    splits = splits.repartition(max(-(-count // SPLITS_PER_TASK), min(count, cores)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
