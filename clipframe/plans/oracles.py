@@ -544,6 +544,13 @@ select doc_id, batch_id, pos,
        greatest((longest + 7) // 8 * 8, case when error is null then n end)::int as pad_to, error
 from placed""",
     "preprocess_train": PREPROCESS_TRAIN,
+    "augment_none": PREPROCESS_TRAIN,
+    "tone_features": """
+select s_suppkey::bigint as s_suppkey, round(0.5 / sqrt(2), 4) as rms,
+       (16 + s_suppkey % 48)::double as centroid,
+       (17 + s_suppkey % 48) * 31.25::double as roll_off, null::varchar as error from supplier""",
+    "shifted_tones": """
+select s_suppkey::bigint as s_suppkey, 8192 as n, true as is_moved, true as is_kept from supplier""",
     "preprocess_test": PREPROCESS_TEST,
     "stacked_batches": STACKED,
     "preprocess_files": STACKED,

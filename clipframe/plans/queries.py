@@ -13,6 +13,7 @@ from clipframe.functions.paths import base_name, duration_seconds, join_path, pa
 from clipframe.functions.scores import argmax, softmax
 from clipframe.operators import (batching, encode, features, joins, long_clips, model, scoring,
                                  signal, stats, training)
+from clipframe.operators.augment import DEFAULT_AUGMENTATIONS
 from clipframe.operators.clips import split_rejects
 from clipframe.operators.kept_stats import CorpusStats
 from clipframe.operators.preprocess import ClipSpec, plan_batches, preprocess
@@ -399,7 +400,7 @@ def standardise(spark, sf_dir):
 
 @query
 def noise_augment(spark, sf_dir):
-    spec = {"name": "gaussian", "min_amplitude": 0.0001, "max_amplitude": 0.001, "p": 0.25}
+    spec = DEFAULT_AUGMENTATIONS[1]
     waves = signal.augment_waves(S.table(spark, sf_dir, "embeddings"), "embedding", 16_000,
                                  [spec], "vec_id")
     return waves.select(
@@ -420,7 +421,7 @@ def augment_compose(spark, sf_dir):
 @query
 def pitch_shift(spark, sf_dir):
     """Whole documents as mono clips, half of them shifted; the others come out as they were."""
-    spec = {"name": "pitch_shift", "min_semitones": -3, "max_semitones": 3, "p": 0.5}
+    spec = {**DEFAULT_AUGMENTATIONS[0], "p": 0.5}
     mono = signal.mono_clips(S.document_wavs(spark, sf_dir), keep=["doc_id"])
     waves = scan.materialise(mono.filter("error is null").drop("error"), "mono")
     shifted = signal.augment_waves(waves, "samples", 16_000, [spec], "doc_id").select(
@@ -433,6 +434,58 @@ def pitch_shift(spark, sf_dir):
                         .alias("is_shifted"), share.between(0, 2).alias("energy_kept"))
 
 
+def _tones(spark, sf_dir) -> DataFrame:
+    """A pure tone of half a second for each supplier, ``(s_suppkey, bin, samples)``.
+
+    ``bin`` counts 31.25 Hz, one line of a spectrum of 512 samples at 16 kHz.
+    """
+    rows = S.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("bigint").alias("s_suppkey"),
+        (16 + F.col("s_suppkey") % 48).cast("int").alias("bin"))
+    turn = 2 * np.pi / 512
+    wave = F.transform(F.sequence(F.lit(0), F.lit(8_191)), lambda i: (
+        F.sin(i * F.col("bin") * turn) / 2).cast("float"))
+    return scan.materialise(rows.withColumn("samples", wave), "tones")
+
+
+@query
+def tone_features(spark, sf_dir):
+    """Where the spectral features see a pure tone: its centre, in lines, and the frequency of
+    the line above it, where 85 % of the energy is reached."""
+    table = features.wave_features(_tones(spark, sf_dir), "samples", 16_000, ["s_suppkey", "bin"])
+    return table.select("s_suppkey", F.round(F.col("features")[0], 4).alias("rms"),
+                        F.round(F.col("features")[4] / 31.25, 3).alias("centroid"),
+                        F.col("features")[5].cast("double").alias("roll_off"), "error")
+
+
+@query
+def shifted_tones(spark, sf_dir):
+    """Every tone moved up by four semitones: its length, its centre within a hundredth and
+    its energy away from the ends within a tenth."""
+    tones = _tones(spark, sf_dir)
+    spec = {"name": "pitch_shift", "min_semitones": 4, "max_semitones": 4, "p": 1.0}
+    moved = signal.augment_waves(tones, "samples", 16_000, [spec], "s_suppkey", keep=["bin"])
+    middle = moved.select("s_suppkey", "bin", F.size("samples").alias("n"),
+                          F.slice("samples", 2_049, 4_096).alias("samples"))
+    seen = features.wave_features(middle, "samples", 16_000, ["s_suppkey", "bin", "n"])
+    wanted = F.col("bin") * 31.25 * 2 ** (4 / 12)
+    return seen.select(
+        "s_suppkey", "n", (F.abs(F.col("features")[4] / wanted - 1) < 0.01).alias("is_moved"),
+        (F.abs(F.col("features")[0] / (0.5 / 2 ** 0.5) - 1) < 0.1).alias("is_kept"))
+
+
+@query
+def augment_none(spark, sf_dir):
+    """The training chain with both augmentations drawn for no clip: it is the plain chain."""
+    wavs = S.document_wavs(spark, sf_dir).withColumn("split", F.lit("train"))
+    dictionary = encode.label_dictionary(S.table(spark, sf_dir, "documents"), "lang")
+    spec = ClipSpec(apply_augmentation=True, augmentations=[
+        {**a, "p": 0.0} for a in DEFAULT_AUGMENTATIONS])
+    done = preprocess(wavs, spec, key="doc_id", dictionary=dictionary, label="lang",
+                      split_col="split", augment=True)
+    return _batch_summary(done, "label_id")
+
+
 @query
 def pad_batch(spark, sf_dir):
     spec = ClipSpec(pad_to_multiple_of=8)

@@ -113,3 +113,62 @@ def test_features():
     assert len(low) == K.FEATURE_SIZE and np.isfinite([low, high]).all()
     assert abs(low[4] - 200) < 100 and abs(high[4] - 4_000) < 100
     assert np.isfinite(K.acoustic_features(np.zeros(1), 16_000)).all()
+
+
+def plain_stretch(x, rate):
+    """A phase vocoder with one loop over frames and one over lines."""
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(K.FRAME) / K.FRAME)
+    padded = np.concatenate([np.zeros(K.FRAME // 2), x, np.zeros(K.FRAME // 2)])
+    starts = range(0, len(padded) - K.FRAME + 1, K.HOP)
+    spectra = [np.fft.rfft(padded[s:s + K.FRAME] * window) for s in starts]
+    spectra += [np.zeros(K.FRAME // 2 + 1)] * 2
+    lines, phases, frames, at = K.FRAME // 2 + 1, np.angle(spectra[0]), [], 0.0
+    while at < len(spectra) - 2:
+        left, part = int(at), at - int(at)
+        size = (1 - part) * abs(spectra[left]) + part * abs(spectra[left + 1])
+        frames.append(np.fft.irfft(size * np.exp(1j * phases), K.FRAME) * window)
+        turned = np.empty(lines)
+        for k in range(lines):
+            expected = 2 * np.pi * K.HOP * k / K.FRAME
+            off = np.angle(spectra[left + 1][k]) - np.angle(spectra[left][k]) - expected
+            turned[k] = expected + off - 2 * np.pi * round(off / (2 * np.pi))
+        phases, at = phases + turned, len(frames) * rate
+    total = np.zeros(K.FRAME + K.HOP * (len(frames) - 1))
+    weight = np.zeros(len(total))
+    for i, frame in enumerate(frames):
+        total[i * K.HOP:i * K.HOP + K.FRAME] += frame
+        weight[i * K.HOP:i * K.HOP + K.FRAME] += window ** 2
+    out = np.where(weight > 1e-8, total / np.maximum(weight, 1e-8), 0)[K.FRAME // 2:]
+    length = round(len(x) / rate)
+    return np.concatenate([out, np.zeros(max(0, length - len(out)))])[:length]
+
+
+@pytest.mark.parametrize("rate", [0.8, 1.25])
+def test_stretch_equals_a_plain_vocoder(rate):
+    rng = np.random.default_rng(2)
+    x = np.sin(np.arange(6_000) * 0.21) + 0.2 * rng.normal(size=6_000)
+    got, want = K.time_stretch(x, rate), plain_stretch(x, rate)
+    assert len(got) == len(want) and np.allclose(got, want, atol=1e-8)
+
+
+def test_spectral_features_equal_a_plain_transform():
+    rng = np.random.default_rng(3)
+    x, rate, size = rng.normal(size=1_500), 16_000, 512
+    padded = np.concatenate([x, np.zeros(size + 256 * -(-(len(x) - size) // 256) - len(x))])
+    window = [0.5 - 0.5 * np.cos(2 * np.pi * i / (size - 1)) for i in range(size)]
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(size // 2 + 1), np.arange(size)) / size)
+    power = np.array([abs(turn @ (padded[s:s + size] * window)) ** 2
+                      for s in range(0, len(padded) - size + 1, 256)])
+    mean, lines = power.mean(axis=0), np.arange(size // 2 + 1) * rate / size
+    got = K.acoustic_features(x, rate)
+    assert got[4] == pytest.approx((lines * mean).sum() / mean.sum(), rel=1e-6)
+    reached = next(f for f, e in zip(lines, np.cumsum(mean)) if e >= 0.85 * mean.sum())
+    assert got[5] == reached
+    mels = np.linspace(0, 2595 * np.log10(1 + rate / 2 / 700), K.BANDS + 2)
+    edges = 700 * (10 ** (mels / 2595) - 1)
+    for b in range(K.BANDS):
+        low, peak, high = edges[b:b + 3]
+        shape = np.maximum(0, np.minimum((lines - low) / (peak - low), (high - lines) / (high - peak)))
+        energy = np.log(power @ shape + 1e-10)
+        assert got[6 + b] == pytest.approx(energy.mean(), rel=1e-6)
+        assert got[6 + K.BANDS + b] == pytest.approx(energy.std(), rel=1e-5, abs=1e-9)
