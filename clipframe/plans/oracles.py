@@ -69,6 +69,17 @@ select *, 'Ses0' || s || case when user_id % 2 = 0 then 'F' else 'M' end || '_im
 from (select *, event_id % 5 + 1 as s from events)"""
 
 
+def _label_dialogs(usable: str) -> str:
+    return f"""
+select wav_file, gender, emotion,
+       case when emotion = 'neutral' then 'neutral' else emotion || '-' || gender end as label
+from (select 'data/IEMOCAP/Session' || s || '/sentences/wav/' || dialog || '/' || dialog || '_' ||
+             speaker || event_id || '.wav' as wav_file,
+             case speaker when 'F' then 'female' else 'male' end as gender,
+             case when emotion_raw = 'neu' then 'neutral' else 'non-neutral' end as emotion
+      from ({DIALOGS}) where emotion_raw <> 'xxx' and {usable})"""
+
+
 # --- stratified split ----------------------------------------------------
 
 def _split(source: str, label: str, key: str, columns: str) -> str:
@@ -334,14 +345,8 @@ from (select *, string_split(wav_file, '/')[4] as event_type from ({LABEL_BAVED_
     "annotation_turns": f"""
 select 'Session' || s as session, dialog, dialog || '_' || speaker || event_id as turn, emotion_raw
 from ({DIALOGS})""",
-    "label_iemocap": f"""
-select wav_file, gender, emotion,
-       case when emotion = 'neutral' then 'neutral' else emotion || '-' || gender end as label
-from (select 'data/IEMOCAP/Session' || s || '/sentences/wav/' || dialog || '/' || dialog || '_' ||
-             speaker || event_id || '.wav' as wav_file,
-             case speaker when 'F' then 'female' else 'male' end as gender,
-             case when emotion_raw = 'neu' then 'neutral' else 'non-neutral' end as emotion
-      from ({DIALOGS}) where emotion_raw <> 'xxx' and value <= 15.0)""",
+    "label_iemocap": _label_dialogs("value <= 15.0"),
+    "annotated_corpus": _label_dialogs("floor(value * 16000) <= 240000"),
     "annotation_missing": """
 select doc_id from documents d
 where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",

@@ -95,6 +95,22 @@ def label_iemocap(spark, sf_dir):
     return jobs.label_annotated(S.dialog_clips(events), turns)
 
 
+@query
+def annotated_corpus(spark, sf_dir):
+    """The whole job over annotation files, one for each dialog, and a table of clip headers."""
+    events, root = spread(S.table(spark, sf_dir, "events"), "event_id"), new_folder(spark, "dialogs")
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"])
+    files = S.dialog_lines(events).groupBy("session", "dialog").agg(
+        F.encode(F.array_join(lines, "\n"), "UTF-8").alias("content"))
+    name = F.concat_ws("/", "session", F.lit("dialog/EmoEvaluation"), F.concat("dialog", F.lit(".txt")))
+    sinks.export_clips(files, root, name, key="dialog")
+    clips = S.dialog_clips(events).select(
+        F.col("wav_file").alias("path"), F.floor(F.col("duration_s") * 16_000).alias("num_frames"),
+        F.lit(16_000).alias("sample_rate"), F.lit(1).alias("num_channels"), F.lit(16).alias("bits"),
+        F.lit(None).cast("string").alias("error"))
+    return jobs.annotated_corpus(spark, root, clips=clips)
+
+
 @query
 def annotation_missing(spark, sf_dir):
     return joins.missing_annotations(S.table(spark, sf_dir, "documents"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,9 +54,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path (not yet created) in the shared folder."""
-    return f"{shared_dir(spark)}/clipframe-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/clipframe-{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what operators wrote to the shared folder in between.
+
+    Results that still read those tables must be written elsewhere inside. Without a
+    scope the tables stay, because a returned DataFrame may need them at any time.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop, _scopes.pop()):
+            path.getFileSystem(conf).delete(path, True)
 
 
 def pin(df: DataFrame) -> DataFrame:

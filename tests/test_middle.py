@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipframe.operators import model, stats
-from clipframe.session import hot_join, hot_keys, side_table
+from clipframe.session import hot_join, hot_keys, new_folder, scratch, side_table
+from clipframe.sources.scan import materialise
 from clipframe.sources.wav import _is_short, scan_headers, with_headers
 from conftest import wav
 
@@ -136,3 +137,19 @@ def test_heads_of_odd_files(spark, wav_cases):
     short = {r.path: r.s for r in df.select("path", _is_short(F.col("content")).alias("s")).collect()}
     assert short["odd_chunk"] and short["many"] and short["edge"] and short["list_chunk"]
     assert not (short["too_many"] or short["long"] or short["over_the_edge"] or short["junk"])
+
+
+def test_a_scope_removes_its_tables(spark, tmp_path):
+    before = materialise(spark.range(3))
+    with scratch(spark):
+        inner = materialise(spark.range(5))
+        path = new_folder(spark, "unused")
+        with pytest.raises(RuntimeError), scratch(spark):
+            deeper = materialise(spark.range(7)).inputFiles()[0].removeprefix("file:")
+            raise RuntimeError
+        assert not os.path.exists(os.path.dirname(deeper.replace("//", "/")))
+        inner.write.parquet(str(tmp_path / "kept"))
+        files = [f.removeprefix("file:").replace("//", "/") for f in inner.inputFiles()]
+        assert all(map(os.path.exists, files))
+    assert not any(map(os.path.exists, files)) and not os.path.exists(path)
+    assert before.count() == 3 and spark.read.parquet(str(tmp_path / "kept")).count() == 5
