@@ -14,6 +14,7 @@ from clipframe.llm import words as W
 from clipframe.llm.common import give_back, held_out, written
 
 BITS = 20
+LOOKED_AT = 4
 SAMPLE = 6_000  # labelled documents of each class that are learned from, at most
 
 
@@ -86,11 +87,15 @@ def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def sample(docs: DataFrame, known: DataFrame, limit: int) -> DataFrame:
     """At most ``limit`` documents of each class of ``learnable``, ``(doc_id, toxic, text)``.
 
-    The choice is by a hash of the id.
+    The choice is by a hash of the id: the lowest of each class. Only several times as
+    many as are needed are sorted, whatever the number of tasks.
     """
     chosen = None
-    for label in (0, 1):
-        some = known.filter((F.col("toxic") > 0) == bool(label)).orderBy(
+    sizes = known.agg(F.count_if(F.col("toxic") <= 0), F.count_if(F.col("toxic") > 0)).first()
+    for label, size in enumerate(sizes):
+        below = min((1 << 63) - 1, (LOOKED_AT * limit << 64) // max(size, 1) - (1 << 63))
+        some = known.filter(((F.col("toxic") > 0) == bool(label))
+                            & (F.xxhash64("doc_id") <= below)).orderBy(
             F.xxhash64("doc_id"), "doc_id").limit(limit)
         chosen = some if chosen is None else chosen.union(some)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text")
