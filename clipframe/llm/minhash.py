@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipframe.llm import words as W
@@ -18,7 +18,7 @@ PERMUTATIONS = 128
 BAND_ROWS = 4
 FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
 BAND_PART = 1_000  # members of a band that meet its leads in one part
-TURN_BITS = 3      # a round takes 8 times as many leads of a band as the one before
+TURN_BITS = 2      # a round takes 4 times as many leads of a band as the one before
 MISSED = 1e-9      # probability of a linked pair whose signatures are not looked at further
 
 
@@ -56,6 +56,22 @@ def as_bytes(signature: np.ndarray) -> pa.Array:
     return pa.array([row.astype(">u2").tobytes() for row in signature], pa.binary())
 
 
+def sketches(signature: np.ndarray) -> pa.Array:
+    """Two bits of each signature value, as 64-bit words: all low bits, then all high bits."""
+    rows, n = signature.shape
+    words = [np.packbits(np.pad(signature >> bit & 1, ((0, 0), (0, -n % 64))).astype(np.uint8), axis=1)
+             .view(np.int64) for bit in (0, 1)]
+    return pa.array(list(np.concatenate(words, axis=1)), pa.list_(pa.int64()))
+
+
+def differing(a: str, b: str, permutations: int) -> Column:
+    """In how many places two sketches differ."""
+    words = -(-permutations // 64)
+    x, y = F.col(a), F.col(b)
+    return sum((F.bit_count(x[i].bitwiseXOR(y[i]).bitwiseOR(x[words + i].bitwiseXOR(y[words + i])))
+                for i in range(words)), F.lit(0))
+
+
 def _compare(ids: list, own: list[str], after: list[str], k: int,
              permutations: int) -> pa.RecordBatch:
     """Fingerprints of texts and of their edited forms, given the text that follows each."""
@@ -70,15 +86,15 @@ def _compare(ids: list, own: list[str], after: list[str], k: int,
         as_bytes(mine), as_bytes(changed),
         pa.array((mine == changed).mean(axis=1)), pa.array((mine == following).mean(axis=1)),
         pa.array([x for x, _ in named[:-1]], pa.binary()),
-        pa.array([n for _, n in named[:-1]], pa.int64()),
+        pa.array([n for _, n in named[:-1]], pa.int64()), sketches(mine),
     ], names=RESULT)
 
 
 RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-          "near_edited", "near_next", "set_name", "set_size"]
+          "near_edited", "near_next", "set_name", "set_size", "set_sketch"]
 SCHEMA = ("doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, "
           "edited_fingerprint binary, near_edited double, near_next double, set_name binary, "
-          "set_size bigint")
+          "set_size bigint, set_sketch array<bigint>")
 EDGE = "edge int, first_id bigint, first_text string, last_id bigint, last_text string"
 
 
@@ -89,7 +105,7 @@ def compare_with_next(docs: DataFrame, k: int = SHINGLE_WORDS,
 
 
 def shown(found: DataFrame) -> DataFrame:
-    return found.drop("set_name", "set_size").select(
+    return found.select(
         *[F.lower(F.hex(c)).alias(c) if kind == "binary" else c
           for c, kind in found.dtypes if not c.startswith("set_")])
 
@@ -98,7 +114,8 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS,
                  permutations: int = PERMUTATIONS) -> DataFrame:
     """Fingerprint every text, its edited form and its likeness to the next document.
 
-    ``set_name`` and ``set_size`` are those of the text's set of shingles.
+    ``set_name`` and ``set_size`` are those of the text's set of shingles, ``set_sketch`` has
+    two bits of each value of its signature.
 
     The rows are sorted by ``doc_id`` in ranges; neighbours in a range meet in its
     task. Only the first and last document of each range are joined afterwards, as
@@ -130,7 +147,7 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS,
                  *(pa.array([v], t) for v, t in zip(row, edge_types))], names=names)
 
     result_types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
-                    pa.float64(), pa.float64(), pa.binary(), pa.int64()]
+                    pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
     edge_types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string()]
     names = RESULT + ["edge", "first_id", "first_text", "last_id", "last_text"]
 
@@ -161,12 +178,12 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE_WORDS,
 
 
 def least_matches(threshold: float, permutations: int) -> int:
-    """Signature values that two sets at the threshold share but for ``MISSED`` of all pairs."""
+    """Places in which sketches of two sets at the threshold agree but for ``MISSED`` of pairs."""
     from math import comb
 
-    below = 0.0
+    below, same = 0.0, threshold + (1 - threshold) / 4  # two bits also agree by chance
     for n in range(permutations + 1):
-        below += comb(permutations, n) * threshold ** n * (1 - threshold) ** (permutations - n)
+        below += comb(permutations, n) * same ** n * (1 - same) ** (permutations - n)
         if below > MISSED:
             return n
     return permutations
@@ -179,10 +196,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
 
     Equal shingle sets are one class. Any two classes that share a band of their
     signatures are compared, unless a chain of links joins them already: first with
-    the band's smallest class, then, in rounds, with about 8, 64, ... further
+    the band's smallest class, then, in rounds, with about 4, 16, ... further
     members. So a band of copies gives as many pairs as rows, one of unlike texts all
     its pairs. 32 bands of 4 find a pair at 0.75 with probability above 0.99999. Every
-    pair is verified on whole shingle sets, but those whose signatures agree in so few
+    pair is verified on whole shingle sets, but those whose sketches agree in so few
     places that a pair at the threshold does so with a probability below ``MISSED``.
 
     ``signed`` are the :func:`fingerprints` of the same rows, if there are any. Rows that
@@ -196,19 +213,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
                 signature = signatures(part.column(1), k, permutations, named)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x for x, _ in named], pa.binary()),
-                     pa.array([n for _, n in named], pa.int64()), as_bytes(signature)],
-                    names=["doc_id", "set_name", "set_size", "fingerprint"])
+                     pa.array([n for _, n in named], pa.int64()), as_bytes(signature),
+                     sketches(signature)],
+                    names=["doc_id", "set_name", "set_size", "fingerprint", "set_sketch"])
 
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").filter("doc_id is not null")
     if signed is None:
         signed = written(texts.mapInArrow(
-            sign, "doc_id bigint, set_name binary, set_size bigint, fingerprint binary"),
-            "signatures")
+            sign, "doc_id bigint, set_name binary, set_size bigint, fingerprint binary, "
+                  "set_sketch array<bigint>"), "signatures")
     signed = signed.filter("doc_id is not null").select(
-        "doc_id", F.col("set_name").alias("key"), F.col("set_size").alias("size"), "fingerprint")
-    classes = signed.filter("size > 0").groupBy("key").agg(
+        "doc_id", F.col("set_name").alias("key"), F.col("set_size").alias("size"), "fingerprint",
+        F.col("set_sketch").alias("sketch"))
+    classes = written(signed.filter("size > 0").groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("size").alias("size"),
-        F.first("fingerprint").alias("fingerprint"))
+        F.first("fingerprint").alias("fingerprint"), F.first("sketch").alias("sketch")), "classes")
+    named = classes.select("id", F.col("key").alias("name"), "sketch")
     bands = F.transform(F.sequence(F.lit(0), F.lit(permutations // band_rows - 1)),
                         lambda j: F.xxhash64(j, F.substring(
                             "fingerprint", j * (2 * band_rows) + 1, F.lit(2 * band_rows))))
@@ -219,8 +239,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
     members = written(banded.join(shared, "band").select(
         "band", "id", "size", F.ceil(F.col("n") / BAND_PART).alias("parts"),
         F.when(F.col("id") == F.col("lead"), 0).otherwise(
-            1 + F.floor(F.log2(1 + part * F.col("n")) / TURN_BITS)).cast("int").alias("turn")),
-        "members")
+            1 + F.floor(F.log2(1 + part * F.col("n")) / TURN_BITS)).cast("int").alias("turn"))
+        .join(named, "id"), "members")
 
     @F.arrow_udf("double")
     def jaccard(left: pa.Array, right: pa.Array, names: pa.Array, others: pa.Array) -> pa.Array:
@@ -237,12 +257,6 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
             out.append(both / (len(sets[i]) + len(y) - both))
         return pa.array(out, pa.float64())
 
-    @F.arrow_udf("int")
-    def matches(left: pa.Array, right: pa.Array) -> pa.Array:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), ">u2").reshape(-1, permutations)
-                for c in (left, right))
-        return pa.array((x == y).sum(axis=1), pa.int32())
-
     def similar(pairs: DataFrame, n: int) -> DataFrame:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         own = texts.join(F.broadcast(ids) if n <= FEW_PAIRS else ids, "doc_id", "left_semi")
@@ -251,9 +265,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
         return pairs.join(right, "b").join(left, "a").filter(
             jaccard("text_a", "text_b", "name_a", "name_b") >= threshold).select("a", "b").distinct()
 
-    marks = [classes.select(F.col("id").alias(c), F.col("fingerprint").alias(f"mark_{c}"),
-                            F.col("key").alias(f"name_{c}")) for c in ("a", "b")]
-    least = least_matches(threshold, permutations)
+    most = permutations - least_matches(threshold, permutations)
 
     spark = docs.sparkSession
     compared = spark.createDataFrame([], "a bigint, b bigint")
@@ -273,6 +285,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
         # a band of many members is dealt in parts; its leads go to each
         leads = now.filter(F.col("turn") == turn).select(
             "band", F.col("id").alias("lead"), F.col("size").alias("lead_size"),
+            F.col("name").alias("lead_name"), F.col("sketch").alias("lead_sketch"),
             F.col("component").alias("lead_component"),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
         pairs = written(
@@ -281,11 +294,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
             .filter((F.col("component") != F.col("lead_component"))
                     & ((F.col("turn") > turn) | (F.col("id") > F.col("lead")))
                     & (F.least("size", "lead_size") / F.greatest("size", "lead_size")
-                       >= threshold))
-            .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-            .distinct().join(compared, ["a", "b"], "left_anti")
-            .join(marks[1], "b").join(marks[0], "a").filter(
-                matches("mark_a", "mark_b") >= least).select("a", "b", "name_a", "name_b"), "pairs")
+                       >= threshold) & (differing("sketch", "lead_sketch", permutations) <= most))
+            .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"),
+                    F.when(F.col("id") < F.col("lead"), F.col("name")).otherwise(F.col("lead_name"))
+                    .alias("name_a"),
+                    F.when(F.col("id") < F.col("lead"), F.col("lead_name")).otherwise(F.col("name"))
+                    .alias("name_b"))
+            .distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = compared.union(pairs.select("a", "b"))
         n = pairs.count()
         new = written(similar(pairs, n), "links") if n else pairs.select("a", "b")

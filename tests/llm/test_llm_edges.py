@@ -120,11 +120,19 @@ def test_near_duplicates_of_unlike_texts_with_one_id(spark):
         (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
 
 
-def test_signatures_ruled_out():
+def test_sketches_ruled_out(spark):
     least = minhash.least_matches(0.75, 128)
     from math import comb
-    below = sum(comb(128, n) * 0.75 ** n * 0.25 ** (128 - n) for n in range(least))
-    assert below <= minhash.MISSED and 55 < least < 75
+    same = 0.75 + 0.25 / 4
+    below = sum(comb(128, n) * same ** n * (1 - same) ** (128 - n) for n in range(least))
+    assert below <= minhash.MISSED and 70 < least < 85
+    rng = np.random.default_rng(1)
+    for n in (128, 100, 64):
+        x = rng.integers(0, 1 << 16, (40, n)).astype(np.uint16)
+        y = np.where(rng.random((40, n)) < 0.6, x, rng.integers(0, 1 << 16, (40, n))).astype(np.uint16)
+        table = pa.table({"a": minhash.sketches(x), "b": minhash.sketches(y)})
+        got = spark.createDataFrame(table).select(minhash.differing("a", "b", n)).collect()
+        assert [r[0] for r in got] == ((x & 3) != (y & 3)).sum(axis=1).tolist()
 
 
 def test_minhash_near_duplicates_of_a_shared_template(spark):
