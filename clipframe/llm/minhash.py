@@ -18,7 +18,7 @@ PERMUTATIONS = 128
 BAND_ROWS = 4
 FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
 BAND_PART = 1_000  # members of a band that meet its leads in one part
-TURN_BITS = 2      # a round takes 4 times as many leads of a band as the one before
+TURN_BITS = 1      # a round takes twice as many leads of a band as the one before
 MISSED = 1e-9      # probability of a linked pair whose signatures are not looked at further
 
 
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
 
     Equal shingle sets are one class. Any two classes that share a band of their
     signatures are compared, unless a chain of links joins them already: first with
-    the band's smallest class, then, in rounds, with about 4, 16, ... further
+    the band's smallest class, then, in rounds, with about 2, 4, 8, ... further
     members. So a band of copies gives as many pairs as rows, one of unlike texts all
     its pairs. 32 bands of 4 find a pair at 0.75 with probability above 0.99999. Every
     pair is verified on whole shingle sets, but those whose sketches agree in so few
