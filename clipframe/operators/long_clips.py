@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 
 from clipframe.functions import kernels as K
 from clipframe.operators.preprocess import ClipSpec
-from clipframe.session import lookup_join
+from clipframe.session import hot_join, side_table
 from clipframe.sources.files import Files, qualified
 from clipframe.sources.manifest import dealt
 from clipframe.sources.scan import materialise
 from clipframe.sources.wav import FLOAT, WavError, check_format, file_layout, raw_samples
 
 RANGE_BYTES = 8 << 20
-RANGES_PER_TASK = 16
+RANGES_PER_TASK = 16      # of full length
+PARTS_PER_TASK = 50_000   # of any length
+PART_BYTES = 2 << 20      # of ranges that are worked on together
 LAYOUT = ("path string, codec int, num_frames bigint, sample_rate int, num_channels int, bits int, "
           "data_offset bigint, step bigint, error string")
 WAVES = ("path string, part bigint, first_sample bigint, samples array<float>, n bigint, "
@@ -73,28 +75,66 @@ def layouts(files: DataFrame, target_rate: int | None = None, path_col: str = "p
 def ranges(heads: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``LAYOUT`` with ``part, first, last``: frames from first up to last, of good files.
 
-    A range has about ``range_bytes``, at least one step. Ranges are dealt to tasks by
-    path and part, before a byte is read.
+    A range has about ``range_bytes``, at least one step. Ranges are dealt to tasks before
+    a byte is read: neighbours of together about ``RANGE_BYTES`` stay side by side, and the
+    number of tasks goes by the bytes, however short the ranges are.
     """
     frame = F.col("num_channels") * F.col("bits") / 8
     per = (F.ceil(F.greatest(F.floor(F.lit(range_bytes) / frame), F.lit(1)) / F.col("step"))
            * F.col("step")).cast("bigint")
-    good = heads.filter("error is null").withColumn("per", per)
-    parts = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("num_frames") / F.col("per")) - 1)
-    cut = good.withColumn("part", F.explode(parts)).withColumns({
+    good = heads.filter("error is null").withColumn("per", per).withColumns({
+        "parts": F.ceil(F.col("num_frames") / F.col("per")).cast("bigint"),
+        "run": F.greatest(F.floor(RANGE_BYTES / (F.col("per") * frame)), F.lit(1)).cast("bigint")})
+    runs = F.ceil(F.col("parts") / F.col("run")).cast("bigint")
+    total = good.agg(F.sum(runs).alias("runs"), F.sum("parts").alias("parts"), F.sum(
+        F.greatest(F.col("num_frames") * frame, F.lit(0))).alias("bytes")).first()
+    n, cores = total["runs"] or 0, heads.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-(total["bytes"] or 0) // (RANGE_BYTES * RANGES_PER_TASK)),
+                -(-(total["parts"] or 0) // PARTS_PER_TASK), min(n, cores), 1)
+    dealt_ = good.withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), runs - 1))).repartition(
+        int(tasks), "path", "at")
+    begin = F.col("at") * F.col("run")
+    parts = F.sequence(begin, F.least(begin + F.col("run"), "parts") - 1)
+    return dealt_.withColumn("part", F.explode(parts)).withColumns({
         "first": F.col("part") * F.col("per"),
-        "last": F.least("num_frames", (F.col("part") + 1) * F.col("per"))}).drop("per", "error")
-    n = good.agg(F.sum(F.ceil(F.col("num_frames") / F.col("per")))).first()[0] or 0
-    tasks = max(-(-n // RANGES_PER_TASK), min(n, heads.sparkSession.sparkContext.defaultParallelism), 1)
-    return cut.repartition(int(tasks), "path", "part")
-
-
-def read_range(files: Files, row: dict, first: int, last: int) -> np.ndarray:
-    """Samples of the frames from ``first`` up to ``last``, channels interleaved."""
-    width = row["num_channels"] * row["bits"] // 8
-    with files.open(row["path"]) as handle:
-        data = handle.read_at((last - first) * width, row["data_offset"] + first * width)
-    return raw_samples(data, row["codec"], row["bits"], (last - first) * row["num_channels"])
+        "last": F.least("num_frames", (F.col("part") + 1) * F.col("per"))}).drop(
+            "per", "error", "parts", "run", "at")
+
+
+class Opened:
+    """Reads ranges; the file of the last one stays open for those that follow it."""
+
+    def __init__(self, base: str):
+        self.files, self.path, self.handle = Files(base), None, None
+
+    def read(self, row: dict, first: int, last: int) -> np.ndarray:
+        """Samples of the frames from ``first`` up to ``last``, channels interleaved."""
+        if row["path"] != self.path:
+            self.close()
+            self.handle, self.path = self.files.open(row["path"]), row["path"]
+        width = row["num_channels"] * row["bits"] // 8
+        data = self.handle.read_at((last - first) * width, row["data_offset"] + first * width)
+        return raw_samples(data, row["codec"], row["bits"], (last - first) * row["num_channels"])
+
+    def close(self) -> None:
+        if self.handle is not None:
+            self.handle.close()
+        self.path, self.handle = None, None
+
+
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of ranges, as many at a time as have ``PART_BYTES``, or one that alone has more."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 1_000):
+            part, held = [], 0
+            for row in batch.slice(low, 1_000).to_pylist():
+                size = (row["last"] - row["first"]) * row["num_channels"] * row["bits"] // 8
+                if part and held + size > PART_BYTES:
+                    yield part
+                    part, held = [], 0
+                part.append(row)
+                held += size
+            yield part
 
 
 def integers(samples: np.ndarray, row: dict) -> tuple[np.ndarray, int]:
@@ -120,19 +160,19 @@ def clip_levels(cut: DataFrame, mono: bool = False) -> DataFrame:
     base = qualified(cut.sparkSession, ".")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = Files(base)
-        for batch in batches:
+        opened = Opened(base)
+        for part in in_parts(batches):
             rows = []
-            for row in batch.to_pylist():
-                samples, bits = integers(read_range(files, row, row["first"], row["last"]), row)
+            for row in part:
+                samples, bits = integers(opened.read(row, row["first"], row["last"]), row)
                 if mono:
                     samples = K.pcm_mono(samples, row["num_channels"])
                 rows.append((row["path"], len(samples), Decimal(sum_of_squares(samples)), bits))
-            columns = zip(*rows) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (
+                [pa.array(c, k) for c, k in zip(zip(*rows), (
                     pa.string(), pa.int64(), pa.decimal128(38, 0), pa.int32()))],
                 names=["path", "n", "squares", "width"])
+        opened.close()
 
     sums = cut.mapInArrow(measure, "path string, n bigint, squares decimal(38,0), width int")
     whole = sums.groupBy("path").agg(F.sum("n").alias("n"), F.sum("squares").alias("squares"),
@@ -151,6 +191,14 @@ def long_loudness(files: DataFrame, path_col: str = "path", range_bytes: int = R
         "path", "num_frames", "sample_rate", "num_channels", "bits", "dbfs", "error")
 
 
+def path_join(ranges_: DataFrame, side: DataFrame) -> DataFrame:
+    """Ranges with what is known of their files; only paths of very many ranges are spread."""
+    side, fits = side_table(side)
+    if fits:
+        return ranges_.join(F.broadcast(side), "path")
+    return hot_join(ranges_, side, ["path"], "inner")
+
+
 def long_waves(files: DataFrame, spec: ClipSpec, path_col: str = "path",
                range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, DataFrame]:
     """The clip chain up to standardising, range by range: ``(waves, rejected)``.
@@ -170,22 +218,25 @@ def long_waves(files: DataFrame, spec: ClipSpec, path_col: str = "path",
             rejected = rejected.union(silent.select(
                 "path", F.lit("silent clip has no gain").alias("error")))
         gain = F.when(F.col("dbfs") > float("-inf"), F.lit(spec.target_dbfs) - F.col("dbfs"))
-        cut = lookup_join(cut, levels, ["path"], "inner")
+        cut = path_join(cut, levels)
         if spec.on_silence == "reject":
             cut = cut.filter(F.col("dbfs") > float("-inf"))
     base, rate, norm = qualified(heads.sparkSession, "."), spec.sample_rate, spec.apply_dbfs_norm
 
     def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = Files(base)
-        for batch in batches:
-            for row in batch.to_pylist():
-                x, first = range_wave(opened, row, rate, norm)
+        opened = Opened(base)
+        for part in in_parts(batches):
+            rows = []
+            for row, x, first in range_waves(opened, part, rate, norm):
                 mean = float(x.mean(dtype=np.float64)) if len(x) else 0.0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["path"]]), pa.array([row["part"]]), pa.array([first]),
-                     pa.array([x], pa.list_(pa.float32())), pa.array([len(x)]), pa.array([mean]),
-                     pa.array([float(((x - mean) ** 2).sum())])],
-                    names=[c.split()[0] for c in WAVES.split(", ")])
+                rows.append((row["path"], row["part"], first, x, len(x), mean,
+                             float(((x - mean) ** 2).sum())))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), (
+                    pa.string(), pa.int64(), pa.int64(), pa.list_(pa.float32()), pa.int64(),
+                    pa.float64(), pa.float64()))],
+                names=[c.split()[0] for c in WAVES.split(", ")])
+        opened.close()
 
     waves = materialise(cut.withColumn("gain", gain).mapInArrow(process, WAVES), "waves")
     shown = ["path", "part", "first_sample", "samples"]
@@ -200,12 +251,36 @@ def long_waves(files: DataFrame, spec: ClipSpec, path_col: str = "path",
         "moments")
     scaled = F.transform("samples", lambda v: (
         (v - F.col("centre")) / F.col("deviation")).cast("float"))
-    return lookup_join(waves.select(*shown), whole, ["path"], "inner").select(
+    return path_join(waves.select(*shown), whole).select(
         "path", "part", "first_sample", scaled.alias("samples")), rejected
 
 
-def range_wave(files: Files, row: dict, rate: int, norm: bool) -> tuple[np.ndarray, int]:
-    """A range as mono floats at the target rate, and the place of its first sample."""
+def range_waves(opened: Opened, rows: list[dict], rate: int, norm: bool
+                ) -> Iterator[tuple[dict, np.ndarray, int]]:
+    """``(row, wave, place)``: ranges as mono floats at the target rate, and where they begin.
+
+    Ranges of one rate are resampled together, each beside the zeros the filter reaches for.
+    """
+    by_rate: dict[int, list[tuple[dict, np.ndarray, int]]] = {}
+    for row in rows:
+        x, begin = range_floats(opened, row, rate, norm)
+        by_rate.setdefault(row["sample_rate"], []).append((row, x, begin))
+    for old, found in by_rate.items():
+        x, offsets = np.concatenate([x for _, x, _ in found]), K.lengths_to_offsets(
+            np.array([len(x) for _, x, _ in found], np.int64))
+        x, offsets = K.resample_clips(x, offsets, old, rate)
+        up = rate // math.gcd(old, rate)
+        for (row, _, begin), start in zip(found, offsets.tolist()):
+            step = row["step"]
+            first, shift = row["first"] // step * up, begin // step * up
+            last = (K.resampled_length(row["num_frames"], old, rate)
+                    if row["last"] == row["num_frames"] else row["last"] // step * up)
+            yield row, x[start + first - shift:start + last - shift], first
+
+
+def range_floats(opened: Opened, row: dict, rate: int, norm: bool) -> tuple[np.ndarray, int]:
+    """A range and what the filter reaches for around it, as mono floats at the file's rate,
+    and the frame they begin at."""
     old, step = row["sample_rate"], row["step"]
     up = rate // math.gcd(old, rate)
     # what the filter reaches for, in whole steps; the zeros around a clip are the filter's own
@@ -213,7 +288,7 @@ def range_wave(files: Files, row: dict, rate: int, norm: bool) -> tuple[np.ndarr
         K.FILTER_WIDTH * step / (K.ROLL_OFF * min(step, up))) + 2
     begin = max(0, row["first"] - -(-reach // step) * step)
     end = min(row["num_frames"], row["last"] + reach)
-    samples, channels = read_range(files, row, begin, end), row["num_channels"]
+    samples, channels = opened.read(row, begin, end), row["num_channels"]
     if norm:
         samples, bits = integers(samples, row)
         samples = K.pcm_mono(samples, channels)
@@ -224,9 +299,4 @@ def range_wave(files: Files, row: dict, rate: int, norm: bool) -> tuple[np.ndarr
         x = samples.astype(np.float32)
     else:
         x = (samples / 2.0 ** (row["bits"] - 1)).astype(np.float32)
-    x, offsets = K.mix_down(x, np.array([0, len(x)]), np.array([channels]))
-    x, _ = K.resample_clips(x, offsets, old, rate)
-    first, shift = row["first"] // step * up, begin // step * up
-    last = (K.resampled_length(row["num_frames"], old, rate) if row["last"] == row["num_frames"]
-            else row["last"] // step * up)
-    return x[first - shift:last - shift], first
+    return K.mix_down(x, np.array([0, len(x)]), np.array([channels]))[0], begin

@@ -38,3 +38,17 @@ def test_annotations_from_python_are_not_broadcast(spark):
         joined = joins.join_annotations(clips, given, ["dialog", "turn"])
         assert "BroadcastHashJoin" not in plan_of(joined)
         assert joined.filter("emotion_raw = 'neu'").count() == 20 + copies
+
+
+def test_short_ranges_do_not_make_more_tasks(spark, tmp_path):
+    data = wav(np.random.default_rng(1).integers(-9_000, 9_000, 200_000), 22_050)
+    (tmp_path / "long.wav").write_bytes(data)
+    files = spark.createDataFrame([(f"{tmp_path}/long.wav",)], "path string")
+    heads = scan.materialise(long_clips.layouts(files), "layouts")
+    cut = long_clips.ranges(heads, 100)
+    assert cut.count() == 4_000
+    assert cut.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    places = sorted((r["part"], r["first"], r["last"]) for r in cut.collect())
+    assert [p for p, _, _ in places] == list(range(4_000))
+    assert places[0][1] == 0 and places[-1][2] == 200_000
+    assert all(a[2] == b[1] for a, b in zip(places, places[1:]))
