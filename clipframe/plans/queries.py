@@ -772,12 +772,13 @@ def long_clip_waves(spark, sf_dir):
     folder = _wav_files(spark, S.document_wavs(spark, sf_dir))
     files = manifest.list_files(spark, folder)
     waves, rejected = long_clips.long_waves(files, ClipSpec(), range_bytes=1_000)
+    found = scan.materialise(_document_ids(waves).select(
+        "doc_id", "first_sample", F.round(F.get("samples", F.lit(0)).cast("double"), 3).alias("value"),
+        F.size("samples").alias("n")), "ranges")
     kept = S.table(spark, sf_dir, "documents").filter("lang in ('en', 'es')").select("doc_id").join(
-        _document_ids(waves), "doc_id").select(
-            "doc_id", "first_sample", F.round(F.col("samples")[0].cast("double"), 3).alias("value"))
-    whole = _document_ids(waves).groupBy("doc_id").agg(
-        F.lit(None).cast("bigint").alias("first_sample"),
-        F.sum(F.size("samples")).cast("double").alias("value"))
+        found, "doc_id").select("doc_id", "first_sample", "value")
+    whole = found.groupBy("doc_id").agg(
+        F.lit(None).cast("bigint").alias("first_sample"), F.sum("n").cast("double").alias("value"))
     return kept.union(whole).withColumn("error", F.lit(None).cast("string")).union(
         _document_ids(rejected).select("doc_id", F.lit(None).cast("bigint"),
                                        F.lit(None).cast("double"), "error"))

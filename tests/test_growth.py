@@ -52,3 +52,20 @@ def test_short_ranges_do_not_make_more_tasks(spark, tmp_path):
     assert [p for p, _, _ in places] == list(range(4_000))
     assert places[0][1] == 0 and places[-1][2] == 200_000
     assert all(a[2] == b[1] for a, b in zip(places, places[1:]))
+
+
+def test_ranges_of_a_file_open_it_once(tmp_path, monkeypatch):
+    """Many ranges of a task are read from one handle and resampled in one product."""
+    (tmp_path / "a.wav").write_bytes(wav(np.arange(4_410), 22_050))
+    row = {"path": f"file:{tmp_path}/a.wav", "codec": 1, "num_frames": 4_410, "sample_rate": 22_050,
+           "num_channels": 1, "bits": 16, "data_offset": 44, "step": 441}
+    rows = [{**row, "part": i, "first": 441 * i, "last": 441 * (i + 1)} for i in range(10)]
+    opened, found, calls = long_clips.Opened("file:/"), [], []
+    resample, find = K.resample_clips, opened.files.open
+    monkeypatch.setattr(K, "resample_clips", lambda *a: calls.append("resample") or resample(*a))
+    monkeypatch.setattr(opened.files, "open", lambda p: calls.append("open") or find(p))
+    found = list(long_clips.range_waves(opened, rows, 16_000, False))
+    assert calls == ["open", "resample"]
+    whole = resample((np.arange(4_410) / 2.0 ** 15).astype(np.float32), np.array([0, 4_410]), 22_050,
+                     16_000)[0]
+    assert np.allclose(np.concatenate([x for _, x, _ in found]), whole, atol=1e-6)
