@@ -50,18 +50,19 @@ def list_files(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
                 store, inside = files.find(path)
                 found = (store.get_file_info(FileSelector(inside)) if below
                          else [store.get_file_info(inside)])
-                rows = []
-                for info in found:
-                    name = info.base_name
-                    if info.type == FileType.NotFound:
-                        raise FileNotFoundError(f"no such file or folder: {path}")
-                    folder = info.type == FileType.Directory
-                    if below and (name.startswith(".") or not folder and not fnmatchcase(name, pattern)):
-                        continue
-                    rows.append((f"{path}/{name}" if below else path, None if folder else info.size,
-                                 None if folder else info.mtime_ns // 1000, folder))
-                for i in range(0, len(rows), NAMES_PER_BATCH):
-                    columns = zip(*rows[i:i + NAMES_PER_BATCH])
+                for i in range(0, len(found), NAMES_PER_BATCH):
+                    rows = []
+                    for info in found[i:i + NAMES_PER_BATCH]:
+                        name = info.base_name
+                        if info.type == FileType.NotFound:
+                            raise FileNotFoundError(f"no such file or folder: {path}")
+                        folder = info.type == FileType.Directory
+                        if below and (name.startswith(".")
+                                      or not folder and not fnmatchcase(name, pattern)):
+                            continue
+                        rows.append((f"{path}/{name}" if below else path, None if folder else info.size,
+                                     None if folder else info.mtime_ns // 1000, folder))
+                    columns = zip(*rows) if rows else [()] * 4
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, entry_types)],
                         names=["path", "length", "mtime", "folder"])

@@ -14,6 +14,8 @@ from clipframe.sources.files import Files, qualified
 
 # Largest file the binary source can hold in one row (a JVM byte array).
 MAX_FILE_BYTES = 2**31 - 1
+# Fixed value: files and folders that Spark's listing takes for hidden.
+HIDDEN = r"/_(?!metadata|common_metadata)[^/=]*(/|$)|\._COPYING_(/|$)"
 
 
 def _files(spark: SparkSession, roots: str | Sequence[str], pattern: str) -> DataFrame:
@@ -142,11 +144,21 @@ def ingest(spark: SparkSession, roots: str | Sequence[str], out: str,
            pattern: str = "*.wav") -> DataFrame:
     """Copy many small files into one Parquet clip table, header included.
 
-    Later jobs read this table: header jobs read the header columns only.
+    Later jobs read this table: header jobs read the header columns only. The files are
+    listed and read in tasks that have about as many bytes each, so no name reaches the
+    driver; as in :func:`scan_clips`, names that begin with ``_`` and files of zero bytes
+    are left out.
     """
+    from clipframe.sources.manifest import list_files, read_listed
     from clipframe.sources.wav import with_headers
 
-    clips = with_headers(scan_clips(spark, roots, pattern))
+    given = [qualified(spark, r) for r in ([roots] if isinstance(roots, str) else roots)]
+    path, below = F.col("path"), F.lit("")
+    for root in given:
+        below = F.when(path.startswith(f"{root}/"), F.substring(path, F.lit(len(root) + 1), F.length(path))
+                       ).otherwise(below)
+    listed = list_files(spark, given, pattern).filter((F.col("length") > 0) & ~below.rlike(HIDDEN))
+    clips = with_headers(read_listed(listed))
     clips.write.mode("overwrite").option("parquet.block.size", 128 << 20).parquet(out)
     return spark.read.parquet(out)
 

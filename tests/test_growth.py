@@ -69,3 +69,25 @@ def test_ranges_of_a_file_open_it_once(tmp_path, monkeypatch):
     whole = resample((np.arange(4_410) / 2.0 ** 15).astype(np.float32), np.array([0, 4_410]), 22_050,
                      16_000)[0]
     assert np.allclose(np.concatenate([x for _, x, _ in found]), whole, atol=1e-6)
+
+
+@pytest.mark.parametrize("given", ["folder", "folders"])
+def test_ingest_lists_in_tasks(spark, tmp_path, monkeypatch, given):
+    """No listing on the driver; left out is what Spark's listing leaves out."""
+    clip = wav([1, 2, 3])
+    for name in ("a/x.wav", "a/_x.wav", "a/.x.wav", "_a/y.wav", "b/_k=1/z.wav", "b/empty.wav",
+                 "b/_metadata/m.wav", "b/other.txt"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"" if "empty" in name else clip)
+    roots = str(tmp_path / "in") if given == "folder" else [str(tmp_path / "in" / d) for d in "ab"]
+    wanted = sorted(r["path"] for r in scan.scan_clips(spark, roots).collect())
+    assert len(wanted) == 3
+    monkeypatch.setattr(scan, "scan_clips", None)
+    monkeypatch.setattr(scan, "_files", None)
+    table = scan.ingest(spark, roots, str(tmp_path / "out"))
+    rows = table.collect()
+    assert sorted(r["path"] for r in rows) == wanted
+    assert all(bytes(r["content"]) == clip and r["num_frames"] == 3 and r["length"] == len(clip)
+               and r["error"] is None for r in rows)
+    assert table.columns == ["path", "length", "content", "load_error", "num_frames", "sample_rate",
+                             "num_channels", "bits", "error"]
