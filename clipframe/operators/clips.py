@@ -34,8 +34,9 @@ from clipframe.sources.wav import WavError, decode_samples
 
 FULL_SCALE_FLOAT = 2.0 ** 31
 # Samples are worked on in parts of about this many input bytes, whatever the
-# size of the Arrow batch, so a worker's memory does not depend on settings.
-PART_BYTES = 16 << 20
+# size of the Arrow batch, so a worker's memory does not depend on settings. A byte
+# may be a sample, which takes some 60 bytes on its way through a chain.
+PART_BYTES = 2 << 20
 
 
 class ClipBatch:

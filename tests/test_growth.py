@@ -91,3 +91,23 @@ def test_ingest_lists_in_tasks(spark, tmp_path, monkeypatch, given):
                and r["error"] is None for r in rows)
     assert table.columns == ["path", "length", "content", "load_error", "num_frames", "sample_rate",
                              "num_channels", "bits", "error"]
+
+
+def test_parts_of_a_worker_are_small():
+    """Clips of one byte a sample: what a chain needs at a time does not grow with the batch."""
+    clip = wav(np.random.default_rng(2).integers(-128, 128, 2_000), 22_050, bits=8)
+    table = pa.RecordBatch.from_arrays(
+        [pa.array([clip] * 5_000, pa.binary()), pa.array([1_500] * 5_000)], names=["content", "pad_to"])
+    steps = [*ClipSpec().steps("key", None, False), C.pad("pad_to")]
+    tracemalloc.start()
+    try:
+        n = 0
+        for part in C._parts(table, "content"):
+            batch = C.ClipBatch(part)
+            for step in steps:
+                step(batch)
+            n += len(C._output(batch, "input_values"))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 5_000 and peak < 200 << 20
