@@ -111,3 +111,20 @@ def test_parts_of_a_worker_are_small():
     finally:
         tracemalloc.stop()
     assert n == 5_000 and peak < 200 << 20
+
+
+def suppliers(spark, tmp_path, n=60):
+    spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("s_suppkey")).coalesce(1).write.parquet(
+        f"{tmp_path}/supplier.parquet")
+    return str(tmp_path)
+
+
+def test_tones_are_dealt_and_made_once(spark, tmp_path):
+    tones = Q._tones(spark, suppliers(spark, tmp_path))
+    assert tones.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    rows = {r["s_suppkey"]: r for r in tones.collect()}
+    assert len(rows) == 60 and set(rows[None]["samples"]) == {None}
+    for key in (1, 33, 59):
+        at = 16 + key % 48
+        assert rows[key]["bin"] == at and np.allclose(
+            rows[key]["samples"], np.sin(np.arange(8_192) * at * 2 * np.pi / 512) / 2, atol=1e-6)
