@@ -222,6 +222,7 @@ def add_noise(samples: np.ndarray, amplitude: float, row_seed: int) -> np.ndarra
 
 FRAME = 2048
 HOP = 512
+READ_BLOCK = 1 << 14  # samples that are read together, few enough for a cache
 
 
 def _spectrum(samples: np.ndarray) -> np.ndarray:
@@ -263,18 +264,35 @@ def time_stretch(samples: np.ndarray, rate: float) -> np.ndarray:
 
 
 def _read_at(samples: np.ndarray, step: float, count: int) -> np.ndarray:
-    """Windowed-sinc interpolation at ``0, step, 2 * step, ...``."""
+    """Windowed-sinc interpolation at ``0, step, 2 * step, ...``.
+
+    The weights are those of :func:`windowed_sinc`. Its sine and cosine at a tap are taken
+    from those of the place between two samples, as a sum of angles, so a sample costs
+    four of them and not two for every tap.
+    """
     cutoff = ROLL_OFF * min(1.0, 1.0 / step)
     reach = math.ceil(FILTER_WIDTH / cutoff)
     padded = np.pad(samples, (reach, reach + 2))
     out = np.zeros(count)
-    position = np.arange(count) * step
-    whole = position.astype(np.int64)
-    inside = whole < len(samples)
-    whole, rest = whole[inside], (position - whole)[inside]
-    for k in range(2 * reach + 2):
-        weight = windowed_sinc((k - reach - rest) * cutoff) * cutoff
-        out[inside] += weight * padded[whole + k]
+    for at in range(0, count, READ_BLOCK):
+        position = np.arange(at, min(at + READ_BLOCK, count)) * step
+        whole = position.astype(np.int64)
+        whole = whole[whole < len(samples)]
+        rest = position[:len(whole)] - whole
+        fine, wide = np.pi * cutoff * rest, np.pi / FILTER_WIDTH * cutoff * rest
+        sines, cosines = (np.sin(fine), np.cos(fine)), (np.sin(wide), np.cos(wide))
+        total = np.zeros(len(whole))
+        for k in range(2 * reach + 2):
+            tap = (k - reach) * cutoff
+            u = tap - cutoff * rest
+            a, b = math.pi * tap, math.pi / FILTER_WIDTH * tap
+            near = np.abs(u) < 1e-4
+            weight = (math.sin(a) * sines[1] - math.cos(a) * sines[0]) / np.where(near, 1.0, np.pi * u)
+            weight[near] = 1 - (np.pi * u[near]) ** 2 / 6
+            weight *= (1 + math.cos(b) * cosines[1] + math.sin(b) * cosines[0]) / 2 * cutoff
+            weight[np.abs(u) >= FILTER_WIDTH] = 0.0
+            total += weight * padded[whole + k]
+        out[at:at + len(whole)] = total
     return out
 
 

@@ -438,16 +438,25 @@ def augment_compose(spark, sf_dir):
 def pitch_shift(spark, sf_dir):
     """Whole documents as mono clips, half of them shifted; the others come out as they were."""
     spec = {**DEFAULT_AUGMENTATIONS[0], "p": 0.5}
-    mono = signal.mono_clips(S.document_wavs(spark, sf_dir), keep=["doc_id"])
-    waves = scan.materialise(mono.filter("error is null").drop("error"), "mono")
-    shifted = signal.augment_waves(waves, "samples", 16_000, [spec], "doc_id").select(
-        "doc_id", F.col("samples").alias("after"))
-    pairs = waves.select("doc_id", "samples").join(shifted, "doc_id")
-    energy = {c: _sum(F.col(c), lambda v: v * v) for c in ("samples", "after")}
-    share = F.when(energy["samples"] == 0, 1.0).otherwise(energy["after"] / energy["samples"])
-    return pairs.select("doc_id", F.size("after").alias("n"),
-                        F.when(F.size("after") >= 4_096, F.col("after") != F.col("samples"))
-                        .alias("is_shifted"), share.between(0, 2).alias("energy_kept"))
+    mono = signal.mono_clips(S.document_wavs(spark, sf_dir), keep=["doc_id"]).filter("error is null")
+    both = signal.augment_waves(mono.select("doc_id", F.col("samples").alias("before")), "before",
+                                16_000, [spec], "doc_id", keep=["before"])
+
+    def state(column: str, *names: str) -> list[Column]:
+        """What the two forms are compared by: no waveform is shuffled."""
+        parts = F.size(column), F.xxhash64(column), _sum(F.col(column), lambda v: v * v)
+        return [p.alias(n) for p, n in zip(parts, names)]
+
+    states = scan.materialise(both.select(
+        "doc_id", *state("before", "n_before", "hash_before", "energy_before"),
+        *state("samples", "n", "hash", "energy")), "states")
+    pairs = states.select("doc_id", "n_before", "hash_before", "energy_before").join(
+        states.select("doc_id", "n", "hash", "energy"), "doc_id")
+    share = F.when(F.col("energy_before") == 0, 1.0).otherwise(
+        F.col("energy") / F.when(F.col("energy_before") != 0, F.col("energy_before")))
+    moved = (F.col("n") != F.col("n_before")) | (F.col("hash") != F.col("hash_before"))
+    return pairs.select("doc_id", "n", F.when(F.col("n") >= 4_096, moved).alias("is_shifted"),
+                        share.between(0, 2).alias("energy_kept"))
 
 
 def _tones(spark, sf_dir) -> DataFrame:

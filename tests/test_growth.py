@@ -128,3 +128,37 @@ def test_tones_are_dealt_and_made_once(spark, tmp_path):
         at = 16 + key % 48
         assert rows[key]["bin"] == at and np.allclose(
             rows[key]["samples"], np.sin(np.arange(8_192) * at * 2 * np.pi / 512) / 2, atol=1e-6)
+
+
+def test_pitch_shift_writes_no_waveform(spark, tmp_path, monkeypatch):
+    texts = [(1, "en", "ab" * 5_000), (2, "fr", "xyz" * 3_000), (2, "fr", "other" * 2_000), (None, "de", "q" * 99)]
+    spark.createDataFrame(texts, "doc_id bigint, lang string, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    written, materialise = [], scan.materialise
+    monkeypatch.setattr(scan, "materialise", lambda df, name: written.append(df.dtypes) or materialise(df, name))
+    rows = Q.pitch_shift(spark, str(tmp_path)).collect()
+    assert not [kind for kinds in written for _, kind in kinds if kind.startswith("array")]
+    assert sorted(r["doc_id"] for r in rows) == [1, 2, 2, 2, 2]  # a repeated id meets itself
+    assert all(r["n"] >= 4_096 and r["is_shifted"] is not None for r in rows)
+
+
+@pytest.mark.parametrize("step", [0.84, 1.0, 1.19])
+def test_reading_between_samples(step):
+    x = np.random.default_rng(3).normal(size=K.READ_BLOCK + 700)
+    cutoff = K.ROLL_OFF * min(1.0, 1.0 / step)
+    got = K._read_at(x, step, len(x))
+    for i in (0, 5, 699, K.READ_BLOCK - 1, K.READ_BLOCK, len(x) - 1):
+        near = np.arange(max(0, int(i * step) - 20), min(len(x), int(i * step) + 20))
+        wanted = (K.windowed_sinc((near - i * step) * cutoff) * cutoff * x[near]).sum() if (
+            i * step < len(x)) else 0.0
+        assert abs(got[i] - wanted) < 1e-10
+
+
+def test_reading_takes_few_sines(monkeypatch):
+    """Four for a block, not two for every tap."""
+    seen = []
+    sinc, sin = np.sinc, np.sin
+    monkeypatch.setattr(np, "sinc", lambda x: seen.append("sinc") or sinc(x))
+    monkeypatch.setattr(np, "sin", lambda x: seen.append("sin") or sin(x))
+    K._read_at(np.ones(1_000), 1.1, 1_000)
+    assert seen == ["sin", "sin"]
