@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clipframe.llm import words as W
-from clipframe.llm.common import held_out
+from clipframe.llm.common import give_back, held_out
 from clipframe.llm.slices import text_sizes
 
 TRAIN_PER_LANGUAGE = 500
@@ -89,14 +89,21 @@ def solve(texts: list[str], labels: list[str], landmarks: int, ridge: float) ->
     codes = np.flatnonzero(seen)
     place = np.full(CODES, len(codes), np.int32)
     place[codes] = np.arange(len(codes))
-    x = np.concatenate([m for _, m in presence(
-        pa.array(texts, pa.large_string()), place, len(codes))])
-    x /= np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
-    z = x[chosen]
+    # no more than the landmarks' rows and one block are held, whatever the number of texts
+    def unit(some: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+        for row, x in presence(pa.array(some, pa.large_string()), place, len(codes)):
+            x /= np.maximum(np.sqrt(x.sum(axis=1, keepdims=True)), 1)
+            yield row, x
+
+    z = np.empty((len(chosen), len(codes)), np.float32)
+    for row, x in unit([texts[i] for i in chosen]):
+        z[row:row + len(x)] = x
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ z.T).astype(np.float64) @ root
+    phi = np.empty((len(texts), root.shape[1]))
+    for row, x in unit(texts):
+        phi[row:row + len(x)] = (x @ z.T).astype(np.float64) @ root
     share = np.bincount(y, minlength=len(languages))[y]
     weight = (len(y) / len(languages) / share)[:, None]  # languages count alike
     target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
@@ -180,6 +187,7 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, landmarks: int
             model = solve(texts, labels, landmarks, ridge)._replace(
                 floor=floor_of(texts, labels, landmarks, ridge))
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))])], ["model"])
+        give_back()  # the worker lives on beside those that judge
 
     got = sample(docs, per_language).repartition(1).mapInArrow(learn, "model binary").first()
     if got is None:

@@ -162,3 +162,16 @@ def test_reading_takes_few_sines(monkeypatch):
     monkeypatch.setattr(np, "sin", lambda x: seen.append("sin") or sin(x))
     K._read_at(np.ones(1_000), 1.1, 1_000)
     assert seen == ["sin", "sin"]
+
+
+def test_learning_languages_holds_no_matrix_of_all_texts():
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(97, 122, 400))) for _ in range(1_200)]
+    labels = ["a" if i % 2 else "b" for i in range(1_200)]
+    tracemalloc.start()
+    try:
+        model = langid.solve(texts, labels, 20, 0.1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.codes) > 5_000 and peak < 4 * len(model.codes) * 1_000
