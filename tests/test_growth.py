@@ -175,3 +175,17 @@ def test_learning_languages_holds_no_matrix_of_all_texts():
     finally:
         tracemalloc.stop()
     assert len(model.codes) > 5_000 and peak < 4 * len(model.codes) * 1_000
+
+
+def test_few_edges_are_joined_in_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pairs = [tuple(map(int, p)) for p in rng.integers(0, 900, (700, 2))]
+    pairs += [(i, i + 1) for i in range(2_000, 2_060)] + [(5_000, 5_000)]
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint")
+    written, names = common.written, []
+    monkeypatch.setattr(common, "written", lambda df, name: names.append(name) or written(df, name))
+    few = {r["id"]: r["component"] for r in common.components(edges).collect()}
+    assert names == ["edges", "components"]
+    monkeypatch.setattr(common, "FEW_EDGES", 0)
+    many = {r["id"]: r["component"] for r in common.components(edges).collect()}
+    assert few == many and few[2_060] == 2_000 and 5_000 not in few
