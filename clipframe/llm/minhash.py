@@ -17,8 +17,9 @@ SHINGLE_WORDS = 5
 PERMUTATIONS = 128
 BAND_ROWS = 4
 FEW_PAIRS = 50_000  # whose ids are broadcast to find their texts
-BAND_PART = 1_000  # members of a band that meet its leads in one part
-TURN_BITS = 1      # a round takes twice as many leads of a band as the one before
+BAND_PART = 1_000  # members of a band that meet its lead, or each other, in one part
+PART_SHINGLES = 1_000_000  # of these members, about
+CROWD = 32         # a band of more members gives no pairs of them
 MISSED = 1e-9      # probability of a linked pair whose signatures are not looked at further
 
 
@@ -189,6 +190,82 @@ def least_matches(threshold: float, permutations: int) -> int:
     return permutations
 
 
+def spanning(ids: np.ndarray, side: np.ndarray, label: np.ndarray, sketch: np.ndarray,
+             sets: list[np.ndarray], threshold: float, most: int) -> list[tuple[int, int]]:
+    """Links between members that join their components as all links do.
+
+    Members of one side are not compared, unless there is but one side. Sets are those
+    of whole texts; two are looked at if their sketches differ in ``most`` places at most.
+    """
+    words, label = sketch.shape[1] // 2, np.unique(label, return_inverse=True)[1]
+    size = np.array([len(s) for s in sets])
+    begin = np.cumsum(size) - size
+    values, code = np.unique(np.concatenate(sets), return_inverse=True)
+    mine, two, edges = np.zeros(len(values), bool), len(np.unique(side)) > 1, []
+    for i in range(len(sets) - 1):
+        differ = (sketch[i] ^ sketch[i + 1:]).view(np.uint64)
+        near = np.bitwise_count(differ[:, :words] | differ[:, words:]).sum(axis=1) <= most
+        near &= label[i + 1:] != label[i]
+        near &= np.minimum(size[i + 1:], size[i]) / np.maximum(size[i + 1:], size[i]) >= threshold
+        if two:
+            near &= side[i + 1:] != side[i]
+        other = i + 1 + np.flatnonzero(near)
+        if not len(other):
+            continue
+        mine[code[begin[i]:begin[i] + size[i]]] = True
+        first = np.cumsum(size[other]) - size[other]
+        at = np.repeat(begin[other] - first, size[other]) + np.arange(size[other].sum())
+        both = np.add.reduceat(mine[code[at]], first, dtype=np.int64)
+        mine[code[begin[i]:begin[i] + size[i]]] = False
+        other = other[both / (size[i] + size[other] - both) >= threshold]
+        reached, where = np.unique(label[other], return_index=True)
+        edges += [(int(ids[i]), int(ids[j])) for j in other[where]]
+        label[np.isin(label, reached)] = label[i]
+    return edges
+
+
+def crowd_links(members: DataFrame, texts: DataFrame, k: int, threshold: float,
+                permutations: int, most: int) -> DataFrame:
+    """Links ``(a, b)`` within bands of many members that join components as all links do.
+
+    ``members (band, id, name, sketch, component, size)``. The members of a band are dealt in
+    parts of bounded size and any two parts meet in a task, which compares all their
+    pairs and gives a spanning forest of the links. So the rows are members, not pairs.
+    """
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                sets = [s.tobytes() for s in W.shingle_sets(batch.column(0).slice(at, 500), k)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([hashlib.md5(s).digest() for s in sets], pa.binary()),
+                     pa.array(sets, pa.binary())], names=["name", "shingles"])
+
+    def meet(rows: pa.Table) -> pa.Table:
+        # by id, whatever the order of arrival
+        rows = rows.sort_by("id").combine_chunks()
+        ids, side, label = (rows.column(c).to_numpy() for c in ("id", "part", "component"))
+        sketch = np.array(rows.column("sketch").to_pylist(), np.int64)
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in rows.column("shingles")]
+        edges = spanning(ids, side, label, sketch, sets, threshold, most)
+        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()),
+                         "b": pa.array([b for _, b in edges], pa.int64())})
+
+    members = written(members.select("band", "id", "name", "sketch", "component", "size"), "crowds")
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    sets = written(texts.join(ids, "doc_id", "left_semi").select("text").mapInArrow(
+        hashed, "name binary, shingles binary").dropDuplicates(["name"]), "sets")
+    parts = members.groupBy("band").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BAND_PART), F.ceil(F.sum("size") / PART_SHINGLES)).cast(
+            "int").alias("parts"))
+    dealt = (members.drop("size").join(parts, "band").join(sets, "name")
+             .withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)"))))
+    return written(dealt.select(
+        "band", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
+        "part", "id", "component", "sketch", "shingles").groupBy("band", "x", "y").applyInArrow(
+            meet, "a bigint, b bigint"), "links")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_WORDS,
                     permutations: int = PERMUTATIONS, band_rows: int = BAND_ROWS,
                     signed: DataFrame | None = None) -> DataFrame:
@@ -196,11 +273,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
 
     Equal shingle sets are one class. Any two classes that share a band of their
     signatures are compared, unless a chain of links joins them already: first with
-    the band's smallest class, then, in rounds, with about 2, 4, 8, ... further
-    members. So a band of copies gives as many pairs as rows, one of unlike texts all
-    its pairs. 32 bands of 4 find a pair at 0.75 with probability above 0.99999. Every
-    pair is verified on whole shingle sets, but those whose sketches agree in so few
-    places that a pair at the threshold does so with a probability below ``MISSED``.
+    the band's smallest class, then, in bands of at most ``CROWD`` members, pair by pair,
+    at last in larger bands block by block (``crowd_links``). So no band gives more pairs than a
+    fixed number of times its members. 32 bands of 4 find a pair at 0.75 with probability above
+    0.99999. Every pair is verified on whole shingle sets, but those whose sketches agree in so
+    few places that a pair at the threshold does so with a probability below ``MISSED``.
 
     ``signed`` are the :func:`fingerprints` of the same rows, if there are any. Rows that
     repeat an id each have a row; unlike texts of one id are classes of their own, and of
@@ -237,9 +314,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
         F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
     members = written(banded.join(shared, "band").select(
-        "band", "id", "size", F.ceil(F.col("n") / BAND_PART).alias("parts"),
-        F.when(F.col("id") == F.col("lead"), 0).otherwise(
-            1 + F.floor(F.log2(1 + part * F.col("n")) / TURN_BITS)).cast("int").alias("turn"))
+        "band", "id", "size", "n", (F.col("id") == F.col("lead")).alias("leads"))
         .join(named, "id"), "members")
 
     @F.arrow_udf("double")
@@ -267,43 +342,41 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, k: int = SHINGLE_W
 
     most = permutations - least_matches(threshold, permutations)
 
-    spark = docs.sparkSession
-    compared = spark.createDataFrame([], "a bigint, b bigint")
-    found = spark.createDataFrame([], "id bigint, component bigint")
-    last = members.agg(F.max("turn")).first()[0]
-    for turn in range(-1 if last is None else last + 1):
-        now = members.filter(F.col("turn") >= turn).join(found, "id", "left").withColumn(
-            "component", F.coalesce("component", "id"))
-        if turn:  # bands that are one component by now are done
-            mixed = now.groupBy("band").agg(
-                F.min("component").alias("low"), F.max("component").alias("high")).filter(
-                    "low < high").select("band")
-            now = written(now.join(mixed, "band", "left_semi"), "members")
-            members = now.drop("component")
-            if now.isEmpty():
-                break
-        # a band of many members is dealt in parts; its leads go to each
-        leads = now.filter(F.col("turn") == turn).select(
+    def links(now: DataFrame, leads: Column) -> DataFrame:
+        """Of members of a band with each of its leads; many members are dealt in parts."""
+        parts = F.ceil(F.col("n") / BAND_PART)
+        ahead = now.filter(leads).select(
             "band", F.col("id").alias("lead"), F.col("size").alias("lead_size"),
             F.col("name").alias("lead_name"), F.col("sketch").alias("lead_sketch"),
             F.col("component").alias("lead_component"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+            F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
         pairs = written(
-            now.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")))
-            .join(leads, ["band", "part"])
+            now.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), parts))
+            .join(ahead, ["band", "part"])
             .filter((F.col("component") != F.col("lead_component"))
-                    & ((F.col("turn") > turn) | (F.col("id") > F.col("lead")))
+                    & (F.col("id") > F.col("lead"))
                     & (F.least("size", "lead_size") / F.greatest("size", "lead_size")
                        >= threshold) & (differing("sketch", "lead_sketch", permutations) <= most))
-            .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"),
-                    F.when(F.col("id") < F.col("lead"), F.col("name")).otherwise(F.col("lead_name"))
-                    .alias("name_a"),
-                    F.when(F.col("id") < F.col("lead"), F.col("lead_name")).otherwise(F.col("name"))
-                    .alias("name_b"))
-            .distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = compared.union(pairs.select("a", "b"))
+            .select(F.col("lead").alias("a"), F.col("id").alias("b"),
+                    F.col("lead_name").alias("name_a"), F.col("name").alias("name_b"))
+            .distinct(), "pairs")
         n = pairs.count()
-        new = written(similar(pairs, n), "links") if n else pairs.select("a", "b")
+        return written(similar(pairs, n), "links") if n else pairs.select("a", "b")
+
+    def crowds(now: DataFrame) -> DataFrame:
+        return crowd_links(now, texts, k, threshold, permutations, most)
+
+    found = docs.sparkSession.createDataFrame([], "id bigint, component bigint")
+    few = F.col("n") <= CROWD
+    for those, compare in ((F.lit(True), lambda now: links(now, F.col("leads"))),
+                           (few, lambda now: links(now, ~F.col("leads"))), (~few, crowds)):
+        now = members.filter(those).join(found, "id", "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        if compare is crowds and now.isEmpty():
+            break
+        mixed = now.groupBy("band").agg(  # bands that are one component by now are done
+            F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+        new = compare(now.join(mixed.select("band"), "band", "left_semi"))
         if not new.isEmpty():
             found = components(new.union(found.select("component", "id")))
     return (signed.select("doc_id", "key").join(classes.select("key", "id"), "key", "left")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipframe.functions import kernels as K
-from clipframe.llm import common, langid
+from clipframe.llm import common, langid, minhash
 from clipframe.operators import clips as C
 from clipframe.operators import joins, long_clips
 from clipframe.operators.preprocess import ClipSpec
@@ -189,3 +189,57 @@ def test_few_edges_are_joined_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(common, "FEW_EDGES", 0)
     many = {r["id"]: r["component"] for r in common.components(edges).collect()}
     assert few == many and few[2_060] == 2_000 and 5_000 not in few
+
+
+def test_a_crowd_below_the_threshold_gives_no_pairs(spark, monkeypatch):
+    """Texts of one template that are not linked share bands; rows grow with them, not pairs."""
+    def rows(n):
+        return [(i, " ".join([f"t{j}" for j in range(120)] + [f"p{i}y{j}" for j in range(22)]))
+                for i in range(n)]
+
+    made, written = [], minhash.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    monkeypatch.setattr(minhash, "BAND_PART", 100)
+    n = 400
+    found = rows(n) + [(9_000, rows(n)[7][1] + " more"), (9_001, rows(n)[300][1] + " words")]
+    df = spark.createDataFrame(found, "doc_id long, text string").repartition(4)
+    got = sorted(tuple(r) for r in minhash.near_duplicates(df).collect())
+    assert got == [(i, i) for i in range(n)] + [(9_000, 7), (9_001, 300)]
+    # of a band 1 lead with each member, and at most 32 members with each other
+    assert sum(made) < 32 * (n + 2) + 32 * 32 * 16 and max(made) < 20 * n
+
+
+def test_spanning_forest_of_a_crowd():
+    rng = np.random.default_rng(6)
+    for two in (False, True):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(20, 60))).astype(np.uint64) for _ in range(60)]
+        ids, side = np.arange(60) + 100, rng.integers(0, 2, 60) if two else np.zeros(60, np.int64)
+        label = rng.integers(0, 50, 60)
+        sketch = np.zeros((60, 4), np.int64)
+        edges = minhash.spanning(ids, side, label, sketch, sets, 0.6, 0)
+
+        def like(i, j):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            return both / (len(sets[i]) + len(sets[j]) - both) >= 0.6
+
+        def merged(pairs):
+            own = label.copy()
+            for i, j in pairs:
+                own[own == own[j]] = own[i]
+            return {tuple(np.flatnonzero(own == c)) for c in np.unique(own)}
+
+        every = [(i, j) for i in range(60) for j in range(i + 1, 60)
+                 if like(i, j) and (not two or side[i] != side[j])]
+        given = [(a - 100, b - 100) for a, b in edges]
+        assert every and set(given) <= set(every) and merged(given) == merged(every)
+        assert len(edges) < 60
+        sketch[::2] = -1  # 128 places differ
+        apart = minhash.spanning(ids, side, label, sketch, sets, 0.6, 100)
+        assert all((a - b) % 2 == 0 for a, b in apart)
