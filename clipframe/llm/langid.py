@@ -225,6 +225,7 @@ def predict(model: Model, spark) -> callable:
                     if known[row + i]:
                         names[row + i], scores[row + i] = languages[best], share[i, best]
                         accepted[row + i] = values[i, best] >= floor or short[row + i]
+        give_back()
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores), pa.array(accepted)],
             names=["lang_pred", "score", "accepted"])

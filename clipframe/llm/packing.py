@@ -71,7 +71,8 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = tk.END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = tk.END_ID,
+           remembered: int = tk.REMEMBERED) -> DataFrame:
     """Encode whole texts and cut those longer than ``capacity``; the first piece is the short one.
 
     A null text is empty and has the end id alone. Ids stay out of the result; a
@@ -80,7 +81,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = tk.END_
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, rows = batch.column(0).to_pylist(), []
-            for row, ids, at in tk.encoded(batch.column(1), tokenizer, end_id):
+            for row, ids, at in tk.encoded(batch.column(1), tokenizer, end_id,
+                                               remembered):
                 for doc_id, a0, b0 in zip(names[row:], at.tolist(), at[1:].tolist()):
                     first = (b0 - a0) % capacity or capacity
                     edges = [0, *range(first, b0 - a0 + 1, capacity)]
@@ -154,10 +156,13 @@ def pack(items: DataFrame, capacity: int, items_per_task: int = ITEMS_PER_TASK,
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024,
-                   end_id: int = tk.END_ID, **options: int) -> DataFrame:
+                   end_id: int = tk.END_ID, remembered: int = tk.REMEMBERED,
+                   **options: int) -> DataFrame:
     """Pieces of all documents with their sequences. An empty table gives an empty result.
 
+    A worker remembers the ids of ``remembered`` parts of texts at most.
+
     Repeated rows and null ids are packed like any other row; only ``doc_id`` and
     ``text`` are read.
     """
-    return pack(written(pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity, **options)
+    return pack(written(pieces(docs, tokenizer, capacity, end_id, remembered), "pieces"), capacity, **options)

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 import sys
+import threading
+import time
 import types
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,7 +26,8 @@ from clipframe.llm.common import give_back
 
 END_ID = 2
 BATCH_BYTES = 4 << 20    # of text that are cut and encoded together
-REMEMBERED = 1_500_000   # parts, at about 150 bytes each
+REMEMBERED = 1_500_000   # parts, at about 240 bytes each
+IDLE_SECONDS = 3         # after which a worker forgets them
 JOINED = 128             # distinct parts encoded in one text
 
 # Bytes that only occur in characters that are no white space (first bytes, and all of ASCII)
@@ -134,7 +137,7 @@ class Encoder:
     ``plain`` takes the strings of added tokens in texts as ordinary text.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -150,7 +153,29 @@ class Encoder:
                              and not any(c.isspace() for c in t.content)
                              for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.line_ids = np.array(line[:1], np.uint32)
-        self.memory = Memory(self.distinct)
+        self.memory = Memory(self.distinct, limit=remembered)
+        self.lock, self.used, self.watched = threading.Lock(), 0.0, False
+
+    def forget_later(self, seconds: float = IDLE_SECONDS) -> None:
+        """Forget the parts once the encoder has not been used for a while.
+
+        Workers live on after a stage, and what they remember lies beside later ones'.
+        """
+        def watch() -> None:
+            while True:
+                time.sleep(seconds / 4)
+                with self.lock:
+                    if time.monotonic() - self.used >= seconds:
+                        self.memory.forget()
+                        self.watched = False
+                        break
+            give_back()
+
+        with self.lock:
+            self.used = time.monotonic()
+            if not self.watched:
+                self.watched = True
+                threading.Thread(target=watch, daemon=True).start()
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32)
@@ -204,12 +229,15 @@ class Encoder:
         return np.insert(ids, before[1:], np.uint32(end_id)), before + np.arange(len(offsets))
 
 
-def encoded(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[tuple[
-        int, np.ndarray, np.ndarray]]:
+def encoded(texts: pa.Array, path: str, end_id: int = END_ID,
+            remembered: int = REMEMBERED) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, ids, offsets)`` of runs of texts, end ids included; a null text is empty."""
-    encoder = worker_state(f"encoder:{path}", lambda: Encoder(path))
+    encoder = worker_state(f"encoder:{path}:{remembered}",
+                           lambda: Encoder(path, remembered=remembered))
     for row, data, offsets in W.chunks(texts, BATCH_BYTES):
-        ids, at = encoder.encode(data, offsets, end_id)
+        with encoder.lock:
+            ids, at = encoder.encode(data, offsets, end_id)
+        encoder.forget_later()
         yield row, ids, at
     give_back()
 

@@ -184,6 +184,7 @@ def score(model: Model, spark) -> callable:
                 keys.append((owner << bits) + values[hit].astype(np.int64))
             distinct = np.unique(np.concatenate(keys))
             np.add.at(result, row + (distinct >> bits), weights[distinct & ((1 << bits) - 1)])
+        give_back()
         return pa.array(1 / (1 + np.exp(-np.clip(result, -35, 35))))
 
     udf = F.arrow_udf(apply, "double")

@@ -1,5 +1,6 @@
 """What must not grow with the input: tasks, broadcasts, parts of a worker, listings, shuffles."""
 
+import time
 import tracemalloc
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipframe.functions import kernels as K
-from clipframe.llm import common, langid, minhash
+from clipframe.llm import common, langid, minhash, tokens
 from clipframe.operators import clips as C
 from clipframe.operators import joins, long_clips
 from clipframe.operators.preprocess import ClipSpec
@@ -191,6 +192,35 @@ def test_few_edges_are_joined_in_one_task(spark, monkeypatch):
     assert few == many and few[2_060] == 2_000 and 5_000 not in few
 
 
+def test_an_idle_encoder_forgets():
+    """A worker lives on after a stage; what it remembers must not lie beside later stages."""
+    encoder = tokens.Encoder(tokens.default_path())
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(50)) for i in range(40)])
+    data, offsets = np.frombuffer(texts.buffers()[2], np.uint8), np.frombuffer(
+        texts.buffers()[1], np.int32).astype(np.int64)
+    ids, at = encoder.encode(data, offsets, 2)
+    assert len(encoder.memory.known) > 1_000
+    encoder.forget_later(0.2)
+    for _ in range(100):
+        if not encoder.memory.known:
+            break
+        time.sleep(0.1)
+    assert not encoder.memory.known and not len(encoder.memory.pools[0])
+    again, places = encoder.encode(data, offsets, 2)
+    assert again.tolist() == ids.tolist() and places.tolist() == at.tolist()
+    encoder.forget_later(0.2)  # watched anew
+    time.sleep(1)
+    assert not encoder.memory.known
+
+
+def test_an_encoder_of_a_worker_is_watched(monkeypatch):
+    held = {}
+    monkeypatch.setattr(tokens, "worker_state", lambda key, make: held.setdefault(key, make()))
+    list(tokens.encoded(pa.array(["some words of a text", None]), tokens.default_path(), 2, 1_000))
+    encoder, = held.values()
+    assert encoder.watched and encoder.memory.limit == 1_000 and encoder.memory.known
+
+
 def test_a_crowd_below_the_threshold_gives_no_pairs(spark, monkeypatch):
     """Texts of one template that are not linked share bands; rows grow with them, not pairs."""
     def rows(n):
