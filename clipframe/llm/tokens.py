@@ -2,14 +2,17 @@
 
 The library is slow on long texts and prose repeats its words. So a batch of texts
 is cut where a byte-level pre-tokenizer cuts anyway: around a single blank or line
-feed between two characters that are no white space. Every distinct part of the
-batch is encoded once, many of them in one call, and remembered; the ids lie in flat
-arrays and are put together in numpy. They are those of the whole texts; the tests compare
-them. Parts are told apart by their bytes.
+feed between two characters that are no white space, and between a letter and a
+punctuation mark. Every distinct part of the batch is encoded once, many of them in one
+call, and remembered; the ids lie in flat arrays and are put together in numpy. Words of
+letters alone are one piece to the pre-tokenizer, so they go to the same model without it.
+The ids are those of the whole texts; the tests compare them. Parts are told apart by their
+bytes.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import sys
 import threading
@@ -17,6 +20,7 @@ import time
 import types
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,29 @@ UNSAFE = ~SAFE_FIRST
 UNSAFE[0x80:0xC0] = False  # they follow a first byte, which decides
 BLANK, LINE = 0x20, 0x0A
 
+ASCII_LETTERS = np.zeros(256, bool)
+ASCII_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+PUNCTUATION = ~ASCII_LETTERS
+PUNCTUATION[[*range(0x21), *range(0x30, 0x3A), *range(0x7F, 256)]] = False
+# First bytes of two whose characters are all letters, but for the signs of times and division
+LETTER_FIRST = np.zeros(256, bool)
+LETTER_FIRST[[*range(0xC3, 0xC9), 0xD0, 0xD1]] = True
+SIGN_FIRST, SIGNS = 0xC3, (0x97, 0xB7)
+NO_LETTER = ~(ASCII_LETTERS | LETTER_FIRST)
+NO_LETTER[0x80:0xC0] = False  # they follow a first byte, which decides
+
+
+def byte_symbols() -> str:
+    """What a byte-level pre-tokenizer writes for each byte, but a blank for a tab."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    symbols = [chr(b if b in own else next(others)) for b in range(256)]
+    symbols[0x09] = " "
+    return "".join(symbols)
+
+
+SYMBOLS = byte_symbols()
+
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -53,8 +80,11 @@ def worker_state(key: object, make: Callable[[], object]) -> object:
     return holder.__dict__[key]
 
 
-def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where parts begin: each row, each fitting blank, and each fitting line feed and what follows it."""
+def cuts(data: np.ndarray, offsets: np.ndarray, points: np.ndarray | None = None) -> np.ndarray:
+    """Where parts begin: each row, each fitting blank, and each fitting line feed and what follows it.
+
+    ``points`` tells by byte the punctuation marks before which a part begins after a letter.
+    """
     size = len(data)
     if size < 3:
         return np.unique(offsets[:-1][np.diff(offsets) > 0])
@@ -70,6 +100,12 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     marks = edge[:size]
     marks[here] = True
     marks[lines + 1] = True
+    if points is not None:
+        here = np.flatnonzero(points[data[1:]]) + 1
+        before, two = data[here - 1], data[np.maximum(here - 2, 0)]
+        marks[here[ASCII_LETTERS[before] | (
+            (before >= 0x80) & (before < 0xC0) & LETTER_FIRST[two]
+            & ~((two == SIGN_FIRST) & np.isin(before, SIGNS)))]] = True
     return np.flatnonzero(marks)
 
 
@@ -109,7 +145,7 @@ class Memory:
         named = strings(encoded.dictionary)
         if len(self.known) + len(named) > self.limit:
             self.forget()
-        found = np.fromiter((self.known.get(x, -1) for x in named), np.int64, len(named))
+        found = np.fromiter(map(self.known.get, named, repeat(-1)), np.int64, len(named))
         new = np.flatnonzero(found < 0)
         if len(new):
             fresh = [named[i] for i in new]
@@ -153,6 +189,15 @@ class Encoder:
                              and not any(c.isspace() for c in t.content)
                              for t in self.tokenizer.get_added_tokens_decoder().values()))
         self.line_ids = np.array(line[:1], np.uint32)
+        added = [np.frombuffer(t.content.encode(), np.uint8)
+                 for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.points = PUNCTUATION.copy()
+        for token in added:
+            self.points[token[1:]] = False  # no added token is cut
+        self.bare = None
+        if self.by_parts and all(NO_LETTER[token].any() for token in added):
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.memory = Memory(self.distinct, limit=remembered)
         self.lock, self.used, self.watched = threading.Lock(), 0.0, False
 
@@ -177,37 +222,55 @@ class Encoder:
                 self.watched = True
                 threading.Thread(target=watch, daemon=True).start()
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
+    def whole(self, texts: list[str], bare: bool = False) -> list[np.ndarray]:
+        tokenizer = self.bare if bare and texts else self.tokenizer
         return [np.array(e.ids, np.uint32)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def joined(self, parts: list[bytes], bare: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts encoded many in one text, with the one id of a line feed between them."""
+        between = b"\t\n\t" if bare else b"\n"
+        texts = [between.join(parts[i:i + JOINED]) for i in range(0, len(parts), JOINED)]
+        encoded = self.whole([codecs.charmap_decode(t, "strict", SYMBOLS)[0] if bare else t.decode()
+                              for t in texts], bare)
+        ids = np.concatenate([*(x for own in encoded for x in (own, self.line_ids)),
+                              np.empty(0, np.uint32)])
+        ends = ids == self.line_ids[0]
+        edges = np.flatnonzero(ends)
+        if len(edges) != len(parts):
+            raise ValueError("the tokenizer does not keep line feeds apart")
+        return ids[~ends], np.diff(edges, prepend=-1) - 1
 
     def distinct(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the parts, end to end, and how many each has.
 
-        Plain parts have no white space but a blank before them: they are joined by
-        line feeds, each of which is one id of its own between them.
+        Words are letters, plain parts have no white space, but for a blank before
+        them: both are joined by line feeds, each of which is one id of its own between them.
         """
         sizes = np.array([len(p) for p in parts])
         data = np.frombuffer(b"".join(parts), np.uint8)
         ends = np.cumsum(sizes)
         begins = ends - sizes
-        unsafe = np.concatenate([[0], np.cumsum(UNSAFE[data], dtype=np.int64)])
-        plain = (unsafe[ends] - unsafe[begins] == (data[begins] == BLANK)) & (sizes > 1)
-        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        n = int(plain.sum())
-        joined = [b"\n".join([parts[j] for j in order[i:min(i + JOINED, n)]]).decode()
-                  for i in range(0, n, JOINED)]
-        encoded = self.whole(joined + [parts[j].decode() for j in order[n:]])
-        own = [x for ids in encoded[:len(joined)] for x in (ids, self.line_ids)]
-        ids = np.concatenate([*own, np.empty(0, np.uint32)])
-        between = ids == self.line_ids[0]
+        blank = data[begins] == BLANK
+
+        def free(odd: np.ndarray) -> np.ndarray:
+            """The parts that have no such byte but the blank before them."""
+            before = np.concatenate([[0], np.cumsum(odd, dtype=np.int64)])
+            return (before[ends] - before[begins] == blank) & (sizes > blank)
+
+        odd = NO_LETTER[data]
+        odd[1:] |= (data[:-1] == SIGN_FIRST) & np.isin(data[1:], SIGNS)
+        words = free(odd) & (self.bare is not None)
+        plain = free(UNSAFE[data]) & (sizes > 1) & ~words
+        groups = [np.flatnonzero(g) for g in (words, plain, ~(words | plain))]
+        alone = self.whole([parts[j].decode() for j in groups[2]])
+        found = [*(self.joined([parts[j] for j in g], bare)
+                   for g, bare in zip(groups, (True, False))),
+                 (np.concatenate([*alone, np.empty(0, np.uint32)]),
+                  np.array([len(x) for x in alone], np.int64))]
+        order, ids = np.concatenate(groups), np.concatenate([ids for ids, _ in found])
         counts = np.zeros(len(parts), np.int64)
-        edges = np.flatnonzero(between)
-        if len(edges) != n:
-            raise ValueError("the tokenizer does not keep line feeds apart")
-        counts[order[:n]] = np.diff(edges, prepend=-1) - 1
-        counts[order[n:]] = [len(x) for x in encoded[len(joined):]]
-        ids = np.concatenate([ids[~between], *encoded[len(joined):]])
+        counts[order] = np.concatenate([n for _, n in found])
         # from the order they were encoded in to that of the parts
         starts = np.zeros(len(parts), np.int64)
         starts[order] = np.cumsum(counts[order]) - counts[order]
@@ -222,7 +285,7 @@ class Encoder:
             ids = [np.append(x, np.uint32(end_id)) for x in self.whole(texts)]
             return (np.concatenate(ids).astype(np.uint32) if ids else np.empty(0, np.uint32),
                     np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64))
-        starts = cuts(data, offsets)
+        starts = cuts(data, offsets, self.points)
         ids, sizes = self.memory.ids(0, self.memory.numbers(data, starts))
         # ids before each row, where the row before has its end id
         before = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(starts, offsets)]

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import AddedToken, Tokenizer
 
 import brute
 import corpus_pipeline
@@ -191,6 +192,40 @@ def test_ids_are_those_of_the_plain_tokenizer():
             assert ids[at[i]:at[i + 1]].tolist() == want
 
 
+@pytest.mark.parametrize("added", [None, "don.t", "so", "ü", "(x"])
+def test_ids_of_words_beside_marks(tmp_path, added):
+    path, rng = tokens.default_path(), random.Random(7)
+    if added:  # a token of the file that a cut could break, or that is a part of a word
+        own = Tokenizer.from_file(path)
+        own.add_tokens([AddedToken(added, normalized=False)])
+        own.save(path := str(tmp_path / "own.json"))
+    plain = Tokenizer.from_file(path)
+    some = [*"aZtsdmSéßÿñÀ×÷µªºĀſƀɏɐαЀѿҀҁ҂", "\u0301", *",.;:!?'’\"()[]{}<>|@#$%^&*+=~`_-/\\ 019²½\n\t\r\x7f\x85\xa0\xad日",
+            " ", " ", " ", "'s", "'re", "don.t", "so", " (x", "<|endoftext|>"]
+    texts = ["".join(rng.choices(some, k=rng.randrange(1, 25))) for _ in range(4000)]
+    texts += [prose(3, 300), "d'où, l'eau; x÷y×z (a.b).c", "\n".join(some), *some]
+    encoder = tokens.Encoder(path)
+    assert encoder.by_parts and (encoder.bare is None) == (added in ("so", "ü"))
+    for row, data, offsets in W.chunks(pa.array(texts), 1 << 20):
+        ids, at = encoder.encode(data, offsets, 2)
+        for i in range(len(at) - 1):
+            want = plain.encode(texts[row + i], add_special_tokens=False).ids + [2]
+            assert ids[at[i]:at[i + 1]].tolist() == want, texts[row + i]
+
+
+def test_bytes_of_letters():
+    for symbol in map(chr, [*range(0x21, 0xD800), *range(0xE000, 0x3000)]):
+        data = np.frombuffer(symbol.encode(), np.uint8)
+        if not tokens.NO_LETTER[data].any() and not (
+                data[0] == tokens.SIGN_FIRST and data[1] in tokens.SIGNS):
+            assert symbol.isalpha()
+    pre = Tokenizer.from_file(tokens.default_path()).pre_tokenizer
+    for symbol in map(chr, range(0x80, 0x500)):
+        data = np.frombuffer(symbol.encode(), np.uint8)
+        shown = "".join(tokens.SYMBOLS[b] for b in data)
+        assert shown == "".join(x for x, _ in pre.pre_tokenize_str(symbol))
+
+
 def test_packing(odd, empty):
     df, rows = odd
     got = packing.pack_documents(df, tokens.default_path(), capacity=64, items_per_task=200).collect()

@@ -213,6 +213,22 @@ def test_an_idle_encoder_forgets():
     assert not encoder.memory.known
 
 
+def test_words_are_encoded_once_whatever_marks_follow(monkeypatch):
+    """Of words and the marks after them, the parts to encode are the sum and not the product."""
+    encoder, encoded = tokens.Encoder(tokens.default_path()), []
+    whole = encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda texts, bare=False: (
+        encoded.extend([] if bare else texts) or whole(texts, bare)))
+    words = [a + b for a in ("lä", "the", "ство", "qué") for b in ("tion", "rà", "nd", "ou", "st")]
+    marks = [",", ".", ";", "!!", "?", ":", ",###", ".%%%", "$$$", ")"]
+    text = " ".join(w + m for w in words for m in marks)
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = encoder.encode(data, np.array([0, len(data)]), 2)
+    assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert len(encoder.memory.known) <= len(words) + len(marks) + 1
+    assert not any(c.isalpha() for t in encoded for c in t)  # words skip the pre-tokenizer
+
+
 def test_an_encoder_of_a_worker_is_watched(monkeypatch):
     held = {}
     monkeypatch.setattr(tokens, "worker_state", lambda key, make: held.setdefault(key, make()))
