@@ -54,6 +54,28 @@ def test_crowds_in_tiny_blocks(spark, monkeypatch, seed):
     assert joined(spark, rows) == sorted(brute.jaccard_components(rows))
 
 
+def test_members_apart_from_linked_leaders(spark):
+    """Leaders of two crowds are linked; of each crowd one member is linked to one of the other only."""
+    salt = setjoin.W.stream(5, setjoin.STARS)[0]
+
+    def place(word):  # of the word among the smallest shingles in the first order
+        value = next(iter(setjoin.W.shingle_sets(setjoin.pa.array([word]), 1)))
+        return int(setjoin.W.mix((value >> np.uint64(64 - 5 - setjoin.LOW_BITS)) ^ salt)[0])
+
+    first, second, *core = sorted((f"w{i}" for i in range(300)), key=place)[:62]
+    more = sorted((f"m{i}" for i in range(300)), key=place)[-30:]
+    rows = [(1 + 100 * side + i, " ".join([*core, mark, f"own{side}x{i}"]))
+            for side, mark in enumerate((first, second)) for i in range(setjoin.CROWD)]
+    rows += [(300 + side, " ".join([*core, mark, *more])) for side, mark in enumerate((first, second))]
+    sets = setjoin.written(setjoin.candidate_sets(
+        spark.createDataFrame(rows, "doc_id long, text string"), 5, 75, 1), "sets")
+    led = setjoin.followers(sets, 75)
+    assert led.filter("not link").select("leader").distinct().count() == 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in setjoin.join(df, k=1).collect()}
+    assert got == {i: 300 if i >= 300 else 1 for i, _ in rows}
+
+
 def test_overlaps_by_differences():
     rng = np.random.default_rng(2)
 
