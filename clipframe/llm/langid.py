@@ -23,7 +23,8 @@ LOOKED_AT = 4
 LANDMARKS = 60          # for each language
 MOST_LANDMARKS = 3_000  # of all languages, about
 RIDGE = 0.1
-REJECT = 0.5            # see floor_of
+FOLDS = 5               # see floor_of
+REJECT = 200            # of so many texts of a language one may lie below its floor
 MARGIN = 0.25
 SHORT_BYTES = 200       # shorter texts say too little to be found of no language
 TRIGRAM_BITS = 17
@@ -68,7 +69,7 @@ class Model(NamedTuple):
     languages: list[str]
     codes: np.ndarray    # n-gram codes that the landmarks have
     weights: np.ndarray  # n-grams x languages
-    floor: float = -np.inf  # a text whose best value lies below is of no learned language
+    floor: np.ndarray | float = -np.inf  # of each language, or one of all: see floor_of
 
 
 def solve(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> Model:
@@ -122,21 +123,48 @@ def values_of(texts: pa.Array, codes: np.ndarray, weights: np.ndarray) -> Iterat
         yield row, (x @ weights / size).astype(np.float64)
 
 
-def floor_of(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> float:
-    """What no text of a learned language should fall below, from texts not learned from.
+def floor_of(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> np.ndarray:
+    """For each language what its texts should not fall below, from texts not learned from.
 
-    A fifth is judged by a model of the rest. The floor lies below the worst of them, by
-    ``REJECT`` of its distance from the usual one and ``MARGIN`` at least.
+    Every text takes its turn: a fifth of each language is judged by a model of the rest.
+    Left out are texts that no floor is asked about, the short ones and those without a
+    letter, and the only text of a language, which the model of the rest cannot know.
+    Of further texts found to be of a language one in ``REJECT`` is expected below its floor.
+    A language with fewer texts than that has the floor of all, or its worst text if that is
+    lower; of few texts in all the floor lies below the worst, by ``MARGIN`` at least.
     """
-    mine = [i for i in range(len(texts)) if i % 5]
-    other = [i for i in range(len(texts)) if i % 5 == 0]
-    if not mine:
-        return -np.inf
-    model = solve([texts[i] for i in mine], [labels[i] for i in mine], landmarks, ridge)
-    best = np.concatenate([v.max(axis=1) for _, v in values_of(
-        pa.array([texts[i] for i in other], pa.large_string()), model.codes, model.weights)])
-    low = float(best.min())
-    return low - max(MARGIN, REJECT * (float(np.median(best)) - low))
+    languages = sorted(set(labels))
+    seen = dict.fromkeys(languages, 0)
+    turn = []
+    for label in labels:
+        turn.append(seen[label] % FOLDS)
+        seen[label] += 1
+    asked = [len(t.encode()) >= SHORT_BYTES and any(map(str.isalpha, t)) and seen[v] > 1
+             for t, v in zip(texts, labels)]
+    judged: dict[str, list[float]] = {v: [] for v in languages}
+    for fold in range(FOLDS):
+        mine = [i for i, t in enumerate(turn) if t != fold]
+        other = [i for i, t in enumerate(turn) if t == fold and asked[i]]
+        if not other:
+            continue
+        model = solve([texts[i] for i in mine], [labels[i] for i in mine], landmarks, ridge)
+        for _, values in values_of(pa.array([texts[i] for i in other], pa.large_string()),
+                                   model.codes, model.weights):
+            for best, value in zip(values.argmax(axis=1), values.max(axis=1)):
+                judged[model.languages[best]].append(value)
+        del model  # before the next one
+    whole = np.sort(np.concatenate([np.empty(0), *judged.values()]))
+    floors = np.full(len(languages), -np.inf)
+    for i, language in enumerate(languages):
+        own = np.sort(judged[language])
+        if len(own) >= REJECT:
+            floors[i] = own[(len(own) + 1) // REJECT - 1]
+        elif len(whole) >= REJECT:
+            floors[i] = min([whole[(len(whole) + 1) // REJECT - 1], *own[:1]])
+        elif len(whole):
+            some = own if len(own) else whole
+            floors[i] = some[0] - max(MARGIN, (np.median(some) - some[0]) / 2)
+    return floors
 
 
 def sample(docs: DataFrame, per_language: int) -> DataFrame:
@@ -206,8 +234,9 @@ def predict(model: Model, spark) -> callable:
     ``und`` with score 0 if the text is null, has no letter, or no language was
     learned. The score is the softmax share of the best language's regression value;
     of equal values the first language by name wins. Accepted are texts of a language
-    whose value is not below the model's floor (see ``floor_of``), or that are short. Equal texts have equal results, repeated rows included; a text of
-    any length is judged whole, in chunks of rows.
+    whose value is not below its floor (see ``floor_of``), or that are short. Equal texts
+    have equal results, repeated rows included; a text of any length is judged whole, in
+    chunks of rows.
     """
     shared = spark.sparkContext.broadcast(tuple(model))
 
@@ -215,6 +244,7 @@ def predict(model: Model, spark) -> callable:
         languages, codes, weights, floor = shared.value
         names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         accepted = np.zeros(len(texts), bool)
+        floors = np.broadcast_to(floor, len(languages))
         short = text_sizes(texts) < SHORT_BYTES
         known = letters.to_pylist()
         if languages:
@@ -224,7 +254,7 @@ def predict(model: Model, spark) -> callable:
                 for i, best in enumerate(values.argmax(axis=1)):
                     if known[row + i]:
                         names[row + i], scores[row + i] = languages[best], share[i, best]
-                        accepted[row + i] = values[i, best] >= floor or short[row + i]
+                        accepted[row + i] = values[i, best] >= floors[best] or short[row + i]
         give_back()
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores), pa.array(accepted)],

@@ -126,6 +126,39 @@ def test_language_stage_follows_the_classifier(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows} | {1_003}
 
 
+def test_every_text_has_its_turn_at_the_floor(monkeypatch):
+    texts = [text_of(i, LETTERS[lang], 60) for i in range(7) for lang in LETTERS] + ["short", "1 2 " * 99]
+    labels = [lang for _ in range(7) for lang in LETTERS] + ["aa", "aa"]
+    judged, known, solve, values_of = [], [], langid.solve, langid.values_of
+    monkeypatch.setattr(langid, "solve", lambda t, *a: (known.append(set(t)), solve(t, *a))[1])
+    monkeypatch.setattr(langid, "values_of", lambda t, *a: (judged.append(t.to_pylist()), values_of(t, *a))[1])
+    floors = langid.floor_of(texts, labels, 60, 0.1)
+    assert sorted(t for part in judged for t in part) == sorted(texts[:-2])
+    assert all(not known_ & set(part) for known_, part in zip(known, judged))
+    assert len(floors) == len(LETTERS) and np.isfinite(floors).all()
+    assert langid.floor_of(["a" * 300], ["aa"], 60, 0.1).tolist() == [-np.inf]
+
+
+def test_short_labelled_texts_do_not_open_the_language_stage(spark):
+    rows = [(i, text_of(i, LETTERS[lang], 80), lang) for i, lang in enumerate(list(LETTERS) * 300)]
+    n = len(rows)
+    short = [(n + i, f"{i} a", "aa") for i in range(60)]
+    alien = [(n + 200 + i, text_of(n + 200 + i, "stuvwxyz", 90), None) for i in range(50)] + [
+        (n + 300, "слово за слово " * 30, None), (n + 301, "的一是不了人我在有 " * 30, None)]
+    kept = {r.doc_id for r in corpus_pipeline.language(
+        spark, docs_of(spark, rows + short + alien), "").collect()}
+    assert not kept & {i for i, *_ in alien}
+    assert kept >= {i for i, *_ in short}
+    assert len(kept & {i for i, *_ in rows}) > 0.985 * n
+
+
+def test_one_odd_text_does_not_set_the_floor():
+    texts = [text_of(i, LETTERS[lang], 60) for i in range(450) for lang in LETTERS]
+    labels = [lang for _ in range(450) for lang in LETTERS]
+    texts[0] = "0123 " * 90 + "x"
+    assert np.min(langid.floor_of(texts, labels, 60, 0.1)) > 0.5
+
+
 def test_near_duplicate_stage_drops_copies_only(spark):
     a, b, c = (text_of(s, "abcdefghij", 60) for s in (91, 92, 93))
     rows = [(5, a, None), (5, b, None), (7, a + " end", None), (8, c, None), (8, c, None),
