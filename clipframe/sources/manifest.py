@@ -29,39 +29,57 @@ ENTRIES = f"{LISTED}, folder boolean"
 CHANGES = f"{LISTED}, change string"
 
 
-def list_files(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav") -> DataFrame:
+def list_files(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav", *,
+               names: str | None = None, hidden: str | None = None) -> DataFrame:
     """``(path, length, mtime)`` of the files below the roots whose names fit the pattern.
 
     A root may be a file. A missing root raises. A path that several roots reach is
-    listed once. ``*``, ``?`` and ``[..]`` of the pattern are case sensitive.
+    listed once. ``*``, ``?`` and ``[..]`` of the pattern are case sensitive. With
+    ``names``, whole file names fit that regular expression instead, those of roots too;
+    what ``hidden`` finds in ``/<name>`` is left out, and folders with all they hold.
     """
     base = qualified(spark, ".")
     given = [qualified(spark, r) for r in ([roots] if isinstance(roots, str) else roots)]
     entry_types = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.bool_()]
 
     def entries(batches: Iterator[pa.RecordBatch], below: bool) -> Iterator[pa.RecordBatch]:
+        import os
+        import re
         from fnmatch import fnmatchcase
+        from itertools import batched
 
-        from pyarrow.fs import FileSelector, FileType
+        from pyarrow.fs import FileSelector, FileType, LocalFileSystem
+
+        def left_out(name: str, folder: bool) -> bool:
+            if names is None and not below or folder and not below:
+                return False
+            if name.startswith(".") or hidden is not None and re.search(hidden, f"/{name}"):
+                return True
+            return not (folder or (fnmatchcase(name, pattern) if names is None
+                                   else re.fullmatch(names, name, re.DOTALL)))
+
+        def found_at(path: str) -> Iterator[tuple[str, bool, int, int]]:
+            store, inside = files.find(path)
+            if below and isinstance(store, LocalFileSystem):  # a folder of any size is a stream
+                with os.scandir(inside) as found:
+                    for entry in found:
+                        stat = entry.stat()
+                        yield entry.name, entry.is_dir(), stat.st_size, stat.st_mtime_ns // 1000
+                return
+            for info in (store.get_file_info(FileSelector(inside)) if below
+                         else [store.get_file_info(inside)]):
+                if info.type == FileType.NotFound:
+                    raise FileNotFoundError(f"no such file or folder: {path}")
+                folder = info.type == FileType.Directory
+                yield info.base_name, folder, info.size, 0 if folder else info.mtime_ns // 1000
 
         files = Files(base)
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                store, inside = files.find(path)
-                found = (store.get_file_info(FileSelector(inside)) if below
-                         else [store.get_file_info(inside)])
-                for i in range(0, len(found), NAMES_PER_BATCH):
-                    rows = []
-                    for info in found[i:i + NAMES_PER_BATCH]:
-                        name = info.base_name
-                        if info.type == FileType.NotFound:
-                            raise FileNotFoundError(f"no such file or folder: {path}")
-                        folder = info.type == FileType.Directory
-                        if below and (name.startswith(".")
-                                      or not folder and not fnmatchcase(name, pattern)):
-                            continue
-                        rows.append((f"{path}/{name}" if below else path, None if folder else info.size,
-                                     None if folder else info.mtime_ns // 1000, folder))
+                for some in batched(found_at(path), NAMES_PER_BATCH):
+                    rows = [(f"{path}/{name}" if below else path, None if folder else size,
+                             None if folder else mtime, folder)
+                            for name, folder, size, mtime in some if not left_out(name, folder)]
                     columns = zip(*rows) if rows else [()] * 4
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, entry_types)],

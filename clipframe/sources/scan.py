@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,33 +15,53 @@ from clipframe.sources.files import Files, qualified
 
 # Largest file the binary source can hold in one row (a JVM byte array).
 MAX_FILE_BYTES = 2**31 - 1
+# Fixed value: what makes a path a glob to Spark.
+GLOB = frozenset("{}[]*?\\")
 # Fixed value: files and folders that Spark's listing takes for hidden.
 HIDDEN = r"/_(?!metadata|common_metadata)[^/=]*(/|$)|\._COPYING_(/|$)"
+# Fixed value: files that it lists but its sources do not read.
+UNREAD = r"/_[^/=]*$"
 
 
 def _files(spark: SparkSession, roots: str | Sequence[str], pattern: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load([roots] if isinstance(roots, str) else list(roots))
-    )
+    """``(path, length)`` by the rules of Spark's file sources, but listed in tasks.
+
+    A root may be a glob, as there; what it names is found on the driver, not what lies below.
+    """
+    from clipframe.sources.manifest import list_files
+
+    given = [path for root in ([roots] if isinstance(roots, str) else roots)
+             for path in _named(spark, root)]
+    regex = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()
+    return list_files(spark, given, names=regex, hidden=HIDDEN).filter(
+        (F.col("length") > 0) & ~F.col("path").rlike(UNREAD)).select("path", "length")
+
+
+def _named(spark: SparkSession, root: str) -> list[str]:
+    """The files and folders that a root names: itself, or what the glob fits."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if set(root) & GLOB:
+        found = [str(s.getPath()) for s in store.globStatus(store.makeQualified(hadoop)) or []]
+    else:
+        found = [qualified(spark, root)] if store.exists(hadoop) else []
+    if not found:
+        raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {qualified(spark, root)}.")
+    return found
 
 
 def scan_clips(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav",
                max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """``(path, length, content)`` of every matching file below the roots.
+    """``(path, length, content, load_error)`` of every matching file below the roots.
 
-    Hidden names (leading ``.`` or ``_``) and files of zero bytes are skipped by Spark's
-    listing. A file over ``max_bytes`` keeps
-    its row, with NULL content and a ``load_error``; its bytes are never read.
+    The files are listed and read in tasks that have about as many bytes each, so no name
+    reaches the driver. Hidden names (leading ``.`` or ``_``) and files of zero bytes are
+    skipped, as by Spark's file sources. A file over ``max_bytes`` keeps its row, with NULL
+    content and a ``load_error``; its bytes are never read.
     """
-    files = _files(spark, roots, pattern).filter(F.col("length") <= max_bytes)
-    read = files.select("path", "length", "content", F.lit(None).cast("string").alias("load_error"))
-    large = oversized(spark, roots, pattern, max_bytes)
-    return read.unionByName(large.select(
-        "path", "length", F.lit(None).cast("binary").alias("content"),
-        F.col("error").alias("load_error")))
+    from clipframe.sources.manifest import read_listed
+
+    return read_listed(_files(spark, roots, pattern), max_bytes)
 
 
 def oversized(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav",
@@ -52,7 +73,7 @@ def oversized(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*
 
 def scan_paths(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav",
                path_col: str = "wav_file") -> DataFrame:
-    """Only the paths: the ``content`` column is pruned, no file is opened."""
+    """Only the paths, by the rules of :func:`scan_clips`: no file is opened."""
     return _files(spark, roots, pattern).select(F.col("path").alias(path_col))
 
 

@@ -6,6 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clipframe.functions import kernels as K
@@ -289,3 +290,40 @@ def test_spanning_forest_of_a_crowd():
         sketch[::2] = -1  # 128 places differ
         apart = minhash.spanning(ids, side, label, sketch, sets, 0.6, 100)
         assert all((a - b) % 2 == 0 for a, b in apart)
+
+
+def odd_tree(folder):
+    clip = wav([1, 2, 3])
+    for name in ("a/x.wav", "a/_x.wav", "a/.x.wav", "_a/y.wav", "b/_k=1/z.wav", "b/empty.wav",
+                 "b/_metadata/m.wav", "b/other.txt", "b/sp ace %41/c d%20.wav", "b/é.wav", "b/c.WAV",
+                 "b/_common_metadata.wav", "b/x.wav._COPYING_", "c/{1}.wav", "c/deep/er/[2].wav"):
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(b"" if "empty" in name else clip)
+    return clip
+
+
+@pytest.mark.parametrize("below, pattern", [
+    ("", "*.wav"), ("", "*.{wav,txt}"), ("", "[!a-c]*.wav"), ("", "?.wav"), ("", "*"), ("[ab]", "*.wav"),
+    ("{a,c}/*", "*.wav"), ("a/_x.wav", "*.wav"), ("a/x.wav", "*.wav"), ("a/x.wav", "*.txt"),
+    ("_a", "*.wav"), (("a", "", "_a"), "*.wav")])
+def test_scans_find_in_tasks_what_the_file_source_finds(spark, tmp_path, below, pattern):
+    """``wav_roundtrip`` and ``wav_header_files``: the driver lists nothing, whatever the rule."""
+    clip = odd_tree(tmp_path)
+    roots = [f"{tmp_path}/{b}" for b in ([below] if isinstance(below, str) else below)]
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", pattern).load(roots)
+    wanted = sorted((r.path, r.length) for r in source.select("path", "length").collect())
+    clips, paths = scan.scan_clips(spark, roots, pattern), scan.scan_paths(spark, roots, pattern)
+    for df in (clips, paths):
+        assert "binaryfile" not in plan_of(df).lower()
+    rows = clips.collect()
+    assert sorted((r.path, r.length) for r in rows) == wanted
+    assert all(bytes(r.content) == clip and r.load_error is None for r in rows)
+    assert clips.columns == ["path", "length", "content", "load_error"]
+    assert sorted(r.wav_file for r in paths.collect()) == [p for p, _ in wanted]
+
+
+def test_a_missing_root_raises_as_before(spark, tmp_path):
+    for root in (f"{tmp_path}/none", f"{tmp_path}/*.none"):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            scan.scan_clips(spark, root)
