@@ -279,7 +279,8 @@ def wav_header_files(spark, sf_dir):
     wavs = S.document_wavs(spark, sf_dir).withColumn("content", F.when(
         F.col("lang") == "fr", S.with_list_chunk(F.col("content"))).otherwise(F.col("content")))
     folder = _wav_files(spark, wavs)
-    return _document_ids(scan_header_files(scan.scan_paths(spark, folder, path_col="path")))
+    paths = scan.scan_paths(spark, folder, path_col="path")
+    return _document_ids(scan_header_files(manifest.dealt(paths)))
 
 
 def _wav_files(spark, wavs: DataFrame) -> str:

@@ -16,6 +16,8 @@ from clipframe.operators import joins, long_clips
 from clipframe.operators.preprocess import ClipSpec
 from clipframe.plans import queries as Q
 from clipframe.sources import scan
+from clipframe.sources.manifest import dealt
+from clipframe.sources.wav import scan_header_files
 from conftest import wav
 
 
@@ -327,3 +329,13 @@ def test_a_missing_root_raises_as_before(spark, tmp_path):
     for root in (f"{tmp_path}/none", f"{tmp_path}/*.none"):
         with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
             scan.scan_clips(spark, root)
+
+
+def test_headers_of_many_files_are_dealt_to_tasks(spark, tmp_path):
+    """Not by the splits of a file source, a task for 32 small files."""
+    for i in range(400):
+        (tmp_path / f"{i}.wav").write_bytes(wav([i]))
+    names = scan.scan_paths(spark, str(tmp_path), path_col="path")
+    assert names.rdd.getNumPartitions() <= 4
+    heads = scan_header_files(dealt(names))
+    assert heads.rdd.getNumPartitions() <= 4 and heads.filter("num_frames = 1").count() == 400
