@@ -141,16 +141,19 @@ def read_lines(files: DataFrame) -> DataFrame:
         read, "file_path string, line_id bigint, value string")
 
 
-def read_listed(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+def read_listed(files: DataFrame, max_bytes: int = MAX_FILE_BYTES,
+                part_bytes: int = 64 << 20) -> DataFrame:
     """``(path, length, content, load_error)`` of listed files, opened in the tasks.
 
-    A file over ``max_bytes`` or gone since keeps its row, with a ``load_error``.
+    A file over ``max_bytes`` or gone since keeps its row, with a ``load_error``. A worker
+    holds about ``part_bytes`` at a time, or one file.
     """
     names = balanced(files).select("path")
     schema = T.StructType([*names.schema.fields, T.StructField("length", T.LongType()),
                            T.StructField("content", T.BinaryType()),
                            T.StructField("load_error", T.StringType())])
-    return names.mapInArrow(read_files(qualified(files.sparkSession, "."), "path", max_bytes), schema)
+    return names.mapInArrow(
+        read_files(qualified(files.sparkSession, "."), "path", max_bytes, part_bytes), schema)
 
 
 class Manifest:

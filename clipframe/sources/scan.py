@@ -15,6 +15,8 @@ from clipframe.sources.files import Files, qualified
 
 # Largest file the binary source can hold in one row (a JVM byte array).
 MAX_FILE_BYTES = 2**31 - 1
+# Of the files a scan holds in a worker, beside the workers of what follows.
+SCAN_PART_BYTES = 4 << 20
 # Fixed value: what makes a path a glob to Spark.
 GLOB = frozenset("{}[]*?\\")
 # Fixed value: files and folders that Spark's listing takes for hidden.
@@ -61,7 +63,7 @@ def scan_clips(spark: SparkSession, roots: str | Sequence[str], pattern: str = "
     """
     from clipframe.sources.manifest import read_listed
 
-    return read_listed(_files(spark, roots, pattern), max_bytes)
+    return read_listed(_files(spark, roots, pattern), max_bytes, SCAN_PART_BYTES)
 
 
 def oversized(spark: SparkSession, roots: str | Sequence[str], pattern: str = "*.wav",
